@@ -39,7 +39,7 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN h % 19 = 0 THEN 655L ELSE 0L END AS toll",
         "timestampadd(SECOND, h * 37 % 86400, l_shipdate) AS pickup_datetime",
     )
-    return priced.selectExpr(
+    derived = priced.selectExpr(
         "CASE WHEN h % 97 = 0 THEN '5' ELSE cast(1 + h % 2 AS string) END AS vendor_id",
         "pickup_datetime",
         "timestampadd(SECOND, CASE WHEN h % 211 = 0 THEN 15000 + h % 3600 ELSE h % 4200 - 30 END, pickup_datetime)"
@@ -61,6 +61,10 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "(fare + h % 3 * 50 + 50 + tip + toll + 30) / 100D AS total_amount",
         "h % 307 = 0 AS _deleted",
     )
+    # One row in, one row out. Without it the optimizer would copy these formulas into every filter on their
+    # results, and the generated method would grow past the size that the JVM compiles.
+    names = ", ".join(derived.columns)
+    return derived.selectExpr(f"stack(1, {names}) AS ({names})")
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
