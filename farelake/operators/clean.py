@@ -41,10 +41,10 @@ def live_rows(raw: DataFrame) -> DataFrame:
     return raw.where(~F.col("_deleted"))
 
 
-def number_trips(raw: DataFrame, partitions: int | None = None) -> DataFrame:
+def number_trips(raw: DataFrame, partitions: int | None = None, after: int = 0) -> DataFrame:
     """Live rows with ``row_num``: numbered after the soft-delete filter and before any validity rule,
-    so the numbers of valid trips have gaps."""
-    return global_row_number(live_rows(raw), ROW_ORDER, partitions=partitions)
+    so the numbers of valid trips have gaps. A later batch goes on ``after`` the live rows before it."""
+    return global_row_number(live_rows(raw), ROW_ORDER, partitions=partitions, after=after)
 
 
 def rate_code_or_unknown(code: Column) -> Column:
@@ -79,8 +79,8 @@ def valid_trips(trips: DataFrame) -> DataFrame:
     )
 
 
-def clean_trips(raw: DataFrame, keyed: bool = True, partitions: int | None = None) -> DataFrame:
+def clean_trips(raw: DataFrame, keyed: bool = True, partitions: int | None = None, after: int = 0) -> DataFrame:
     """Typed valid trips. ``keyed=False`` leaves out ``trip_id``, and with it the sort of the whole table;
     no report needs the key."""
-    live = number_trips(raw, partitions) if keyed else live_rows(raw)
+    live = number_trips(raw, partitions, after) if keyed else live_rows(raw)
     return valid_trips(standardize(live))

@@ -15,9 +15,9 @@ _POSITION_BITS = 33
 
 
 def global_row_number(
-    df: DataFrame, order_by: Sequence[str], name: str = "row_num", partitions: int | None = None
+    df: DataFrame, order_by: Sequence[str], name: str = "row_num", partitions: int | None = None, after: int = 0
 ) -> DataFrame:
-    """Number all rows from 1 in the order of ``order_by``, without moving them through one task.
+    """Number all rows from ``after + 1`` in the order of ``order_by``, without moving them through one task.
 
     A window without partitions would sort the whole table in a single task. Here the rows are range
     partitioned and sorted, each gets its position in its own partition, and the positions are shifted by
@@ -49,5 +49,5 @@ def global_row_number(
         .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
     return stored.join(F.broadcast(offsets), "_part").select(
-        *columns, (F.col("_offset") + F.col("_position") + 1).alias(name)
+        *columns, (F.col("_offset") + F.col("_position") + F.lit(after + 1)).alias(name)
     )

@@ -146,8 +146,11 @@ def daily_revenue(trips: DataFrame) -> DataFrame:
 
     The shares divide the rounded sums, so the four need not add up to 100.
     """
-    at = F.col("pickup_date")
-    days = trips.groupBy("pickup_date").agg(
+    return with_day_parts(trips.groupBy("pickup_date").agg(*day_measures())).orderBy("pickup_date")
+
+
+def day_measures() -> list[Column]:
+    return [
         rows().alias("trip_count"),
         total("fare_amount").alias("total_base_fare"),
         total("tip_amount").alias("total_tips"),
@@ -158,7 +161,12 @@ def daily_revenue(trips: DataFrame) -> DataFrame:
         mean("fare_per_mile", 2).alias("avg_fare_per_mile"),
         mean("tip_percentage", 1).alias("avg_tip_pct"),
         mean("revenue_per_hour", 2).alias("avg_revenue_per_hour"),
-    )
+    ]
+
+
+def with_day_parts(days: DataFrame) -> DataFrame:
+    """``pickup_date`` and the day's measures, with calendar parts and component shares added."""
+    at = F.col("pickup_date")
     return days.select(
         "pickup_date",
         calendar.year(at).alias("pickup_year"),
@@ -166,9 +174,9 @@ def daily_revenue(trips: DataFrame) -> DataFrame:
         calendar.sunday_week(at).alias("pickup_week"),
         calendar.day_name(at).alias("pickup_day_name"),
         calendar.is_weekend_day(calendar.day_of_week(at)).alias("is_weekend"),
-        *days.columns[1:],
+        *(c for c in days.columns if c != "pickup_date"),
         *_composition("total_revenue"),
-    ).orderBy("pickup_date")
+    )
 
 
 def _composition(whole: str) -> list[Column]:

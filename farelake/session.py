@@ -44,8 +44,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if _local_scratch is None:
             _local_scratch = tempfile.TemporaryDirectory(prefix="farelake-")
         base = _local_scratch.name
-    run = spark.sparkContext.applicationId
-    return f"{base.rstrip('/')}/farelake/{run}/{label}-{uuid.uuid4().hex}"
+    return f"{_run_folder(spark, base)}/{label}-{uuid.uuid4().hex}"
+
+
+def _run_folder(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/farelake/{spark.sparkContext.applicationId}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder. Call it when its results are stored."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark, base))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
