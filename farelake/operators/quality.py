@@ -34,16 +34,37 @@ def _unexpected(column: str, accepted: Iterable) -> Column:
     return F.when(~F.col(column).isin(*accepted), F.col(column).cast("string"))
 
 
-def unaccepted_values(df: DataFrame, column: str, accepted: Iterable) -> DataFrame:
-    """Values outside the accepted ones, with their number of rows."""
-    bad = df.select(_unexpected(column, accepted).alias("value")).where(F.col("value").isNotNull())
-    return bad.groupBy("value").agg(rows().alias("row_count"))
+def unaccepted_values(df: DataFrame, accepted: Mapping[str, Iterable]) -> DataFrame:
+    """Values outside the accepted ones of their column, with their number of rows; all columns in one pass."""
+    pairs = F.array(
+        *(F.struct(F.lit(c).alias("column_name"), _unexpected(c, ok).alias("value")) for c, ok in accepted.items())
+    )
+    bad = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+    return bad.groupBy("column_name", "value").agg(rows().alias("row_count"))
+
+
+def orphans(child: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Non-null keys without a parent, with their number of rows.
+
+    ``parents`` maps a key column to the parent relation and its key. All columns are counted in one pass,
+    and only the counts, one per distinct key, meet the parents.
+    """
 
+    def pair(column: str, key: Column) -> Column:
+        return F.struct(F.lit(column).alias("column_name"), key.cast("string").alias("value"))
 
-def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Non-null keys without a parent, with their number of rows. Keys are counted before the join."""
-    counts = child.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("value")).agg(rows().alias("row_count"))
-    return counts.join(parent.select(F.col(parent_key).alias("value")), "value", "left_anti")
+    keys = child.select(F.inline(F.array(*(pair(c, F.col(c)) for c in parents)))).where(F.col("value").isNotNull())
+    counts = keys.groupBy("column_name", "value").agg(rows().alias("row_count"))
+    known = [
+        parent.select(F.lit(c).alias("column_name"), F.col(key).cast("string").alias("value"))
+        for c, (parent, key) in parents.items()
+    ]
+    return counts.join(reduce(DataFrame.unionByName, known), ["column_name", "value"], "left_anti")
+
+
+def shown(violations: DataFrame, limit: int = 100) -> DataFrame:
+    """A few offending rows to look at. Counts and statuses always come from all of them."""
+    return violations.limit(limit)
 
 
 def total_below_fare() -> Column:
@@ -156,17 +177,11 @@ def _row_checks(df: DataFrame, checks: Numbered) -> DataFrame:
 
 
 def _parent_checks(df: DataFrame, checks: Numbered, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All relationship checks of a table in one scan: keys are counted before they meet their parents."""
-    one = F.lit(1)
-    keys = df.select(F.inline(F.array(*(_cell(i, F.col(c.column), one) for i, c in checks))))
-    counts = (
-        keys.where(F.col("value").isNotNull()).groupBy("check_id", "value").agg(F.sum("violations").alias("violations"))
-    )
-    parents = [
-        tables[c.parent[0]].select(F.inline(F.array(_cell(i, F.col(c.parent[1]), one)))) for i, c in checks
-    ]
-    missing = counts.join(reduce(DataFrame.unionByName, parents), ["check_id", "value"], "left_anti")
-    return missing.groupBy("check_id").agg(F.sum("violations").alias("violations"))
+    """All relationship checks of a table in one scan; each orphaned row counts."""
+    parents = {c.column: (tables[c.parent[0]], c.parent[1]) for _, c in checks}
+    found = orphans(df, parents).groupBy("column_name").agg(F.sum("row_count").alias("violations"))
+    ids = F.create_map(*(F.lit(x) for i, c in checks for x in (c.column, i)))
+    return found.select(ids[F.col("column_name")].cast("bigint").alias("check_id"), "violations")
 
 
 def _key_checks(df: DataFrame, column: str, checks: Numbered) -> DataFrame:

@@ -141,12 +141,13 @@ def trip_patterns(trips: DataFrame) -> DataFrame:
     ).orderBy("pickup_day_of_week", "pickup_hour")
 
 
-def daily_revenue(trips: DataFrame) -> DataFrame:
-    """Revenue per pickup day and the share of each component, by date.
+def daily_revenue(trips: DataFrame, ordered: bool = True) -> DataFrame:
+    """Revenue per pickup day and the share of each component, by date unless ``ordered`` is off.
 
     The shares divide the rounded sums, so the four need not add up to 100.
     """
-    return with_day_parts(trips.groupBy("pickup_date").agg(*day_measures())).orderBy("pickup_date")
+    days = with_day_parts(trips.groupBy("pickup_date").agg(*day_measures()))
+    return days.orderBy("pickup_date") if ordered else days
 
 
 def day_measures() -> list[Column]:

@@ -227,7 +227,7 @@ def top_zones(spark, sf_dir):
 
 @_query
 def weekly_revenue(spark, sf_dir):
-    return reports.weekly_revenue(reports.daily_revenue(_trips(spark, sf_dir)))
+    return reports.weekly_revenue(reports.daily_revenue(_trips(spark, sf_dir), ordered=False))
 
 
 @_query
@@ -238,10 +238,6 @@ def payment_share(spark, sf_dir):
 # --- data checks -----------------------------------------------------------------------------------------
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 @_query
 def dq_unique(spark, sf_dir):
     """The key has no duplicates; the pickup time, which is no key, has many."""
@@ -249,12 +245,11 @@ def dq_unique(spark, sf_dir):
         "trip_id": quality.duplicates(_fact(spark, sf_dir), "trip_id"),
         "pickup_at": quality.duplicates(_trips(spark, sf_dir), "pickup_at"),
     }
-    return _union(
-        [
-            df.select(F.lit(key).alias("key_name"), F.col(key).cast("string").alias("key_value"), "row_count")
-            for key, df in found.items()
-        ]
-    )
+    parts = [
+        df.select(F.lit(key).alias("key_name"), F.col(key).cast("string").alias("key_value"), "row_count")
+        for key, df in found.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @_query
@@ -268,7 +263,6 @@ def dq_not_null(spark, sf_dir):
 
 @_query
 def dq_accepted_values(spark, sf_dir):
-    trips = _trips(spark, sf_dir)
     accepted = {
         "vendor_id": (1, 2),
         "payment_type_id": (1, 2, 3, 4, 5, 6),
@@ -276,17 +270,12 @@ def dq_accepted_values(spark, sf_dir):
         "store_and_fwd_flag": ("Y", "N"),
         "passenger_category": buckets.PARTIES,
     }
-    return _union(
-        [
-            quality.unaccepted_values(trips, column, values).select(F.lit(column).alias("column_name"), "*")
-            for column, values in accepted.items()
-        ]
-    )
+    return quality.unaccepted_values(_trips(spark, sf_dir), accepted)
 
 
 @_query
 def dq_relationships(spark, sf_dir):
-    trips, known = _trips(spark, sf_dir), _known(spark)
+    known = _known(spark)
     parents = {
         "vendor_id": (known.vendors, "vendor_id"),
         "pickup_location_id": (known.zones, "location_id"),
@@ -294,12 +283,7 @@ def dq_relationships(spark, sf_dir):
         "payment_type_id": (known.payment_types, "payment_type_id"),
         "rate_code_id": (known.rate_codes, "rate_code_id"),
     }
-    return _union(
-        [
-            quality.orphans(trips, column, parent, key).select(F.lit(column).alias("column_name"), "*")
-            for column, (parent, key) in parents.items()
-        ]
-    )
+    return quality.orphans(_trips(spark, sf_dir), parents)
 
 
 @_query

@@ -365,7 +365,7 @@ def _orphans() -> str:
         "rate_code_id": ("rates", "rate_code_id"),
     }
     return " union all ".join(
-        f"select '{c}' as column_name, {c} as value, count(*) as row_count from enriched"
+        f"select '{c}' as column_name, cast({c} as varchar) as value, count(*) as row_count from enriched"
         f" where {c} is not null and {c} not in (select {key} from {parent}) group by {c}"
         for c, (parent, key) in keys.items()
     )

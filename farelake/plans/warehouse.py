@@ -6,7 +6,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from farelake.functions.calendar import instant, month_start
 from farelake.operators import clean, enrich, reports, star
 from farelake.operators.quality import run_checks
 from farelake.plans.checks import all_checks
@@ -74,15 +76,64 @@ def build(spark: SparkSession, raw: DataFrame, known: Lookups, out: str, as_of:
     The trips are numbered once; the fact is stored once and read back, column-pruned, by each report.
     """
     enriched = enrich.enrich_trips(clean.clean_trips(raw))
-    fact = star.build_fact(enriched, known.vendors, known.payment_types, known.rate_codes, as_of)
-    store.write_fact(fact, f"{out}/fact_trips")
-    stored = store.read_fact(spark, f"{out}/fact_trips")
+    store.write_fact(_fact(enriched, known, as_of), _fact_path(out))
+    dims, made = _derived(spark, known, out, as_of)
+    stored = store.read_fact(spark, _fact_path(out))
+    return run_checks(spark, check_tables(enriched, stored, known, dims, made), all_checks())
 
-    dims = _stored(spark, dimensions(known, stored), out)
-    made = _stored(spark, all_reports(stored, known, as_of), out)
+
+def refresh(spark: SparkSession, raw: DataFrame, known: Lookups, out: str, as_of: str, since: str) -> DataFrame:
+    """Bring the tables up to date after the landing table changed from the first of month ``since`` on.
+
+    Only the months from there on are sorted, numbered and written again. The numbers go on after the live rows
+    before, so every id is the one a full build would give. Returns the check report for the changed trips
+    and all tables derived from the stored fact.
+    """
+    boundary = instant(f"{since} 00:00:00")
+    at = F.col("pickup_datetime")
+    # Rows without a pickup time sort first; they take up numbers before the boundary.
+    earlier = clean.live_rows(raw).where(at.isNull() | (at < boundary)).count()
+    enriched = enrich.enrich_trips(clean.clean_trips(raw.where(at >= boundary), after=earlier))
+    fact = _fact(enriched, known, as_of)
+    _refuse_emptied_months(spark, fact, out, since)
+    store.replace_months(fact, _fact_path(out))
+    dims, made = _derived(spark, known, out, as_of)
+    stored = store.read_fact(spark, _fact_path(out))
     return run_checks(spark, check_tables(enriched, stored, known, dims, made), all_checks())
 
 
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Make relations available to SQL under their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
+def _fact_path(out: str) -> str:
+    return f"{out}/fact_trips"
+
+
+def _fact(enriched: DataFrame, known: Lookups, as_of: str) -> DataFrame:
+    return star.build_fact(enriched, known.vendors, known.payment_types, known.rate_codes, as_of)
+
+
+def _derived(
+    spark: SparkSession, known: Lookups, out: str, as_of: str
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Store the dimensions and the reports of the stored fact."""
+    stored = store.read_fact(spark, _fact_path(out))
+    dims = _stored(spark, dimensions(known, stored), out)
+    return dims, _stored(spark, all_reports(stored, known, as_of), out)
+
+
+def _refuse_emptied_months(spark: SparkSession, fact: DataFrame, out: str, since: str) -> None:
+    """A month that lost all its trips would keep its old ones; that takes a full build."""
+    month = month_start(F.col("pickup_date")).alias("month")
+    before = store.read_fact(spark, _fact_path(out), start=since).select(month).distinct()
+    emptied = before.join(fact.select(month).distinct(), "month", "left_anti")
+    if not emptied.isEmpty():
+        raise ValueError("a stored month has no trips any more; run a full build")
+
+
 def _stored(spark: SparkSession, tables: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
     for name, df in tables.items():
         landing.replace_table(df, f"{out}/{name}")

@@ -29,13 +29,15 @@ def test_null_counts(spark):
 
 def test_unaccepted_values_pass_null(spark):
     df = spark.sql("select * from values (1), (5), (5), (null) as t(k)")
-    assert [tuple(r) for r in quality.unaccepted_values(df, "k", (1, 2)).collect()] == [("5", 2)]
+    assert [tuple(r) for r in quality.unaccepted_values(df, {"k": (1, 2)}).collect()] == [("k", "5", 2)]
 
 
 def test_orphans_ignore_null(spark):
-    child = spark.sql("select * from values (1), (9), (9), (null) as t(fk)")
+    child = spark.sql("select * from values (1, 2), (9, 2), (9, 2), (null, 1) as t(fk, other)")
     parent = spark.sql("select * from values (1), (2) as t(id)")
-    assert [tuple(r) for r in quality.orphans(child, "fk", parent, "id").collect()] == [(9, 2)]
+    found = quality.orphans(child, {"fk": (parent, "id"), "other": (parent.where("id = 1"), "id")})
+    assert sorted(tuple(r) for r in found.collect()) == [("fk", "9", 2), ("other", "2", 3)]
+    assert quality.shown(found, 1).count() == 1
 
 
 @pytest.mark.parametrize(

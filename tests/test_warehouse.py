@@ -45,6 +45,33 @@ def test_stored_reports_equal_those_from_raw_trips(spark, small_tables, built):
 
 
 
+def test_refresh_equals_a_full_build(spark, small_tables, tmp_path):
+    known = warehouse.Lookups.with_zones(spark, fixture.zones(spark))
+    raw = fixture.raw_trips(spark, small_tables)
+    arrived = raw.where("pickup_datetime < timestamp_ntz'1999-05-20 12:00:00'")
+    step, full = str(tmp_path / "step"), str(tmp_path / "full")
+    warehouse.build(spark, arrived, known, step, fixture.AS_OF)
+    report = warehouse.refresh(spark, raw, known, step, fixture.AS_OF, since="1999-05-01")
+    assert {r.status for r in report.collect()} == {"pass", "warn"}
+    warehouse.build(spark, raw, known, full, fixture.AS_OF)
+    for name in sorted(os.listdir(full)):
+        mine, theirs = (spark.read.parquet(f"{out}/{name}") for out in (step, full))
+        assert sorted(map(repr, mine.collect())) == sorted(map(repr, theirs.collect())), name
+
+
+def test_refresh_refuses_an_emptied_month(spark, raw, tmp_path):
+    known = warehouse.Lookups.with_zones(spark, fixture.zones(spark))
+    march = {"pickup_datetime": dt.datetime(2022, 3, 1, 12), "dropoff_datetime": dt.datetime(2022, 3, 1, 13)}
+    warehouse.build(spark, raw({}, march), known, str(tmp_path / "w"), fixture.AS_OF)
+    with pytest.raises(ValueError):
+        warehouse.refresh(spark, raw({}), known, str(tmp_path / "w"), fixture.AS_OF, since="2022-01-01")
+
+
+def test_views(spark, raw):
+    warehouse.register_views({"landed_trips": raw({}, {})})
+    assert spark.sql("select count(*) from landed_trips").first()[0] == 2
+
+
 def test_streamed_days_equal_the_batch_report(spark, small_tables, tmp_path):
     source, log, state = (str(tmp_path / n) for n in ("landing", "log", "state"))
     trips = fixture.raw_trips(spark, small_tables)
