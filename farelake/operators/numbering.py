@@ -30,9 +30,11 @@ def global_row_number(
     """
     columns = df.columns
     order = [*order_by, *(c for c in columns if c not in order_by)]
+    # The count is given so that adaptive execution leaves the partitions alone: it merges small ones by their
+    # compressed size, and copies compress so well that it would put a large group of them back together.
+    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tagged = df.withColumn("_origin", F.spark_partition_id())
-    count = [] if partitions is None else [partitions]
-    placed = tagged.repartitionByRange(*count, *order, "_origin").sortWithinPartitions(*order)
+    placed = tagged.repartitionByRange(count, *order, "_origin").sortWithinPartitions(*order)
     stored = materialize(
         placed.select(
             *columns,
