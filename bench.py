@@ -20,7 +20,7 @@ import pyspark  # noqa: E402
 
 from farelake.operators import clean, enrich, star  # noqa: E402
 from farelake.plans import catalog, fixture, warehouse  # noqa: E402
-from farelake.session import build_session  # noqa: E402
+from farelake.session import build_session, release_scratch  # noqa: E402
 from farelake.sources import landing, store  # noqa: E402
 
 HEADLINE = (
@@ -58,7 +58,11 @@ def median_of(make, runs: int) -> float:
 
 
 def stored_times(spark, sf_dir: str, runs: int) -> tuple[dict[str, float], dict[str, float]]:
-    out = tempfile.mkdtemp(prefix="farelake-bench-")
+    with tempfile.TemporaryDirectory(prefix="farelake-bench-") as out:
+        return _stored_times(spark, sf_dir, runs, out)
+
+
+def _stored_times(spark, sf_dir: str, runs: int, out: str) -> tuple[dict[str, float], dict[str, float]]:
     known = warehouse.Lookups.with_zones(spark, fixture.zones(spark))
     setup = {}
 
@@ -110,6 +114,7 @@ def main() -> None:
         ),
         flush=True,
     )
+    release_scratch(spark)
     spark.stop()
 
 

@@ -14,6 +14,19 @@ from farelake.session import materialize
 _POSITION_BITS = 33
 
 
+# A partition of fewer rows is not worth its task and its file.
+_FEWEST_ROWS = 10_000
+
+
+def _partition_count(df: DataFrame) -> int:
+    """The session's shuffle partitions, or fewer where they would be next to empty."""
+    spark = df.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if configured <= spark.sparkContext.defaultParallelism:
+        return configured
+    return max(1, min(configured, df.count() // _FEWEST_ROWS))
+
+
 def global_row_number(
     df: DataFrame, order_by: Sequence[str], name: str = "row_num", partitions: int | None = None, after: int = 0
 ) -> DataFrame:
@@ -32,7 +45,7 @@ def global_row_number(
     order = [*order_by, *(c for c in columns if c not in order_by)]
     # The count is given so that adaptive execution leaves the partitions alone: it merges small ones by their
     # compressed size, and copies compress so well that it would put a large group of them back together.
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or _partition_count(df)
     tagged = df.withColumn("_origin", F.spark_partition_id())
     placed = tagged.repartitionByRange(count, *order, "_origin").sortWithinPartitions(*order)
     stored = materialize(

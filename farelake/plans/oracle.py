@@ -17,6 +17,7 @@ from farelake.plans.settings import (
     SCAN_START,
     TOP_ZONES,
 )
+from farelake.schemas import RAW_TRIPS
 
 
 def _r(value: str, digits: int) -> str:
@@ -82,8 +83,11 @@ _CTES["raw"] = f"""
            h % 307 = 0 as _deleted
     from priced"""
 
-_CTES["numbered"] = """
-    select *, row_number() over (order by pickup_datetime, dropoff_datetime, pickup_location_id) as row_num
+_TIES = ", ".join(f"{c} nulls first" for c in RAW_TRIPS.names)
+
+_CTES["numbered"] = f"""
+    select *, row_number() over (order by pickup_datetime nulls first, dropoff_datetime nulls first,
+                                          pickup_location_id nulls first, {_TIES}) as row_num
     from raw where not _deleted"""
 
 _CLEAN_COLUMNS = """
@@ -470,7 +474,7 @@ def statements() -> dict[str, str]:
     finals = {
         "range_extract": f"select {source}, _synced, false as _deleted from raw"
         f" where pickup_datetime >= timestamp '{EXTRACT_START}' and pickup_datetime < timestamp '{EXTRACT_END}'",
-        "deterministic_sample": f"select {source} from raw order by md5({key_text}) limit {SAMPLE_ROWS}",
+        "deterministic_sample": f"select {source} from raw order by md5({key_text}), {_TIES} limit {SAMPLE_ROWS}",
         "load_summary": "select count(*) as total_rows, min(pickup_datetime) as min_pickup,"
         " max(pickup_datetime) as max_pickup, count(distinct vendor_id) as vendors,"
         f" {_sum('total_amount', 'total_revenue')} from raw",
