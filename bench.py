@@ -78,10 +78,7 @@ def _stored_times(spark, sf_dir: str, runs: int, out: str) -> tuple[dict[str, fl
 
     stored = store.read_fact(spark, f"{out}/fact_trips")
     made = warehouse.all_reports(stored, known, fixture.AS_OF)
-    return {
-        name: median_of(lambda name=name: warehouse.all_reports(stored, known, fixture.AS_OF)[name], runs)
-        for name in made
-    }, setup
+    return {name: median_of(lambda df=df: df, runs) for name, df in made.items()}, setup
 
 
 def main() -> None:

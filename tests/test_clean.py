@@ -14,7 +14,8 @@ SECOND = dt.timedelta(seconds=1)
 def kept(raw, column, values):
     """Which of the values survive cleaning, told apart by the pickup zone."""
     rows = raw(*({column: value, "pickup_location_id": i} for i, value in enumerate(values)))
-    return [values[r.pickup_location_id] for r in clean_trips(rows, keyed=False).orderBy("pickup_location_id").collect()]
+    kept_rows = clean_trips(rows, keyed=False).orderBy("pickup_location_id").collect()
+    return [values[r.pickup_location_id] for r in kept_rows]
 
 
 @pytest.mark.parametrize(
