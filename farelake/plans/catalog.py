@@ -25,6 +25,7 @@ from farelake.plans.settings import (
 )
 from farelake.session import materialize, scratch_path
 from farelake.sources import landing, lookups, store
+from farelake.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
 _NATURAL = ("pickup_at", "dropoff_at", "pickup_location_id")
@@ -235,6 +236,16 @@ def payment_share(spark, sf_dir):
     return reports.payment_share(_trips(spark, sf_dir), lookups.payment_types(spark))
 
 
+@_query
+def daily_revenue_stream(spark, sf_dir):
+    """The daily report computed by a stream over the landed trips, run until it has caught up."""
+    source, log, state = (scratch_path(spark, name) for name in ("landing", "days", "state"))
+    landing.replace_table(fixture.raw_trips(spark, sf_dir), source)
+    days = daily.running_days(daily.stream_landing(spark, source), lateness="1 day")
+    daily.keep_current(days, log, state).awaitTermination()
+    return daily.current_report(spark, log, days)
+
+
 # --- data checks -----------------------------------------------------------------------------------------
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 
+from farelake.functions.keys import NULL_PART
 from farelake.plans import fixture
 from farelake.plans.settings import (
     EXTRACT_END,
@@ -147,6 +148,7 @@ _ENRICHED = """
 _CTES["enriched"] = _ENRICHED + "trips"
 _CTES["enriched_keyed"] = _ENRICHED + "clean"
 
+# The code lookups, stated again so that this side is independent.
 _CTES["vendors"] = """
     select * from (values (cast(1 as bigint), 'Creative Mobile Technologies'), (2, 'VeriFone Inc'))
         as t(vendor_id, vendor_name)"""
@@ -483,8 +485,8 @@ def statements() -> dict[str, str]:
         " count(*) as row_count from raw group by 1, 2",
         "global_row_number": "select row_num, pickup_datetime, dropoff_datetime, pickup_location_id from numbered",
         "surrogate_key": "select row_num, md5(cast(row_num as varchar)) as trip_id,"
-        " md5(coalesce(rate_code, '_dbt_utils_surrogate_key_null_') || '-' ||"
-        " coalesce(store_and_fwd_flag, '_dbt_utils_surrogate_key_null_')) as code_key from numbered",
+        f" md5(coalesce(rate_code, '{NULL_PART}') || '-' || coalesce(store_and_fwd_flag, '{NULL_PART}')) as code_key"
+        " from numbered",
         "calendar_parts": f"select {_NATURAL}, pickup_date, pickup_year, pickup_month, pickup_day, pickup_hour,"
         " pickup_day_of_week, pickup_day_name, pickup_week, is_weekend from enriched",
         "bucketize": f"select {_NATURAL}, time_of_day_bucket, trip_distance_category, trip_duration_category,"
@@ -511,6 +513,7 @@ def statements() -> dict[str, str]:
         "zone_performance": "select * from zone_performance",
         "trip_patterns": "select * from trip_patterns",
         "daily_revenue": "select * from daily_revenue",
+        "daily_revenue_stream": "select * from daily_revenue",
         "payment_tipping": "select * from payment_tipping",
         "service_analysis": "select * from service_analysis",
         "dq_unique": "select 'trip_id' as key_name, trip_id as key_value, count(*) as row_count from fact"

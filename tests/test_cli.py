@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from farelake.__main__ import main
+from farelake.__main__ import main, outcome
 from farelake.plans import fixture
 
 
@@ -39,6 +39,14 @@ def test_ingest_build_refresh(spark, inputs, capfd):
     assert printed.count("pass  unique") == 28 and "warn  speed" in printed
 
 
+def test_a_failed_check_sets_the_exit_code(spark, capfd):
+    columns = "check_name string, table_name string, column_name string, severity string, violations long, status string"
+    rows = [("unique", "t", "k", "error", 0, "pass"), ("speed", "t", "", "warn", 3, "warn")]
+    assert outcome(spark.createDataFrame(rows, columns)) == 0
+    assert outcome(spark.createDataFrame([*rows, ("not_null", "t", "k", "error", 1, "fail")], columns)) == 1
+    assert capfd.readouterr().out.splitlines()[-3].startswith("fail  not_null")
+
+
 def test_scratch_is_released(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farelake.functions import buckets, calendar
-from farelake.functions.keys import surrogate_key
+from farelake.functions.keys import NULL_PART, surrogate_key
 from farelake.functions.numeric import percent, ratio, round_to
 from farelake.operators.clean import clean_trips
 from farelake.operators.enrich import enrich_trips
@@ -145,7 +145,7 @@ def test_surrogate_key(spark):
         surrogate_key(F.col("n")), surrogate_key(F.col("n"), F.col("s"))
     ).first()
     assert row[0] == hashlib.md5(b"7").hexdigest()
-    assert row[1] == hashlib.md5(b"7-_dbt_utils_surrogate_key_null_").hexdigest()
+    assert row[1] == hashlib.md5(f"7-{NULL_PART}".encode()).hexdigest()
 
 
 def test_labels_need_a_rule_each():

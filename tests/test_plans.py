@@ -72,3 +72,24 @@ def test_a_large_lookup_is_not_broadcast(spark, landed):
     vendors = spark.range(5_000_000).selectExpr("id as vendor_id", "cast(id as string) as vendor_name")
     fact = star.build_fact(trips, vendors, lookups.payment_types(spark), lookups.rate_codes(spark), fixture.AS_OF)
     assert "SortMergeJoin" in plan_of(fact)
+
+
+def method_sizes(spark, df):
+    """Bytecode sizes of the largest generated methods, one per stage."""
+    debug = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.execution.debug.package$")
+    stages = debug.getField("MODULE$").get(None).codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+
+
+def test_generated_methods_stay_compilable(spark, landed):
+    """The JVM does not compile methods beyond 8000 bytes, and an interpreted one is many times slower."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # shows the whole plan up front
+    try:
+        known = warehouse.Lookups.with_zones(spark, fixture.zones(spark))
+        trips = enrich.enrich_trips(clean.clean_trips(landed, keyed=False))
+        keyed = enrich.enrich_trips(clean.clean_trips(landed))
+        fact = star.build_fact(keyed, known.vendors, known.payment_types, known.rate_codes, fixture.AS_OF)
+        for df in (trips, keyed, fact, *warehouse.all_reports(trips, known, fixture.AS_OF).values()):
+            assert max(method_sizes(spark, df)) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
