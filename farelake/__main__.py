@@ -44,6 +44,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     for command in (build, refresh):
         command.add_argument("--zones", required=True, help="zone lookup CSV")
         command.add_argument("--out", required=True)
+        command.add_argument("--partitions", type=int, help="parts to number the trips in")
     for command in (ingest, build, refresh):
         command.add_argument("--landing", required=True)
         command.add_argument("--as-of", default=now, help="load time (default: now, UTC)")
@@ -64,9 +65,9 @@ def build(spark: SparkSession, args: argparse.Namespace) -> int:
     zones = lookups.read_csv(spark, args.zones, schemas.ZONES)
     known = warehouse.Lookups.with_zones(spark, zones)
     if args.command == "refresh":
-        report = warehouse.refresh(spark, raw, known, args.out, args.as_of, args.since)
+        report = warehouse.refresh(spark, raw, known, args.out, args.as_of, args.since, args.partitions)
     else:
-        report = warehouse.build(spark, raw, known, args.out, args.as_of)
+        report = warehouse.build(spark, raw, known, args.out, args.as_of, args.partitions)
     quality.freshness(raw, args.as_of).show(truncate=False)
     return outcome(report)
 

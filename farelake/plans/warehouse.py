@@ -70,30 +70,43 @@ def check_tables(
     }
 
 
-def build(spark: SparkSession, raw: DataFrame, known: Lookups, out: str, as_of: str) -> DataFrame:
+def build(
+    spark: SparkSession, raw: DataFrame, known: Lookups, out: str, as_of: str, partitions: int | None = None
+) -> DataFrame:
     """Build every table below ``out`` and return the check report over the stored tables.
 
-    The trips are numbered once; the fact is stored once and read back, column-pruned, by each report.
+    The trips are numbered once, in ``partitions`` sorted parts (default: the session's shuffle partitions);
+    the fact is stored once and read back, column-pruned, by each report.
     """
-    enriched = enrich.enrich_trips(clean.clean_trips(raw))
+    enriched = enrich.enrich_trips(clean.clean_trips(raw, partitions=partitions))
     store.write_fact(_fact(enriched, known, as_of), _fact_path(out))
     dims, made = _derived(spark, known, out, as_of)
     stored = store.read_fact(spark, _fact_path(out))
     return run_checks(spark, check_tables(enriched, stored, known, dims, made), all_checks())
 
 
-def refresh(spark: SparkSession, raw: DataFrame, known: Lookups, out: str, as_of: str, since: str) -> DataFrame:
+def refresh(
+    spark: SparkSession,
+    raw: DataFrame,
+    known: Lookups,
+    out: str,
+    as_of: str,
+    since: str,
+    partitions: int | None = None,
+) -> DataFrame:
     """Bring the tables up to date after the landing table changed from the first of month ``since`` on.
 
     Only the months from there on are sorted, numbered and written again. The numbers go on after the live rows
     before, so every id is the one a full build would give. Returns the check report for the changed trips
     and all tables derived from the stored fact.
     """
+    if not since.endswith("-01"):
+        raise ValueError("a refresh replaces whole months: give the first day of one")
     boundary = instant(f"{since} 00:00:00")
     at = F.col("pickup_datetime")
     # Rows without a pickup time sort first; they take up numbers before the boundary.
     earlier = clean.live_rows(raw).where(at.isNull() | (at < boundary)).count()
-    enriched = enrich.enrich_trips(clean.clean_trips(raw.where(at >= boundary), after=earlier))
+    enriched = enrich.enrich_trips(clean.clean_trips(raw.where(at >= boundary), partitions=partitions, after=earlier))
     fact = _fact(enriched, known, as_of)
     _refuse_emptied_months(spark, fact, out, since)
     store.replace_months(fact, _fact_path(out))

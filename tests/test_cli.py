@@ -33,7 +33,7 @@ def test_ingest_build_refresh(spark, inputs, capfd):
     before = spark.read.parquet(str(inputs / "out" / "fact_trips")).count()
 
     assert run(inputs, "ingest", *source, "--end", "2001-01-01") == 0
-    assert run(inputs, "refresh", *tables, "--since", "2000-01-01") == 0
+    assert run(inputs, "refresh", *tables, "--since", "2000-01-01", "--partitions", "2") == 0
     assert spark.read.parquet(str(inputs / "out" / "fact_trips")).count() > before > 0
     printed = capfd.readouterr().out
     assert printed.count("pass  unique") == 28 and "warn  speed" in printed

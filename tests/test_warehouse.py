@@ -67,6 +67,12 @@ def test_refresh_refuses_an_emptied_month(spark, raw, tmp_path):
         warehouse.refresh(spark, raw({}), known, str(tmp_path / "w"), fixture.AS_OF, since="2022-01-01")
 
 
+def test_refresh_takes_whole_months(spark, raw, tmp_path):
+    known = warehouse.Lookups.with_zones(spark, fixture.zones(spark))
+    with pytest.raises(ValueError):
+        warehouse.refresh(spark, raw({}), known, str(tmp_path), fixture.AS_OF, since="2022-01-02")
+
+
 def test_views(spark, raw):
     warehouse.register_views({"landed_trips": raw({}, {})})
     assert spark.sql("select count(*) from landed_trips").first()[0] == 2
