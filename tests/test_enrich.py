@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from farelake.functions import buckets, calendar
 from farelake.functions.keys import NULL_PART, surrogate_key
-from farelake.functions.numeric import percent, ratio, round_to
+from farelake.functions.numeric import percent, ratio, round_to, total
 from farelake.operators.clean import clean_trips
 from farelake.operators.enrich import enrich_trips
 
@@ -131,6 +133,30 @@ def test_rounding(spark):
     assert out[5] != out[5] and out[6] == 1e300 and out[7] is None
 
 
+def test_rounding_against_decimals(spark):
+    rng = random.Random(7)
+    values = [rng.uniform(-1e6, 1e6) for _ in range(2000)] + [k / 200 for k in range(-400, 400)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    six, two = Decimal("0.000001"), Decimal("0.01")
+    for value, rounded in df.select("x", round_to(F.col("x"), 2)).collect():
+        exact = Decimal(repr(value)).quantize(six, ROUND_HALF_UP).quantize(two, ROUND_HALF_UP)
+        assert rounded == float(exact)
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    df = spark.range(20_000).selectExpr("(id * 7919 % 100003) / 100D as x")
+    sums = {df.repartition(n, (F.col("x") * n).cast("int")).agg(total("x")).first()[0] for n in (1, 2, 5, 9, 16)}
+    assert len(sums) == 1
+
+
+def test_elapsed_time_is_truncated_toward_zero(spark):
+    df = spark.createDataFrame([(i, ms) for i, ms in enumerate([400, -400, 59_999, 60_000, -90_400])], "i int, ms int")
+    start = F.lit("2022-03-13 01:59:30").cast("timestamp_ntz")
+    seconds = calendar.elapsed_seconds(start, start + F.make_dt_interval(secs=F.col("ms") / 1000))
+    out = df.orderBy("i").select(seconds, calendar.whole_minutes(seconds)).collect()
+    assert [tuple(r) for r in out] == [(0, 0), (0, 0), (59, 0), (60, 1), (-90, -1)]
+
+
 def test_ratio_and_percent(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, 3.0), (None, 3.0)], "a double, b double")
     out = df.select(ratio(F.col("a"), F.col("b")), percent(F.col("a"), F.col("b"))).collect()
