@@ -25,7 +25,6 @@ from farelake.sources import landing, store  # noqa: E402
 
 HEADLINE = (
     "load_summary",
-    "clean_trips",
     "global_row_number",
     "fact_wide",
     "partitioned_fact_scan",

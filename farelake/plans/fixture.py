@@ -17,7 +17,11 @@ AS_OF = "2001-12-01 00:00:00"
 
 
 def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips as a source would deliver them, plus ``_deleted``."""
+    """Trips as a source would deliver them, plus ``_deleted``.
+
+    The join has no hint: Spark broadcasts the orders while they are small and shuffles them beyond that, where
+    adaptive execution splits an order that holds a large share of the lines.
+    """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority")
     seeded = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
