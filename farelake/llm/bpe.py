@@ -2,8 +2,8 @@
 
 A pair of bytes that is next to each other inside no vocabulary token can never be merged across, so a cut between
 such bytes is certain. Texts are split by the pre-tokenizer's pattern, the pieces are cut at the certain places, the
-fragments are encoded on their own and the ids put one after the other. Each distinct piece is encoded once per task
-and remembered as packed ids.
+fragments are encoded on their own and the ids put one after the other. What follows a space up to the next one is
+encoded once per worker and remembered as packed ids.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
+_SPACES = regex.compile(r" \s* |\s $")
 _REMEMBERED = 400_000  # pieces that a worker remembers, about 200 bytes each
 _SHORT = 32  # bytes; up to here a list is searched faster than a heap is kept
 _NONE = 1 << 30
@@ -35,6 +36,56 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
 
 
+class Merges:
+    """Merges of a vocabulary, as (left id, right id) -> (rank, merged id)."""
+
+    def __init__(self, merges: dict[tuple[int, int], tuple[int, int]]):
+        self.table = {a << 20 | b: m for (a, b), m in merges.items()}
+
+    def apply(self, ids: list[int]) -> list[int]:
+        """Apply the merges in order of rank, leftmost first."""
+        return self._apply_short(ids) if len(ids) <= _SHORT else self._apply_long(ids)
+
+    def _apply_short(self, ids: list[int]) -> list[int]:
+        look, none = self.table.get, (_NONE, 0)
+        found = [look(a << 20 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        while found:
+            best = min(found)
+            if best[0] == _NONE:
+                break
+            i = found.index(best)
+            ids[i : i + 2] = [merged] = [best[1]]
+            del found[i]
+            if i < len(found):
+                found[i] = look(merged << 20 | ids[i + 1], none)
+            if i:
+                found[i - 1] = look(ids[i - 1] << 20 | merged, none)
+        return ids
+
+    def _apply_long(self, given: list[int]) -> list[int]:
+        """With a heap, in n log n steps."""
+        look, none = self.table.get, (_NONE, 0)
+        ids: list[int | None] = list(given)
+        n = len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(m[0], i, m[1]) for i in range(n - 1) if (m := look(ids[i] << 20 | ids[i + 1], none)) is not none]
+        heapq.heapify(heap)
+        while heap:
+            rank, i, merged = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] is None or j >= n or look(ids[i] << 20 | ids[j], none)[0] != rank:
+                continue  # one of the two has been merged meanwhile
+            ids[i], ids[j] = merged, None
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if (m := look(merged << 20 | ids[after[i]], none)) is not none:
+                    heapq.heappush(heap, (m[0], i, m[1]))
+            if before[i] >= 0 and (m := look(ids[before[i]] << 20 | merged, none)) is not none:
+                heapq.heappush(heap, (m[0], before[i], m[1]))
+        return [i for i in ids if i is not None]
+
+
 class ByteBPE:
     """Encodes and decodes as the tokenizer file says."""
 
@@ -48,12 +99,12 @@ class ByteBPE:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens.update({i: t.encode() for t, i in self.special.items()})
         self.byte_id = [ids[bytes([b])] for b in range(256)]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, merge in enumerate(model["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             a, b = bytes(byte_of[c] for c in left), bytes(byte_of[c] for c in right)
-            self.merges.setdefault((ids[a], ids[b]), (rank, ids[a + b]))
-        self._short = {a << 20 | b: m for (a, b), m in self.merges.items()}
+            merges.setdefault((ids[a], ids[b]), (rank, ids[a + b]))
+        self._merges = Merges(merges)
         together = {t[i : i + 2] for t in ids for i in range(len(t) - 1)}
         self._inside = np.zeros(1 << 16, bool)
         self._inside[[t[0] << 8 | t[1] for t in together]] = True
@@ -73,62 +124,26 @@ class ByteBPE:
         cuts = (np.flatnonzero(~self._inside[codes[:-1] << 8 | codes[1:]]) + 1).tolist()
         return [piece[a:b] for a, b in zip([0, *cuts], [*cuts, len(piece)], strict=True)]
 
-    def merge(self, fragment: bytes) -> list[int]:
-        """Apply the merges in order of rank, leftmost first."""
-        return self._merge_short(fragment) if len(fragment) <= _SHORT else self._merge_long(fragment)
-
-    def _merge_short(self, fragment: bytes) -> list[int]:
-        look, none = self._short.get, (_NONE, 0)
-        ids = [self.byte_id[b] for b in fragment]
-        found = [look(a << 20 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
-        while found:
-            best = min(found)
-            if best[0] == _NONE:
-                break
-            i = found.index(best)
-            ids[i : i + 2] = [merged] = [best[1]]
-            del found[i]
-            if i < len(found):
-                found[i] = look(merged << 20 | ids[i + 1], none)
-            if i:
-                found[i - 1] = look(ids[i - 1] << 20 | merged, none)
-        return ids
-
-    def _merge_long(self, fragment: bytes) -> list[int]:
-        """With a heap, in n log n steps."""
-        ids: list[int | None] = [self.byte_id[b] for b in fragment]
-        n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(m[0], i, m[1]) for i in range(n - 1) if (m := self.merges.get((ids[i], ids[i + 1])))]
-        heapq.heapify(heap)
-        while heap:
-            rank, i, merged = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] is None or j >= n or self.merges.get((ids[i], ids[j]), (None,))[0] != rank:
-                continue  # one of the two has been merged meanwhile
-            ids[i], ids[j] = merged, None
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if m := self.merges.get((merged, ids[after[i]])):
-                    heapq.heappush(heap, (m[0], i, m[1]))
-            if before[i] >= 0 and (m := self.merges.get((ids[before[i]], merged))):
-                heapq.heappush(heap, (m[0], before[i], m[1]))
-        return [i for i in ids if i is not None]
-
-    def encode_piece(self, piece: str) -> bytes:
-        ids = [i for f in self.fragments(piece.encode()) for i in self.merge(f)]
+    def _encode_piece(self, piece: str) -> bytes:
+        ids = [i for f in self.fragments(piece.encode()) for i in self._merges.apply([self.byte_id[b] for b in f])]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode_packed(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if self._special is None or not self._special.search(text):
-            return b"".join(map(self._packed.__getitem__, _PATTERN.findall(text)))
+            return self._encode_plain(text)
         parts = self._special.split(text)
-        return b"".join(
-            np.uint32(self.special[p]).tobytes() if p in self.special else b"".join(map(self._packed.__getitem__, _PATTERN.findall(p)))
-            for p in parts
-        )
+        return b"".join(np.uint32(self.special[p]).tobytes() if p in self.special else self._encode_plain(p) for p in parts)
+
+    def _encode_plain(self, text: str) -> bytes:
+        # The pattern starts a piece at every space but in runs of white space that hold a second one, or end the text.
+        if _SPACES.search(text):
+            return self._encode_spaced(text)
+        first, *others = text.split(" ")
+        return self._encode_spaced(first) + b"".join(map(self._packed.__getitem__, others))
+
+    def _encode_spaced(self, text: str) -> bytes:
+        return b"".join(map(self._encode_piece, _PATTERN.findall(text)))
 
     def decode_packed(self, packed: bytes) -> str:
         ids = np.frombuffer(packed, "<u4").tolist()
@@ -136,14 +151,14 @@ class ByteBPE:
 
 
 class _Pieces(dict):
-    """Packed ids by piece; starts afresh when it is full."""
+    """Packed ids by what follows a space up to the next one; starts afresh when it is full."""
 
     def __init__(self, coder: ByteBPE):
         super().__init__()
         self.coder = coder
 
     def __missing__(self, piece: str) -> bytes:
-        packed = self.coder.encode_piece(piece)
+        packed = self.coder._encode_spaced(" " + piece)
         if len(piece) <= _LONGEST_REMEMBERED:
             if len(self) >= _REMEMBERED:
                 self.clear()
