@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from farelake.llm import bpe, language, packing, sharding
+from farelake.llm import bpe, language, packing, quality, sharding
 
-_QUERIES = [bpe.op1_bpe, sharding.op5_sharding, language.op9_language, packing.op10_packing]
+_QUERIES = [bpe.op1_bpe, quality.op2_quality, sharding.op5_sharding, language.op9_language, packing.op10_packing]
 
 
 def queries() -> dict:
