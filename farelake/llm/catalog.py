@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from farelake.llm import bpe, language, packing, quality, sharding
+from farelake.llm import bpe, language, packing, phrases, quality, sharding, topk
 
-_QUERIES = [bpe.op1_bpe, quality.op2_quality, sharding.op5_sharding, language.op9_language, packing.op10_packing]
+_QUERIES = [bpe.op1_bpe, quality.op2_quality, phrases.op4_fingerprints, sharding.op5_sharding, topk.op6_topk, language.op9_language, packing.op10_packing]
 
 
 def queries() -> dict:
@@ -12,4 +12,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_topk": topk.OP6_SQL}

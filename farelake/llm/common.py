@@ -26,7 +26,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's estimate of a table's size; for a Parquet scan, the size of its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def bucket_count(docs: DataFrame, bytes_per_bucket: int = _BUCKET_BYTES, least: int = _LEAST_BUCKETS) -> int:
