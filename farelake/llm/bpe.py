@@ -11,7 +11,7 @@ from __future__ import annotations
 import heapq
 import json
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import sha256
 
@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
 _SPACES = regex.compile(r" \s* |\s $")
-_REMEMBERED = 400_000  # pieces that a worker remembers, about 200 bytes each
+_REMEMBERED = 500_000  # parts, and as many pieces, that a worker remembers; about 200 bytes each
 _SHORT = 32  # bytes; up to here a list is searched faster than a heap is kept
-_NONE = 1 << 30
+_NONE = 1 << 60
 _LONGEST_REMEMBERED = 64  # characters
 
 
@@ -40,52 +40,68 @@ class Merges:
     """Merges of a vocabulary, as (left id, right id) -> (rank, merged id)."""
 
     def __init__(self, merges: dict[tuple[int, int], tuple[int, int]]):
-        self.table = {a << 20 | b: m for (a, b), m in merges.items()}
+        self.table = {a << 20 | b: rank << 20 | merged for (a, b), (rank, merged) in merges.items()}
 
     def apply(self, ids: list[int]) -> list[int]:
         """Apply the merges in order of rank, leftmost first."""
         return self._apply_short(ids) if len(ids) <= _SHORT else self._apply_long(ids)
 
     def _apply_short(self, ids: list[int]) -> list[int]:
-        look, none = self.table.get, (_NONE, 0)
-        found = [look(a << 20 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
-        while found:
-            best = min(found)
-            if best[0] == _NONE:
-                break
+        look = self.table.get
+        found = [look(a << 20 | b, _NONE) for a, b in zip(ids, ids[1:])]  # noqa: B905
+        while found and (best := min(found)) != _NONE:
             i = found.index(best)
-            ids[i : i + 2] = [merged] = [best[1]]
-            del found[i]
+            ids[i] = merged = best & 0xFFFFF
+            del ids[i + 1], found[i]
             if i < len(found):
-                found[i] = look(merged << 20 | ids[i + 1], none)
+                found[i] = look(merged << 20 | ids[i + 1], _NONE)
             if i:
-                found[i - 1] = look(ids[i - 1] << 20 | merged, none)
+                found[i - 1] = look(ids[i - 1] << 20 | merged, _NONE)
         return ids
 
     def _apply_long(self, given: list[int]) -> list[int]:
         """With a heap, in n log n steps."""
-        look, none = self.table.get, (_NONE, 0)
+        look = self.table.get
         ids: list[int | None] = list(given)
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(m[0], i, m[1]) for i in range(n - 1) if (m := look(ids[i] << 20 | ids[i + 1], none)) is not none]
+        heap = [(m, i) for i in range(n - 1) if (m := look(ids[i] << 20 | ids[i + 1], _NONE)) != _NONE]
         heapq.heapify(heap)
         while heap:
-            rank, i, merged = heapq.heappop(heap)
+            best, i = heapq.heappop(heap)
             j = after[i]
-            if ids[i] is None or j >= n or look(ids[i] << 20 | ids[j], none)[0] != rank:
+            if ids[i] is None or j >= n or look(ids[i] << 20 | ids[j], _NONE) != best:
                 continue  # one of the two has been merged meanwhile
-            ids[i], ids[j] = merged, None
+            ids[i], ids[j] = best & 0xFFFFF, None
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
-                if (m := look(merged << 20 | ids[after[i]], none)) is not none:
-                    heapq.heappush(heap, (m[0], i, m[1]))
-            if before[i] >= 0 and (m := look(ids[before[i]] << 20 | merged, none)) is not none:
-                heapq.heappush(heap, (m[0], before[i], m[1]))
+                if (m := look(ids[i] << 20 | ids[after[i]], _NONE)) != _NONE:
+                    heapq.heappush(heap, (m, i))
+            if before[i] >= 0 and (m := look(ids[before[i]] << 20 | ids[i], _NONE)) != _NONE:
+                heapq.heappush(heap, (m, before[i]))
         return [i for i in ids if i is not None]
 
 
+class Remembered(dict):
+    """What a function gives for a short text, remembered. When it is full, the older half goes."""
+
+    def __init__(self, function: Callable[[str], bytes], size: int):
+        super().__init__()
+        self.function, self.half, self.older = function, size // 2, {}
+
+    def __missing__(self, text: str) -> bytes:
+        value = self.older.get(text)
+        if value is None:
+            value = self.function(text)
+        if len(text) <= _LONGEST_REMEMBERED:
+            if len(self) >= self.half:
+                self.older = dict(self)
+                self.clear()
+            self[text] = value
+        return value
+
+
 class ByteBPE:
     """Encodes and decodes as the tokenizer file says."""
 
@@ -110,7 +126,8 @@ class ByteBPE:
         self._inside[[t[0] << 8 | t[1] for t in together]] = True
         self._together = together
         self._special = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")") if self.special else None
-        self._packed = _Pieces(self)
+        self._pieces = Remembered(self._encode_piece, _REMEMBERED)
+        self._packed = Remembered(lambda part: self._encode_spaced(" " + part), _REMEMBERED)
         self._decoded = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
 
     def fragments(self, piece: bytes) -> list[bytes]:
@@ -143,29 +160,13 @@ class ByteBPE:
         return self._encode_spaced(first) + b"".join(map(self._packed.__getitem__, others))
 
     def _encode_spaced(self, text: str) -> bytes:
-        return b"".join(map(self._encode_piece, _PATTERN.findall(text)))
+        return b"".join(map(self._pieces.__getitem__, _PATTERN.findall(text)))
 
     def decode_packed(self, packed: bytes) -> str:
         ids = np.frombuffer(packed, "<u4").tolist()
         return b"".join(map(self._decoded.__getitem__, ids)).decode("utf-8", "replace")
 
 
-class _Pieces(dict):
-    """Packed ids by what follows a space up to the next one; starts afresh when it is full."""
-
-    def __init__(self, coder: ByteBPE):
-        super().__init__()
-        self.coder = coder
-
-    def __missing__(self, piece: str) -> bytes:
-        packed = self.coder._encode_spaced(" " + piece)
-        if len(piece) <= _LONGEST_REMEMBERED:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[piece] = packed
-        return packed
-
-
 @lru_cache(maxsize=2)
 def load(path: str) -> ByteBPE:
     return ByteBPE(path)
