@@ -27,16 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from farelake.llm.bpe import Merges, byte_characters
+from farelake.llm.bpe import Merges, Remembered, byte_characters
 from farelake.operators.numbering import global_row_number
 from farelake.session import materialize
 
-_REMEMBERED = 400_000  # words that a worker remembers, about 200 bytes each
-_LONGEST_REMEMBERED = 64  # characters
+_REMEMBERED = 500_000  # words, and as many parts between white space, that a worker remembers; about 200 bytes each
 
 
-class WordIds(dict):
-    """Packed ids by what stands between white space; starts afresh when it is full.
+class WordIds:
+    """Packed ids of texts.
 
     Texts of plain Latin characters are lowered and split here, and each distinct part is merged once per worker; all
     other texts go to the tokenizers library whole. Both ways give the same ids (tests/llm).
@@ -48,7 +47,6 @@ class WordIds(dict):
     _OTHER = regex.compile("[^\x00-\x1b\x20-\xff]|<\\|")
 
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -62,25 +60,22 @@ class WordIds(dict):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             merges.setdefault((vocabulary[left], vocabulary[right]), (rank, vocabulary[left + right]))
         self._merges = Merges(merges)
+        self._words = Remembered(self._encode_word, _REMEMBERED)
+        self._parts = Remembered(self._encode_part, _REMEMBERED)
 
     def _encode_word(self, word: str) -> bytes:
         *inner, last = word.encode()
         ids = self._merges.apply([*map(self._inner.__getitem__, inner), self._last[last]])
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def __missing__(self, word: str) -> bytes:
-        packed = b"".join(map(self._encode_word, self._WORD.findall(word)))
-        if len(word) <= _LONGEST_REMEMBERED:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[word] = packed
-        return packed
+    def _encode_part(self, part: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, self._WORD.findall(part)))
 
     def packed(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if self._OTHER.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        return b"".join(map(self._parts.__getitem__, text.lower().split()))
 
 
 @lru_cache(maxsize=2)
