@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from farelake.llm import bpe, language, packing, phrases, quality, sharding, topk
+from farelake.llm import bpe, language, packing, phrases, quality, sharding, substrings, topk
 
-_QUERIES = [bpe.op1_bpe, quality.op2_quality, phrases.op4_fingerprints, sharding.op5_sharding, topk.op6_topk, language.op9_language, packing.op10_packing]
+_QUERIES = [bpe.op1_bpe, quality.op2_quality, phrases.op4_fingerprints, sharding.op5_sharding, topk.op6_topk, substrings.op7_substrings, language.op9_language, packing.op10_packing]
 
 
 def queries() -> dict:
