@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from farelake.llm import bpe, language, packing, phrases, quality, sharding, substrings, topk
+from farelake.llm import bpe, jaccard, language, packing, phrases, quality, scoring, sharding, substrings, topk
 
-_QUERIES = [bpe.op1_bpe, quality.op2_quality, phrases.op4_fingerprints, sharding.op5_sharding, topk.op6_topk, substrings.op7_substrings, language.op9_language, packing.op10_packing]
+_QUERIES = [
+    bpe.op1_bpe,
+    quality.op2_quality,
+    scoring.op3_lm_scoring,
+    phrases.op4_fingerprints,
+    sharding.op5_sharding,
+    topk.op6_topk,
+    substrings.op7_substrings,
+    jaccard.op8_jaccard,
+    language.op9_language,
+    packing.op10_packing,
+]
 
 
 def queries() -> dict:
@@ -12,4 +23,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk": topk.OP6_SQL}
+    return {"op3_lm_scoring": scoring.OP3_SQL, "op6_topk": topk.OP6_SQL}
