@@ -31,7 +31,9 @@ from farelake.llm.bpe import Merges, Remembered, byte_characters
 from farelake.operators.numbering import global_row_number
 from farelake.session import materialize
 
-_REMEMBERED = 500_000  # words, and as many parts between white space, that a worker remembers; about 200 bytes each
+#: What a worker remembers, at about 200 bytes each.
+_REMEMBERED_WORDS = 1_000_000
+_REMEMBERED_PARTS = 400_000
 
 
 class WordIds:
@@ -43,8 +45,8 @@ class WordIds:
 
     #: What the tokenizer's own pre-tokenizer keeps (a fixed pattern of the vocabulary file).
     _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    #: Beyond Latin-1, white space to Python only, or perhaps a special token.
-    _OTHER = regex.compile("[^\x00-\x1b\x20-\xff]|<\\|")
+    #: White space to Python only, or perhaps a special token.
+    _APART = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -60,8 +62,8 @@ class WordIds:
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             merges.setdefault((vocabulary[left], vocabulary[right]), (rank, vocabulary[left + right]))
         self._merges = Merges(merges)
-        self._words = Remembered(self._encode_word, _REMEMBERED)
-        self._parts = Remembered(self._encode_part, _REMEMBERED)
+        self._words = Remembered(self._encode_word, _REMEMBERED_WORDS)
+        self._parts = Remembered(self._encode_part, _REMEMBERED_PARTS)
 
     def _encode_word(self, word: str) -> bytes:
         *inner, last = word.encode()
@@ -71,9 +73,16 @@ class WordIds:
     def _encode_part(self, part: str) -> bytes:
         return b"".join(map(self._words.__getitem__, self._WORD.findall(part)))
 
+    def _plain(self, text: str) -> bool:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return not any(x in text for x in self._APART)
+
     def packed(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        if self._OTHER.search(text):
+        if not self._plain(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self._parts.__getitem__, text.lower().split()))
 
