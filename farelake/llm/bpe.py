@@ -22,7 +22,6 @@ import regex
 from pyspark.sql import DataFrame
 
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
-_SPACES = regex.compile(r" \s* |\s $")
 _REMEMBERED = 500_000  # parts, and as many pieces, that a worker remembers; about 200 bytes each
 _SHORT = 32  # bytes; up to here a list is searched faster than a heap is kept
 _NONE = 1 << 60
@@ -86,7 +85,7 @@ class Merges:
 class Remembered(dict):
     """What a function gives for a short text, remembered. When it is full, the older half goes."""
 
-    def __init__(self, function: Callable[[str], bytes], size: int):
+    def __init__(self, function: Callable[[str], bytes | None], size: int):
         super().__init__()
         self.function, self.half, self.older = function, size // 2, {}
 
@@ -127,7 +126,7 @@ class ByteBPE:
         self._together = together
         self._special = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")") if self.special else None
         self._pieces = Remembered(self._encode_piece, _REMEMBERED)
-        self._packed = Remembered(lambda part: self._encode_spaced(" " + part), _REMEMBERED)
+        self._packed = Remembered(self._encode_part, _REMEMBERED)
         self._decoded = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
 
     def fragments(self, piece: bytes) -> list[bytes]:
@@ -147,17 +146,21 @@ class ByteBPE:
 
     def encode_packed(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        if self._special is None or not self._special.search(text):
+        if not any(t in text for t in self.special):
             return self._encode_plain(text)
         parts = self._special.split(text)
         return b"".join(np.uint32(self.special[p]).tobytes() if p in self.special else self._encode_plain(p) for p in parts)
 
     def _encode_plain(self, text: str) -> bytes:
         # The pattern starts a piece at every space but in runs of white space that hold a second one, or end the text.
-        if _SPACES.search(text):
-            return self._encode_spaced(text)
         first, *others = text.split(" ")
-        return self._encode_spaced(first) + b"".join(map(self._packed.__getitem__, others))
+        try:
+            return self._encode_spaced(first) + b"".join(map(self._packed.__getitem__, others))
+        except TypeError:  # a part that starts with white space, or is empty, has no ids of its own
+            return self._encode_spaced(text)
+
+    def _encode_part(self, part: str) -> bytes | None:
+        return None if not part or part[0].isspace() else self._encode_spaced(" " + part)
 
     def _encode_spaced(self, text: str) -> bytes:
         return b"".join(map(self._pieces.__getitem__, _PATTERN.findall(text)))
