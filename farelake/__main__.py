@@ -36,7 +36,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     ingest.add_argument("--source", required=True)
     ingest.add_argument("--start", required=True)
     ingest.add_argument("--end", required=True)
-    ingest.add_argument("--limit", type=int, help="keep this many rows, chosen by a hash of their key")
+    ingest.add_argument("--share", type=float, help="keep this share of the rows, chosen by a hash of their key")
 
     build = commands.add_parser("build", help="build all tables and check them")
     refresh = commands.add_parser("refresh", help="rebuild the fact from a month on, then the reports")
@@ -53,8 +53,8 @@ def parse(arguments: list[str]) -> argparse.Namespace:
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> int:
     trips = landing.extract_range(spark.read.parquet(args.source), args.start, args.end)
-    if args.limit is not None:
-        trips = landing.cap_rows(trips, args.limit, ROW_ORDER)
+    if args.share is not None:
+        trips = landing.sample_share(trips, args.share, ROW_ORDER)
     landing.replace_table(landing.add_sync_columns(trips, args.as_of), args.landing)
     landing.load_summary(spark.read.parquet(args.landing)).show(truncate=False)
     return 0

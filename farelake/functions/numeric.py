@@ -1,20 +1,22 @@
-"""Rounding and guarded division."""
+"""Rounding, exact money sums and guarded division."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_MONEY = "decimal(18,6)"
+
 
 def round_to(value: Column, digits: int) -> Column:
-    """Round a double half away from zero, by way of a decimal.
+    """Round half away from zero, by way of a decimal with twelve places.
 
-    Six kept decimals absorb the last-bit noise that a distributed float sum carries, so a report does not
-    change with the order in which partitions arrive. What a decimal cannot hold (NaN, infinities, 1e22 and
-    above) is returned as it is.
+    That is far more than any result shows, so a value is rounded once, and still absorbs the last-bit noise that a
+    distributed float sum carries. What such a decimal cannot hold (NaN, infinities, 1e26 and above, where a double
+    has no fraction any more) is returned as it is.
     """
-    exact = F.round(value.try_cast("decimal(28,6)"), digits).cast("double")
-    return F.coalesce(exact, value)
+    exact = F.round(value.try_cast("decimal(38,12)"), digits).cast("double")
+    return F.coalesce(exact, value.cast("double"))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -27,12 +29,21 @@ def rows() -> Column:
     return F.count(F.lit(1))
 
 
+def exact_sum(column: str) -> Column:
+    """A sum of money as a decimal: the same in whatever order the rows arrive."""
+    return F.sum(F.col(column).cast(_MONEY))
+
+
 def mean(column: str, digits: int) -> Column:
     return round_to(F.avg(column), digits)
 
 
+def money_mean(column: str, digits: int = 2) -> Column:
+    return round_to(ratio(exact_sum(column).cast("double"), F.count(column)), digits)
+
+
 def total(column: str, digits: int = 2) -> Column:
-    return round_to(F.sum(column), digits)
+    return F.round(exact_sum(column), digits).cast("double")
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:

@@ -39,22 +39,24 @@ def unaccepted_values(df: DataFrame, accepted: Mapping[str, Iterable]) -> DataFr
     pairs = F.array(
         *(F.struct(F.lit(c).alias("column_name"), _unexpected(c, ok).alias("value")) for c, ok in accepted.items())
     )
-    bad = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+    # Nearly all cells are null; they go before a row is made of each.
+    bad = df.select(F.inline(F.filter(pairs, lambda cell: cell["value"].isNotNull())))
     return bad.groupBy("column_name", "value").agg(rows().alias("row_count"))
 
 
 def orphans(child: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Non-null keys without a parent, with their number of rows.
 
-    ``parents`` maps a key column to the parent relation and its key. All columns are counted in one pass,
-    and only the counts, one per distinct key, meet the parents.
+    ``parents`` maps a key column to the parent relation and its key. All columns are counted in one pass, by
+    grouping sets over the typed keys, and only the counts, one per distinct key, meet the parents.
     """
-
-    def pair(column: str, key: Column) -> Column:
-        return F.struct(F.lit(column).alias("column_name"), key.cast("string").alias("value"))
-
-    keys = child.select(F.inline(F.array(*(pair(c, F.col(c)) for c in parents)))).where(F.col("value").isNotNull())
-    counts = keys.groupBy("column_name", "value").agg(rows().alias("row_count"))
+    columns = [F.col(c) for c in parents]
+    sets = child.groupingSets([[c] for c in columns], *columns).agg(
+        *(F.grouping(c).alias(f"not_{c}") for c in parents), rows().alias("row_count")
+    )
+    name = F.coalesce(*(F.when(F.col(f"not_{c}") == 0, c) for c in parents))
+    value = F.coalesce(*(F.when(F.col(f"not_{c}") == 0, F.col(c).cast("string")) for c in parents))
+    counts = sets.select(name.alias("column_name"), value.alias("value"), "row_count").where(F.col("value").isNotNull())
     known = [
         parent.select(F.lit(c).alias("column_name"), F.col(key).cast("string").alias("value"))
         for c, (parent, key) in parents.items()
@@ -62,11 +64,6 @@ def orphans(child: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> D
     return counts.join(reduce(DataFrame.unionByName, known), ["column_name", "value"], "left_anti")
 
 
-def shown(violations: DataFrame, limit: int = 100) -> DataFrame:
-    """A few offending rows to look at. Counts and statuses always come from all of them."""
-    return violations.limit(limit)
-
-
 def total_below_fare() -> Column:
     return (F.col("total_amount") < F.col("fare_amount")) & (F.col("fare_amount") > 0)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions import buckets, calendar
 from farelake.functions.calendar import instant
-from farelake.functions.numeric import mean, percent, round_to, rows, total
+from farelake.functions.numeric import exact_sum, mean, money_mean, percent, ratio, round_to, rows, total
 
 _ZONE_COLUMNS = ("zone_name", "borough", "service_zone", "zone_category")
 
@@ -25,7 +25,7 @@ def _rank_down(column: str) -> Column:
 
 
 def location_stats(trips: DataFrame, locations: DataFrame | None = None, as_of: str | None = None) -> DataFrame:
-    """Statistics per pickup zone, ranked by revenue (before rounding) and by volume.
+    """Statistics per pickup zone, ranked by exact revenue (before rounding) and by volume.
 
     Without ``locations`` the zone attributes are left out. ``as_of`` adds the time of the refresh.
     """
@@ -34,8 +34,8 @@ def location_stats(trips: DataFrame, locations: DataFrame | None = None, as_of:
     stats = trips.groupBy(F.col("pickup_location_id").alias("location_id")).agg(
         rows().alias("total_trips"),
         F.countDistinct("pickup_date").alias("active_days"),
-        F.sum("total_amount").alias("revenue"),
-        mean("total_amount", 2).alias("avg_trip_revenue"),
+        exact_sum("total_amount").alias("revenue"),
+        money_mean("total_amount").alias("avg_trip_revenue"),
         total("tip_amount").alias("total_tips"),
         mean("trip_distance_miles", 2).alias("avg_trip_distance_miles"),
         mean("trip_duration_minutes", 1).alias("avg_trip_duration_minutes"),
@@ -49,7 +49,7 @@ def location_stats(trips: DataFrame, locations: DataFrame | None = None, as_of:
     )
     ranked = stats.withColumns(
         {
-            "total_revenue": round_to(F.col("revenue"), 2),
+            "total_revenue": F.round("revenue", 2).cast("double"),
             "weekend_trip_pct": percent(F.col("weekend_trips"), F.col("total_trips")),
             "credit_card_pct": percent(F.col("credit_card_trips"), F.col("total_trips")),
             "revenue_rank": _rank_down("revenue"),
@@ -98,7 +98,7 @@ def zone_performance(trips: DataFrame, locations: DataFrame) -> DataFrame:
         F.grouping("pickup_location_id").alias("not_by_pickup"),
         rows().alias("trip_count"),
         total("total_amount").alias("total_revenue"),
-        mean("total_amount", 2).alias("avg_revenue"),
+        money_mean("total_amount").alias("avg_revenue"),
         mean("trip_distance_miles", 2).alias("avg_distance"),
         mean("trip_duration_minutes", 1).alias("avg_duration_minutes"),
         mean("avg_speed_mph", 1).alias("avg_speed_mph"),
@@ -122,7 +122,7 @@ def trip_patterns(trips: DataFrame) -> DataFrame:
     stats = trips.groupBy("pickup_day_of_week", "pickup_hour", "trip_distance_category", "passenger_category").agg(
         rows().alias("trip_count"),
         total("total_amount").alias("total_revenue"),
-        mean("total_amount", 2).alias("avg_revenue"),
+        money_mean("total_amount").alias("avg_revenue"),
         mean("trip_distance_miles", 2).alias("avg_distance"),
         mean("trip_duration_minutes", 1).alias("avg_duration_minutes"),
         mean("avg_speed_mph", 1).alias("avg_speed_mph"),
@@ -141,28 +141,63 @@ def trip_patterns(trips: DataFrame) -> DataFrame:
     ).orderBy("pickup_day_of_week", "pickup_hour")
 
 
+#: The money columns of the daily report, and those that it averages with their digits.
+_DAY_SUMS = {
+    "total_base_fare": "fare_amount",
+    "total_tips": "tip_amount",
+    "total_tolls": "tolls_amount",
+    "total_surcharges": "total_surcharges",
+    "total_revenue": "total_amount",
+}
+_DAY_AVERAGES = {
+    "avg_fare_per_mile": ("fare_per_mile", 2),
+    "avg_tip_pct": ("tip_percentage", 1),
+    "avg_revenue_per_hour": ("revenue_per_hour", 2),
+}
+
+
 def daily_revenue(trips: DataFrame, ordered: bool = True) -> DataFrame:
     """Revenue per pickup day and the share of each component, by date unless ``ordered`` is off.
 
     The shares divide the rounded sums, so the four need not add up to 100.
     """
-    days = with_day_parts(trips.groupBy("pickup_date").agg(*day_measures()))
+    days = day_report(day_partials(trips))
     return days.orderBy("pickup_date") if ordered else days
 
 
-def day_measures() -> list[Column]:
-    return [
+def day_partials(trips: DataFrame) -> DataFrame:
+    """Per pickup day, sums and counts that can be added up over several sets of trips."""
+    averaged = [column for column, _ in _DAY_AVERAGES.values()]
+    return trips.groupBy("pickup_date").agg(
         rows().alias("trip_count"),
-        total("fare_amount").alias("total_base_fare"),
-        total("tip_amount").alias("total_tips"),
-        total("tolls_amount").alias("total_tolls"),
-        total("total_surcharges").alias("total_surcharges"),
-        total("total_amount").alias("total_revenue"),
-        mean("total_amount", 2).alias("avg_trip_revenue"),
-        mean("fare_per_mile", 2).alias("avg_fare_per_mile"),
-        mean("tip_percentage", 1).alias("avg_tip_pct"),
-        mean("revenue_per_hour", 2).alias("avg_revenue_per_hour"),
-    ]
+        F.count("total_amount").alias("paid_trips"),
+        *(exact_sum(column).alias(name) for name, column in _DAY_SUMS.items()),
+        *(F.sum(column).alias(f"sum_{column}") for column in averaged),
+        *(F.count(column).alias(f"count_{column}") for column in averaged),
+    )
+
+
+def add_partials(partials: DataFrame) -> DataFrame:
+    """One row per day from the partial sums of several sets of trips."""
+    return partials.groupBy("pickup_date").agg(
+        *(F.sum(c).cast(t).alias(c) for c, t in partials.dtypes if c != "pickup_date")
+    )
+
+
+def day_report(partials: DataFrame) -> DataFrame:
+    """The daily report from one row of partial sums per day."""
+    revenue = ratio(F.col("total_revenue").cast("double"), F.col("paid_trips"))
+    days = partials.select(
+        "pickup_date",
+        "trip_count",
+        *(F.round(name, 2).cast("double").alias(name) for name in _DAY_SUMS),
+        round_to(revenue, 2).alias("avg_trip_revenue"),
+        *(
+            round_to(ratio(F.col(f"sum_{column}"), F.col(f"count_{column}")), digits).alias(name)
+            for name, (column, digits) in _DAY_AVERAGES.items()
+        ),
+    )
+    return with_day_parts(days)
 
 
 def with_day_parts(days: DataFrame) -> DataFrame:
@@ -202,7 +237,7 @@ def payment_tipping(trips: DataFrame, payment_types: DataFrame) -> DataFrame:
     ).agg(
         rows().alias("trip_count"),
         total("total_amount").alias("total_revenue"),
-        mean("total_amount", 2).alias("avg_trip_value"),
+        money_mean("total_amount").alias("avg_trip_value"),
         total("tip_amount").alias("total_tips"),
         mean("tip_percentage", 1).alias("avg_tip_pct"),
     )
@@ -223,7 +258,7 @@ def service_analysis(trips: DataFrame, rate_codes: DataFrame) -> DataFrame:
     ).agg(
         rows().alias("trip_count"),
         total("total_amount").alias("total_revenue"),
-        mean("total_amount", 2).alias("avg_fare"),
+        money_mean("total_amount").alias("avg_fare"),
         mean("trip_distance_miles", 2).alias("avg_distance"),
         mean("trip_duration_minutes", 1).alias("avg_duration_minutes"),
         mean("avg_speed_mph", 1).alias("avg_speed_mph"),
@@ -243,7 +278,7 @@ def kpi_summary(trips: DataFrame) -> DataFrame:
     return trips.agg(
         rows().alias("total_trips"),
         total("total_amount").alias("total_revenue"),
-        mean("fare_amount", 2).alias("avg_fare"),
+        money_mean("fare_amount").alias("avg_fare"),
         mean("tip_percentage", 1).alias("avg_tip_pct"),
     )
 

@@ -18,7 +18,7 @@ from farelake.plans.settings import (
     EXTRACT_END,
     EXTRACT_START,
     SAMPLE_KEYS,
-    SAMPLE_ROWS,
+    SAMPLE_SHARE,
     SCAN_END,
     SCAN_START,
     TOP_ZONES,
@@ -72,7 +72,7 @@ def range_extract(spark, sf_dir):
 
 @_query
 def deterministic_sample(spark, sf_dir):
-    return landing.cap_rows(fixture.sourced_only(spark, sf_dir), SAMPLE_ROWS, SAMPLE_KEYS)
+    return landing.sample_share(fixture.sourced_only(spark, sf_dir), SAMPLE_SHARE, SAMPLE_KEYS)
 
 
 @_query
@@ -238,12 +238,14 @@ def payment_share(spark, sf_dir):
 
 @_query
 def daily_revenue_stream(spark, sf_dir):
-    """The daily report computed by a stream over the landed trips, run until it has caught up."""
+    """The daily report computed by a stream over the landed trips, which come in several micro-batches of files that
+    are not in the order of time, run until it has caught up."""
     source, log, state = (scratch_path(spark, name) for name in ("landing", "days", "state"))
-    landing.replace_table(fixture.raw_trips(spark, sf_dir), source)
-    days = daily.running_days(daily.stream_landing(spark, source), lateness="1 day")
-    daily.keep_current(days, log, state).awaitTermination()
-    return daily.current_report(spark, log, days)
+    landing.replace_table(fixture.raw_trips(spark, sf_dir).repartition(8, "dropoff_location_id"), source)
+    files = len(landing.read_landing(spark, source).inputFiles())
+    arriving = daily.stream_landing(spark, source, files_per_batch=-(-files // 3))
+    daily.keep_current(arriving, log, state).awaitTermination()
+    return daily.current_report(spark, log)
 
 
 # --- data checks -----------------------------------------------------------------------------------------
@@ -275,10 +277,7 @@ def dq_not_null(spark, sf_dir):
 @_query
 def dq_accepted_values(spark, sf_dir):
     accepted = {
-        "vendor_id": (1, 2),
-        "payment_type_id": (1, 2, 3, 4, 5, 6),
-        "rate_code_id": (1, 2, 3, 4, 5, 6, 99),
-        "store_and_fwd_flag": ("Y", "N"),
+        **lookups.accepted_codes(),
         "passenger_category": buckets.PARTIES,
     }
     return quality.unaccepted_values(_trips(spark, sf_dir), accepted)

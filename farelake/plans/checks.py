@@ -16,6 +16,7 @@ from farelake.operators.quality import (
     total_below_fare,
     unique,
 )
+from farelake.sources import lookups
 
 
 def _key(table: str, column: str) -> list[Check]:
@@ -32,15 +33,15 @@ def lookup_checks() -> list[Check]:
 
 
 def clean_checks() -> list[Check]:
-    table = "trips_clean"
+    table, codes = "trips_clean", lookups.accepted_codes()
     return [
         *_key(table, "trip_id"),
         *not_null(table, "vendor_id", "pickup_location_id", "dropoff_location_id", "pickup_at", "dropoff_at"),
         *not_null(table, "payment_type_id", "rate_code_id", "total_amount"),
-        accepted_values(table, "vendor_id", (1, 2), "warn"),
-        accepted_values(table, "payment_type_id", (1, 2, 3, 4, 5, 6), "warn"),
-        accepted_values(table, "rate_code_id", (1, 2, 3, 4, 5, 6, 99)),
-        accepted_values(table, "store_and_fwd_flag", ("Y", "N"), "warn"),
+        accepted_values(table, "vendor_id", codes["vendor_id"], "warn"),
+        accepted_values(table, "payment_type_id", codes["payment_type_id"], "warn"),
+        accepted_values(table, "rate_code_id", codes["rate_code_id"]),
+        accepted_values(table, "store_and_fwd_flag", codes["store_and_fwd_flag"], "warn"),
     ]
 
 

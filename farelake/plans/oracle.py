@@ -13,7 +13,7 @@ from farelake.plans.settings import (
     EXTRACT_END,
     EXTRACT_START,
     SAMPLE_KEYS,
-    SAMPLE_ROWS,
+    SAMPLE_SHARE,
     SCAN_END,
     SCAN_START,
     TOP_ZONES,
@@ -22,11 +22,20 @@ from farelake.schemas import RAW_TRIPS
 
 
 def _r(value: str, digits: int) -> str:
-    return f"cast(round(cast({value} as decimal(28, 6)), {digits}) as double)"
+    return f"cast(round(cast({value} as decimal(38, 12)), {digits}) as double)"
 
 
 def _sum(column: str, name: str) -> str:
-    return f"{_r(f'sum({column})', 2)} as {name}"
+    return f"cast(round({_exact(column)}, 2) as double) as {name}"
+
+
+def _exact(column: str) -> str:
+    """A sum of money that does not depend on the order."""
+    return f"sum(cast({column} as decimal(18, 6)))"
+
+
+def _money_avg(column: str, name: str) -> str:
+    return f"{_r(f'cast({_exact(column)} as double) / count({column})', 2)} as {name}"
 
 
 def _avg(column: str, digits: int, name: str) -> str:
@@ -203,8 +212,8 @@ _CTES["fact"] = f"""
 
 _CTES["zone_totals"] = f"""
     select pickup_location_id as location_id, count(*) as total_trips,
-           count(distinct pickup_date) as active_days, sum(total_amount) as revenue,
-           {_avg('total_amount', 2, 'avg_trip_revenue')}, {_sum('tip_amount', 'total_tips')},
+           count(distinct pickup_date) as active_days, {_exact('total_amount')} as revenue,
+           {_money_avg('total_amount', 'avg_trip_revenue')}, {_sum('tip_amount', 'total_tips')},
            {_avg('trip_distance_miles', 2, 'avg_trip_distance_miles')},
            {_avg('trip_duration_minutes', 1, 'avg_trip_duration_minutes')},
            {_avg('passenger_count', 1, 'avg_passengers')},
@@ -215,7 +224,7 @@ _CTES["zone_totals"] = f"""
     from enriched group by pickup_location_id"""
 
 _CTES["location_stats_plain"] = f"""
-    select * exclude (revenue), {_r('revenue', 2)} as total_revenue,
+    select * exclude (revenue), cast(round(revenue, 2) as double) as total_revenue,
            {_share('weekend_trips', 'total_trips', 'weekend_trip_pct')},
            {_share('credit_card_trips', 'total_trips', 'credit_card_pct')},
            rank() over (order by revenue desc) as revenue_rank,
@@ -230,7 +239,7 @@ _CTES["location_stats"] = """
 _ZONE_SIDE = f"""
     select t.{{side}}_location_id as location_id, '{{side}}' as direction,
            zone_name, borough, service_zone, zone_category,
-           count(*) as trip_count, {_sum('total_amount', 'total_revenue')}, {_avg('total_amount', 2, 'avg_revenue')},
+           count(*) as trip_count, {_sum('total_amount', 'total_revenue')}, {_money_avg('total_amount', 'avg_revenue')},
            {_avg('trip_distance_miles', 2, 'avg_distance')},
            {_avg('trip_duration_minutes', 1, 'avg_duration_minutes')}, {_avg('t.avg_speed_mph', 1, 'avg_speed_mph')},
            {_avg('revenue_per_hour', 2, 'avg_revenue_per_hour')}, {_avg('tip_percentage', 1, 'avg_tip_pct')},
@@ -245,7 +254,7 @@ _CTES["zone_performance"] = (
 _CTES["trip_patterns"] = f"""
     select pickup_day_of_week, pickup_day_name, pickup_hour, time_of_day_bucket, is_weekend,
            trip_distance_category, passenger_category,
-           count(*) as trip_count, {_sum('total_amount', 'total_revenue')}, {_avg('total_amount', 2, 'avg_revenue')},
+           count(*) as trip_count, {_sum('total_amount', 'total_revenue')}, {_money_avg('total_amount', 'avg_revenue')},
            {_avg('trip_distance_miles', 2, 'avg_distance')},
            {_avg('trip_duration_minutes', 1, 'avg_duration_minutes')}, {_avg('t.avg_speed_mph', 1, 'avg_speed_mph')},
            {_avg('revenue_per_hour', 2, 'avg_revenue_per_hour')}, {_avg('tip_percentage', 1, 'avg_tip_pct')}
@@ -255,7 +264,7 @@ _CTES["days"] = f"""
     select pickup_date, pickup_year, pickup_month, pickup_week, pickup_day_name, is_weekend,
            count(*) as trip_count, {_sum('fare_amount', 'total_base_fare')}, {_sum('tip_amount', 'total_tips')},
            {_sum('tolls_amount', 'total_tolls')}, {_sum('t.total_surcharges', 'total_surcharges')},
-           {_sum('total_amount', 'total_revenue')}, {_avg('total_amount', 2, 'avg_trip_revenue')},
+           {_sum('total_amount', 'total_revenue')}, {_money_avg('total_amount', 'avg_trip_revenue')},
            {_avg('t.fare_per_mile', 2, 'avg_fare_per_mile')}, {_avg('tip_percentage', 1, 'avg_tip_pct')},
            {_avg('revenue_per_hour', 2, 'avg_revenue_per_hour')}
     from enriched t group by all"""
@@ -288,7 +297,7 @@ _CTES["tipped"] = """
 _CTES["segments"] = f"""
     select payment_type_id, time_of_day_bucket, is_weekend, trip_distance_category, tip_bucket,
            count(*) as trip_count, {_sum('total_amount', 'total_revenue')},
-           {_avg('total_amount', 2, 'avg_trip_value')}, {_sum('tip_amount', 'total_tips')},
+           {_money_avg('total_amount', 'avg_trip_value')}, {_sum('tip_amount', 'total_tips')},
            {_avg('tip_percentage', 1, 'avg_tip_pct')}
     from tipped group by all"""
 
@@ -303,7 +312,7 @@ _CTES["peaks"] = """
 
 _CTES["service_analysis"] = f"""
     select rate_code_id, rate_code_name, peak_category, is_weekend,
-           count(*) as trip_count, {_sum('total_amount', 'total_revenue')}, {_avg('total_amount', 2, 'avg_fare')},
+           count(*) as trip_count, {_sum('total_amount', 'total_revenue')}, {_money_avg('total_amount', 'avg_fare')},
            {_avg('trip_distance_miles', 2, 'avg_distance')},
            {_avg('trip_duration_minutes', 1, 'avg_duration_minutes')}, {_avg('p.avg_speed_mph', 1, 'avg_speed_mph')},
            {_avg('tip_percentage', 1, 'avg_tip_pct')}, {_avg('revenue_per_hour', 2, 'avg_revenue_per_hour')},
@@ -476,7 +485,7 @@ def statements() -> dict[str, str]:
     finals = {
         "range_extract": f"select {source}, _synced, false as _deleted from raw"
         f" where pickup_datetime >= timestamp '{EXTRACT_START}' and pickup_datetime < timestamp '{EXTRACT_END}'",
-        "deterministic_sample": f"select {source} from raw order by md5({key_text}), {_TIES} limit {SAMPLE_ROWS}",
+        "deterministic_sample": f"select {source} from raw where substr(md5({key_text}), 1, 8) < '{round(SAMPLE_SHARE * 16**8):08x}'",
         "load_summary": "select count(*) as total_rows, min(pickup_datetime) as min_pickup,"
         " max(pickup_datetime) as max_pickup, count(distinct vendor_id) as vendors,"
         f" {_sum('total_amount', 'total_revenue')} from raw",
@@ -536,7 +545,7 @@ from (select max(_synced) as newest, date_sub('second', max(_synced), timestamp
       from raw)""",
         "dq_report": _report(),
         "kpi_summary": f"select count(*) as total_trips, {_sum('total_amount', 'total_revenue')},"
-        f" {_avg('fare_amount', 2, 'avg_fare')}, {_avg('tip_percentage', 1, 'avg_tip_pct')} from enriched",
+        f" {_money_avg('fare_amount', 'avg_fare')}, {_avg('tip_percentage', 1, 'avg_tip_pct')} from enriched",
         "top_zones": f"select location_id, {zone_columns}, trip_count, total_revenue from zone_performance"
         f" where direction = 'pickup' order by total_revenue desc, location_id limit {TOP_ZONES}",
         "weekly_revenue": f"select *, {_r('total_revenue / trip_count', 2)} as avg_trip_revenue, {_COMPOSITION}"

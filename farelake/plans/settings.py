@@ -3,7 +3,7 @@
 EXTRACT_START = "1996-03-15 00:00:00"
 EXTRACT_END = "2001-03-15 00:00:00"
 
-SAMPLE_ROWS = 25_000
+SAMPLE_SHARE = 0.4
 SAMPLE_KEYS = ("pickup_datetime", "dropoff_datetime", "pickup_location_id")
 
 SCAN_START = "1997-02-10"

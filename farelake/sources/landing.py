@@ -1,18 +1,17 @@
-"""Loading the landing table: range extract, row cap, sync columns, full refresh, load summary."""
+"""Loading the landing table: range extract, repeatable sample, sync columns, full refresh, load summary."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake import schemas
 from farelake.functions.calendar import instant
 from farelake.functions.numeric import rows, total
-from farelake.operators.numbering import global_row_number
 
-_PREFIX = 3
+_HASH_DIGITS = 8
 
 
 def extract_range(source: DataFrame, start: str, end: str) -> DataFrame:
@@ -25,29 +24,22 @@ def add_sync_columns(trips: DataFrame, synced_at: str) -> DataFrame:
     return trips.withColumns({"_synced": instant(synced_at), "_deleted": F.lit(False)})
 
 
-def cap_rows(df: DataFrame, limit: int, keys: Sequence[str]) -> DataFrame:
-    """Exactly ``limit`` rows (all, if there are fewer): those whose key hashes lowest.
+def sample_share(df: DataFrame, share: float, keys: Sequence[str]) -> DataFrame:
+    """About this share of the rows: those whose key hashes below it.
 
-    A plain limit sends up to ``limit`` rows per task to one task and picks other rows on every run. This
-    picks by content, so it is repeatable and spread over the whole range. A histogram over the first hash
-    digits finds how far down the hash order the limit reaches, and only rows up to there are sorted.
+    The choice rests on the content alone, so it is the same on every run and for every partitioning, spread over
+    the whole table, and one filter at any size. Rows that are equal in the keys stay or go together.
     """
+    if not 0 <= share <= 1:
+        raise ValueError("a share is between 0 and 1")
     texts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    hashed = df.withColumn("_hash", F.md5(F.concat_ws("|", *texts)))
-    prefix = F.substring("_hash", 1, _PREFIX)
-    running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cutoff = (
-        hashed.groupBy(prefix.alias("prefix"))
-        .agg(rows().alias("n"))  # at most 16 ** _PREFIX rows
-        .select("prefix", F.sum("n").over(running).alias("reached"))
-        .where(F.col("reached") >= limit)
-        .agg(F.min("prefix"))
-        .first()[0]
-    )
-    if cutoff is None:
-        return df
-    numbered = global_row_number(hashed.where(prefix <= cutoff), ["_hash"], name="_rank")
-    return numbered.where(F.col("_rank") <= limit).select(*df.columns)
+    digits = F.substring(F.md5(F.concat_ws("|", *texts)), 1, _HASH_DIGITS)
+    return df.where(digits < F.lit(share_bound(share)))
+
+
+def share_bound(share: float) -> str:
+    """The hash digits below which a sample of this share lies."""
+    return f"{round(share * 16**_HASH_DIGITS):0{_HASH_DIGITS}x}" if share < 1 else "g"
 
 
 def ensure_schema(spark: SparkSession, name: str) -> None:

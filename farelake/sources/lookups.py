@@ -38,6 +38,19 @@ RATE_CODE_ROWS = (
     (99, "Unknown", "standard"),
 )
 
+# Whether a trip was stored on the vehicle before it was sent.
+FORWARD_FLAGS = ("Y", "N")
+
+
+def accepted_codes() -> dict[str, tuple]:
+    """The codes that each coded column of a trip may hold."""
+    return {
+        "vendor_id": tuple(row[0] for row in VENDOR_ROWS),
+        "payment_type_id": tuple(row[0] for row in PAYMENT_TYPE_ROWS),
+        "rate_code_id": tuple(row[0] for row in RATE_CODE_ROWS),
+        "store_and_fwd_flag": FORWARD_FLAGS,
+    }
+
 
 def from_rows(spark: SparkSession, schema: StructType, rows: Iterable[tuple]) -> DataFrame:
     """A local relation. Unlike a frame made from Python rows, its size is known to the planner,

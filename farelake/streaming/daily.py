@@ -1,8 +1,8 @@
 """The daily revenue report, kept current while trips are still arriving.
 
-Only the sums of days that may still change are held as state. Each micro-batch appends the new totals of the days
-it touched to a log, under its batch number; the report takes the newest entry per day. A batch that runs again
-after a failure replaces its own entry, so the log never counts a trip twice.
+Sums and counts of a day can be added up, so a micro-batch needs no state: it appends the partial sums of its own
+trips to a log, under its batch number, and the report adds the log up. Nothing is dropped, however late or unordered
+trips arrive. A batch that runs again after a failure replaces its own entry, so the log never counts a trip twice.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from farelake import schemas
-from farelake.operators import clean, enrich
-from farelake.operators.reports import day_measures, with_day_parts
+from farelake.operators import clean, enrich, reports
 
 BATCH = "batch_id"
 
@@ -27,37 +26,26 @@ def stream_landing(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.parquet(path)
 
 
-def running_days(raw: DataFrame, lateness: str) -> DataFrame:
-    """Totals per pickup day. A trip later than ``lateness`` behind the newest pickup is not counted, and the
-    state of days that old is dropped."""
-    trips = enrich.enrich_trips(clean.clean_trips(raw, keyed=False))
-    # Watermarks take only timestamps with a zone; the session's zone is UTC, so the day stays the same.
-    timed = trips.withColumn("event_time", F.col("pickup_at").cast("timestamp")).withWatermark("event_time", lateness)
-    days = timed.groupBy(F.window("event_time", "1 day")).agg(*day_measures())
-    return days.select(F.col("window.start").cast("date").alias("pickup_date"), *days.columns[1:])
+def _day_partials(raw: DataFrame) -> DataFrame:
+    return reports.day_partials(enrich.enrich_trips(clean.clean_trips(raw, keyed=False)))
 
 
-def keep_current(days: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """Start writing changed days to ``log``; the query stops once everything that has arrived is counted."""
+def keep_current(raw: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
+    """Start adding the partial sums of streamed landing rows to ``log``; the query stops once everything that has
+    arrived is counted."""
 
-    def append(changed: DataFrame, batch_id: int) -> None:
-        entry = changed.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    def append(batch: DataFrame, batch_id: int) -> None:
+        entry = _day_partials(batch).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         writer = entry.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(BATCH).parquet(log)
 
     return (
-        days.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(append)
-        .start()
+        raw.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(append).start()
     )
 
 
-def current_report(spark: SparkSession, log: str, days: DataFrame) -> DataFrame:
-    """The daily revenue report as of the last batch. ``days`` gives the schema of the log."""
-    entries = spark.read.schema(StructType([*days.schema.fields, StructField(BATCH, LongType())])).parquet(log)
-    newest = entries.groupBy("pickup_date").agg(
-        F.max_by(F.struct(*(c for c in days.columns if c != "pickup_date")), BATCH).alias("day")
-    )
-    return with_day_parts(newest.select("pickup_date", "day.*")).orderBy("pickup_date")
+def current_report(spark: SparkSession, log: str) -> DataFrame:
+    """The daily revenue report over all batches of the log."""
+    partials = _day_partials(spark.createDataFrame([], schemas.RAW_TRIPS)).schema
+    entries = spark.read.schema(StructType([*partials.fields, StructField(BATCH, LongType())])).parquet(log)
+    return reports.day_report(reports.add_partials(entries.drop(BATCH))).orderBy("pickup_date")

@@ -24,8 +24,8 @@ def run(base, command, *rest):
 
 def test_ingest_build_refresh(spark, inputs, capfd):
     source = ("--source", str(inputs / "source"), "--start", "1996-01-01")
-    assert run(inputs, "ingest", *source, "--end", "2000-01-01", "--limit", "1000") == 0
-    assert spark.read.parquet(str(inputs / "landing")).count() == 1000
+    assert run(inputs, "ingest", *source, "--end", "2000-01-01", "--share", "0.5") == 0
+    assert 0 < spark.read.parquet(str(inputs / "landing")).count() < 4000
 
     assert run(inputs, "ingest", *source, "--end", "2000-01-01") == 0
     tables = ("--zones", str(inputs / "zones.csv"), "--out", str(inputs / "out"))

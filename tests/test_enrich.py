@@ -137,12 +137,23 @@ def test_rounding_against_decimals(spark):
     rng = random.Random(7)
     values = [rng.uniform(-1e6, 1e6) for _ in range(2000)] + [k / 200 for k in range(-400, 400)]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    six, two = Decimal("0.000001"), Decimal("0.01")
+    twelve, two = Decimal("0.000000000001"), Decimal("0.01")
     for value, rounded in df.select("x", round_to(F.col("x"), 2)).collect():
-        exact = Decimal(repr(value)).quantize(six, ROUND_HALF_UP).quantize(two, ROUND_HALF_UP)
+        exact = Decimal(repr(value)).quantize(twelve, ROUND_HALF_UP).quantize(two, ROUND_HALF_UP)
         assert rounded == float(exact)
 
 
+def test_rounding_happens_once(spark):
+    df = spark.createDataFrame([(1.0049996,), (2.3449997,)], "x double")
+    assert [r[0] for r in df.select(round_to(F.col("x"), 2)).collect()] == [1.0, 2.34]
+
+
+def test_large_totals_are_exact(spark):
+    df = spark.range(1_500_000).selectExpr("cast(1000000 + (id % 100) / 100D as double) as x")
+    sums = {df.repartition(n).agg(total("x")).first()[0] for n in (1, 3, 8)}
+    assert sums == {1_500_000 * 1_000_000 + 15_000 * 49.5}
+
+
 def test_sums_do_not_depend_on_the_order(spark):
     df = spark.range(20_000).selectExpr("(id * 7919 % 100003) / 100D as x")
     sums = {df.repartition(n, (F.col("x") * n).cast("int")).agg(total("x")).first()[0] for n in (1, 2, 5, 9, 16)}

@@ -72,6 +72,12 @@ def test_equal_revenue_shares_a_rank(raw):
     assert ranks == {1: 1, 2: 1, 3: 3}
 
 
+def test_rank_does_not_depend_on_the_order_of_trips(raw):
+    amounts = [(1, x) for x in (0.1, 0.2, 0.3)] + [(2, x) for x in (0.3, 0.2, 0.1)]
+    trips = trips_of(raw, *({"pickup_location_id": z, "total_amount": t, "fare_amount": 0.05} for z, t in amounts))
+    assert {r.revenue_rank for r in reports.location_stats(trips).collect()} == {1}
+
+
 def test_zone_performance_halves(small, locations):
     trips, rows = small
     out = reports.zone_performance(trips, locations).collect()

@@ -97,20 +97,24 @@ def test_load_summary(raw):
     assert tuple(row) == (5, dt.datetime(2022, 1, 31, 12), dt.datetime(2022, 3, 2, 12), 1, 66.5)
 
 
-@pytest.mark.parametrize("limit", [1, 1234, 5999, 6000, 10_000])
-def test_cap_is_exact_and_repeatable(spark, small_tables, limit):
+@pytest.mark.parametrize("share", [0.0, 0.25, 0.9, 1.0])
+def test_sample_is_repeatable_and_near_its_share(spark, small_tables, share):
     source = fixture.sourced_only(spark, small_tables)
     keys = ["pickup_datetime", "dropoff_datetime", "pickup_location_id"]
-    first = landing.cap_rows(source, limit, keys)
+    first = landing.sample_share(source, share, keys)
     assert first.columns == source.columns
     rows = sorted(first.select(keys).collect())
-    assert len(rows) == min(limit, 6000)
-    assert rows == sorted(landing.cap_rows(source.repartition(3), limit, keys).select(keys).collect())
+    assert abs(len(rows) - share * 6000) <= 200
+    assert rows == sorted(landing.sample_share(source.repartition(3), share, keys).select(keys).collect())
 
 
-def test_cap_splits_a_group_of_copies(spark):
-    copies = spark.range(0, 900, 1, 6).selectExpr("cast(if(id % 3 = 0, id, 5) as bigint) as k")
-    assert landing.cap_rows(copies, 500, ["k"]).count() == 500
+def test_samples_are_nested_and_need_no_shuffle(spark):
+    df = spark.range(0, 3000, 1, 6).selectExpr("id", "cast(if(id % 3 = 0, id, 5) as bigint) as k")
+    small, large = (landing.sample_share(df, share, ["k"]) for share in (0.3, 0.6))
+    assert {r.id for r in small.collect()} <= {r.id for r in large.collect()}
+    assert "Exchange" not in plan_of(small)
+    with pytest.raises(ValueError):
+        landing.sample_share(df, 1.5, ["k"])
 
 
 class FakeSession:

@@ -83,29 +83,29 @@ def test_streamed_days_equal_the_batch_report(spark, small_tables, tmp_path):
     trips = fixture.raw_trips(spark, small_tables)
     first, second = trips.randomSplit([0.5, 0.5], seed=1)
     first.repartition(2).write.parquet(source)
-    days = daily.running_days(daily.stream_landing(spark, source, files_per_batch=1), "10000 days")
+    arriving = daily.stream_landing(spark, source, files_per_batch=1)
 
-    daily.keep_current(days, log, state).awaitTermination()
-    early = daily.current_report(spark, log, days)
+    daily.keep_current(arriving, log, state).awaitTermination()
+    early = daily.current_report(spark, log)
     halfway = enrich.enrich_trips(clean.clean_trips(spark.read.schema(RAW_TRIPS).parquet(source), keyed=False))
     assert sorted(early.collect()) == sorted(reports.daily_revenue(halfway).collect())
 
     second.write.mode("append").parquet(source)
-    daily.keep_current(days, log, state).awaitTermination()
+    daily.keep_current(arriving, log, state).awaitTermination()
     complete = enrich.enrich_trips(clean.clean_trips(spark.read.schema(RAW_TRIPS).parquet(source), keyed=False))
     assert complete.count() == 5825
-    final = daily.current_report(spark, log, days)
+    final = daily.current_report(spark, log)
     assert sorted(final.collect()) == sorted(reports.daily_revenue(complete).collect())
+    assert len(os.listdir(log)) >= 3
 
 
-def test_late_trips_beyond_the_watermark_are_left_out(spark, raw, tmp_path):
+def test_late_trips_are_counted(spark, raw, tmp_path):
     def on(day):
         return {"pickup_datetime": dt.datetime(2022, 1, day, 12), "dropoff_datetime": dt.datetime(2022, 1, day, 13)}
 
     source, log, state = (str(tmp_path / n) for n in ("landing", "log", "state"))
     for batch in ([on(1), on(20)], [on(1), on(19)], [on(20)]):
         raw(*batch).coalesce(1).write.mode("append").parquet(source)
-        days = daily.running_days(daily.stream_landing(spark, source), "2 days")
-        daily.keep_current(days, log, state).awaitTermination()
-    counts = {r.pickup_date.day: r.trip_count for r in daily.current_report(spark, log, days).collect()}
-    assert counts == {1: 1, 19: 1, 20: 2}
+        daily.keep_current(daily.stream_landing(spark, source), log, state).awaitTermination()
+    counts = {r.pickup_date.day: r.trip_count for r in daily.current_report(spark, log).collect()}
+    assert counts == {1: 2, 19: 1, 20: 2}
