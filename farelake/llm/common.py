@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 _LEAST_BUCKETS = 64
 _BUCKET_BYTES = 4 << 20
+_UNKNOWN_BYTES = 1 << 50
 
 NO_ID = -(2**63)  # stands for a null doc_id where ids are compared: it sorts before every other id
 
@@ -30,8 +31,14 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def bucket_count(docs: DataFrame, bytes_per_bucket: int = _BUCKET_BYTES, least: int = _LEAST_BUCKETS) -> int:
-    """So many buckets that each holds about ``bytes_per_bucket`` of the stored table; grows with the table."""
-    size = min(plan_bytes(docs), 1 << 50)  # an estimate over a join can be absurd; more buckets are never wrong
+    """So many buckets that each holds about ``bytes_per_bucket`` of the stored table; grows with the table.
+
+    Where the optimizer knows no size (it then assumes more than any table has), the texts are measured.
+    """
+    size = plan_bytes(docs)
+    if size >= _UNKNOWN_BYTES:
+        lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in docs.columns if c in ("text", "shingles")]
+        size = sum(docs.agg(*lengths).first()) if lengths else 0
     return max(least, -(-size // bytes_per_bucket))
 
 

@@ -104,7 +104,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOF
             settled[here] = True
         unseen = np.flatnonzero(~settled)
         value[unseen] = backoff ** np.minimum(in_document[unseen], order - 1) / (others[words.doc[unseen]] + 1)
-        sums = np.bincount(words.doc, np.log10(value), documents)
+        sums = np.bincount(words.doc, np.log10(value), documents).astype(np.float64)
         return pa.table({"doc_id": table.column("_id"), "n_words": n_words, "log_score": sums})
 
     tables = texts.groupBy("_bucket").applyInArrow(counts, packed_schema(3))

@@ -100,7 +100,7 @@ def place_cuts(order: _Order, shards: int, capacity: int) -> list[int]:
         lowest, highest = max(at, latest_start[left - 1]), order.cut_below(at + capacity)
         even = at + -(-(order.total - at) // left)
         below, above = order.cut_below(even), order.cut_from(even)
-        best = below if even - below <= above - even else above
+        best = below if below > at and even - below <= above - even else above
         at = min(max(best, lowest), highest)
         cuts.append(at)
     return cuts
