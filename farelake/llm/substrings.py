@@ -8,7 +8,7 @@ smaller id. Documents are dealt into buckets of a few MB; the steps are
    of their anchors, and learn which recur in another document.
 2. *Confirmation.* Only windows on a recurring anchor can recur. Buckets exchange the hashes of these windows with the
    smallest id that has each, and learn which of theirs a smaller id has as well, and which id that is.
-3. *Automata.* The confirmed phrases of a bucket, as sequences of whole words, are compiled into the bucket's
+3. *Automata.* The confirmed phrases of a slice of a bucket, as sequences of whole words, are compiled into an
    automaton, and all its documents are streamed through it; it finds every occurrence, overlapping ones included. So
    automata are sharded as the documents are: each document meets the phrases that it may hold, in one pass.
 
@@ -17,6 +17,8 @@ Every exchanged hash travels once per bucket, so copies and frequent passages co
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,9 @@ from farelake.llm.common import Words, in_sorted, pack, packed_schema, unpack, u
 
 WINDOW = 13
 _ANCHOR = 5
+_SLICE_BYTES = 1 << 20  # text of an automaton's documents
+_NODES = 3_000_000  # of an automaton, at about 64 bytes each
+_SECOND = 256  # codes of a word's second character
 
 
 def _windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,12 +115,13 @@ def dedup_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return pa.table(columns).filter(pa.array(np.diff(cuts) > 0))
 
     def locate(table: pa.Table, answer: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return _results(table, [])
         confirmed, owners = unpack(answer, "_c0", "<u8"), unpack(answer, "_c1", "<i8")
         order = np.argsort(confirmed)
-        found = _Automaton(table.column("_text"), confirmed[order], owners[order], window)
-        return _results(table, [found.kept(text, doc_id) for text, doc_id in _documents(table)])
+        confirmed, owners = confirmed[order], owners[order]
+        results: list[tuple[int, int, str]] = []
+        for part in _slices(table):
+            results += _kept(part, confirmed, owners, window)
+        return _results(table, results)
 
     recurring = common.recurring(texts.groupBy("_bucket").applyInArrow(anchors, packed_schema(2)))
     windows = _together(texts, recurring, candidates, packed_schema(3))
@@ -135,61 +141,69 @@ def _window_hashes(words: Words, firsts: np.ndarray, window: int) -> np.ndarray:
     return common.mix(value)
 
 
-def _documents(table: pa.Table):
+def _slices(table: pa.Table) -> list[pa.Table]:
+    """Consecutive documents of about ``_SLICE_BYTES`` together, but at least one."""
+    if not table.num_rows:
+        return []
+    _, offsets = common.string_buffer(table.column("_text"))
+    cuts = [0]
+    while cuts[-1] < table.num_rows:
+        upto = int(np.searchsorted(offsets, offsets[cuts[-1]] + _SLICE_BYTES, "right")) - 1
+        cuts.append(max(upto, cuts[-1] + 1))
+    return [table.slice(a, b - a) for a, b in pairwise(cuts)]
+
+
+class _Codes(dict):
+    """Two characters for each distinct word, the first and the second from different ranges, so that a phrase can
+    match at words only, and a node of the automaton has few branches."""
+
+    def __missing__(self, word: bytes) -> str:
+        number = len(self)
+        code = self[word] = chr(0x100 + number // _SECOND) + chr(0xE000 + number % _SECOND)
+        return code
+
+
+def _kept(table: pa.Table, confirmed: np.ndarray, owners: np.ndarray, window: int) -> list[tuple[int, int, str]]:
+    """For each document its number of words, the number of removed ones, and the kept ones.
+
+    The confirmed phrases that occur here are compiled into automata of bounded size, nearly always one, and the
+    documents are streamed through.
+    """
     ids = common.ids_of(table.column("_id")).tolist()
-    for text, doc_id in zip(table.column("_text"), ids, strict=True):
-        value = text.as_py()
-        yield (value or "").encode(), doc_id
-
-
-class _Automaton:
-    """The confirmed phrases that texts of this column hold, and the smallest document that has each."""
-
-    def __init__(self, column, confirmed: np.ndarray, owners: np.ndarray, window: int):
-        self.window = window
-        self.ids: dict[bytes, int] = {}
-        self.owners: list[int] = []
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        if not len(confirmed):
-            return
-        words = Words(column)
-        places, _ = words.grams(window) if len(words.hashes) else (np.empty(0, np.int64), None)
-        hashes = _window_hashes(words, places, window)
-        hit = in_sorted(hashes, confirmed)
-        phrases, first = np.unique(hashes[hit], return_index=True)
-        places = places[hit][first]
-        self.owners = owners[np.searchsorted(confirmed, phrases)].tolist()
-        raw = words.raw.tobytes()
-        starts, ends = words.starts, words.ends
-        number = self.ids
-        for phrase, place in enumerate(places.tolist()):
-            spans = zip(starts[place : place + window].tolist(), ends[place : place + window].tolist(), strict=True)
-            key = tuple([number.setdefault(raw[a:b], len(number) + 1) for a, b in spans])
-            if key in self.automaton:  # two hashes of one phrase cannot be; kept for safety
-                continue
-            self.automaton.add_word(key, phrase)
-        self.automaton.make_automaton()
-
-    def kept(self, text: bytes, doc_id: int) -> tuple[int, int, str]:
-        """Number of words, number of removed ones, and the kept ones."""
-        words = text.split()
-        covered: list[tuple[int, int]] = []
-        if self.owners and len(words) >= self.window:
-            look, owners, window = self.ids.get, self.owners, self.window
-            upto = 0
-            for last, phrase in self.automaton.iter(tuple([look(w, 0) for w in words])):
-                if owners[phrase] < doc_id:
-                    covered.append((max(upto, last + 1 - window), last + 1))
-                    upto = last + 1
-        if not covered:
-            return len(words), 0, b" ".join(words).decode()
-        kept: list[bytes] = []
-        at = 0
-        for start, end in covered:
-            kept += words[at:start]
-            at = end
-        kept += words[at:]
-        return len(words), len(words) - len(kept), b" ".join(kept).decode()
+    texts = [(text.as_py() or "").encode().split() for text in table.column("_text")]
+    words = Words(table.column("_text"))
+    places, _ = words.grams(window)
+    hashes = _window_hashes(words, places, window)
+    hit = in_sorted(hashes, confirmed)
+    phrases, first = np.unique(hashes[hit], return_index=True)
+    places = places[hit][first]
+    owner_of = owners[np.searchsorted(confirmed, phrases)].tolist()
+    found: list[list[int]] = [[] for _ in texts]
+    if len(phrases):
+        codes = _Codes()
+        coded = ["".join(map(codes.__getitem__, ws)) for ws in texts]
+        docs = words.doc[places]
+        spans = list(zip(docs.tolist(), (2 * (places - words.at[docs])).tolist(), strict=True))
+        most = max(1, _NODES // (2 * window))
+        for low in range(0, len(spans), most):
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+            for phrase, (doc, start) in enumerate(spans[low : low + most], low):
+                automaton.add_word(coded[doc][start : start + 2 * window], phrase)
+            automaton.make_automaton()
+            for doc, (doc_id, line) in enumerate(zip(ids, coded, strict=True)):
+                found[doc] += [end // 2 + 1 - window for end, phrase in automaton.iter(line) if owner_of[phrase] < doc_id]
+    return [_without(ws, starts, window) for ws, starts in zip(texts, found, strict=True)]
+
+
+def _without(words: list[bytes], starts: list[int], window: int) -> tuple[int, int, str]:
+    """The words that no window from one of ``starts`` covers."""
+    if not starts:
+        return len(words), 0, b" ".join(words).decode()
+    change = np.zeros(len(words) + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, np.array(starts) + window, -1)
+    kept = [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0).tolist()]
+    return len(words), len(words) - len(kept), b" ".join(kept).decode()
 
 
 def _results(table: pa.Table, results: list[tuple[int, int, str]]) -> pa.Table:
