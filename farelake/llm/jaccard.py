@@ -17,6 +17,8 @@ between different components is lost, and the pairs inside a dense group are nev
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,8 +28,9 @@ from farelake.llm import common
 from farelake.llm.common import Words, in_sorted, mix, pack, packed_schema, unpack
 from farelake.session import materialize
 
-_COUNT_BITS = 18  # the frequency table has so many cells for any corpus
+_COUNT_BITS = 22  # the frequency table has so many cells for any corpus
 _SUFFIX_CELLS = 32
+_SIEVE_BITS = 23  # cells of the fixed-size sieve of wanted documents
 _LEADERS = 3
 
 
@@ -41,7 +44,7 @@ def _sets(column, shingle: int, classes: np.ndarray | None) -> list[np.ndarray]:
     places, hashes = words.grams(shingle)
     if classes is not None:
         cell = (hashes >> np.uint64(64 - _COUNT_BITS)).astype(np.int64)
-        hashes = (hashes >> np.uint64(8)) | (classes[cell] << np.uint64(56))
+        hashes = (hashes >> np.uint64(8)) | (classes[cell].astype(np.uint64) << np.uint64(56))
     cuts = np.searchsorted(places, words.at)
     result = []
     for i, n in enumerate(counts.tolist()):
@@ -63,24 +66,27 @@ def frequency_classes(docs: DataFrame, shingle: int) -> np.ndarray:
     slices = 64
 
     def count(batches):
-        total = np.zeros(cells, np.int64)
+        total = np.zeros(cells, np.int32)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 _, hashes = Words(batch.slice(at, 512).column("text"), lower=True).grams(shingle)
-                total += np.bincount((hashes >> np.uint64(64 - _COUNT_BITS)).astype(np.int64), minlength=cells)
-        parts = total.reshape(slices, -1)
+                found, n = np.unique(hashes >> np.uint64(64 - _COUNT_BITS), return_counts=True)
+                total[found.astype(np.int64)] += n.astype(np.int32)
+        # A task's counts end at 255: from there on a shingle is frequent whatever the exact number.
+        parts = np.minimum(total, 255).astype(np.uint8).reshape(slices, -1)
         yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist())
-        return pa.table({"part": table.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+        total = sum(np.frombuffer(x, np.uint8).astype(np.int64) for x in table.column("counts").to_pylist())
+        classes = np.minimum(np.log2(total + 1.0) * 4, 254).astype(np.uint8)
+        return pa.table({"part": table.column("part")[:1], "counts": pa.array([classes.tobytes()], pa.binary())})
 
     schema = "part int, counts binary"
-    rows = docs.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()  # 2 MB for any corpus
-    table = np.zeros(cells, np.int64).reshape(slices, -1)
+    rows = docs.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()  # 4 MB for any corpus
+    table = np.zeros(cells, np.uint8).reshape(slices, -1)
     for r in rows:
-        table[r["part"]] = np.frombuffer(r["counts"], np.int64)
-    return np.minimum(np.log2(table.reshape(-1) + 1.0) * 4, 254).astype(np.uint64)
+        table[r["part"]] = np.frombuffer(r["counts"], np.uint8)
+    return table.reshape(-1)
 
 
 class Threshold:
@@ -100,8 +106,8 @@ class Threshold:
 
 # --- classes and postings ------------------------------------------------------------------------------------
 
-_MEMBER = "doc_id long, n_shingles long, signature binary, shingles binary, prefix binary"
-_MEMBER_NAMES = ("doc_id", "n_shingles", "signature", "shingles", "prefix")
+_MEMBER = "doc_id long, n_shingles long, signature binary, prefix binary, places binary, suffix binary"
+_MEMBER_NAMES = ("doc_id", "n_shingles", "signature", "prefix", "places", "suffix")
 
 
 def _signature(s: np.ndarray) -> bytes:
@@ -110,8 +116,9 @@ def _signature(s: np.ndarray) -> bytes:
 
 
 def _members(docs: DataFrame, shingle: int, threshold: Threshold, classes: np.ndarray) -> DataFrame:
-    """Every document with its set's size and signature. One of each bucket's equal sets also has its shingles and the
-    places of its recurring prefix shingles, if there are any."""
+    """Every document with its set's size and signature. One of each bucket's equal sets also has its recurring prefix
+    shingles, if there are any, their places, and how many of its shingles fall into each of a few cells (which bounds
+    the difference of two sets from below)."""
     buckets = common.bucket_count(docs)
     parts = max(64, buckets // 4)
     texts = common.bucketed(docs.select("doc_id", "text"), buckets).select("_bucket", "_id", "_text")
@@ -137,10 +144,14 @@ def _members(docs: DataFrame, shingle: int, threshold: Threshold, classes: np.nd
             if first.get(signature) == doc_id and len(s):
                 first.pop(signature)  # of rows that repeat an id, one
                 places = np.flatnonzero(in_sorted(s[: threshold.prefix(len(s))], again)).astype(np.int32)
-            full = len(places) > 0
-            rows.append((doc_id, len(s), signature, s.tobytes() if full else None, places.tobytes() if full else None))
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            if len(places):
+                cells = np.bincount((s >> np.uint64(20)).astype(np.int64) % _SUFFIX_CELLS, minlength=_SUFFIX_CELLS)
+                full = s[places].tobytes(), places.tobytes(), cells.astype(np.int32).tobytes()
+            else:
+                full = None, None, None
+            rows.append((doc_id, len(s), signature, *full))
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 4)
         return pa.table({n: pa.array(c, k) for n, c, k in zip(_MEMBER_NAMES, columns, kinds, strict=True)})
 
     recurring = common.recurring(texts.groupBy("_bucket").applyInArrow(prefixes, packed_schema(2)))
@@ -151,26 +162,24 @@ _POSTING = "shingle long, rep long, n int, place int, suffix binary"
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """A row for each recurring prefix shingle of each class; ``suffix``: how many of the set's shingles fall into each
-    of a few cells, which bounds the difference of two sets from below."""
+    """A row for each recurring prefix shingle of each class."""
 
     def each(batches):
         for batch in batches:
             columns: list[list] = [[], [], [], [], []]
-            for rep, blob, prefix in zip(*[batch.column(c).to_pylist() for c in ("rep", "shingles", "prefix")], strict=True):
-                s, places = np.frombuffer(blob, np.uint64), np.frombuffer(prefix, np.int32)
-                cells = np.bincount((s >> np.uint64(20)).astype(np.int64) % _SUFFIX_CELLS, minlength=_SUFFIX_CELLS)
-                suffix = cells.astype(np.int32).tobytes()
-                columns[0] += s[places].view(np.int64).tolist()
-                columns[1] += [rep] * len(places)
-                columns[2] += [len(s)] * len(places)
-                columns[3] += places.tolist()
-                columns[4] += [suffix] * len(places)
+            wanted = [batch.column(c).to_pylist() for c in ("rep", "n_shingles", "prefix", "places", "suffix")]
+            for rep, n, prefix, places, suffix in zip(*wanted, strict=True):
+                shingles = np.frombuffer(prefix, np.int64).tolist()
+                columns[0] += shingles
+                columns[1] += [rep] * len(shingles)
+                columns[2] += [n] * len(shingles)
+                columns[3] += np.frombuffer(places, np.int32).tolist()
+                columns[4] += [suffix] * len(shingles)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
             names = ["shingle", "rep", "n", "place", "suffix"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return classes.select("rep", "shingles", "prefix").mapInArrow(each, _POSTING)
+    return classes.select("rep", "n_shingles", "prefix", "places", "suffix").mapInArrow(each, _POSTING)
 
 
 # --- candidate pairs -------------------------------------------------------------------------------------------
@@ -233,20 +242,65 @@ def _pairs(postings: DataFrame, threshold: Threshold, parts: int, leaders: int |
     return dealt.groupBy("_part").applyInArrow(meet, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, threshold: Threshold) -> DataFrame:
+def _sieve(wanted: DataFrame) -> np.ndarray:
+    """A bit for each cell that a wanted id falls into; of fixed size, so it also passes a few others."""
+    cell = F.pmod(F.xxhash64("least"), F.lit(1 << _SIEVE_BITS))
+    bits = F.bit_or(F.expr("shiftleft(1L, cast(cell % 64 as int))"))
+    words = wanted.select(cell.alias("cell")).groupBy(F.expr("cell div 64").alias("word")).agg(bits.alias("bits")).collect()
+    table = np.zeros(1 << (_SIEVE_BITS - 6), np.int64)
+    for r in words:  # at most 131,072, for any number of ids
+        table[r["word"]] = r["bits"]
+    return table
+
+
+def _shingles_of(docs: DataFrame, wanted: DataFrame, shingle: int, classes: np.ndarray) -> DataFrame:
+    """(rep, shingles) of the classes in ``wanted`` (rep, least, signature), from the text of document ``least``.
+
+    A sieve of fixed size keeps most other documents' sets from being made and moved; the join keeps the rest.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((_sieve(wanted), classes))
+
+    def each(batches):
+        bits, ranks = shared.value
+        for batch in batches:
+            cell = batch.column("_cell").to_numpy()
+            keep = (bits[cell >> 6] >> (cell & 63)) & 1 == 1
+            part = batch.filter(pa.array(keep))
+            for at in range(0, part.num_rows, 256):
+                some = part.slice(at, 256)
+                sets = _sets(some.column("text"), shingle, ranks)
+                columns = [pa.array(c, pa.binary()) for c in ([_signature(s) for s in sets], [s.tobytes() for s in sets])]
+                yield pa.RecordBatch.from_arrays([some.column("_id"), *columns], ["_id", "_signature", "shingles"])
+
+    given = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(common.NO_ID)).alias("_id"),
+        F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(common.NO_ID))), F.lit(1 << _SIEVE_BITS)).alias("_cell"),
+        "text",
+    )
+    found = given.mapInArrow(each, "_id long, _signature binary, shingles binary")
+    chosen = found.join(wanted, (F.col("_id") == F.col("least")) & (F.col("_signature") == F.col("signature")))
+    chosen = chosen.dropDuplicates(["rep"])  # rows that repeat an id
+    return chosen.select("rep", "shingles")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, threshold: Threshold, shingles_of: Callable) -> DataFrame:
     """The pairs whose sets reach the threshold, each compared once."""
+    pairs = materialize(pairs, "pairs")
+    reps = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    wanted = materialize(classes.select("rep", "least", "signature").join(reps, "rep", "left_semi"), "wanted")
+    sets = materialize(shingles_of(wanted), "shingles")
 
     def each(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
                 s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common_ = len(np.intersect1d(s, t, assume_unique=True))
-                keep.append(threshold.den * common_ >= threshold.num * (len(s) + len(t) - common_))
+                shared = len(np.intersect1d(s, t, assume_unique=True))
+                keep.append(threshold.den * shared >= threshold.num * (len(s) + len(t) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = classes.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
-    right = classes.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(each, "a long, b long")
 
 
@@ -288,21 +342,27 @@ def similar_documents(docs: DataFrame, shingle: int = 5, num: int = 4, den: int
     no component's id unless nothing else is in it; an empty table gives no rows; other columns are ignored.
     """
     threshold = Threshold(num, den)
-    members = materialize(_members(docs, shingle, threshold, frequency_classes(docs, shingle)), "members")
+    ranks = frequency_classes(docs, shingle)
+    members = materialize(_members(docs, shingle, threshold, ranks), "members")
+
+    def shingles_of(wanted: DataFrame) -> DataFrame:
+        return _shingles_of(docs, wanted, shingle, ranks)
+
     by_set = members.where("n_shingles > 0").groupBy("signature").agg(F.min("doc_id").alias("least"))
     by_set = by_set.withColumn("rep", F.xxhash64("signature"))
-    candidates = members.where(F.col("shingles").isNotNull()).select("doc_id", "signature", "shingles", "prefix")
+    candidates = members.where(F.col("prefix").isNotNull())
     same = (F.col("doc_id") == F.col("least")) & (F.col("signature") == F.col("_signature"))
     chosen = candidates.join(by_set.withColumnRenamed("signature", "_signature"), same)
-    classes = materialize(chosen.select("rep", "shingles", "prefix"), "classes")
+    classes = chosen.select("rep", "least", "signature", "n_shingles", "prefix", "places", "suffix")
+    classes = materialize(classes.dropDuplicates(["rep"]), "classes")
     parts = max(64, common.bucket_count(classes))
 
     postings = materialize(_postings(classes), "postings")
     alone = postings.withColumn("component", F.col("rep"))
-    links = materialize(_verified(_pairs(alone, threshold, parts, _LEADERS), classes, threshold), "links")
+    links = materialize(_verified(_pairs(alone, threshold, parts, _LEADERS), classes, threshold, shingles_of), "links")
     first = materialize(components(links), "components")
     labelled = postings.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    more = materialize(_verified(_pairs(labelled, threshold, parts, None), classes, threshold), "links")
+    more = materialize(_verified(_pairs(labelled, threshold, parts, None), classes, threshold, shingles_of), "links")
 
     # Each class goes to its component, and that to the smallest id in it.
     placed = by_set.join(components(links.unionByName(more)), "rep", "left")
