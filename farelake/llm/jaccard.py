@@ -29,7 +29,7 @@ from farelake.llm.common import Words, in_sorted, mix, pack, packed_schema, unpa
 from farelake.session import materialize
 
 _COUNT_BITS = 22  # the frequency table has so many cells for any corpus
-_SUFFIX_CELLS = 32
+_SUFFIX_CELLS = 128
 _SIEVE_BITS = 23  # cells of the fixed-size sieve of wanted documents
 _LEADERS = 3
 
@@ -146,7 +146,7 @@ def _members(docs: DataFrame, shingle: int, threshold: Threshold, classes: np.nd
                 places = np.flatnonzero(in_sorted(s[: threshold.prefix(len(s))], again)).astype(np.int32)
             if len(places):
                 cells = np.bincount((s >> np.uint64(20)).astype(np.int64) % _SUFFIX_CELLS, minlength=_SUFFIX_CELLS)
-                full = s[places].tobytes(), places.tobytes(), cells.astype(np.int32).tobytes()
+                full = s[places].tobytes(), places.tobytes(), np.minimum(cells, 255).astype(np.uint8).tobytes()
             else:
                 full = None, None, None
             rows.append((doc_id, len(s), signature, *full))
@@ -158,15 +158,15 @@ def _members(docs: DataFrame, shingle: int, threshold: Threshold, classes: np.nd
     return texts.groupBy("_bucket").cogroup(recurring.groupBy("_bucket")).applyInArrow(members, _MEMBER)
 
 
-_POSTING = "shingle long, rep long, n int, place int, suffix binary"
+_POSTING = "shingle long, rep long, n int, place int, shared int, suffix binary"
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """A row for each recurring prefix shingle of each class."""
+    """A row for each recurring prefix shingle of each class; ``shared``: how many of those the class has."""
 
     def each(batches):
         for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[], [], [], [], [], []]
             wanted = [batch.column(c).to_pylist() for c in ("rep", "n_shingles", "prefix", "places", "suffix")]
             for rep, n, prefix, places, suffix in zip(*wanted, strict=True):
                 shingles = np.frombuffer(prefix, np.int64).tolist()
@@ -174,9 +174,10 @@ def _postings(classes: DataFrame) -> DataFrame:
                 columns[1] += [rep] * len(shingles)
                 columns[2] += [n] * len(shingles)
                 columns[3] += np.frombuffer(places, np.int32).tolist()
-                columns[4] += [suffix] * len(shingles)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            names = ["shingle", "rep", "n", "place", "suffix"]
+                columns[4] += [len(shingles)] * len(shingles)
+                columns[5] += [suffix] * len(shingles)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            names = ["shingle", "rep", "n", "place", "shared", "suffix"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return classes.select("rep", "n_shingles", "prefix", "places", "suffix").mapInArrow(each, _POSTING)
@@ -188,11 +189,19 @@ def _postings(classes: DataFrame) -> DataFrame:
 class _Group:
     """The postings of one shingle, sorted by set size."""
 
-    def __init__(self, rep, n, place, suffix, component):
+    def __init__(self, rep, n, place, shared, suffix, component):
         order = np.argsort(n, kind="stable")
+        self.shared = shared[order].astype(np.int64)
         self.rep, self.n, self.place = rep[order], n[order].astype(np.int64), place[order].astype(np.int64)
         self.suffix, self.component = suffix[order], component[order]
 
+    def leaders(self) -> np.ndarray:
+        """The members that share most of their prefix with others, and so are likely in the middle of a group; and
+        one by chance, which is the same for all shingles of a group."""
+        chance = mix(self.rep.view(np.uint64))
+        central = np.lexsort((chance, -self.shared))[: _LEADERS - 1]
+        return np.unique(np.append(central, chance.argmin()))
+
     def partners(self, i: int, threshold: Threshold) -> np.ndarray:
         """Members that pass the length, positional and suffix filters with member ``i``."""
         n = int(self.n[i])
@@ -207,28 +216,33 @@ class _Group:
         before = np.minimum(self.place[i], self.place[among])
         keep = left + before >= least
         among, least = among[keep], least[keep]
-        apart = np.abs(self.suffix[among] - self.suffix[i]).sum(axis=1)
-        return among[(n + self.n[among] - apart) // 2 >= least]
+        # Cell by cell, the sets differ by at least the difference of their counts.
+        kept = [among[:0]]
+        for at in range(0, len(among), 4096):
+            some = among[at : at + 4096]
+            apart = np.abs(self.suffix[some].astype(np.int16) - self.suffix[i].astype(np.int16)).sum(axis=1)
+            kept.append(some[(n + self.n[some] - apart) // 2 >= least[at : at + 4096]])
+        return np.concatenate(kept)
 
 
-def _pairs(postings: DataFrame, threshold: Threshold, parts: int, leaders: int | None) -> DataFrame:
-    """Distinct candidate pairs (a < b) of classes in different components; with ``leaders``, of so many only."""
+def _pairs(postings: DataFrame, threshold: Threshold, parts: int, leaders_only: bool) -> DataFrame:
+    """Distinct candidate pairs (a < b) of classes in different components; perhaps those of the leaders only."""
 
     def meet(table: pa.Table) -> pa.Table:
         shingle = table.column("shingle").to_numpy()
         order = np.argsort(shingle, kind="stable")
         shingle = shingle[order]
-        rep, n, place, component = (table.column(c).to_numpy()[order] for c in ("rep", "n", "place", "component"))
-        suffix = np.frombuffer(b"".join(table.column("suffix").to_pylist()), np.int32).reshape(-1, _SUFFIX_CELLS)[order]
+        names = ("rep", "n", "place", "shared", "component")
+        rep, n, place, shared, component = (table.column(c).to_numpy()[order] for c in names)
+        suffix = np.frombuffer(b"".join(table.column("suffix").to_pylist()), np.uint8).reshape(-1, _SUFFIX_CELLS)[order]
         cuts = np.append(np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]])), len(shingle))
         pairs: set[tuple[int, int]] = set()
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if b - a < 2 or (component[a:b] == component[a]).all():
                 continue
-            group = _Group(rep[a:b], n[a:b], place[a:b], suffix[a:b], component[a:b])
-            if leaders is not None and b - a > leaders + 1:
-                spread = mix(group.rep.view(np.uint64) ^ np.uint64(shingle[a] & 0xFFFF))
-                probes = np.argsort(spread)[:leaders]
+            group = _Group(rep[a:b], n[a:b], place[a:b], shared[a:b], suffix[a:b], component[a:b])
+            if leaders_only and b - a > _LEADERS + 1:
+                probes = group.leaders()
             else:  # all but the members of the largest component, to which they are all compared
                 kinds, inverse, sizes = np.unique(group.component, return_inverse=True, return_counts=True)
                 probes = np.flatnonzero(inverse != sizes.argmax())
@@ -359,10 +373,10 @@ def similar_documents(docs: DataFrame, shingle: int = 5, num: int = 4, den: int
 
     postings = materialize(_postings(classes), "postings")
     alone = postings.withColumn("component", F.col("rep"))
-    links = materialize(_verified(_pairs(alone, threshold, parts, _LEADERS), classes, threshold, shingles_of), "links")
+    links = materialize(_verified(_pairs(alone, threshold, parts, True), classes, threshold, shingles_of), "links")
     first = materialize(components(links), "components")
     labelled = postings.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    more = materialize(_verified(_pairs(labelled, threshold, parts, None), classes, threshold, shingles_of), "links")
+    more = materialize(_verified(_pairs(labelled, threshold, parts, False), classes, threshold, shingles_of), "links")
 
     # Each class goes to its component, and that to the smallest id in it.
     placed = by_set.join(components(links.unionByName(more)), "rep", "left")
