@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +43,17 @@ def live_rows(raw: DataFrame) -> DataFrame:
     return raw.where(~F.col("_deleted"))
 
 
-def number_trips(raw: DataFrame, partitions: int | None = None, after: int = 0) -> DataFrame:
+#: What the validity rules read.
+RULED = ("pickup_datetime", "dropoff_datetime", "trip_distance", "total_amount", "fare_amount")
+
+
+def number_trips(
+    raw: DataFrame, partitions: int | None = None, after: int = 0, keep: Sequence[str] | None = None
+) -> DataFrame:
     """Live rows with ``row_num``: numbered after the soft-delete filter and before any validity rule,
-    so the numbers of valid trips have gaps. A later batch goes on ``after`` the live rows before it."""
-    return global_row_number(live_rows(raw), ROW_ORDER, partitions=partitions, after=after)
+    so the numbers of valid trips have gaps. A later batch goes on ``after`` the live rows before it. The sorted
+    copy holds the columns ``keep`` only (default: all)."""
+    return global_row_number(live_rows(raw), ROW_ORDER, partitions=partitions, after=after, keep=keep)
 
 
 def rate_code_or_unknown(code: Column) -> Column:
@@ -53,11 +62,13 @@ def rate_code_or_unknown(code: Column) -> Column:
 
 
 def standardize(raw: DataFrame) -> DataFrame:
-    """Rename and cast. All casts but the rate code's are strict: malformed text fails the job (ANSI mode)."""
+    """Rename and cast the columns that are there. All casts but the rate code's are strict: malformed text fails the job (ANSI mode)."""
     out = []
     if "row_num" in raw.columns:
         out.append(surrogate_key(F.col("row_num")).alias("trip_id"))
     for source, (name, kind) in _TYPED.items():
+        if source not in raw.columns:
+            continue
         column = F.col(source)
         typed = rate_code_or_unknown(column) if source == "rate_code" else column.cast(kind)
         out.append(typed.alias(name))
@@ -79,8 +90,14 @@ def valid_trips(trips: DataFrame) -> DataFrame:
     )
 
 
-def clean_trips(raw: DataFrame, keyed: bool = True, partitions: int | None = None, after: int = 0) -> DataFrame:
+def clean_trips(
+    raw: DataFrame,
+    keyed: bool = True,
+    partitions: int | None = None,
+    after: int = 0,
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
     """Typed valid trips. ``keyed=False`` leaves out ``trip_id``, and with it the sort of the whole table;
-    no report needs the key."""
-    live = number_trips(raw, partitions, after) if keyed else live_rows(raw)
+    no report needs the key. Keyed trips can be narrowed to ``keep``, which must include what the rules read."""
+    live = number_trips(raw, partitions, after, keep) if keyed else live_rows(raw)
     return valid_trips(standardize(live))

@@ -35,20 +35,22 @@ def category_labels() -> list[Column]:
     ]
 
 
-def measures() -> list[Column]:
-    """Durations and ratios of trips that carry their duration in whole seconds; a zero divisor gives null."""
+def measures(*wanted: str) -> list[Column]:
+    """Durations and ratios (default: all) of trips that carry their duration in whole seconds; a zero divisor gives
+    null."""
     seconds = F.col("trip_duration_seconds")
     hours = seconds / 3600.0
     surcharges = F.col("extra_charges") + F.col("mta_tax") + F.col("improvement_surcharge")
-    return [
-        seconds,
-        calendar.whole_minutes(seconds).alias("trip_duration_minutes"),
-        ratio(F.col("fare_amount"), F.col("trip_distance_miles")).alias("fare_per_mile"),
-        (ratio(F.col("tip_amount"), F.col("fare_amount")) * 100.0).alias("tip_percentage"),
-        ratio(F.col("trip_distance_miles"), hours).alias("avg_speed_mph"),
-        surcharges.alias("total_surcharges"),
-        ratio(F.col("total_amount"), hours).alias("revenue_per_hour"),
-    ]
+    every = {
+        "trip_duration_seconds": seconds,
+        "trip_duration_minutes": calendar.whole_minutes(seconds),
+        "fare_per_mile": ratio(F.col("fare_amount"), F.col("trip_distance_miles")),
+        "tip_percentage": ratio(F.col("tip_amount"), F.col("fare_amount")) * 100.0,
+        "avg_speed_mph": ratio(F.col("trip_distance_miles"), hours),
+        "total_surcharges": surcharges,
+        "revenue_per_hour": ratio(F.col("total_amount"), hours),
+    }
+    return [every[name].alias(name) for name in wanted or every]
 
 
 def timed(trips: DataFrame) -> DataFrame:

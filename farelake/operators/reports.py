@@ -317,3 +317,61 @@ def payment_share(trips: DataFrame, payment_types: DataFrame) -> DataFrame:
         .select("payment_type_id", "payment_type_name", "trip_count", "trip_pct")
         .orderBy("payment_type_id")
     )
+
+
+def route_revenue(trips: DataFrame, locations: DataFrame) -> DataFrame:
+    """Trips and revenue per pair of pickup and dropoff zones that has occurred. Aggregated on the two ids; the zone
+    names are attached to the result."""
+    stats = trips.groupBy("pickup_location_id", "dropoff_location_id").agg(
+        rows().alias("trip_count"),
+        total("total_amount").alias("total_revenue"),
+        money_mean("total_amount").alias("avg_revenue"),
+        mean("trip_distance_miles", 2).alias("avg_distance"),
+    )
+
+    def side(name: str) -> DataFrame:
+        return locations.select(
+            F.col("location_id").alias(f"{name}_location_id"),
+            F.col("zone_name").alias(f"{name}_zone"),
+            F.col("borough").alias(f"{name}_borough"),
+        )
+
+    named = stats.join(side("pickup"), "pickup_location_id", "left").join(side("dropoff"), "dropoff_location_id", "left")
+    return named.select(
+        *("pickup_location_id", "pickup_zone", "pickup_borough", "dropoff_location_id", "dropoff_zone"),
+        *("dropoff_borough", *stats.columns[2:]),
+    )
+
+
+def daily_anomalies(partials: DataFrame, days: int = 28, deviations: int = 3) -> DataFrame:
+    """Days whose revenue is more than ``deviations`` standard deviations away from the mean of the ``days`` days with
+    trips before them.
+
+    ``partials`` has one row per day (``day_partials``), which bounds the window. Sums of cents and of their squares are
+    exact decimals, so the flag does not depend on rounding: it compares squares. Fewer than two days before give none.
+    """
+    whole = "decimal(38,0)"
+    cents = F.round(F.col("total_revenue") * 100).cast(whole)
+    before = Window.orderBy("pickup_date").rowsBetween(-days, -1)
+    summed = partials.select("pickup_date", F.round("total_revenue", 2).cast("double").alias("total_revenue"), cents.alias("x"))
+    summed = summed.withColumns(
+        {
+            "n": F.count("x").over(before),
+            "s": F.sum("x").over(before).cast(whole),
+            "q": F.sum((F.col("x") * F.col("x")).cast(whole)).over(before).cast(whole),
+        }
+    )
+    n, s, q, x = (F.col(c).cast(whole) for c in ("n", "s", "q", "x"))
+    spread = (n * q).cast(whole) - (s * s).cast(whole)
+    off = ((n * x).cast(whole) - s).cast(whole)
+    far = (off * off).cast(whole) * (n - 1) > F.lit(deviations * deviations) * n * spread
+    enough = F.col("n") >= 2
+    variance = spread.cast("double") / (n * (n - 1)).cast("double")
+    return summed.select(
+        "pickup_date",
+        "total_revenue",
+        F.col("n").alias("days_before"),
+        F.when(enough, round_to(s.cast("double") / n.cast("double") / 100.0, 2)).alias("mean_before"),
+        F.when(enough, round_to(F.sqrt(variance) / 100.0, 2)).alias("deviation_before"),
+        (enough & far).alias("is_anomaly"),
+    )

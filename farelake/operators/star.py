@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.functions import buckets, calendar
@@ -77,3 +77,36 @@ def build_fact(
         .withColumn("updated_at", instant(as_of))
         .select(*FACT.names)
     )
+
+
+def zone_classes(trips: DataFrame, locations: DataFrame) -> DataFrame:
+    """Zones with trips, their borough, and a class by how many trips they have had."""
+    counts = trips.groupBy(F.col("pickup_location_id").alias("location_id")).agg(F.count(F.lit(1)).alias("n"))
+    label = F.when(F.col("n") >= 200, "high").when(F.col("n") >= 20, "medium").otherwise("low")
+    return counts.join(locations, "location_id").select("location_id", "zone_name", "borough", label.alias("demand_class"))
+
+
+def type_two_history(before: DataFrame, after: DataFrame, key: str, first: str, second: str) -> DataFrame:
+    """The history of a dimension from two snapshots with the same columns.
+
+    A member that is in both and has not changed has one row, valid from ``first`` on. One that has changed has its old
+    row closed at ``second`` and a new one from there on; one that is gone has its row closed, and a new one begins at
+    ``second``. ``valid_to`` is null while a row is current. Nulls compare equal. One shuffle of each snapshot by key.
+    """
+    attributes = [c for c in before.columns if c != key]
+    old = before.select(key, F.struct(*attributes).alias("_old"))
+    new = after.select(key, F.struct(*attributes).alias("_new"))
+    since, then = (F.lit(day).cast("date") for day in (first, second))
+    nothing, same = F.lit(None).cast("date"), F.col("_old").eqNullSafe(F.col("_new"))
+
+    def version(values: str, valid_from: Column, valid_to: Column) -> Column:
+        row = [F.col(f"{values}.{c}").alias(c) for c in attributes]
+        current = valid_to.isNull().alias("is_current")
+        return F.struct(*row, valid_from.alias("valid_from"), valid_to.alias("valid_to"), current)
+
+    versions = F.array(
+        F.when(F.col("_old").isNotNull(), version("_old", since, F.when(same, nothing).otherwise(then))),
+        F.when(F.col("_new").isNotNull() & ~same, version("_new", then, nothing)),
+    )
+    joined = old.join(new, key, "full_outer")
+    return joined.select(key, F.inline(F.filter(versions, lambda v: v.isNotNull())))

@@ -17,6 +17,8 @@ from farelake.plans.checks import all_checks
 from farelake.plans.settings import (
     EXTRACT_END,
     EXTRACT_START,
+    HISTORY_FIRST,
+    HISTORY_SECOND,
     SAMPLE_KEYS,
     SAMPLE_SHARE,
     SCAN_END,
@@ -53,6 +55,15 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.build_fact(trips, known.vendors, known.payment_types, known.rate_codes, fixture.AS_OF)
 
 
+def _keyed(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
+    """Valid trips with their key and the wanted money, distance and measure columns. The sorted copy that numbers
+    them holds only what these and the validity rules read, and no lookup is joined."""
+    raw = fixture.raw_trips(spark, sf_dir)
+    trips = enrich.timed(clean.clean_trips(raw, keep=clean.RULED))
+    made = [name for name in wanted if name not in trips.columns]
+    return trips.select("trip_id", *(c for c in wanted if c in trips.columns), *(enrich.measures(*made) if made else []))
+
+
 def _known(spark: SparkSession) -> warehouse.Lookups:
     return warehouse.Lookups.with_zones(spark, fixture.zones(spark))
 
@@ -96,12 +107,13 @@ def tolerant_cast(spark, sf_dir):
 
 @_query
 def global_row_number(spark, sf_dir):
-    return clean.number_trips(fixture.raw_trips(spark, sf_dir)).select("row_num", *clean.ROW_ORDER)
+    return clean.number_trips(fixture.raw_trips(spark, sf_dir), keep=clean.ROW_ORDER).select("row_num", *clean.ROW_ORDER)
 
 
 @_query
 def surrogate_key_(spark, sf_dir):
-    return clean.number_trips(fixture.raw_trips(spark, sf_dir)).select(
+    parts = ("rate_code", "store_and_fwd_flag")
+    return clean.number_trips(fixture.raw_trips(spark, sf_dir), keep=parts).select(
         "row_num",
         surrogate_key(F.col("row_num")).alias("trip_id"),
         surrogate_key(F.col("rate_code"), F.col("store_and_fwd_flag")).alias("code_key"),
@@ -248,6 +260,25 @@ def daily_revenue_stream(spark, sf_dir):
     return daily.current_report(spark, log)
 
 
+@_query
+def route_revenue(spark, sf_dir):
+    return reports.route_revenue(_trips(spark, sf_dir), _locations(spark))
+
+
+@_query
+def daily_anomalies(spark, sf_dir):
+    return reports.daily_anomalies(reports.day_partials(_trips(spark, sf_dir)))
+
+
+@_query
+def zone_history(spark, sf_dir):
+    """How the zones' class changed between the trips before a date and all trips."""
+    trips = _trips(spark, sf_dir)
+    earlier = star.zone_classes(trips.where(F.col("pickup_date") < F.lit(HISTORY_FIRST).cast("date")), _locations(spark))
+    later = star.zone_classes(trips, _locations(spark))
+    return star.type_two_history(earlier, later, "location_id", HISTORY_FIRST, HISTORY_SECOND)
+
+
 # --- data checks -----------------------------------------------------------------------------------------
 
 
@@ -255,7 +286,7 @@ def daily_revenue_stream(spark, sf_dir):
 def dq_unique(spark, sf_dir):
     """The key has no duplicates; the pickup time, which is no key, has many."""
     found = {
-        "trip_id": quality.duplicates(_fact(spark, sf_dir), "trip_id"),
+        "trip_id": quality.duplicates(_keyed(spark, sf_dir), "trip_id"),
         "pickup_at": quality.duplicates(_trips(spark, sf_dir), "pickup_at"),
     }
     parts = [
@@ -298,24 +329,23 @@ def dq_relationships(spark, sf_dir):
 
 @_query
 def dq_revenue_consistency(spark, sf_dir):
-    bad = _fact(spark, sf_dir).where(quality.total_below_fare())
-    return bad.select("trip_id", "fare_amount", "total_amount")
+    return _keyed(spark, sf_dir, "fare_amount", "total_amount").where(quality.total_below_fare())
 
 
 @_query
 def dq_positive_duration(spark, sf_dir):
-    return _fact(spark, sf_dir).where(quality.no_whole_minute()).select("trip_id", "trip_duration_minutes")
+    return _keyed(spark, sf_dir, "trip_duration_minutes").where(quality.no_whole_minute())
 
 
 @_query
 def dq_duration_range(spark, sf_dir):
-    return _fact(spark, sf_dir).where(quality.over_four_hours()).select("trip_id", "trip_duration_minutes")
+    return _keyed(spark, sf_dir, "trip_duration_minutes").where(quality.over_four_hours())
 
 
 @_query
 def dq_speed(spark, sf_dir):
-    bad = _fact(spark, sf_dir).where(quality.over_speed_limit())
-    return bad.select("trip_id", "avg_speed_mph", "trip_distance_miles", "trip_duration_minutes")
+    wanted = "avg_speed_mph", "trip_distance_miles", "trip_duration_minutes"
+    return _keyed(spark, sf_dir, *wanted).where(quality.over_speed_limit())
 
 
 @_query
@@ -325,10 +355,11 @@ def dq_freshness(spark, sf_dir):
 
 @_query
 def dq_report(spark, sf_dir):
-    """All declared checks. Relations with several checks that are costly to derive are written once."""
+    """All declared checks. The fact is stored once and read back pruned, as are relations with several checks that
+    are costly to derive."""
     known = _known(spark)
-    enriched = _trips(spark, sf_dir, keyed=True)
-    fact = star.build_fact(enriched, known.vendors, known.payment_types, known.rate_codes, fixture.AS_OF)
+    fact = materialize(_fact(spark, sf_dir), "fact")
+    enriched = fact.drop("vendor_name", "payment_type_name", "rate_code_name", "updated_at")
     dims = warehouse.dimensions(known, fact)
     made = warehouse.all_reports(fact, known, fixture.AS_OF)
     for tables, name in ((dims, "dim_date"), (made, "location_stats"), (made, "daily_revenue")):

@@ -12,6 +12,8 @@ from farelake.plans import fixture
 from farelake.plans.settings import (
     EXTRACT_END,
     EXTRACT_START,
+    HISTORY_FIRST,
+    HISTORY_SECOND,
     SAMPLE_KEYS,
     SAMPLE_SHARE,
     SCAN_END,
@@ -386,6 +388,23 @@ def _orphans() -> str:
     )
 
 
+def _history() -> str:
+    def snapshot(condition: str) -> str:
+        return f"""select location_id, zone_name, borough,
+       case when count(*) >= 200 then 'high' when count(*) >= 20 then 'medium' else 'low' end as demand_class
+from enriched join locations on location_id = pickup_location_id where {condition} group by all"""
+
+    first, second = f"date '{HISTORY_FIRST}'", f"date '{HISTORY_SECOND}'"
+    old, new = f"({snapshot(f'pickup_date < {first}')})", f"({snapshot('true')})"
+    same = "o.zone_name = n.zone_name and o.borough = n.borough and o.demand_class = n.demand_class"
+    return f"""select o.*, {first} as valid_from, case when {same} then null else {second} end as valid_to,
+       coalesce({same}, false) as is_current
+from {old} o left join {new} n on n.location_id = o.location_id
+union all
+select n.*, {second}, null, true from {new} n left join {old} o on n.location_id = o.location_id
+where o.location_id is null or not ({same})"""
+
+
 def _report() -> str:
     """One select per declared check."""
     out = []
@@ -550,6 +569,22 @@ from (select max(_synced) as newest, date_sub('second', max(_synced), timestamp
         f" where direction = 'pickup' order by total_revenue desc, location_id limit {TOP_ZONES}",
         "weekly_revenue": f"select *, {_r('total_revenue / trip_count', 2)} as avg_trip_revenue, {_COMPOSITION}"
         " from weeks",
+        "route_revenue": f"""select t.pickup_location_id, p.zone_name as pickup_zone, p.borough as pickup_borough,
+       t.dropoff_location_id, d.zone_name as dropoff_zone, d.borough as dropoff_borough, count(*) as trip_count,
+       {_sum('total_amount', 'total_revenue')}, {_money_avg('total_amount', 'avg_revenue')},
+       {_avg('trip_distance_miles', 2, 'avg_distance')}
+from enriched t left join locations p on p.location_id = t.pickup_location_id
+     left join locations d on d.location_id = t.dropoff_location_id
+group by all""",
+        "daily_anomalies": f"""select pickup_date, total_revenue, n as days_before,
+       case when n >= 2 then {_r('cast(s as double) / n / 100', 2)} end as mean_before,
+       case when n >= 2 then
+           {_r('sqrt(cast(n * q - s * s as double) / (n * (n - 1))) / 100', 2)} end as deviation_before,
+       coalesce(n >= 2 and (n * x - s) * (n * x - s) * (n - 1) > 9 * n * (n * q - s * s), false) as is_anomaly
+from (select pickup_date, total_revenue, x, count(x) over w as n, sum(x) over w as s, sum(x * x) over w as q
+      from (select pickup_date, total_revenue, cast(round(total_revenue * 100) as hugeint) as x from days)
+      window w as (order by pickup_date rows between 28 preceding and 1 preceding))""",
+        "zone_history": _history(),
         "payment_share": "select payment_type_id, payment_type_name, count(*) as trip_count,"
         f" {_pct('count(*)', 'sum(count(*)) over ()', 'trip_pct')}"
         " from enriched left join payment_types using (payment_type_id) group by all",

@@ -10,3 +10,6 @@ SCAN_START = "1997-02-10"
 SCAN_END = "2000-08-20"
 
 TOP_ZONES = 10
+
+HISTORY_FIRST = "1998-06-01"
+HISTORY_SECOND = "2001-12-01"

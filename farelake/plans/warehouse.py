@@ -12,6 +12,7 @@ from farelake.functions.calendar import instant, month_start
 from farelake.operators import clean, enrich, reports, star
 from farelake.operators.quality import run_checks
 from farelake.plans.checks import all_checks
+from farelake.session import sized_partitions
 from farelake.sources import landing, lookups, store
 
 
@@ -75,11 +76,12 @@ def build(
 ) -> DataFrame:
     """Build every table below ``out`` and return the check report over the stored tables.
 
-    The trips are numbered once, in ``partitions`` sorted parts (default: the session's shuffle partitions);
+    The trips are numbered once and stored once, in ``partitions`` sorted parts (default: by the size of ``raw``);
     the fact is stored once and read back, column-pruned, by each report.
     """
-    enriched = enrich.enrich_trips(clean.clean_trips(raw, partitions=partitions))
-    store.write_fact(_fact(enriched, known, as_of), _fact_path(out))
+    parts = partitions or sized_partitions(raw)
+    enriched = enrich.enrich_trips(clean.clean_trips(raw, partitions=parts))
+    store.write_fact(_fact(enriched, known, as_of), _fact_path(out), parts)
     dims, made = _derived(spark, known, out, as_of)
     stored = store.read_fact(spark, _fact_path(out))
     return run_checks(spark, check_tables(enriched, stored, known, dims, made), all_checks())
@@ -106,10 +108,12 @@ def refresh(
     at = F.col("pickup_datetime")
     # Rows without a pickup time sort first; they take up numbers before the boundary.
     earlier = clean.live_rows(raw).where(at.isNull() | (at < boundary)).count()
-    enriched = enrich.enrich_trips(clean.clean_trips(raw.where(at >= boundary), partitions=partitions, after=earlier))
+    changed = raw.where(at >= boundary)
+    parts = partitions or sized_partitions(changed)
+    enriched = enrich.enrich_trips(clean.clean_trips(changed, partitions=parts, after=earlier))
     fact = _fact(enriched, known, as_of)
     _refuse_emptied_months(spark, fact, out, since)
-    store.replace_months(fact, _fact_path(out))
+    store.replace_months(fact, _fact_path(out), parts)
     dims, made = _derived(spark, known, out, as_of)
     stored = store.read_fact(spark, _fact_path(out))
     return run_checks(spark, check_tables(enriched, stored, known, dims, made), all_checks())

@@ -59,6 +59,22 @@ def release_scratch(spark: SparkSession) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+_PART_BYTES = 256 << 20
+_UNKNOWN_BYTES = 1 << 50
+
+
+def sized_partitions(df: DataFrame, bytes_per_part: int = _PART_BYTES) -> int:
+    """Partitions for a shuffle of ``df``: about 256 MB each by the size of the tables it reads, and never fewer than
+    ``spark.sql.shuffle.partitions``. Where the optimizer knows no size (it then assumes more than any table has), that.
+
+    The estimate of a whole plan is of no use here: it multiplies the sides of a join.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return least if size >= _UNKNOWN_BYTES else max(least, -(-size // bytes_per_part))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to shared scratch and return a scan of it; later steps no longer depend on its lineage."""
     spark = df.sparkSession

@@ -4,9 +4,13 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from conftest import plan_of
+
+from farelake.operators import numbering
 from farelake.operators.clean import ROW_ORDER, live_rows, number_trips
 from farelake.operators.numbering import global_row_number
 from farelake.plans import fixture
+from farelake.session import sized_partitions
 
 
 def numbers(df, name="row_num"):
@@ -67,3 +71,29 @@ def test_start_and_empty(spark, after):
 def test_nulls_sort_first(spark):
     df = spark.sql("select * from values (2), (null), (1) as t(k)")
     assert [r.k for r in global_row_number(df, ["k"]).orderBy("row_num").collect()] == [None, 1, 2]
+
+
+def test_only_wanted_columns_are_written(spark):
+    df = spark.range(500).selectExpr("id % 7 as a", "id as b", "cast(id as string) as c")
+    out = global_row_number(df, ["a"], keep=["b"])
+    assert out.columns == ["b", "row_num"]
+    expected = [r.id for r in spark.range(500).orderBy("id").collect()]
+    ranked = sorted(expected, key=lambda i: (i % 7, i))
+    assert [r.b for r in out.orderBy("row_num").collect()] == ranked
+    assert "a#" not in plan_of(out) and "c:string" not in plan_of(out)
+
+
+def test_partitions_follow_the_size(spark, tmp_path):
+    spark.range(4000).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sized_partitions(stored) == configured
+    assert sized_partitions(stored, bytes_per_part=100) > configured
+    both = stored.crossJoin(stored.withColumnRenamed("id", "other"))
+    assert sized_partitions(both, 100) < 3 * sized_partitions(stored, 100)
+
+
+def test_a_wrapped_position_fails(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "_POSITION_BITS", 3)
+    with pytest.raises(Exception, match="more partitions"):
+        global_row_number(spark.range(100), ["id"], partitions=2).collect()

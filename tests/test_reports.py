@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import statistics
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from farelake.operators import clean, enrich, reports, star
 from farelake.plans import catalog, fixture
@@ -198,3 +201,30 @@ def test_entry_runs(spark):
 
     out = __spark_entry__.entry(spark)
     assert out.columns == catalog.zone_performance(spark, "/root/testdata/sf0.001").columns and out.count() > 0
+
+
+def test_daily_anomalies_against_statistics(spark):
+    rng = random.Random(3)
+    amounts = [round(rng.uniform(900, 1100), 2) for _ in range(60)]
+    amounts[40] = 5000.0
+    rows = [(dt.date(2022, 1, 1) + dt.timedelta(days=i), a) for i, a in enumerate(amounts)]
+    partials = spark.createDataFrame(rows, "pickup_date date, total_revenue double")
+    partials = partials.withColumn("total_revenue", F.col("total_revenue").cast("decimal(28,6)"))
+    out = reports.daily_anomalies(partials).orderBy("pickup_date").collect()
+    for i, row in enumerate(out):
+        before = amounts[max(0, i - 28) : i]
+        assert row.days_before == len(before)
+        if len(before) < 2:
+            assert row.mean_before is None and not row.is_anomaly
+            continue
+        mean, deviation = statistics.mean(before), statistics.stdev(before)
+        assert abs(row.mean_before - mean) < 0.011 and abs(row.deviation_before - deviation) < 0.011
+        assert row.is_anomaly == (abs(amounts[i] - mean) > 3 * deviation)
+    assert out[40].is_anomaly
+
+
+def test_routes_add_up(small, locations):
+    trips, rows = small
+    out = reports.route_revenue(trips, locations).collect()
+    assert sum(r.trip_count for r in out) == len(rows)
+    assert len(out) == len({(r.pickup_location_id, r.dropoff_location_id) for r in rows})

@@ -96,3 +96,24 @@ def test_date_dim(spark):
     assert tuple(first) == (
         dt.date(2022, 1, 1), 2022, 1, 1, 0, 7, "Saturday", True, "2022-01", "2021-W52",
     )
+
+
+def test_history_of_two_snapshots(spark):
+    schema = "k int, a string, b int"
+    before = spark.createDataFrame([(1, "x", 1), (2, "x", None), (3, "y", 3), (4, None, 4)], schema)
+    after = spark.createDataFrame([(1, "x", 1), (2, "z", None), (4, None, 4), (5, "n", 5)], schema)
+    out = star.type_two_history(before, after, "k", "2020-01-01", "2021-01-01").collect()
+    first, second = dt.date(2020, 1, 1), dt.date(2021, 1, 1)
+    assert sorted(map(repr, map(tuple, out))) == sorted(
+        map(
+            repr,
+            [
+                (1, "x", 1, first, None, True),
+                (2, "x", None, first, second, False),
+                (2, "z", None, second, None, True),
+                (3, "y", 3, first, second, False),
+                (4, None, 4, first, None, True),
+                (5, "n", 5, second, None, True),
+            ],
+        )
+    )
