@@ -52,16 +52,17 @@ def parse(arguments: list[str]) -> argparse.Namespace:
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> int:
-    trips = landing.extract_range(spark.read.parquet(args.source), args.start, args.end)
+    source = spark.read.schema(schemas.SOURCE_TRIPS).parquet(args.source)
+    trips = landing.extract_range(source, args.start, args.end)
     if args.share is not None:
         trips = landing.sample_share(trips, args.share, ROW_ORDER)
     landing.replace_table(landing.add_sync_columns(trips, args.as_of), args.landing)
-    landing.load_summary(spark.read.parquet(args.landing)).show(truncate=False)
+    landing.load_summary(landing.read_landing(spark, args.landing)).show(truncate=False)
     return 0
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> int:
-    raw = spark.read.parquet(args.landing)
+    raw = landing.read_landing(spark, args.landing)
     zones = lookups.read_csv(spark, args.zones, schemas.ZONES)
     known = warehouse.Lookups.with_zones(spark, zones)
     if args.command == "refresh":

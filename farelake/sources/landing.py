@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from farelake import schemas
 from farelake.functions.calendar import instant
 from farelake.functions.numeric import rows, total
+from farelake.session import replace_folder
 
 _HASH_DIGITS = 8
 
@@ -48,8 +49,9 @@ def ensure_schema(spark: SparkSession, name: str) -> None:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Full refresh: the rows at ``path`` become exactly the rows of ``df``."""
-    df.write.mode("overwrite").parquet(path)
+    """Full refresh: the rows at ``path`` become exactly the rows of ``df``, which may be derived from them. A failed
+    write leaves the table as it was."""
+    replace_folder(df.sparkSession, path, df.write.parquet)
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions.calendar import month_start
 from farelake.schemas import STORED_FACT
+from farelake.session import replace_folder
 
 PARTITION = "month_start"
 CLUSTER_KEYS = ("pickup_location_id", "payment_type_id", "rate_code_id")
@@ -28,8 +29,9 @@ def _clustered(fact: DataFrame, partitions: int | None) -> DataFrame:
 
 
 def write_fact(fact: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Full refresh of the stored fact."""
-    _clustered(fact, partitions).write.mode("overwrite").partitionBy(PARTITION).parquet(path)
+    """Full refresh of the stored fact. A failed write leaves it as it was."""
+    writer = _clustered(fact, partitions).write.partitionBy(PARTITION)
+    replace_folder(fact.sparkSession, path, writer.parquet)
 
 
 def replace_months(fact: DataFrame, path: str, partitions: int | None = None) -> None:

@@ -7,6 +7,7 @@ import types
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 from test_star import make_fact
 
 from farelake.plans import fixture
@@ -117,6 +118,18 @@ def test_samples_are_nested_and_need_no_shuffle(spark):
         landing.sample_share(df, 1.5, ["k"])
 
 
+def test_a_failed_refresh_leaves_the_table(spark, raw, tmp_path):
+    path = str(tmp_path / "landing")
+    landing.replace_table(raw({}, {}), path)
+    broken = raw({}).withColumn("vendor_id", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        landing.replace_table(broken, path)
+    assert landing.read_landing(spark, path).count() == 2
+    assert os.listdir(tmp_path) == ["landing"]
+    landing.replace_table(landing.read_landing(spark, path).limit(1), path)
+    assert landing.read_landing(spark, path).count() == 1
+
+
 class FakeSession:
     """What the scratch folder looks at."""
 
