@@ -17,7 +17,7 @@ Every exchanged hash travels once per bucket, so copies and frequent passages co
 
 from __future__ import annotations
 
-from itertools import pairwise
+from itertools import pairwise, repeat
 
 import ahocorasick
 import numpy as np
@@ -34,6 +34,7 @@ _ANCHOR = 5
 _SLICE_BYTES = 1 << 20  # text of an automaton's documents
 _NODES = 3_000_000  # of an automaton, at about 64 bytes each
 _SECOND = 256  # codes of a word's second character
+_OTHER_WORD = "\x01\x02"
 
 
 def _windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,14 +154,13 @@ def _slices(table: pa.Table) -> list[pa.Table]:
     return [table.slice(a, b - a) for a, b in pairwise(cuts)]
 
 
-class _Codes(dict):
-    """Two characters for each distinct word, the first and the second from different ranges, so that a phrase can
-    match at words only, and a node of the automaton has few branches."""
-
-    def __missing__(self, word: bytes) -> str:
-        number = len(self)
-        code = self[word] = chr(0x100 + number // _SECOND) + chr(0xE000 + number % _SECOND)
-        return code
+def _coded(texts: list[list[bytes]], known: set[bytes]) -> list[str]:
+    """Each text as two characters for each of its words, the first and the second from different ranges, so that a
+    phrase can match at words only, and a node of the automaton has few branches. Words that are in no phrase share
+    one code."""
+    codes = {w: chr(0x100 + i // _SECOND) + chr(0xE000 + i % _SECOND) for i, w in enumerate(known)}
+    look = codes.get
+    return ["".join(map(look, words, repeat(_OTHER_WORD))) for words in texts]
 
 
 def _kept(table: pa.Table, confirmed: np.ndarray, owners: np.ndarray, window: int) -> list[tuple[int, int, str]]:
@@ -180,10 +180,15 @@ def _kept(table: pa.Table, confirmed: np.ndarray, owners: np.ndarray, window: in
     owner_of = owners[np.searchsorted(confirmed, phrases)].tolist()
     found: list[list[int]] = [[] for _ in texts]
     if len(phrases):
-        codes = _Codes()
-        coded = ["".join(map(codes.__getitem__, ws)) for ws in texts]
         docs = words.doc[places]
-        spans = list(zip(docs.tolist(), (2 * (places - words.at[docs])).tolist(), strict=True))
+        begins = places - words.at[docs]
+        change = np.zeros(len(words.hashes) + 1, np.int64)
+        np.add.at(change, places, 1)
+        np.add.at(change, places + window, -1)
+        inside = np.flatnonzero(np.cumsum(change[:-1]))  # words of phrases
+        owners_at = words.doc[inside]
+        coded = _coded(texts, {texts[d][i] for d, i in zip(owners_at.tolist(), (inside - words.at[owners_at]).tolist(), strict=True)})
+        spans = list(zip(docs.tolist(), (2 * begins).tolist(), strict=True))
         most = max(1, _NODES // (2 * window))
         for low in range(0, len(spans), most):
             automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
