@@ -30,6 +30,7 @@ _HALF = 64  # bytes; a chunk is two halves, and the next chunk starts one half l
 _PAD = 512
 _SLICE = 1024  # halves worked off at once
 _EPOCHS = 14
+_LEAST_STEPS = 500  # a small sample is gone through more often
 _BATCH = 48
 _RATE = 0.02
 
@@ -111,8 +112,9 @@ class Network:
         for at in range(0, len(order), _BATCH):
             rows = order[at : at + _BATCH]
             batches.append((_Symbols(pa.array([texts[i] for i in rows], pa.large_string())), labels[rows]))
-        for epoch in range(_EPOCHS):
-            rate = _RATE * (1 if epoch < _EPOCHS - 4 else 0.2)
+        epochs = max(_EPOCHS, -(-_LEAST_STEPS // len(batches)))
+        for epoch in range(epochs):
+            rate = _RATE * (1 if epoch < 0.7 * epochs else 0.2)
             for i in draw.permutation(len(batches)):
                 gradients = self._gradients(*batches[i])
                 step += 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import corpus_pipeline
@@ -34,24 +35,26 @@ def test_sql_counterparts(spark, name):
 def planted(spark):
     """The documents and, with ids from 100,000 on, a copy, a near copy, junk and a repeated passage."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    clean = next(r for r in docs.orderBy("doc_id").collect() if r.lang == "en" and 1500 < r.n_chars < 4000 and "!!" not in r.text and "***" not in r.text and "|" not in r.text and len(set(r.text.split())) > 150)
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id")
+    good = docs.join(labels, "doc_id").where("lang = 'en' and n_chars between 1500 and 6000").orderBy("doc_id").collect()
+    clean, other = [r for r in good if len(set(r.text.split())) > 150][:2]
     words = clean.text.split()
-    passage = [f"ther{chr(97 + i % 26)}{chr(97 + i // 26)}ing" for i in range(55)]
-    letters = [f"and{chr(97 + i % 26)}{chr(97 + i // 26)}er" for i in range(200)]
+    draw = random.Random(6)  # the words of a good document in another order: good, and no copy of anything
+    passage, before, after = ([draw.choice(other.text.split()) for _ in range(n)] for n in (55, 120, 120))
     rows = [
         (100_000, clean.text, "en", "s", 0),
         (100_001, " ".join([*words[:100], "another", *words[101:]]), "en", "s", 0),
         (100_002, " ".join(f"{w.upper()}!!" for w in words), "en", "s", 0),
-        (100_003, " ".join([*letters[:100], *passage]), "en", "s", 0),
-        (100_004, " ".join([*passage, *letters[100:]]), "en", "s", 0),
+        (100_003, " ".join([*before, *passage]), "en", "s", 0),
+        (100_004, " ".join([*passage, *after]), "en", "s", 0),
         (100_005, "123 456 !!", "en", "s", 0),
         (100_006, None, None, None, None),
     ]
-    return docs.unionByName(spark.createDataFrame(rows, docs.schema)), clean, letters
+    return docs.unionByName(spark.createDataFrame(rows, docs.schema)), after
 
 
 def test_stages(spark, planted):
-    docs, clean, letters = planted
+    docs, unique = planted
     columns = docs.columns
     after = {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -65,7 +68,7 @@ def test_stages(spark, planted):
     assert {100_000, 100_001} <= set(after["quality"])
     assert not {100_000, 100_001} & set(after["near duplicates"])
     assert after["passages"][100_003].text == after["near duplicates"][100_003].text
-    assert after["passages"][100_004].text == " ".join(letters[100:])
+    assert after["passages"][100_004].text == " ".join(unique)
     assert after["passages"][100_004].n_chars == len(after["passages"][100_004].text)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert {r.doc_id for r in packed} == set(after["passages"])
