@@ -47,6 +47,19 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of 500 rows instead of the default 10,000, which a session may overrule.
+
+    Documents are thousands of characters long, and a batch is held several times over: by the JVM and by Python, on
+    its way in and out.
+    """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "500")
+
+
 def string_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column one after the other, and the offsets of its texts (null: empty)."""
     array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

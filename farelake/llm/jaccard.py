@@ -355,6 +355,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, num: int = 4, den: int
     their sets is at least ``num / den``. Rows that repeat an id are returned each; a null id comes back as null, and is
     no component's id unless nothing else is in it; an empty table gives no rows; other columns are ignored.
     """
+    common.bounded_batches(docs.sparkSession)
     threshold = Threshold(num, den)
     ranks = frequency_classes(docs, shingle)
     members = materialize(_members(docs, shingle, threshold, ranks), "members")

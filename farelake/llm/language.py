@@ -18,12 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farelake.llm.common import mix, remainder
+from farelake.llm.common import bounded_batches, mix, remainder
 
 ORDER = 4
 SAMPLE_DOCUMENTS = 1500
@@ -33,7 +34,7 @@ UNKNOWN = "und"
 
 _LETTERS = regex.compile(r"\p{L}+")
 _START, _END = "\x00", "\x01"
-_REMEMBERED = 300_000  # parts that a worker remembers
+_REMEMBERED = 200_000  # parts that a worker remembers
 _LONGEST_REMEMBERED = 64
 _TOGETHER = 256  # documents whose new parts are scored together
 _SHARPNESS = (0.5, 1, 2, 5, 10, 20, 40, 80)
@@ -253,7 +254,7 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
         parts = _Parts(known)
         for batch in batches:
             rows: list[tuple] = []
-            texts = batch.column("_text")
+            texts = pc.struct_field(batch.column("_row"), [place])
             totals = (t for at in range(0, len(texts), _TOGETHER) for t in parts.documents([x or "" for x in texts[at : at + _TOGETHER].to_pylist()]))
             for total in totals:
                 if not total[-1]:
@@ -267,7 +268,9 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
             arrays = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("_row"), *arrays], ["_row", *names])
 
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_text"))
+    bounded_batches(docs.sparkSession)
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    place = docs.columns.index("text")
     results = T.StructType.fromDDL("lang_pred string, score double, cross_entropy double, rejected boolean")
     out = T.StructType([given.schema["_row"], *results])
     return given.mapInArrow(each, out)

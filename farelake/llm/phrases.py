@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import _CODES, bucket_count, mix, segment_hashes
+from farelake.llm.common import _CODES, bounded_batches, bucket_count, mix, segment_hashes
 
 SLOTS = 64
 _EMPTY = np.uint64(2**64 - 1)
@@ -173,6 +173,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     empty one; a null doc_id comes first; rows of equal doc_id follow one another in the order of their texts; a single
     document is its own next; an empty table gives no rows; other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     parts = bucket_count(docs)
     dealt = in_order(docs).repartition(parts, "_part").sortWithinPartitions("_part", "_ahead", "doc_id", "text")
 

@@ -16,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farelake.llm.common import Words, remainder
+from farelake.llm.common import Words, bounded_batches, remainder
 
 SAMPLE_DOCUMENTS = 3000
 SAMPLE_BYTES = 16 << 20
@@ -177,14 +178,16 @@ def score(docs: DataFrame, network: Network) -> DataFrame:
     table gives no rows. Without labels the network is the untrained one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_text"))
+    bounded_batches(docs.sparkSession)
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    place = docs.columns.index("text")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                pooled, _, _ = model.pooled(_Symbols(part.column("_text")))
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                pooled, _, _ = model.pooled(_Symbols(pc.struct_field(part.column("_row"), [place])))
                 yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(model.probability(pooled))], ["_row", "score"])
 
     return given.mapInArrow(each, T.StructType([given.schema["_row"], T.StructField("score", T.DoubleType())]))

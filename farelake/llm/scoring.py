@@ -44,6 +44,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOF
     or empty text has no words and scores 0; rows that repeat an id are documents of their own; a null id is kept; an
     empty table gives no rows; other columns are ignored.
     """
+    common.bounded_batches(docs.sparkSession)
     buckets = common.bucket_count(docs)
     parts = max(64, buckets // 4)
     texts = common.bucketed(docs.select("doc_id", "text"), buckets).select("_bucket", "_id", "_text")

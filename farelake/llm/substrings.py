@@ -75,6 +75,7 @@ def dedup_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     keeps all of them; of equal texts the smallest id keeps its words, rows that repeat an id keep theirs alike; a null
     id counts as smaller than all others; an empty table gives no rows.
     """
+    common.bounded_batches(docs.sparkSession)
     buckets = common.bucket_count(docs)
     parts = max(64, buckets // 4)
     dealt = common.bucketed(docs, buckets)
