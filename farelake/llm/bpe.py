@@ -21,6 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from farelake.llm.common import bounded_batches
+
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
 _REMEMBERED = 500_000  # parts, and as many pieces, that a worker remembers; about 200 bytes each
 _SHORT = 32  # bytes; up to here a list is searched faster than a heap is kept
@@ -184,6 +186,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[str]:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
 
 

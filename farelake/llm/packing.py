@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from farelake.llm.bpe import Merges, Remembered, byte_characters
+from farelake.llm.common import bounded_batches
 from farelake.operators.numbering import global_row_number
 from farelake.session import materialize
 
 #: What a worker remembers, at about 200 bytes each.
-_REMEMBERED_WORDS = 1_000_000
-_REMEMBERED_PARTS = 400_000
+_REMEMBERED_WORDS = 600_000
+_REMEMBERED_PARTS = 300_000
 
 
 class WordIds:
@@ -113,6 +114,7 @@ def tokenized_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) ->
             arrays = [pa.array(column, kind) for column, kind in zip(rows, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(each, _PIECES)
 
 
