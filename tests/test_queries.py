@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from farelake.plans import catalog, oracle
 
 TABLES = "lineitem orders"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.all_queries()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,7 @@ def rows_of(table):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= entry.queries().keys() and SQL.keys() <= entry.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
