@@ -32,6 +32,7 @@ _COUNT_BITS = 22  # the frequency table has so many cells for any corpus
 _SUFFIX_CELLS = 128
 _SIEVE_BITS = 23  # cells of the fixed-size sieve of wanted documents
 _LEADERS = 3
+_TOGETHER = 128  # texts
 
 
 # --- shingle sets ------------------------------------------------------------------------------------------
@@ -39,6 +40,8 @@ _LEADERS = 3
 
 def _sets(column, shingle: int, classes: np.ndarray | None) -> list[np.ndarray]:
     """The distinct shingles of each text, rare first: the class in the upper 8 bits, 56 bits of the hash below."""
+    if len(column) > _TOGETHER:  # the arrays over all bytes and words are held for a few texts at a time
+        return [s for at in range(0, len(column), _TOGETHER) for s in _sets(column.slice(at, _TOGETHER), shingle, classes)]
     words = Words(column, lower=True)
     counts = np.diff(words.at)
     places, hashes = words.grams(shingle)
