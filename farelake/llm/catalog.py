@@ -8,6 +8,7 @@ _QUERIES = [
     bpe.op1_bpe,
     quality.op2_quality,
     scoring.op3_lm_scoring,
+    scoring.op3_lm_scoring_trigrams,
     phrases.op4_fingerprints,
     sharding.op5_sharding,
     topk.op6_topk,
@@ -23,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_lm_scoring": scoring.OP3_SQL, "op6_topk": topk.OP6_SQL}
+    return {"op3_lm_scoring": scoring.OP3_SQL, "op3_lm_scoring_trigrams": scoring.OP3_TRIGRAMS_SQL, "op6_topk": topk.OP6_SQL}

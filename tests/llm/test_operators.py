@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from farelake.llm import bpe, jaccard, language, packing, phrases, quality, scoring, sharding, substrings, topk
+from farelake.llm import bpe, catalog, jaccard, language, packing, phrases, quality, scoring, sharding, substrings, topk
 from farelake.llm.common import remainder
 
 SF = "/root/testdata/sf0.001"
@@ -185,6 +185,22 @@ def test_scores_equal_brute_force(documents, odd, empty, order):
     assert scoring.score_documents(empty, order).count() == 0
 
 
+def test_a_registered_query_scores_with_two_words_before(spark, documents):
+    rows = rows_of(documents)
+    words = [WORD.findall((t or "").encode()) for _, t in rows]
+    expected = sorted(zip((i for i, _ in rows), brute_scores(words, 3, 0.4), strict=True))
+    found = sorted((r.doc_id, r.log_score) for r in catalog.queries()["op3_lm_scoring_trigrams"](spark, SF).collect())
+    assert [i for i, _ in found] == [i for i, _ in expected]
+    assert np.allclose([s for _, s in found], [s for _, s in expected], atol=1e-4)
+
+
+def test_scores_of_a_longer_context(odd):
+    rows = rows_of(odd)
+    words = [WORD.findall((t or "").encode()) for _, t in rows]
+    found = sorted(r.log_score for r in scoring.score_documents(odd, 4).collect())
+    assert np.allclose(found, sorted(brute_scores(words, 4, 0.4)))
+
+
 # --- 4: fingerprints ----------------------------------------------------------------------------------------------
 
 
