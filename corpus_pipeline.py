@@ -25,9 +25,14 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier gives at least 0.3; it is fitted on the labelled ones of the table ``labels``."""
+    """Documents that the classifier gives at least 0.3; it is fitted on the labelled ones of the table ``labels``.
+
+    Where none of them is labelled nothing is known of their quality, and all stay.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     network = quality.learn(docs.select("doc_id", "text"), labels, lambda doc_id: remainder(doc_id, 5) != 0)
+    if not network.learned:
+        return docs
     return quality.score(docs, network).where(F.col("score") >= 0.3).select("_row.*")
 
 

@@ -225,6 +225,20 @@ def recurring(items: DataFrame) -> DataFrame:
     return items.groupBy("_part").applyInArrow(answer, packed_schema(1))
 
 
+def within(sizes: list[int], budget: int) -> list[bool]:
+    """Which documents to take, in their order, so that their bytes stay within the budget.
+
+    One that does not fit is passed over, and those of more than a hundredth of the budget wait for the others, so that
+    a long one early in the order does not leave a sample of almost nothing.
+    """
+    taken, used = [False] * len(sizes), 0
+    for i in sorted(range(len(sizes)), key=lambda i: sizes[i] > budget // 100):
+        if used + sizes[i] <= budget:
+            taken[i] = True
+            used += sizes[i]
+    return taken
+
+
 def in_sorted(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     """For each value, whether it is in the sorted array ``among``."""
     if not len(among):

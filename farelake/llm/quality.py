@@ -6,7 +6,7 @@ the chunks are max-pooled, and the pooled filters are combined into one probabil
 a text is, it is worked off in slices.
 
 The network is fitted on a bounded sample of labelled rows: the first ``SAMPLE_DOCUMENTS`` in the order of a hash of
-their id, as far as they reach ``SAMPLE_BYTES``. Scoring reads every whole text.
+their id that are in the table, without those that overflow ``SAMPLE_BYTES``. Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farelake.llm.common import Words, bounded_batches, remainder
+from farelake.llm.common import Words, bounded_batches, remainder, within
 
 SAMPLE_DOCUMENTS = 3000
 SAMPLE_BYTES = 16 << 20
@@ -62,6 +62,7 @@ class Network:
         self.shift = np.full(FILTERS, 0.1, np.float32)
         self.weight = draw.normal(0, 0.5, FILTERS).astype(np.float32)
         self.bias = np.zeros(1, np.float32)
+        self.learned = False
 
     def _activations(self, codes: np.ndarray) -> np.ndarray:
         """Rectified filters at all places but the last ``WIDTH - 1``."""
@@ -105,6 +106,7 @@ class Network:
 
     def fit(self, texts: list[str], labels: np.ndarray) -> None:
         """Minimise the log-loss with Adam; gradients flow through the chunk that won the pooling."""
+        self.learned = True
         draw = np.random.default_rng(11)
         parameters = [self.table, self.shift, self.weight, self.bias]
         first, second, step = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters], 0
@@ -151,13 +153,15 @@ def learn(docs: DataFrame, labels: DataFrame, learnable) -> Network:
     spark = docs.sparkSession
     marked = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").alias("quality"))
     marked = marked.where(learnable(F.col("id")) & F.col("id").isNotNull())
-    chosen = marked.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCUMENTS).collect()  # bounded by the parameter
+    # The sample is of labelled documents that are there; rows that repeat an id are taken or left together.
+    there = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
+    there = there.where(learnable(F.col("id")) & F.col("id").isNotNull()).groupBy("id").agg(F.sum("n").alias("n"))
+    chosen = marked.join(there, "id").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCUMENTS).collect()  # bounded by the parameter
+    chosen = [r for r, taken in zip(chosen, within([r["n"] for r in chosen], SAMPLE_BYTES), strict=True) if taken]
     if not chosen:
         return Network()
     ids = spark.createDataFrame([(r["id"], int(r["quality"])) for r in chosen], "id long, quality int")
     sample = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("id", "quality", F.coalesce("text", F.lit("")).alias("text"))
-    before = Window.partitionBy("one").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, -1)
-    sized = sample.withColumn("one", F.lit(1)).withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
 
     def fit(table: pa.Table) -> pa.Table:
         network = Network()
@@ -166,8 +170,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable) -> Network:
         network.fit([texts[i] for i in order], marks[order].astype(np.float32))
         return pa.table({"network": pa.array([pickle.dumps(network)], pa.binary())})
 
-    fitted = sized.where(F.col("before") < SAMPLE_BYTES).select("one", "id", "quality", "text")
-    rows = fitted.groupBy("one").applyInArrow(fit, "network binary").collect()
+    rows = sample.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(fit, "network binary").collect()
     return pickle.loads(rows[0]["network"]) if rows else Network()
 
 

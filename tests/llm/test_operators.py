@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from farelake.llm import bpe, catalog, jaccard, language, packing, phrases, quality, scoring, sharding, substrings, topk
-from farelake.llm.common import remainder
+from farelake.llm.common import remainder, within
 
 SF = "/root/testdata/sf0.001"
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -146,6 +146,19 @@ def test_quality_without_labels(documents):
     assert isinstance(quality.learn(documents, labels, lambda i: F.lit(True)), quality.Network)
 
 
+def test_quality_learns_from_the_labelled_documents_that_are_there(spark, documents, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_DOCUMENTS", 40)
+    everywhere = documents.select("doc_id", F.lit(1).alias("quality")).unionByName(spark.range(10**6, 10**6 + 20_000).selectExpr("id as doc_id", "0 as quality"))
+    assert quality.learn(documents.select("doc_id", "text"), everywhere, lambda i: F.lit(True)).learned
+    assert not quality.learn(documents.where("doc_id < 0").select("doc_id", "text"), everywhere, lambda i: F.lit(True)).learned
+
+
+def test_a_long_document_does_not_end_the_sample():
+    assert within([2000, 5, 900, 5, 10], 1000) == [False, True, True, True, True]
+    assert within([990, 5, 5, 5], 1000) == [False, True, True, True]
+    assert within([5] * 300, 1000) == [True] * 200 + [False] * 100
+
+
 # --- 3: language-model scores ------------------------------------------------------------------------------------
 
 

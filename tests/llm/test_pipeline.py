@@ -8,6 +8,7 @@ import re
 import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from farelake.llm import catalog
@@ -79,6 +80,11 @@ def test_run(spark):
     assert found.count() > 0 and {"doc_id", "sequence_id", "offset", "length"} <= set(found.columns)
 
 
+def test_quality_keeps_all_where_nothing_is_labelled(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("doc_id", F.col("doc_id") + 10**9)
+    assert corpus_pipeline.keep_good_quality(spark, docs, SF).count() == docs.count()
+
+
 def test_stages_take_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES[:-1]:
