@@ -9,7 +9,7 @@ smaller id. Documents are dealt into buckets of a few MB; the steps are
 2. *Confirmation.* Only windows on a recurring anchor can recur. Buckets exchange the hashes of these windows with the
    smallest id that has each, and learn which of theirs a smaller id has as well, and which id that is.
 3. *Automata.* The confirmed phrases of a slice of a bucket, as sequences of whole words, are compiled into an
-   automaton, and all its documents are streamed through it; it finds every occurrence, overlapping ones included. So
+   automaton, and all its documents are streamed through it; it verifies every occurrence that the hashes located. So
    automata are sharded as the documents are: each document meets the phrases that it may hold, in one pass.
 
 Every exchanged hash travels once per bucket, so copies and frequent passages cost no more than one bucket each.
