@@ -30,6 +30,7 @@ ORDER = 4
 SAMPLE_DOCUMENTS = 1500
 SAMPLE_BYTES = 16 << 20
 CALIBRATION_DOCUMENTS = 300
+_SHARES = 64  # of a language, ranked apart
 UNKNOWN = "und"
 
 _LETTERS = regex.compile(r"\p{L}+")
@@ -195,14 +196,24 @@ def _classified(entropy: np.ndarray, models: Models) -> tuple[int, float]:
     return best, float(1 / np.exp(-models.sharpness * (entropy - entropy[best])).sum())
 
 
+def _ranked(narrow: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` rows (lang, id, n, h) of each language by h, and their ``rank``.
+
+    Ranked within shares of a language first, so that the task that ranks a whole language gets their winners only.
+    """
+    shares = narrow.withColumn("share", F.pmod(F.xxhash64("id", "n"), F.lit(_SHARES)))
+    for keys in (["lang", "share"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("h", "id", "n")
+        shares = shares.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+    return shares.drop("share")
+
+
 def learn(docs: DataFrame, learnable) -> Models:
     """Models and calibration from the rows of ``docs`` (text, lang, doc_id) for which ``learnable`` holds."""
     spark = docs.sparkSession
     known = docs.where(learnable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # The ranking moves narrow rows, and of each language no more than the sample from any task.
     narrow = known.select("lang", F.col("doc_id").alias("id"), F.octet_length("text").alias("n"), F.xxhash64("doc_id").alias("h"))
-    ranked = narrow.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "n")))
-    ranked = ranked.where(F.col("rank") <= SAMPLE_DOCUMENTS + CALIBRATION_DOCUMENTS)
+    ranked = _ranked(narrow, SAMPLE_DOCUMENTS + CALIBRATION_DOCUMENTS)
     before = Window.partitionBy("lang").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
     chosen = ranked.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).select("lang", "id", "rank", "before")
     # A language of few documents gives every fifth one for calibration.

@@ -442,6 +442,18 @@ def test_languages_of_held_out_documents(documents):
     assert sum(r.rejected for r in judged) <= 0.02 * len(judged)
 
 
+def test_ranking_of_a_language_in_shares(spark):
+    narrow = spark.range(5000).selectExpr("if(id % 5 = 0, 'de', 'en') as lang", "id", "id % 7 as n", "xxhash64(id) as h")
+    ranked = language._ranked(narrow, 1800)
+    expected = []
+    for lang in ("de", "en"):
+        rows = sorted((r.h, r.id, r.n) for r in narrow.where(F.col("lang") == lang).collect())
+        expected += [(lang, i, k) for k, (_, i, _) in enumerate(rows[:1800], 1)]
+    assert sorted((r.lang, r.id, r["rank"]) for r in ranked.collect()) == sorted(expected)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(lang#\d+, share#\d+", plan)
+
+
 def test_language_of_odd_rows(odd, empty, documents):
     models = language.learn(documents, F.lit(True))
     judged = language.identify(odd, models).collect()
