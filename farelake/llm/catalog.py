@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farelake.llm import bpe, jaccard, language, packing, phrases, quality, scoring, sharding, substrings, topk
+from farelake.llm import bpe, infill, jaccard, language, mixing, packing, phrases, quality, resampling, scoring, sharding, substrings, topk
 
 _QUERIES = [
     bpe.op1_bpe,
@@ -16,6 +16,9 @@ _QUERIES = [
     jaccard.op8_jaccard,
     language.op9_language,
     packing.op10_packing,
+    infill.op11_infill,
+    resampling.op12_resampling,
+    mixing.op13_mixing,
 ]
 
 
@@ -24,4 +27,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_lm_scoring": scoring.OP3_SQL, "op3_lm_scoring_trigrams": scoring.OP3_TRIGRAMS_SQL, "op6_topk": topk.OP6_SQL}
+    return {
+        "op3_lm_scoring": scoring.OP3_SQL,
+        "op3_lm_scoring_trigrams": scoring.OP3_TRIGRAMS_SQL,
+        "op6_topk": topk.OP6_SQL,
+        "op11_infill": infill.OP11_SQL,
+        "op12_resampling": resampling.OP12_SQL,
+    }
