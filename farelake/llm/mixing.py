@@ -253,7 +253,7 @@ class Mix:
 
     def taken(self) -> DataFrame:
         """doc_id, source, size, source_size, target and taken (words, repeats counted) of every document."""
-        sums = self.pieces.groupBy("row").agg(F.sum("words").alias("_taken"))
+        sums = self.pieces.groupBy("row").agg(F.sum("words").alias("_taken")).hint("merge")
         taken = F.coalesce("_taken", F.lit(0)).alias("taken")
         return self.documents.join(sums, "row", "left").select("doc_id", "source", "size", "source_size", "target", taken)
 
@@ -264,7 +264,7 @@ class Mix:
         document, whose pieces are then cut together.
         """
         where = F.struct("shard", "number", "slot", "at", "first_word", "words")
-        wanted = self.pieces.groupBy("doc_id").agg(F.collect_list(where).alias("pieces"))
+        wanted = self.pieces.groupBy("doc_id").agg(F.collect_list(where).alias("pieces")).hint("merge")
         found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).join(wanted, "doc_id")
 
         def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -305,7 +305,8 @@ def mixed(
     slots = slots_of(dealt(sources, most_times, block_words, shard_slots, seed), block_words, seed)
     pieces = block_pieces(rows, block_words)
     words = F.least(F.col("words"), F.col("take") - F.col("at"))
-    joined = slots.join(pieces, ["number", "block"]).withColumn("words", words).where("words > 0")
+    # The optimizer takes slots for as few as the sources that they are made of, and would broadcast them.
+    joined = slots.hint("merge").join(pieces, ["number", "block"]).withColumn("words", words).where("words > 0")
     return Mix(rows, joined.select("shard", "number", "slot", "at", "row", "doc_id", "first_word", "words"))
 
 
