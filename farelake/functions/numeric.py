@@ -1,11 +1,24 @@
-"""Rounding, exact money sums and guarded division."""
+"""Rounding, exact money sums and guarded division.
+
+Money is summed as whole millionths, so a sum is the same in whatever order the rows arrive. A millionth count is split
+in two parts that are summed as 64-bit integers, which costs a task no decimal arithmetic and cannot overflow below 1e11
+rows; only the few results are widened to decimals. Amounts of a billion and more, NaN and infinities are no fares: they
+are summed as doubles beside the others and added to the result, so that they neither fail a job nor get lost.
+"""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MONEY = "decimal(18,6)"
+#: From here on an amount is large, and is added as a double.
+LARGE_AMOUNT = 1e9
+
+_SPLIT_BITS = 24
+_WHOLE = "decimal(31,0)"
+_EXACT = "decimal(38,6)"
 
 
 def round_to(value: Column, digits: int) -> Column:
@@ -29,9 +42,41 @@ def rows() -> Column:
     return F.count(F.lit(1))
 
 
-def exact_sum(column: str) -> Column:
-    """A sum of money as a decimal: the same in whatever order the rows arrive."""
-    return F.sum(F.col(column).cast(_MONEY))
+def _small(value: Column) -> Column:
+    return F.abs(value) < LARGE_AMOUNT
+
+
+def millionths(column: str) -> Column:
+    """Aggregate: the sum of the amounts that are not large, in whole millionths (none: 0)."""
+    value = F.col(column)
+    whole = F.rint(F.when(_small(value), value) * 1e6).cast("bigint")
+    upper = F.sum(F.shiftright(whole, _SPLIT_BITS)).cast(_WHOLE)
+    lower = F.sum(whole.bitwiseAND(F.lit((1 << _SPLIT_BITS) - 1)))
+    return F.coalesce(upper * F.lit(1 << _SPLIT_BITS) + lower, F.lit(0)).cast(_WHOLE)
+
+
+def large_amounts(column: str) -> Column:
+    """Aggregate: the sum of the large amounts, as a double (none: null)."""
+    value = F.col(column)
+    return F.sum(F.when(~_small(value), value.cast("double")))
+
+
+def exact_amount(whole: Column, large: Column) -> Column:
+    """A sum of money as a decimal, from its two parts; null where it does not fit."""
+    exact = (whole.cast(_WHOLE) * F.lit(Decimal("0.000001"))).cast(_EXACT)
+    return F.when(large.isNull(), exact).otherwise(F.try_add(exact, large.try_cast(_EXACT)).cast(_EXACT))
+
+
+def amount(whole: Column, large: Column) -> Column:
+    """A sum of money as a double, unrounded."""
+    parts = whole.cast("double") / 1e6 + F.coalesce(large, F.lit(0.0))
+    return F.coalesce(exact_amount(whole, large).cast("double"), parts)
+
+
+def rounded_amount(whole: Column, large: Column, count: Column, digits: int = 2) -> Column:
+    """A sum of money, rounded once; null for no amounts."""
+    rounded = F.round(exact_amount(whole, large), digits).cast("double")
+    return F.when(count > 0, F.coalesce(rounded, amount(whole, large)))
 
 
 def mean(column: str, digits: int) -> Column:
@@ -39,11 +84,11 @@ def mean(column: str, digits: int) -> Column:
 
 
 def money_mean(column: str, digits: int = 2) -> Column:
-    return round_to(ratio(exact_sum(column).cast("double"), F.count(column)), digits)
+    return round_to(ratio(amount(millionths(column), large_amounts(column)), F.count(column)), digits)
 
 
 def total(column: str, digits: int = 2) -> Column:
-    return F.round(exact_sum(column), digits).cast("double")
+    return rounded_amount(millionths(column), large_amounts(column), F.count(column), digits)
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:

@@ -14,14 +14,146 @@ from pyspark.sql import functions as F
 
 from farelake.functions import buckets, calendar
 from farelake.functions.calendar import instant
-from farelake.functions.numeric import exact_sum, mean, money_mean, percent, ratio, round_to, rows, total
+from farelake.functions.numeric import LARGE_AMOUNT, mean, money_mean, percent, round_to, rows, total
+from farelake.operators import partials as p
+from farelake.operators.partials import Report
 
 _ZONE_COLUMNS = ("zone_name", "borough", "service_zone", "zone_category")
 
 
-def _rank_down(column: str) -> Column:
+def _rank_down(*columns: str) -> Column:
     """Rank from high to low; the window is global, over one row per zone."""
-    return F.rank().over(Window.orderBy(F.col(column).desc())).cast("bigint")
+    return F.rank().over(Window.orderBy(*(F.col(c).desc() for c in columns))).cast("bigint")
+
+
+# --- what each report counts ---------------------------------------------------------------------------------
+
+def locations_stats() -> Report:
+    """Per pickup zone."""
+    revenue, revenue_exact = p.exact_total("total_amount")
+    return Report(
+        {"location_id": F.col("pickup_location_id")},
+        {
+            "total_trips": p.trips(),
+            "active_days": p.distinct_days("pickup_date"),
+            "revenue": revenue,
+            "revenue_exact": revenue_exact,
+            "total_revenue": p.total("total_amount"),
+            "avg_trip_revenue": p.money_mean("total_amount"),
+            "total_tips": p.total("tip_amount"),
+            "avg_trip_distance_miles": p.mean("trip_distance_miles", 2),
+            "avg_trip_duration_minutes": p.mean("trip_duration_minutes", 1),
+            "avg_passengers": p.mean("passenger_count", 1),
+            "weekend_trips": p.count_of("weekend", F.col("is_weekend")),
+            "weekday_trips": p.count_of("weekday", ~F.col("is_weekend")),
+            "weekend_trip_pct": p.percent(p.count_of("weekend", F.col("is_weekend")), p.trips()),
+            "credit_card_trips": p.count_of("card", F.col("payment_type_id") == 1),
+            "cash_trips": p.count_of("cash", F.col("payment_type_id") == 2),
+            "credit_card_pct": p.percent(p.count_of("card", F.col("payment_type_id") == 1), p.trips()),
+            "avg_tip_percentage": p.mean("tip_percentage", 1),
+            "avg_fare_per_mile": p.mean("fare_per_mile", 2),
+        },
+    )
+
+
+def zones_stats() -> Report:
+    """Per zone and side of the trip."""
+    return Report(
+        {},
+        {
+            "trip_count": p.trips(),
+            "total_revenue": p.total("total_amount"),
+            "avg_revenue": p.money_mean("total_amount"),
+            "avg_distance": p.mean("trip_distance_miles", 2),
+            "avg_duration_minutes": p.mean("trip_duration_minutes", 1),
+            "avg_speed_mph": p.mean("avg_speed_mph", 1),
+            "avg_revenue_per_hour": p.mean("revenue_per_hour", 2),
+            "avg_tip_pct": p.mean("tip_percentage", 1),
+            "avg_fare_per_mile": p.mean("fare_per_mile", 2),
+        },
+        sides={"pickup": "pickup_location_id", "dropoff": "dropoff_location_id"},
+    )
+
+
+def patterns_stats() -> Report:
+    """Per day of week, hour, distance and party size."""
+    return Report(
+        {c: F.col(c) for c in ("pickup_day_of_week", "pickup_hour", "trip_distance_category", "passenger_category")},
+        {name: measure for name, measure in zones_stats().measures.items() if name != "avg_fare_per_mile"},
+    )
+
+
+def days_stats() -> Report:
+    """Per pickup day."""
+    return Report(
+        {"pickup_date": F.col("pickup_date")},
+        {
+            "trip_count": p.trips(),
+            "total_base_fare": p.total("fare_amount"),
+            "total_tips": p.total("tip_amount"),
+            "total_tolls": p.total("tolls_amount"),
+            "total_surcharges": p.total("total_surcharges"),
+            "total_revenue": p.total("total_amount"),
+            "avg_trip_revenue": p.money_mean("total_amount"),
+            "avg_fare_per_mile": p.mean("fare_per_mile", 2),
+            "avg_tip_pct": p.mean("tip_percentage", 1),
+            "avg_revenue_per_hour": p.mean("revenue_per_hour", 2),
+        },
+    )
+
+
+def tipping_stats() -> Report:
+    """Per payment type, time of day, weekend, distance and tip size."""
+    return Report(
+        {
+            **{c: F.col(c) for c in ("payment_type_id", "time_of_day_bucket", "is_weekend", "trip_distance_category")},
+            "tip_bucket": buckets.tip(F.col("tip_percentage")),
+        },
+        {
+            "trip_count": p.trips(),
+            "total_revenue": p.total("total_amount"),
+            "avg_trip_value": p.money_mean("total_amount"),
+            "total_tips": p.total("tip_amount"),
+            "avg_tip_pct": p.mean("tip_percentage", 1),
+        },
+    )
+
+
+def service_stats() -> Report:
+    """Per rate code, peak and weekend."""
+    return Report(
+        {
+            "rate_code_id": F.col("rate_code_id"),
+            "peak_category": buckets.peak(F.col("time_of_day_bucket")),
+            "is_weekend": F.col("is_weekend"),
+        },
+        {
+            "trip_count": p.trips(),
+            "total_revenue": p.total("total_amount"),
+            "avg_fare": p.money_mean("total_amount"),
+            "avg_distance": p.mean("trip_distance_miles", 2),
+            "avg_duration_minutes": p.mean("trip_duration_minutes", 1),
+            "avg_speed_mph": p.mean("avg_speed_mph", 1),
+            "avg_tip_pct": p.mean("tip_percentage", 1),
+            "avg_revenue_per_hour": p.mean("revenue_per_hour", 2),
+            # A trip without a speed counts in the divisor only.
+            "congestion_pct": p.percent(p.count_of("slow", F.col("avg_speed_mph") < 10), p.trips()),
+        },
+    )
+
+
+#: The reports by the name of their states; the two location reports have the same.
+REPORTS = {
+    "locations": locations_stats,
+    "zones": zones_stats,
+    "patterns": patterns_stats,
+    "days": days_stats,
+    "tipping": tipping_stats,
+    "service": service_stats,
+}
+
+
+# --- reports straight from trips -----------------------------------------------------------------------------
 
 
 def location_stats(trips: DataFrame, locations: DataFrame | None = None, as_of: str | None = None) -> DataFrame:
@@ -29,30 +161,50 @@ def location_stats(trips: DataFrame, locations: DataFrame | None = None, as_of:
 
     Without ``locations`` the zone attributes are left out. ``as_of`` adds the time of the refresh.
     """
-    weekend = F.col("is_weekend")
-    paid_by = F.col("payment_type_id")
-    stats = trips.groupBy(F.col("pickup_location_id").alias("location_id")).agg(
-        rows().alias("total_trips"),
-        F.countDistinct("pickup_date").alias("active_days"),
-        exact_sum("total_amount").alias("revenue"),
-        money_mean("total_amount").alias("avg_trip_revenue"),
-        total("tip_amount").alias("total_tips"),
-        mean("trip_distance_miles", 2).alias("avg_trip_distance_miles"),
-        mean("trip_duration_minutes", 1).alias("avg_trip_duration_minutes"),
-        mean("passenger_count", 1).alias("avg_passengers"),
-        F.count_if(weekend).alias("weekend_trips"),
-        F.count_if(~weekend).alias("weekday_trips"),
-        F.count_if(paid_by == 1).alias("credit_card_trips"),
-        F.count_if(paid_by == 2).alias("cash_trips"),
-        mean("tip_percentage", 1).alias("avg_tip_percentage"),
-        mean("fare_per_mile", 2).alias("avg_fare_per_mile"),
-    )
+    return location_report(locations_stats().of(trips), locations, as_of)
+
+
+def zone_performance(trips: DataFrame, locations: DataFrame) -> DataFrame:
+    """Performance per zone, once as the pickup and once as the dropoff side of its trips.
+
+    Both directions come from one scan and one shuffle: two grouping sets in place of a union of two
+    aggregations over the same trips. The zone attributes are joined to the result.
+    """
+    return zone_report(zones_stats().of(trips), locations)
+
+
+def trip_patterns(trips: DataFrame) -> DataFrame:
+    """Demand by day of week, hour, distance and party size, in calendar order."""
+    return pattern_report(patterns_stats().of(trips))
+
+
+def daily_revenue(trips: DataFrame, ordered: bool = True) -> DataFrame:
+    """Revenue per pickup day and the share of each component, by date unless ``ordered`` is off.
+
+    The shares divide the rounded sums, so the four need not add up to 100.
+    """
+    return day_report(days_stats().of(trips), ordered)
+
+
+def payment_tipping(trips: DataFrame, payment_types: DataFrame) -> DataFrame:
+    """Tipping by payment type, time of day, weekend and distance, with each segment's share of the trips
+    paid the same way."""
+    return tipping_report(tipping_stats().of(trips), payment_types)
+
+
+def service_analysis(trips: DataFrame, rate_codes: DataFrame) -> DataFrame:
+    """Service by rate code, peak and weekend. Congestion is the share of all trips below 10 mph; a trip
+    without a speed counts in the divisor only."""
+    return service_report(service_stats().of(trips), rate_codes)
+
+
+# --- from finished measures to what is shown -----------------------------------------------------------------
+
+
+def location_report(stats: DataFrame, locations: DataFrame | None = None, as_of: str | None = None) -> DataFrame:
     ranked = stats.withColumns(
         {
-            "total_revenue": F.round("revenue", 2).cast("double"),
-            "weekend_trip_pct": percent(F.col("weekend_trips"), F.col("total_trips")),
-            "credit_card_pct": percent(F.col("credit_card_trips"), F.col("total_trips")),
-            "revenue_rank": _rank_down("revenue"),
+            "revenue_rank": _rank_down("revenue", "revenue_exact"),
             "trip_volume_rank": _rank_down("total_trips"),
         }
     )
@@ -64,76 +216,27 @@ def location_stats(trips: DataFrame, locations: DataFrame | None = None, as_of:
     return ranked.select(
         "location_id",
         *zone_columns,
-        "total_trips",
-        "active_days",
-        "total_revenue",
-        "avg_trip_revenue",
-        "total_tips",
-        "avg_trip_distance_miles",
-        "avg_trip_duration_minutes",
-        "avg_passengers",
-        "weekend_trips",
-        "weekday_trips",
-        "weekend_trip_pct",
-        "credit_card_trips",
-        "cash_trips",
-        "credit_card_pct",
-        "avg_tip_percentage",
-        "avg_fare_per_mile",
+        *(c for c in stats.columns if c not in ("location_id", "revenue", "revenue_exact")),
         "revenue_rank",
         "trip_volume_rank",
         *refreshed,
     )
 
 
-def zone_performance(trips: DataFrame, locations: DataFrame) -> DataFrame:
-    """Performance per zone, once as the pickup and once as the dropoff side of its trips.
-
-    Both directions come from one scan and one shuffle: two grouping sets in place of a union of two
-    aggregations over the same trips. The zone attributes are joined to the result.
-    """
-    pickup, dropoff = F.col("pickup_location_id"), F.col("dropoff_location_id")
-    is_pickup = F.col("not_by_pickup") == 0
-    stats = trips.groupingSets([[pickup], [dropoff]], pickup, dropoff).agg(
-        F.grouping("pickup_location_id").alias("not_by_pickup"),
-        rows().alias("trip_count"),
-        total("total_amount").alias("total_revenue"),
-        money_mean("total_amount").alias("avg_revenue"),
-        mean("trip_distance_miles", 2).alias("avg_distance"),
-        mean("trip_duration_minutes", 1).alias("avg_duration_minutes"),
-        mean("avg_speed_mph", 1).alias("avg_speed_mph"),
-        mean("revenue_per_hour", 2).alias("avg_revenue_per_hour"),
-        mean("tip_percentage", 1).alias("avg_tip_pct"),
-        mean("fare_per_mile", 2).alias("avg_fare_per_mile"),
-    )
-    sided = stats.select(
-        F.when(is_pickup, pickup).otherwise(dropoff).alias("location_id"),
-        F.when(is_pickup, "pickup").otherwise("dropoff").alias("direction"),
-        *stats.columns[3:],
-    )
+def zone_report(stats: DataFrame, locations: DataFrame) -> DataFrame:
+    sided = stats.withColumnsRenamed({"key": "location_id", "side": "direction"})
     return sided.join(locations, "location_id", "left").select(
-        "location_id", "direction", *_ZONE_COLUMNS, *stats.columns[3:]
+        "location_id", "direction", *_ZONE_COLUMNS, *stats.columns[2:]
     )
 
 
-def trip_patterns(trips: DataFrame) -> DataFrame:
-    """Demand by day of week, hour, distance and party size, in calendar order."""
-    number, hour = F.col("pickup_day_of_week"), F.col("pickup_hour")
-    stats = trips.groupBy("pickup_day_of_week", "pickup_hour", "trip_distance_category", "passenger_category").agg(
-        rows().alias("trip_count"),
-        total("total_amount").alias("total_revenue"),
-        money_mean("total_amount").alias("avg_revenue"),
-        mean("trip_distance_miles", 2).alias("avg_distance"),
-        mean("trip_duration_minutes", 1).alias("avg_duration_minutes"),
-        mean("avg_speed_mph", 1).alias("avg_speed_mph"),
-        mean("revenue_per_hour", 2).alias("avg_revenue_per_hour"),
-        mean("tip_percentage", 1).alias("avg_tip_pct"),
-    )
+def pattern_report(stats: DataFrame) -> DataFrame:
+    number = F.col("pickup_day_of_week")
     return stats.select(
         "pickup_day_of_week",
         calendar.name_of_day(number).alias("pickup_day_name"),
         "pickup_hour",
-        buckets.time_of_day(hour).alias("time_of_day_bucket"),
+        buckets.time_of_day(F.col("pickup_hour")).alias("time_of_day_bucket"),
         calendar.is_weekend_day(number).alias("is_weekend"),
         "trip_distance_category",
         "passenger_category",
@@ -141,78 +244,20 @@ def trip_patterns(trips: DataFrame) -> DataFrame:
     ).orderBy("pickup_day_of_week", "pickup_hour")
 
 
-#: The money columns of the daily report, and those that it averages with their digits.
-_DAY_SUMS = {
-    "total_base_fare": "fare_amount",
-    "total_tips": "tip_amount",
-    "total_tolls": "tolls_amount",
-    "total_surcharges": "total_surcharges",
-    "total_revenue": "total_amount",
-}
-_DAY_AVERAGES = {
-    "avg_fare_per_mile": ("fare_per_mile", 2),
-    "avg_tip_pct": ("tip_percentage", 1),
-    "avg_revenue_per_hour": ("revenue_per_hour", 2),
-}
-
-
-def daily_revenue(trips: DataFrame, ordered: bool = True) -> DataFrame:
-    """Revenue per pickup day and the share of each component, by date unless ``ordered`` is off.
-
-    The shares divide the rounded sums, so the four need not add up to 100.
-    """
-    days = day_report(day_partials(trips))
-    return days.orderBy("pickup_date") if ordered else days
-
-
-def day_partials(trips: DataFrame) -> DataFrame:
-    """Per pickup day, sums and counts that can be added up over several sets of trips."""
-    averaged = [column for column, _ in _DAY_AVERAGES.values()]
-    return trips.groupBy("pickup_date").agg(
-        rows().alias("trip_count"),
-        F.count("total_amount").alias("paid_trips"),
-        *(exact_sum(column).alias(name) for name, column in _DAY_SUMS.items()),
-        *(F.sum(column).alias(f"sum_{column}") for column in averaged),
-        *(F.count(column).alias(f"count_{column}") for column in averaged),
-    )
-
-
-def add_partials(partials: DataFrame) -> DataFrame:
-    """One row per day from the partial sums of several sets of trips."""
-    return partials.groupBy("pickup_date").agg(
-        *(F.sum(c).cast(t).alias(c) for c, t in partials.dtypes if c != "pickup_date")
-    )
-
-
-def day_report(partials: DataFrame) -> DataFrame:
-    """The daily report from one row of partial sums per day."""
-    revenue = ratio(F.col("total_revenue").cast("double"), F.col("paid_trips"))
-    days = partials.select(
-        "pickup_date",
-        "trip_count",
-        *(F.round(name, 2).cast("double").alias(name) for name in _DAY_SUMS),
-        round_to(revenue, 2).alias("avg_trip_revenue"),
-        *(
-            round_to(ratio(F.col(f"sum_{column}"), F.col(f"count_{column}")), digits).alias(name)
-            for name, (column, digits) in _DAY_AVERAGES.items()
-        ),
-    )
-    return with_day_parts(days)
-
-
-def with_day_parts(days: DataFrame) -> DataFrame:
-    """``pickup_date`` and the day's measures, with calendar parts and component shares added."""
+def day_report(stats: DataFrame, ordered: bool = True) -> DataFrame:
+    """One row per day, with calendar parts and component shares added."""
     at = F.col("pickup_date")
-    return days.select(
+    days = stats.select(
         "pickup_date",
         calendar.year(at).alias("pickup_year"),
         calendar.month(at).alias("pickup_month"),
         calendar.sunday_week(at).alias("pickup_week"),
         calendar.day_name(at).alias("pickup_day_name"),
         calendar.is_weekend_day(calendar.day_of_week(at)).alias("is_weekend"),
-        *(c for c in days.columns if c != "pickup_date"),
+        *stats.columns[1:],
         *_composition("total_revenue"),
     )
+    return days.orderBy("pickup_date") if ordered else days
 
 
 def _composition(whole: str) -> list[Column]:
@@ -225,47 +270,17 @@ def _composition(whole: str) -> list[Column]:
     return [percent(F.col(part), F.col(whole)).alias(name) for name, part in parts.items()]
 
 
-def payment_tipping(trips: DataFrame, payment_types: DataFrame) -> DataFrame:
-    """Tipping by payment type, time of day, weekend and distance, with each segment's share of the trips
-    paid the same way."""
-    segments = trips.groupBy(
-        "payment_type_id",
-        "time_of_day_bucket",
-        "is_weekend",
-        "trip_distance_category",
-        buckets.tip(F.col("tip_percentage")).alias("tip_bucket"),
-    ).agg(
-        rows().alias("trip_count"),
-        total("total_amount").alias("total_revenue"),
-        money_mean("total_amount").alias("avg_trip_value"),
-        total("tip_amount").alias("total_tips"),
-        mean("tip_percentage", 1).alias("avg_tip_pct"),
-    )
+def tipping_report(stats: DataFrame, payment_types: DataFrame) -> DataFrame:
     of_type = F.sum("trip_count").over(Window.partitionBy("payment_type_id"))
     return (
-        segments.withColumn("pct_within_payment_type", round_to(F.col("trip_count") * 100.0 / of_type, 1))
+        stats.withColumn("pct_within_payment_type", round_to(F.col("trip_count") * 100.0 / of_type, 1))
         .join(payment_types.select("payment_type_id", "payment_type_name"), "payment_type_id", "left")
-        .select("payment_type_id", "payment_type_name", *segments.columns[1:], "pct_within_payment_type")
+        .select("payment_type_id", "payment_type_name", *stats.columns[1:], "pct_within_payment_type")
         .orderBy("payment_type_id", "time_of_day_bucket", "is_weekend")
     )
 
 
-def service_analysis(trips: DataFrame, rate_codes: DataFrame) -> DataFrame:
-    """Service by rate code, peak and weekend. Congestion is the share of all trips below 10 mph; a trip
-    without a speed counts in the divisor only."""
-    stats = trips.groupBy(
-        "rate_code_id", buckets.peak(F.col("time_of_day_bucket")).alias("peak_category"), "is_weekend"
-    ).agg(
-        rows().alias("trip_count"),
-        total("total_amount").alias("total_revenue"),
-        money_mean("total_amount").alias("avg_fare"),
-        mean("trip_distance_miles", 2).alias("avg_distance"),
-        mean("trip_duration_minutes", 1).alias("avg_duration_minutes"),
-        mean("avg_speed_mph", 1).alias("avg_speed_mph"),
-        mean("tip_percentage", 1).alias("avg_tip_pct"),
-        mean("revenue_per_hour", 2).alias("avg_revenue_per_hour"),
-        percent(F.count_if(F.col("avg_speed_mph") < 10), rows()).alias("congestion_pct"),
-    )
+def service_report(stats: DataFrame, rate_codes: DataFrame) -> DataFrame:
     return (
         stats.join(rate_codes.select("rate_code_id", "rate_code_name"), "rate_code_id", "left")
         .select("rate_code_id", "rate_code_name", *stats.columns[1:])
@@ -273,6 +288,15 @@ def service_analysis(trips: DataFrame, rate_codes: DataFrame) -> DataFrame:
     )
 
 
+def day_revenue(trips: DataFrame) -> DataFrame:
+    """Per pickup day, the unrounded revenue as a decimal (null where it does not fit)."""
+    _, exact = p.exact_total("total_amount")
+    return Report(days_stats().keys, {"total_revenue": exact}).of(trips)
+
+
+# --- further queries -----------------------------------------------------------------------------------------
+
+
 def kpi_summary(trips: DataFrame) -> DataFrame:
     """The headline numbers over all trips."""
     return trips.agg(
@@ -343,17 +367,19 @@ def route_revenue(trips: DataFrame, locations: DataFrame) -> DataFrame:
     )
 
 
-def daily_anomalies(partials: DataFrame, days: int = 28, deviations: int = 3) -> DataFrame:
+def daily_anomalies(revenue: DataFrame, days: int = 28, deviations: int = 3) -> DataFrame:
     """Days whose revenue is more than ``deviations`` standard deviations away from the mean of the ``days`` days with
     trips before them.
 
-    ``partials`` has one row per day (``day_partials``), which bounds the window. Sums of cents and of their squares are
+    ``revenue`` has one row per day (``day_revenue``), which bounds the window. Sums of cents and of their squares are
     exact decimals, so the flag does not depend on rounding: it compares squares. Fewer than two days before give none.
+    A revenue of a billion or more, or none that fits, is always flagged, and left out of the days before others.
     """
     whole = "decimal(38,0)"
-    cents = F.round(F.col("total_revenue") * 100).cast(whole)
+    sane = F.abs("total_revenue") < LARGE_AMOUNT
+    cents = F.when(sane, F.round(F.col("total_revenue") * 100)).cast(whole)
     before = Window.orderBy("pickup_date").rowsBetween(-days, -1)
-    summed = partials.select("pickup_date", F.round("total_revenue", 2).cast("double").alias("total_revenue"), cents.alias("x"))
+    summed = revenue.select("pickup_date", F.round("total_revenue", 2).cast("double").alias("total_revenue"), cents.alias("x"))
     summed = summed.withColumns(
         {
             "n": F.count("x").over(before),
@@ -373,5 +399,5 @@ def daily_anomalies(partials: DataFrame, days: int = 28, deviations: int = 3) ->
         F.col("n").alias("days_before"),
         F.when(enough, round_to(s.cast("double") / n.cast("double") / 100.0, 2)).alias("mean_before"),
         F.when(enough, round_to(F.sqrt(variance) / 100.0, 2)).alias("deviation_before"),
-        (enough & far).alias("is_anomaly"),
+        (x.isNull() | (enough & far)).alias("is_anomaly"),
     )

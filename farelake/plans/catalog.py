@@ -267,7 +267,7 @@ def route_revenue(spark, sf_dir):
 
 @_query
 def daily_anomalies(spark, sf_dir):
-    return reports.daily_anomalies(reports.day_partials(_trips(spark, sf_dir)))
+    return reports.daily_anomalies(reports.day_revenue(_trips(spark, sf_dir)))
 
 
 @_query

@@ -26,8 +26,8 @@ def stream_landing(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.parquet(path)
 
 
-def _day_partials(raw: DataFrame) -> DataFrame:
-    return reports.day_partials(enrich.enrich_trips(clean.clean_trips(raw, keyed=False)))
+def _day_states(raw: DataFrame) -> DataFrame:
+    return reports.days_stats().state(enrich.enrich_trips(clean.clean_trips(raw, keyed=False)), monthly=False)
 
 
 def keep_current(raw: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
@@ -35,7 +35,7 @@ def keep_current(raw: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
     arrived is counted."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        entry = _day_partials(batch).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        entry = _day_states(batch).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         writer = entry.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(BATCH).parquet(log)
 
@@ -46,6 +46,7 @@ def keep_current(raw: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
 
 def current_report(spark: SparkSession, log: str) -> DataFrame:
     """The daily revenue report over all batches of the log."""
-    partials = _day_partials(spark.createDataFrame([], schemas.RAW_TRIPS)).schema
-    entries = spark.read.schema(StructType([*partials.fields, StructField(BATCH, LongType())])).parquet(log)
-    return reports.day_report(reports.add_partials(entries.drop(BATCH))).orderBy("pickup_date")
+    days = reports.days_stats()
+    states = _day_states(spark.createDataFrame([], schemas.RAW_TRIPS)).schema
+    entries = spark.read.schema(StructType([*states.fields, StructField(BATCH, LongType())])).parquet(log)
+    return reports.day_report(days.finish(days.merge(entries.drop(BATCH))))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions import buckets, calendar
 from farelake.functions.keys import NULL_PART, surrogate_key
-from farelake.functions.numeric import percent, ratio, round_to, total
+from farelake.functions.numeric import money_mean, percent, ratio, round_to, total
 from farelake.operators.clean import clean_trips
 from farelake.operators.enrich import enrich_trips
 
@@ -188,3 +189,23 @@ def test_surrogate_key(spark):
 def test_labels_need_a_rule_each():
     with pytest.raises(ValueError):
         buckets.label([], ("a", "b"))
+
+
+LARGE = [13.25, 1e12, 1e13, -2.5e12, 1e300, float("nan"), float("inf"), -1e300, 1e31, 1e9, 999_999_999.99, None]
+
+
+@pytest.mark.parametrize("n", range(2, len(LARGE) + 1))
+def test_large_amounts_neither_fail_nor_get_lost(spark, n):
+    """Up to 1e25 and more, a sum of doubles of whole dollars is exact enough to compare with."""
+    values = LARGE[:n]
+    df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)], "x double, k int").repartition(3)
+    row = df.agg(total("x").alias("t"), money_mean("x").alias("m")).first()
+    known = [v for v in values if v is not None]
+    expected = math.fsum(known) if all(map(math.isfinite, known)) else sum(known)
+    assert row["t"] == pytest.approx(expected, nan_ok=True, rel=1e-12)
+    assert row["m"] == pytest.approx(expected / len(known), nan_ok=True, rel=1e-12)
+
+
+def test_no_amounts_have_no_total(spark):
+    df = spark.createDataFrame([(None, 1), (0.0, 2)], "x double, k int")
+    assert sorted(map(tuple, df.groupBy("k").agg(total("x"), money_mean("x")).collect())) == [(1, None, None), (2, 0.0, 0.0)]
