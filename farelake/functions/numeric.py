@@ -47,12 +47,12 @@ def _small(value: Column) -> Column:
 
 
 def millionths(column: str) -> Column:
-    """Aggregate: the sum of the amounts that are not large, in whole millionths (none: 0)."""
+    """Aggregate: the sum of the amounts that are not large, in whole millionths (none: null)."""
     value = F.col(column)
-    whole = F.rint(F.when(_small(value), value) * 1e6).cast("bigint")
+    whole = F.floor(F.when(_small(value), value) * 1e6 + 0.5)
     upper = F.sum(F.shiftright(whole, _SPLIT_BITS)).cast(_WHOLE)
     lower = F.sum(whole.bitwiseAND(F.lit((1 << _SPLIT_BITS) - 1)))
-    return F.coalesce(upper * F.lit(1 << _SPLIT_BITS) + lower, F.lit(0)).cast(_WHOLE)
+    return (upper * F.lit(1 << _SPLIT_BITS) + lower).cast(_WHOLE)
 
 
 def large_amounts(column: str) -> Column:
@@ -62,21 +62,21 @@ def large_amounts(column: str) -> Column:
 
 
 def exact_amount(whole: Column, large: Column) -> Column:
-    """A sum of money as a decimal, from its two parts; null where it does not fit."""
+    """A sum of money as a decimal, from its two parts; null for no amounts, and where it does not fit."""
     exact = (whole.cast(_WHOLE) * F.lit(Decimal("0.000001"))).cast(_EXACT)
-    return F.when(large.isNull(), exact).otherwise(F.try_add(exact, large.try_cast(_EXACT)).cast(_EXACT))
+    with_large = F.try_add(F.coalesce(exact, F.lit(0).cast(_EXACT)), large.try_cast(_EXACT)).cast(_EXACT)
+    return F.when(large.isNull(), exact).otherwise(with_large)
 
 
 def amount(whole: Column, large: Column) -> Column:
-    """A sum of money as a double, unrounded."""
-    parts = whole.cast("double") / 1e6 + F.coalesce(large, F.lit(0.0))
+    """A sum of money as a double, unrounded; null for no amounts."""
+    parts = F.coalesce(whole.cast("double"), F.lit(0.0)) / 1e6 + large
     return F.coalesce(exact_amount(whole, large).cast("double"), parts)
 
 
-def rounded_amount(whole: Column, large: Column, count: Column, digits: int = 2) -> Column:
+def rounded_amount(whole: Column, large: Column, digits: int = 2) -> Column:
     """A sum of money, rounded once; null for no amounts."""
-    rounded = F.round(exact_amount(whole, large), digits).cast("double")
-    return F.when(count > 0, F.coalesce(rounded, amount(whole, large)))
+    return F.coalesce(F.round(exact_amount(whole, large), digits).cast("double"), amount(whole, large))
 
 
 def mean(column: str, digits: int) -> Column:
@@ -88,7 +88,7 @@ def money_mean(column: str, digits: int = 2) -> Column:
 
 
 def total(column: str, digits: int = 2) -> Column:
-    return rounded_amount(millionths(column), large_amounts(column), F.count(column), digits)
+    return rounded_amount(millionths(column), large_amounts(column), digits)
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:

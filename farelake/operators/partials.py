@@ -38,13 +38,9 @@ def trips() -> Measure:
     return Measure({"n": rows()}, F.col("n"))
 
 
-def _money(column: str) -> tuple[dict[str, Column], tuple[Column, Column, Column]]:
-    states = {
-        f"whole_{column}": numeric.millionths(column),
-        f"large_{column}": numeric.large_amounts(column),
-        f"n_{column}": F.count(column),
-    }
-    return states, tuple(map(F.col, states))
+def _money(column: str) -> tuple[dict[str, Column], tuple[Column, Column]]:
+    states = {f"whole_{column}": numeric.millionths(column), f"large_{column}": numeric.large_amounts(column)}
+    return states, (F.col(f"whole_{column}"), F.col(f"large_{column}"))
 
 
 def total(column: str) -> Measure:
@@ -55,13 +51,14 @@ def total(column: str) -> Measure:
 
 def exact_total(column: str) -> tuple[Measure, Measure]:
     """Two measures that order sums of money: as doubles, and among equal doubles as decimals."""
-    states, (whole, large, _) = _money(column)
+    states, (whole, large) = _money(column)
     return Measure(states, numeric.amount(whole, large)), Measure(states, numeric.exact_amount(whole, large))
 
 
 def money_mean(column: str, digits: int = 2) -> Measure:
-    states, (whole, large, count) = _money(column)
-    return Measure(states, round_to(ratio(numeric.amount(whole, large), count), digits))
+    states, (whole, large) = _money(column)
+    count = f"n_{column}"
+    return Measure({**states, count: F.count(column)}, round_to(ratio(numeric.amount(whole, large), F.col(count)), digits))
 
 
 def mean(column: str, digits: int) -> Measure:

@@ -36,32 +36,43 @@ def _unexpected(column: str, accepted: Iterable) -> Column:
 
 def unaccepted_values(df: DataFrame, accepted: Mapping[str, Iterable]) -> DataFrame:
     """Values outside the accepted ones of their column, with their number of rows; all columns in one pass."""
-    pairs = F.array(
-        *(F.struct(F.lit(c).alias("column_name"), _unexpected(c, ok).alias("value")) for c, ok in accepted.items())
-    )
-    # Nearly all cells are null; they go before a row is made of each.
-    bad = df.select(F.inline(F.filter(pairs, lambda cell: cell["value"].isNotNull())))
-    return bad.groupBy("column_name", "value").agg(rows().alias("row_count"))
+    return _found_values(df, {c: _unexpected(c, ok) for c, ok in accepted.items()})
+
+
+def _found_values(df: DataFrame, wrong: Mapping[str, Column]) -> DataFrame:
+    """What is wrong in each column, with its number of rows.
+
+    Rows are grouped by all wrong values together, which are null nearly everywhere: so a task passes on few groups,
+    and only these are taken apart by column.
+    """
+    groups = df.groupBy(*(value.alias(c) for c, value in wrong.items())).agg(rows().alias("n"))
+    cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"), F.col("n")) for c in wrong))
+    apart = groups.select(F.inline(cells)).where(F.col("value").isNotNull())
+    return apart.groupBy("column_name", "value").agg(F.sum("n").alias("row_count"))
 
 
-def orphans(child: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+#: Up to so many keys, a parent is a list of values in the filter; a larger one is joined.
+LISTED_KEYS = 10_000
+
+
+def orphans(child: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], listed: int = LISTED_KEYS) -> DataFrame:
     """Non-null keys without a parent, with their number of rows.
 
-    ``parents`` maps a key column to the parent relation and its key. All columns are counted in one pass, by
-    grouping sets over the typed keys, and only the counts, one per distinct key, meet the parents.
+    ``parents`` maps a key column to the parent relation and its key. All columns whose parents have at most ``listed``
+    keys are tested in one pass against these, and only orphans are taken apart. A larger parent meets one row per
+    distinct key.
     """
-    columns = [F.col(c) for c in parents]
-    sets = child.groupingSets([[c] for c in columns], *columns).agg(
-        *(F.grouping(c).alias(f"not_{c}") for c in parents), rows().alias("row_count")
-    )
-    name = F.coalesce(*(F.when(F.col(f"not_{c}") == 0, c) for c in parents))
-    value = F.coalesce(*(F.when(F.col(f"not_{c}") == 0, F.col(c).cast("string")) for c in parents))
-    counts = sets.select(name.alias("column_name"), value.alias("value"), "row_count").where(F.col("value").isNotNull())
-    known = [
-        parent.select(F.lit(c).alias("column_name"), F.col(key).cast("string").alias("value"))
-        for c, (parent, key) in parents.items()
-    ]
-    return counts.join(reduce(DataFrame.unionByName, known), ["column_name", "value"], "left_anti")
+    wrong, found = {}, []
+    for column, (parent, key) in parents.items():
+        keys = [r[0] for r in parent.select(key).limit(listed + 1).collect()]
+        if len(keys) <= listed:
+            known = [k for k in keys if k is not None]
+            wrong[column] = _unexpected(column, known) if known else F.col(column).cast("string")
+        else:
+            counts = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(rows().alias("row_count"))
+            lost = counts.join(parent.select(F.col(key).alias("_parent")), F.col("_key") == F.col("_parent"), "left_anti")
+            found.append(lost.select(F.lit(column).alias("column_name"), F.col("_key").cast("string").alias("value"), "row_count"))
+    return reduce(DataFrame.unionByName, ([_found_values(child, wrong)] if wrong else []) + found)
 
 
 def total_below_fare() -> Column:

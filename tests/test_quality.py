@@ -3,10 +3,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from conftest import plan_of
 from test_star import make_fact
 
 from farelake.operators import clean, enrich, quality
-from farelake.plans import checks, fixture, warehouse
+from farelake.plans import catalog, checks, fixture, warehouse
 from farelake.sources import lookups
 
 AT = dt.datetime(2022, 1, 3, 12, 0)
@@ -154,3 +155,20 @@ def test_fixture_violations(spark, small_tables):
     assert found["relationships", "fact_trips", "vendor_id"] == (52, "warn")
     assert found["accepted_values", "trips_clean", "vendor_id"] == (1, "warn")
     assert ("unique", "fact_trips", "trip_id") not in found
+
+
+def test_orphans_of_a_parent_too_large_to_list(spark):
+    child = spark.createDataFrame([(1, 7), (1, 7), (2, None), (None, 8), (3, 9)], "fk long, other long")
+    parents = {"fk": (spark.createDataFrame([(1,), (1,), (None,)], "id long"), "id"), "other": (spark.range(7, 9), "id")}
+    expected = [("fk", "2", 1), ("fk", "3", 1), ("other", "9", 1)]
+    for listed in (0, 2, 3, 100):
+        assert sorted(tuple(r) for r in quality.orphans(child, parents, listed).collect()) == expected
+    empty = {"fk": (spark.range(0), "id")}
+    assert sorted(tuple(r) for r in quality.orphans(child, empty).collect()) == [("fk", "1", 2), ("fk", "2", 1), ("fk", "3", 1)]
+
+
+def test_checks_of_values_and_parents_neither_expand_nor_filter_arrays(spark, small_tables):
+    for name in ("dq_accepted_values", "dq_relationships"):
+        plan = plan_of(catalog.all_queries()[name](spark, small_tables))
+        assert "Expand" not in plan and "lambda" not in plan
+        assert plan.count("Scan parquet") == 2  # lines and orders, once
