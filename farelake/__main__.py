@@ -2,7 +2,8 @@
 
     spark-submit farelake/__main__.py ingest  --source trips/ --landing landing/ --start 2022-01-01 --end 2022-04-01
     spark-submit farelake/__main__.py build   --landing landing/ --zones zones.csv --out warehouse/
-    spark-submit farelake/__main__.py refresh --landing landing/ --zones zones.csv --out warehouse/ --since 2022-03-01
+    spark-submit farelake/__main__.py ingest  --source trips/ --landing landing/ --start 2022-03-01 --end 2022-04-01 --months 2022-03-01
+    spark-submit farelake/__main__.py refresh --landing landing/ --zones zones.csv --out warehouse/
 
 The session takes its master and sizes from the submit command; see the README.
 """
@@ -25,6 +26,7 @@ from farelake.operators.clean import ROW_ORDER  # noqa: E402
 from farelake.plans import warehouse  # noqa: E402
 from farelake.session import build_session, release_scratch  # noqa: E402
 from farelake.sources import landing, lookups  # noqa: E402
+from farelake.sources.versions import Versions  # noqa: E402
 
 
 def parse(arguments: list[str]) -> argparse.Namespace:
@@ -32,15 +34,15 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     commands = parser.add_subparsers(dest="command", required=True)
 
-    ingest = commands.add_parser("ingest", help="replace the landing table by a range of the source")
+    ingest = commands.add_parser("ingest", help="replace the landing table, or months of it, by a range of the source")
     ingest.add_argument("--source", required=True)
     ingest.add_argument("--start", required=True)
     ingest.add_argument("--end", required=True)
+    ingest.add_argument("--months", nargs="+", metavar="DAY", help="replace only these months, given by their first days")
     ingest.add_argument("--share", type=float, help="keep this share of the rows, chosen by a hash of their key")
 
     build = commands.add_parser("build", help="build all tables and check them")
-    refresh = commands.add_parser("refresh", help="rebuild the fact from a month on, then the reports")
-    refresh.add_argument("--since", required=True, help="first day of a month")
+    refresh = commands.add_parser("refresh", help="bring all tables up to date with the landing table")
     for command in (build, refresh):
         command.add_argument("--zones", required=True, help="zone lookup CSV")
         command.add_argument("--out", required=True)
@@ -56,20 +58,18 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> int:
     trips = landing.extract_range(source, args.start, args.end)
     if args.share is not None:
         trips = landing.sample_share(trips, args.share, ROW_ORDER)
-    landing.replace_table(landing.add_sync_columns(trips, args.as_of), args.landing)
-    landing.load_summary(landing.read_landing(spark, args.landing)).show(truncate=False)
+    store = Versions(spark, args.landing)
+    landing.load(store, landing.add_sync_columns(trips, args.as_of), args.months)
+    landing.load_summary(landing.read_landing(store)).show(truncate=False)
     return 0
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> int:
-    raw = landing.read_landing(spark, args.landing)
-    zones = lookups.read_csv(spark, args.zones, schemas.ZONES)
-    known = warehouse.Lookups.with_zones(spark, zones)
-    if args.command == "refresh":
-        report = warehouse.refresh(spark, raw, known, args.out, args.as_of, args.since, args.partitions)
-    else:
-        report = warehouse.build(spark, raw, known, args.out, args.as_of, args.partitions)
-    quality.freshness(raw, args.as_of).show(truncate=False)
+    landed, out = Versions(spark, args.landing), Versions(spark, args.out)
+    known = warehouse.Lookups.with_zones(spark, lookups.read_csv(spark, args.zones, schemas.ZONES))
+    make = warehouse.refresh if args.command == "refresh" else warehouse.build
+    report = make(landed, out, known, args.as_of, args.partitions)
+    quality.freshness(landing.read_landing(landed), args.as_of).show(truncate=False)
     return outcome(report)
 
 

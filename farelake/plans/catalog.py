@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -9,24 +11,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.functions import buckets
+from farelake.functions.calendar import instant
 from farelake.functions.keys import surrogate_key
 from farelake.functions.numeric import rows
 from farelake.operators import clean, enrich, quality, reports, star
 from farelake.plans import fixture, warehouse
 from farelake.plans.checks import all_checks
 from farelake.plans.settings import (
+    CORRECTED_MONTH,
     EXTRACT_END,
     EXTRACT_START,
     HISTORY_FIRST,
     HISTORY_SECOND,
+    LAST_MONTH,
+    LATE_MONTH,
+    MISTAKEN_FROM,
     SAMPLE_KEYS,
     SAMPLE_SHARE,
     SCAN_END,
     SCAN_START,
     TOP_ZONES,
 )
+from farelake.schemas import RAW_TRIPS
 from farelake.session import materialize, scratch_path
 from farelake.sources import landing, lookups, store
+from farelake.sources.versions import Versions
 from farelake.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,9 +194,47 @@ def dim_date(spark, sf_dir):
 
 @_query
 def partitioned_fact_scan(spark, sf_dir):
-    path = scratch_path(spark, "fact")
-    store.write_fact(_fact(spark, sf_dir), path)
-    return store.read_fact(spark, path, SCAN_START, SCAN_END)
+    stored = Versions(spark, scratch_path(spark, "fact"))
+    store.write_fact(stored, _fact(spark, sf_dir))
+    return store.read_fact(stored, SCAN_START, SCAN_END)
+
+
+@_query
+def incremental_fact(spark, sf_dir):
+    """The fact after a second load: one month was corrected, one arrived by mistake and is gone, and the last were not
+    there yet. Only these, and months whose ids have moved, are made again."""
+    raw = fixture.raw_trips(spark, sf_dir)
+    at = F.col("pickup_datetime")
+    landed, out = (Versions(spark, scratch_path(spark, name)) for name in ("landing", "warehouse"))
+    corrected = (at >= instant(f"{CORRECTED_MONTH} 00:00:00")) & (at < F.lit(CORRECTED_MONTH).cast("date") + F.expr("interval 1 month"))
+    early = raw.where((at < instant(f"{LATE_MONTH} 00:00:00")) & ~(corrected & (F.col("passenger_count") == 2)))
+    moved = F.expr("interval 30 years")
+    mistaken = raw.where(corrected).withColumns({"pickup_datetime": at + moved, "dropoff_datetime": F.col("dropoff_datetime") + moved})
+    landing.load(landed, early.unionByName(mistaken))
+    warehouse.refresh_fact(landed, out, _known(spark), fixture.AS_OF)
+    wrong = [m for m in landed.parts(landing.LANDING) if m >= MISTAKEN_FROM]
+    months = [CORRECTED_MONTH, *_months(LATE_MONTH, LAST_MONTH), *wrong]
+    landing.load(landed, raw.where(corrected | (at >= instant(f"{LATE_MONTH} 00:00:00"))), months)
+    warehouse.refresh_fact(landed, out, _known(spark), fixture.AS_OF)
+    return store.read_fact(out)
+
+
+def _months(first: str, last: str) -> list[str]:
+    start, stop = (dt.date.fromisoformat(m) for m in (first, last))
+    count = (stop.year - start.year) * 12 + stop.month - start.month + 1
+    return [f"{start.year + (start.month - 1 + i) // 12}-{(start.month - 1 + i) % 12 + 1:02d}-01" for i in range(count)]
+
+
+@_query
+def landing_round_trip(spark, sf_dir):
+    """The landing table under its name: part of the trips is loaded and published, then all of them."""
+    raw = fixture.raw_trips(spark, sf_dir)
+    landed = Versions(spark, scratch_path(spark, "landing"))
+    namespace = f"landing_{uuid.uuid4().hex}"
+    for trips in (raw.where(F.col("_deleted")), raw):
+        landing.load(landed, trips)
+        landed.publish(namespace)
+    return spark.table(f"{namespace}.{landing.LANDING}").select(*RAW_TRIPS.names)
 
 
 # --- reports ---------------------------------------------------------------------------------------------
@@ -253,8 +300,8 @@ def daily_revenue_stream(spark, sf_dir):
     """The daily report computed by a stream over the landed trips, which come in several micro-batches of files that
     are not in the order of time, run until it has caught up."""
     source, log, state = (scratch_path(spark, name) for name in ("landing", "days", "state"))
-    landing.replace_table(fixture.raw_trips(spark, sf_dir).repartition(8, "dropoff_location_id"), source)
-    files = len(landing.read_landing(spark, source).inputFiles())
+    fixture.raw_trips(spark, sf_dir).repartition(8, "dropoff_location_id").write.parquet(source)
+    files = len(spark.read.schema(RAW_TRIPS).parquet(source).inputFiles())
     arriving = daily.stream_landing(spark, source, files_per_batch=-(-files // 3))
     daily.keep_current(arriving, log, state).awaitTermination()
     return daily.current_report(spark, log)

@@ -534,6 +534,8 @@ def statements() -> dict[str, str]:
         ),
         "date_spine": "select date_day from spine",
         "dim_date": "select * from dates",
+        "landing_round_trip": "select * from raw",
+        "incremental_fact": "select * from fact",
         "partitioned_fact_scan": "select * from fact"
         f" where pickup_date >= date '{SCAN_START}' and pickup_date < date '{SCAN_END}'",
         "location_stats": "select * from location_stats",

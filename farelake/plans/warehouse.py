@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
+from copy import copy
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
-from farelake.functions.calendar import instant, month_start
+from farelake.functions.calendar import month_start
 from farelake.operators import clean, enrich, reports, star
 from farelake.operators.quality import run_checks
 from farelake.plans.checks import all_checks
+from farelake.schemas import FACT
 from farelake.session import sized_partitions
 from farelake.sources import landing, lookups, store
+from farelake.sources.versions import MONTH, WHOLE, Parts, Versions, in_order, without_month
 
 
 @dataclass(frozen=True)
@@ -29,27 +34,33 @@ class Lookups:
         return cls(lookups.vendors(spark), lookups.payment_types(spark), lookups.rate_codes(spark), zones)
 
 
-def dimensions(known: Lookups, trips: DataFrame) -> dict[str, DataFrame]:
+def dimensions(known: Lookups, trips: DataFrame, at: str = "pickup_at") -> dict[str, DataFrame]:
     """The five dimensions; the calendar covers the days of ``trips``."""
     return {
         "dim_vendor": star.vendor_dim(known.vendors),
         "dim_payment_type": star.payment_type_dim(known.payment_types),
         "dim_rate_code": star.rate_code_dim(known.rate_codes),
         "dim_location": star.location_dim(known.zones),
-        "dim_date": star.date_dim(star.spine_of(trips)),
+        "dim_date": star.date_dim(star.spine_of(trips, at)),
     }
 
 
 def all_reports(fact: DataFrame, known: Lookups, as_of: str) -> dict[str, DataFrame]:
+    """The seven reports straight from trips."""
+    return _shown({name: made().of(fact) for name, made in reports.REPORTS.items()}, known, as_of)
+
+
+def _shown(stats: Mapping[str, DataFrame], known: Lookups, as_of: str) -> dict[str, DataFrame]:
+    """The reports as they are shown, from their finished measures."""
     locations = star.location_dim(known.zones)
     return {
-        "location_stats": reports.location_stats(fact, locations, as_of),
-        "location_stats_plain": reports.location_stats(fact, as_of=as_of),
-        "zone_performance": reports.zone_performance(fact, locations),
-        "trip_patterns": reports.trip_patterns(fact),
-        "daily_revenue": reports.daily_revenue(fact),
-        "payment_tipping": reports.payment_tipping(fact, known.payment_types),
-        "service_analysis": reports.service_analysis(fact, known.rate_codes),
+        "location_stats": reports.location_report(stats["locations"], locations, as_of),
+        "location_stats_plain": reports.location_report(stats["locations"], as_of=as_of),
+        "zone_performance": reports.zone_report(stats["zones"], locations),
+        "trip_patterns": reports.pattern_report(stats["patterns"]),
+        "daily_revenue": reports.day_report(stats["days"]),
+        "payment_tipping": reports.tipping_report(stats["tipping"], known.payment_types),
+        "service_analysis": reports.service_report(stats["service"], known.rate_codes),
     }
 
 
@@ -71,87 +82,160 @@ def check_tables(
     }
 
 
-def build(
-    spark: SparkSession, raw: DataFrame, known: Lookups, out: str, as_of: str, partitions: int | None = None
-) -> DataFrame:
-    """Build every table below ``out`` and return the check report over the stored tables.
+# --- refresh -------------------------------------------------------------------------------------------------
 
-    The trips are numbered once and stored once, in ``partitions`` sorted parts (default: by the size of ``raw``);
-    the fact is stored once and read back, column-pruned, by each report.
-    """
-    parts = partitions or sized_partitions(raw)
-    enriched = enrich.enrich_trips(clean.clean_trips(raw, partitions=parts))
-    store.write_fact(_fact(enriched, known, as_of), _fact_path(out), parts)
-    dims, made = _derived(spark, known, out, as_of)
-    stored = store.read_fact(spark, _fact_path(out))
-    return run_checks(spark, check_tables(enriched, stored, known, dims, made), all_checks())
-
-
-def refresh(
-    spark: SparkSession,
-    raw: DataFrame,
-    known: Lookups,
-    out: str,
-    as_of: str,
-    since: str,
-    partitions: int | None = None,
-) -> DataFrame:
-    """Bring the tables up to date after the landing table changed from the first of month ``since`` on.
 
-    Only the months from there on are sorted, numbered and written again. The numbers go on after the live rows
-    before, so every id is the one a full build would give. Returns the check report for the changed trips
-    and all tables derived from the stored fact.
-    """
-    if not since.endswith("-01"):
-        raise ValueError("a refresh replaces whole months: give the first day of one")
-    boundary = instant(f"{since} 00:00:00")
-    at = F.col("pickup_datetime")
-    # Rows without a pickup time sort first; they take up numbers before the boundary.
-    earlier = clean.live_rows(raw).where(at.isNull() | (at < boundary)).count()
-    changed = raw.where(at >= boundary)
-    parts = partitions or sized_partitions(changed)
-    enriched = enrich.enrich_trips(clean.clean_trips(changed, partitions=parts, after=earlier))
-    fact = _fact(enriched, known, as_of)
-    _refuse_emptied_months(spark, fact, out, since)
-    store.replace_months(fact, _fact_path(out), parts)
-    dims, made = _derived(spark, known, out, as_of)
-    stored = store.read_fact(spark, _fact_path(out))
-    return run_checks(spark, check_tables(enriched, stored, known, dims, made), all_checks())
+@dataclass(frozen=True)
+class Stale:
+    """What a refresh has to do: ``months`` of the landing table whose trips the fact lacks or has in another state,
+    with the number of live rows before each, and the months to drop."""
 
+    months: dict[str, int]
+    gone: list[str]
 
-def register_views(tables: Mapping[str, DataFrame]) -> None:
-    """Make relations available to SQL under their names."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
 
+def stale_months(landed: Versions, out: Versions) -> Stale:
+    """Compare the landing table's months with those that the fact was made of. Both sides are read from the stores'
+    manifests; no table is scanned.
 
-def _fact_path(out: str) -> str:
-    return f"{out}/fact_trips"
+    A month is stale if its rows were loaded anew, or if the number of live rows before it has changed: then its ids
+    have, too. Rows without a pickup time are no trips, but come first in the numbering.
+    """
+    parts, fact = landed.parts(landing.LANDING), out.parts(store.FACT_TABLE)
+    months, before = {}, 0
+    for month in in_order(parts):
+        known = fact.get(month, {})
+        if not without_month(month) and (known.get("source"), known.get("after")) != (parts[month]["version"], before):
+            months[month] = before
+        before += int(parts[month]["live"])
+    return Stale(months, sorted(m for m in fact if m not in parts))
 
 
-def _fact(enriched: DataFrame, known: Lookups, as_of: str) -> DataFrame:
-    return star.build_fact(enriched, known.vendors, known.payment_types, known.rate_codes, as_of)
-
+def fact_of_months(landed: Versions, months: Mapping[str, int], known: Lookups, as_of: str, partitions: int | None = None) -> DataFrame:
+    """The fact rows of some months, each given with the number of live rows before it; only these are scanned.
 
-def _derived(
-    spark: SparkSession, known: Lookups, out: str, as_of: str
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Store the dimensions and the reports of the stored fact."""
-    stored = store.read_fact(spark, _fact_path(out))
-    dims = _stored(spark, dimensions(known, stored), out)
-    return dims, _stored(spark, all_reports(stored, known, as_of), out)
+    The live rows of all of them are numbered together, and each month's numbers are shifted to where they belong, so
+    every id is the one that numbering the whole landing table gives.
+    """
+    raw = landing.read_landing(landed, months)
+    numbered = clean.number_trips(raw, partitions or sized_partitions(raw))
+    shifts, counted = {}, 0
+    for month in in_order(months):
+        shifts[month] = months[month] - counted
+        counted += int(landed.parts(landing.LANDING)[month]["live"])
+    if len(set(shifts.values())) == 1:
+        shift = F.lit(next(iter(shifts.values())))
+    else:
+        schema = StructType([StructField("_month", DateType()), StructField("_shift", LongType())])
+        rows = [(dt.date.fromisoformat(m), n) for m, n in shifts.items()]
+        month = month_start(F.to_date("pickup_datetime"))
+        numbered = numbered.join(lookups.from_rows(raw.sparkSession, schema, rows), month == F.col("_month"))
+        shift = F.col("_shift")
+    trips = clean.valid_trips(clean.standardize(numbered.withColumn("row_num", F.col("row_num") + shift)))
+    return _fact(enrich.enrich_trips(trips), known, as_of)
+
+
+def refresh_fact(landed: Versions, out: Versions, known: Lookups, as_of: str, partitions: int | None = None) -> Stale:
+    """Bring the stored fact up to date with the landing table: stale months are made again, vanished ones dropped."""
+    changes, stale = _staged_fact(landed, out, known, as_of, partitions)
+    out.commit(changes)
+    return stale
+
+
+def _staged_fact(
+    landed: Versions, out: Versions, known: Lookups, as_of: str, partitions: int | None
+) -> tuple[dict[str, Parts], Stale]:
+    stale = stale_months(landed, out)
+    kept = {m: part for m, part in out.parts(store.FACT_TABLE).items() if m not in stale.months and m not in stale.gone}
+    fresh: Parts = {}
+    if stale.months:
+        written = store.stage_fact(out, fact_of_months(landed, stale.months, known, as_of, partitions), partitions)
+        version = next(iter(written.values()))["version"] if written else "none"
+        for month, before in stale.months.items():
+            rows = written.get(month, {}).get("rows", 0)  # a month may have no valid trip
+            source = landed.parts(landing.LANDING)[month]["version"]
+            fresh[month] = {"version": version, "rows": rows, "source": source, "after": before}
+    return {store.FACT_TABLE: {**kept, **fresh}}, stale
+
+
+def state_table(name: str) -> str:
+    """Where the monthly states of a report are kept."""
+    return f"state_{name}"
+
+
+def _staged_states(out: Versions, fact: Parts, stale: Stale) -> dict[str, Parts]:
+    """The states of all reports, made anew for the stale months."""
+    spark, changes = out.spark, {}
+    rows = {m: {store.FACT_TABLE: fact[m]} for m in stale.months if fact[m]["rows"]}
+    changed = _as_of(out, {store.FACT_TABLE: {m: fact[m] for m in rows}})
+    for name, made in reports.REPORTS.items():
+        table = state_table(name)
+        kept = {m: part for m, part in out.parts(table).items() if m not in stale.months and m not in stale.gone}
+        if rows:
+            states = made().state(store.read_fact(changed))
+            version = out.write(table, states.repartition(MONTH), monthly=True)
+            kept.update({m: {"version": version} for m in rows})
+        changes[table] = kept
+    return changes
+
+
+def _as_of(out: Versions, changes: Mapping[str, Parts]) -> Versions:
+    """The store as it will be after a commit of these changes."""
+    ahead = copy(out)
+    ahead.tables = {**out.tables, **changes}
+    return ahead
+
+
+def reports_of_states(out: Versions, known: Lookups, as_of: str) -> dict[str, DataFrame]:
+    """The seven reports from the stored monthly states; the fact is not read."""
+    stats = {}
+    for name, made in reports.REPORTS.items():
+        report = made()
+        schema = report.state(out.spark.createDataFrame([], FACT)).schema
+        stats[name] = report.finish(report.merge(out.read(state_table(name), schema)))
+    return _shown(stats, known, as_of)
+
+
+def refresh(landed: Versions, out: Versions, known: Lookups, as_of: str, partitions: int | None = None) -> DataFrame:
+    """Bring all tables up to date with the landing table, and return the check report.
+
+    Only the stale months of the landing table and of the fact are read: their trips are numbered, stored and summed up
+    again, and the reports are made of the monthly states, most of which were there. All tables switch in one commit, so
+    no reader sees a report of another state than the fact. The checks of trips cover the stale months; ids of different
+    months differ, as their numbers do.
+    """
+    spark = out.spark
+    changes, stale = _staged_fact(landed, out, known, as_of, partitions)
+    changes |= _staged_states(out, changes[store.FACT_TABLE], stale)
+    ahead = _as_of(out, changes)
+    days = reports.days_stats().state(spark.createDataFrame([], FACT)).schema
+    dims = dimensions(known, ahead.read(state_table("days"), days), "pickup_date")
+    made = reports_of_states(ahead, known, as_of)
+    for name, df in {**dims, **made}.items():
+        changes[name] = {WHOLE: {"version": out.write(name, df)}}
+    out.commit(changes)
+    stored = {name: out.read(name, df.schema) for name, df in {**dims, **made}.items()}
+    fact = store.read_fact(out, months=stale.months)
+    checked = check_tables(fact, fact, known, {n: stored[n] for n in dims}, {n: stored[n] for n in made})
+    return run_checks(spark, checked, all_checks())
 
 
-def _refuse_emptied_months(spark: SparkSession, fact: DataFrame, out: str, since: str) -> None:
-    """A month that lost all its trips would keep its old ones; that takes a full build."""
-    month = month_start(F.col("pickup_date")).alias("month")
-    before = store.read_fact(spark, _fact_path(out), start=since).select(month).distinct()
-    emptied = before.join(fact.select(month).distinct(), "month", "left_anti")
-    if not emptied.isEmpty():
-        raise ValueError("a stored month has no trips any more; run a full build")
+def build(
+    landed: Versions, out: Versions, known: Lookups, as_of: str, partitions: int | None = None
+) -> DataFrame:
+    """Build every table anew, whatever is stored, and return the check report."""
+    empty = copy(out)
+    empty.tables = {}
+    report = refresh(landed, empty, known, as_of, partitions)
+    out.number, out.tables = empty.number, empty.tables
+    return report
 
 
-def _stored(spark: SparkSession, tables: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Make relations available to SQL under their names."""
     for name, df in tables.items():
-        landing.replace_table(df, f"{out}/{name}")
-    return {name: spark.read.schema(df.schema).parquet(f"{out}/{name}") for name, df in tables.items()}
+        df.createOrReplaceTempView(name)
+
+
+def _fact(enriched: DataFrame, known: Lookups, as_of: str) -> DataFrame:
+    return star.build_fact(enriched, known.vendors, known.payment_types, known.rate_codes, as_of)

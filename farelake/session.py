@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,29 +59,6 @@ def release_scratch(spark: SparkSession) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
-    """Let ``write`` fill a new folder beside ``path``, then put it in its place.
-
-    If writing fails, what was there stays as it was; there is no time in which half of a table is seen. The switch is
-    two renames, so the folder should be on a file system that has them.
-    """
-    fresh, former = (f"{path.rstrip('/')}.{uuid.uuid4().hex}.{kind}" for kind in ("new", "old"))
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    target, new, old = hadoop(path), hadoop(fresh), hadoop(former)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    try:
-        write(fresh)
-    except BaseException:
-        files.delete(new, True)
-        raise
-    if files.exists(target) and not files.rename(target, old):
-        raise OSError(f"{path} cannot be replaced")
-    if not files.rename(new, target):
-        files.rename(old, target)
-        raise OSError(f"{path} cannot be replaced")
-    files.delete(old, True)
-
-
 _PART_BYTES = 256 << 20
 _UNKNOWN_BYTES = 1 << 50
 

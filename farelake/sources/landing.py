@@ -1,17 +1,19 @@
-"""Loading the landing table: range extract, repeatable sample, sync columns, full refresh, load summary."""
+"""Loading the landing table: range extract, repeatable sample, sync columns, full and monthly refresh, load summary."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake import schemas
-from farelake.functions.calendar import instant
+from farelake.functions.calendar import instant, month_start
 from farelake.functions.numeric import rows, total
-from farelake.session import replace_folder
+from farelake.sources.versions import MONTH, Versions
 
+#: The landing table's name in its store.
+LANDING = "landing"
 _HASH_DIGITS = 8
 
 
@@ -43,19 +45,33 @@ def share_bound(share: float) -> str:
     return f"{round(share * 16**_HASH_DIGITS):0{_HASH_DIGITS}x}" if share < 1 else "g"
 
 
-def ensure_schema(spark: SparkSession, name: str) -> None:
-    """Create the landing namespace unless it exists."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+def load(store: Versions, trips: DataFrame, months: Iterable[str] | None = None) -> None:
+    """Refresh the landing table, by pickup month: whole, or only these ``months`` (their first days).
 
-
-def replace_table(df: DataFrame, path: str) -> None:
-    """Full refresh: the rows at ``path`` become exactly the rows of ``df``, which may be derived from them. A failed
-    write leaves the table as it was."""
-    replace_folder(df.sparkSession, path, df.write.parquet)
-
-
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.RAW_TRIPS).parquet(path)
+    The rows of a refreshed month become exactly those of ``trips``, which may be derived from them; a month without
+    rows is gone. Months are remembered with their numbers of rows and of live rows, so that later steps number the
+    trips of one month without reading those before. Readers see the former state until all is written, and a failed
+    load changes nothing.
+    """
+    at = F.col("pickup_datetime")
+    dated = trips.select(*schemas.RAW_TRIPS.names, month_start(F.to_date(at)).alias(MONTH))
+    # Each task writes one stretch of time, however many rows a month has.
+    placed = dated.repartitionByRange(MONTH, at, "dropoff_datetime", "pickup_location_id")
+    version = store.write(LANDING, placed, monthly=True)
+    live = F.count_if(~F.col("_deleted")).alias("live")
+    found = store.months_of(LANDING, version, schemas.RAW_TRIPS, live)
+    kept = {}
+    if months is not None:
+        wanted = set(months)
+        if outside := found.keys() - wanted:
+            raise ValueError(f"trips outside of the months that are loaded: {', '.join(sorted(outside))}")
+        kept = {m: part for m, part in store.parts(LANDING).items() if m not in wanted}
+    store.commit({LANDING: {**kept, **{m: {"version": version, **counts} for m, counts in found.items()}}})
+
+
+def read_landing(store: Versions, months: Iterable[str] | None = None) -> DataFrame:
+    """The landing rows, of some months only if these are given."""
+    return store.read(LANDING, schemas.RAW_TRIPS, months).select(*schemas.RAW_TRIPS.names)
 
 
 def load_summary(landing: DataFrame) -> DataFrame:

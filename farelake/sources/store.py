@@ -2,59 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.functions.calendar import month_start
-from farelake.schemas import STORED_FACT
-from farelake.session import replace_folder
+from farelake.schemas import FACT
+from farelake.sources.versions import MONTH, Parts, Versions
 
-PARTITION = "month_start"
+FACT_TABLE = "fact_trips"
 CLUSTER_KEYS = ("pickup_location_id", "payment_type_id", "rate_code_id")
 
 
-def _clustered(fact: DataFrame, partitions: int | None) -> DataFrame:
+def clustered(fact: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows placed so that each task writes one stretch of (month, cluster keys).
 
     The placement goes on through the pickup time and the unique trip id, so neither a busy month nor a busy
     zone is bound to one task, and every month is spread over as many files as its size asks for.
     """
-    keys = [PARTITION, *CLUSTER_KEYS, "pickup_at", "trip_id"]
+    keys = [MONTH, *CLUSTER_KEYS, "pickup_at", "trip_id"]
     count = [] if partitions is None else [partitions]
     return (
-        fact.withColumn(PARTITION, month_start(F.col("pickup_date")))
+        fact.withColumn(MONTH, month_start(F.col("pickup_date")))
         .repartitionByRange(*count, *keys)
         .sortWithinPartitions(*keys)
     )
 
 
-def write_fact(fact: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Full refresh of the stored fact. A failed write leaves it as it was."""
-    writer = _clustered(fact, partitions).write.partitionBy(PARTITION)
-    replace_folder(fact.sparkSession, path, writer.parquet)
+def stage_fact(store: Versions, fact: DataFrame, partitions: int | None = None) -> Parts:
+    """Write a version of the fact's months that occur in ``fact``, to be committed."""
+    return staged(store, clustered(fact, partitions))
 
 
-def replace_months(fact: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Incremental load: the months that occur in ``fact`` are replaced by its rows, others stay.
+def staged(store: Versions, placed: DataFrame) -> Parts:
+    version = store.write(FACT_TABLE, placed, monthly=True)
+    found = store.months_of(FACT_TABLE, version, FACT)
+    return {month: {"version": version, **counts} for month, counts in found.items()}
 
-    ``fact`` must hold the whole of each month it touches.
-    """
-    writer = _clustered(fact, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(PARTITION).parquet(path)
+
+def write_fact(store: Versions, fact: DataFrame, partitions: int | None = None) -> None:
+    """Full refresh of the stored fact. A failed write leaves it as it was."""
+    store.commit({FACT_TABLE: stage_fact(store, fact, partitions)})
+
+
+def replace_months(store: Versions, fact: DataFrame, months: Iterable[str], partitions: int | None = None) -> None:
+    """Incremental load: ``months`` are replaced by the rows of ``fact``, which has no others, in one step. A month
+    without rows is gone; the files of other months stay as they are."""
+    fresh = stage_fact(store, fact, partitions)
+    if outside := fresh.keys() - set(months):
+        raise ValueError(f"trips outside of the months that are replaced: {', '.join(sorted(outside))}")
+    kept = {m: part for m, part in store.parts(FACT_TABLE).items() if m not in set(months)}
+    store.commit({FACT_TABLE: {**kept, **fresh}})
 
 
-def read_fact(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """The stored fact, for pickup dates from ``start`` up to, not including, ``end``.
+def read_fact(store: Versions, start: str | None = None, end: str | None = None, months: Iterable[str] | None = None) -> DataFrame:
+    """The stored fact, for pickup dates from ``start`` up to, not including, ``end``, or of some months only.
 
     Spark prunes partitions only by the partition column, so the months that a date range implies are
     tested as well.
     """
-    fact = spark.read.schema(STORED_FACT).parquet(path)
+    fact = store.read(FACT_TABLE, FACT, months)
     if start is not None:
         first = F.lit(start).cast("date")
-        fact = fact.where((F.col("pickup_date") >= first) & (F.col(PARTITION) >= month_start(first)))
+        fact = fact.where((F.col("pickup_date") >= first) & (F.col(MONTH) >= month_start(first)))
     if end is not None:
         stop = F.lit(end).cast("date")
         last_month = month_start(F.date_sub(stop, 1))
-        fact = fact.where((F.col("pickup_date") < stop) & (F.col(PARTITION) <= last_month))
-    return fact.drop(PARTITION)
+        fact = fact.where((F.col("pickup_date") < stop) & (F.col(MONTH) <= last_month))
+    return fact.select(*FACT.names)

@@ -6,6 +6,8 @@ import pytest
 
 from farelake.__main__ import main, outcome
 from farelake.plans import fixture
+from farelake.sources import landing, store
+from farelake.sources.versions import Versions
 
 
 @pytest.fixture(scope="module")
@@ -23,18 +25,25 @@ def run(base, command, *rest):
 
 
 def test_ingest_build_refresh(spark, inputs, capfd):
-    source = ("--source", str(inputs / "source"), "--start", "1996-01-01")
+    def landed():
+        return landing.read_landing(Versions(spark, str(inputs / "landing"))).count()
+
+    def fact():
+        return store.read_fact(Versions(spark, str(inputs / "out"))).count()
+
+    source = ("--source", str(inputs / "source"), "--start", "1999-01-01")
     assert run(inputs, "ingest", *source, "--end", "2000-01-01", "--share", "0.5") == 0
-    assert 0 < spark.read.parquet(str(inputs / "landing")).count() < 4000
+    assert 0 < landed() < 600
 
     assert run(inputs, "ingest", *source, "--end", "2000-01-01") == 0
     tables = ("--zones", str(inputs / "zones.csv"), "--out", str(inputs / "out"))
     assert run(inputs, "build", *tables) == 0
-    before = spark.read.parquet(str(inputs / "out" / "fact_trips")).count()
+    before = landed(), fact()
 
-    assert run(inputs, "ingest", *source, "--end", "2001-01-01") == 0
-    assert run(inputs, "refresh", *tables, "--since", "2000-01-01", "--partitions", "2") == 0
-    assert spark.read.parquet(str(inputs / "out" / "fact_trips")).count() > before > 0
+    source = ("--source", str(inputs / "source"), "--start", "2000-01-01")
+    assert run(inputs, "ingest", *source, "--end", "2000-03-01", "--months", "2000-01-01", "2000-02-01") == 0
+    assert run(inputs, "refresh", *tables, "--partitions", "2") == 0
+    assert landed() > before[0] > 0 and fact() > before[1] > 0
     printed = capfd.readouterr().out
     assert printed.count("pass  unique") == 28 and "warn  speed" in printed
 

@@ -14,6 +14,7 @@ from farelake.plans import fixture
 from farelake.schemas import SOURCE_TRIPS
 from farelake.session import scratch_path
 from farelake.sources import landing, store
+from farelake.sources.versions import Versions
 
 
 def trips_on(raw, *days):
@@ -29,42 +30,42 @@ DAYS = [(2022, 1, 31), (2022, 2, 1), (2022, 2, 28), (2022, 3, 1), (2022, 3, 2)]
 
 
 def test_fact_round_trip_and_pruning(spark, raw, tmp_path):
-    path = str(tmp_path / "fact")
+    stored = Versions(spark, str(tmp_path))
     fact = make_fact(spark, trips_on(raw, *DAYS))
-    store.write_fact(fact, path)
-    assert sorted(d for d in os.listdir(path) if "=" in d) == [
-        "month_start=2022-01-01", "month_start=2022-02-01", "month_start=2022-03-01",
-    ]
-    back = store.read_fact(spark, path)
+    store.write_fact(stored, fact)
+    assert sorted(stored.parts("fact_trips")) == ["2022-01-01", "2022-02-01", "2022-03-01"]
+    back = store.read_fact(stored)
     assert back.columns == fact.columns
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, fact.collect()), key=str)
 
-    some = store.read_fact(spark, path, "2022-02-01", "2022-03-01")
+    some = store.read_fact(stored, "2022-02-01", "2022-03-01")
     assert sorted(r.pickup_date for r in some.collect()) == [dt.date(2022, 2, 1), dt.date(2022, 2, 28)]
     filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan_of(some)).group(1)
     assert ">= 2022-02-01" in filters and "<= 2022-02-01" in filters
 
 
 def test_scan_reads_only_the_columns_it_needs(spark, raw, tmp_path):
-    path = str(tmp_path / "fact")
-    store.write_fact(make_fact(spark, trips_on(raw, *DAYS)), path)
-    plan = plan_of(store.read_fact(spark, path).groupBy("payment_type_id").sum("total_amount"))
+    stored = Versions(spark, str(tmp_path))
+    store.write_fact(stored, make_fact(spark, trips_on(raw, *DAYS)))
+    plan = plan_of(store.read_fact(stored).groupBy("payment_type_id").sum("total_amount"))
     assert re.search(r"ReadSchema: struct<payment_type_id:bigint,total_amount:double>", plan)
 
 
 def test_a_hot_month_is_spread_over_tasks(spark, raw, tmp_path):
-    path = str(tmp_path / "fact")
-    store.write_fact(make_fact(spark, trips_on(raw, *[(2022, 1, 5)] * 400)), path, partitions=4)
-    folder = os.path.join(path, "month_start=2022-01-01")
-    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 4
+    stored = Versions(spark, str(tmp_path))
+    store.write_fact(stored, make_fact(spark, trips_on(raw, *[(2022, 1, 5)] * 400)), partitions=4)
+    assert len(store.read_fact(stored).inputFiles()) == 4
 
 
-def test_replacing_a_month_leaves_the_others(spark, raw, tmp_path):
-    path = str(tmp_path / "fact")
-    store.write_fact(make_fact(spark, trips_on(raw, *DAYS)), path)
-    store.replace_months(make_fact(spark, trips_on(raw, (2022, 3, 9), (2022, 4, 1))), path)
-    days = sorted(str(r.pickup_date) for r in store.read_fact(spark, path).collect())
-    assert days == ["2022-01-31", "2022-02-01", "2022-02-28", "2022-03-09", "2022-04-01"]
+def test_replacing_months_leaves_the_others(spark, raw, tmp_path):
+    stored = Versions(spark, str(tmp_path))
+    store.write_fact(stored, make_fact(spark, trips_on(raw, *DAYS)))
+    changed = make_fact(spark, trips_on(raw, (2022, 3, 9), (2022, 4, 1)))
+    with pytest.raises(ValueError):
+        store.replace_months(stored, changed, ["2022-03-01"])
+    store.replace_months(stored, changed, ["2022-02-01", "2022-03-01", "2022-04-01"])
+    days = sorted(str(r.pickup_date) for r in store.read_fact(stored).collect())
+    assert days == ["2022-01-31", "2022-03-09", "2022-04-01"]
 
 
 def test_extract_is_half_open_and_stamped(spark, raw):
@@ -83,14 +84,51 @@ def test_extract_reaches_the_scan(spark, raw, tmp_path):
     assert "GreaterThanOrEqual(pickup_datetime" in plan and "LessThan(pickup_datetime" in plan
 
 
-def test_full_refresh_and_namespace(spark, raw, tmp_path):
-    path = str(tmp_path / "landing")
-    landing.replace_table(trips_on(raw, *DAYS), path)
-    landing.replace_table(trips_on(raw, DAYS[0]), path)
-    assert landing.read_landing(spark, path).count() == 1
-    landing.ensure_schema(spark, "landing_zone")
-    landing.ensure_schema(spark, "landing_zone")
+def test_full_and_monthly_loads(spark, raw, tmp_path):
+    landed = Versions(spark, str(tmp_path))
+    landing.load(landed, trips_on(raw, *DAYS))
+    assert {m: p["rows"] for m, p in landed.parts("landing").items()} == {"2022-01-01": 1, "2022-02-01": 2, "2022-03-01": 2}
+    with pytest.raises(ValueError):
+        landing.load(landed, trips_on(raw, *DAYS), ["2022-02-01"])
+    landing.load(landed, trips_on(raw, (2022, 2, 3)), ["2022-02-01", "2022-03-01"])
+    assert sorted(r.pickup_datetime.day for r in landing.read_landing(landed).collect()) == [3, 31]
+    landing.load(landed, trips_on(raw, DAYS[0]))
+    assert landing.read_landing(Versions(spark, str(tmp_path))).count() == 1
+
+
+def test_a_named_table_is_whole_between_any_two_steps(spark, raw, tmp_path, monkeypatch):
+    """A reader by name and one by folder look after every step of a refresh, and see what was or what will be."""
+    landed = Versions(spark, str(tmp_path))
+    landing.load(landed, trips_on(raw, *DAYS))
+    landed.publish("landing_zone")
+    seen = []
+
+    def look(*_):
+        by_name = spark.table("landing_zone.landing").count()
+        seen.append((by_name, landing.read_landing(Versions(spark, str(tmp_path))).count()))
+
+    steps = {name: getattr(landed, name) for name in ("write", "months_of", "commit")}
+    for name, step in steps.items():
+        monkeypatch.setattr(landed, name, lambda *a, step=step, **k: [step(*a, **k), look()][0])
+    look()
+    landing.load(landed, trips_on(raw, DAYS[0], DAYS[1]))
+    landed.publish("landing_zone")
+    look()
+    assert seen == [(5, 5), (5, 5), (5, 5), (5, 2), (2, 2)]
     assert "landing_zone" in [r.namespace for r in spark.sql("show schemas").collect()]
+    before = spark.table("landing_zone.landing")
+    landing.load(landed, trips_on(raw, DAYS[0]))
+    assert before.count() == 2 and landed.vacuum() == 2
+
+
+def test_a_commit_after_another_writers_fails(spark, tmp_path):
+    first, second = (Versions(spark, str(tmp_path)) for _ in range(2))
+    first.replace({"t": spark.range(3)})
+    with pytest.raises(RuntimeError):
+        second.replace({"t": spark.range(4)})
+    assert Versions(spark, str(tmp_path)).read("t", spark.range(1).schema).count() == 3
+    Versions(spark, str(tmp_path)).replace({"t": spark.range(5)})
+    assert first.read("t", spark.range(1).schema).count() == 3
 
 
 def test_load_summary(raw):
@@ -118,16 +156,15 @@ def test_samples_are_nested_and_need_no_shuffle(spark):
         landing.sample_share(df, 1.5, ["k"])
 
 
-def test_a_failed_refresh_leaves_the_table(spark, raw, tmp_path):
-    path = str(tmp_path / "landing")
-    landing.replace_table(raw({}, {}), path)
+def test_a_failed_load_leaves_the_table(spark, raw, tmp_path):
+    landed = Versions(spark, str(tmp_path))
+    landing.load(landed, raw({}, {}))
     broken = raw({}).withColumn("vendor_id", F.raise_error(F.lit("broken")).cast("string"))
     with pytest.raises(Exception, match="broken"):
-        landing.replace_table(broken, path)
-    assert landing.read_landing(spark, path).count() == 2
-    assert os.listdir(tmp_path) == ["landing"]
-    landing.replace_table(landing.read_landing(spark, path).limit(1), path)
-    assert landing.read_landing(spark, path).count() == 1
+        landing.load(landed, broken)
+    assert landing.read_landing(landed).count() == 2 == landing.read_landing(Versions(spark, str(tmp_path))).count()
+    landing.load(landed, landing.read_landing(landed).limit(1))
+    assert landing.read_landing(landed).count() == 1
 
 
 class FakeSession:

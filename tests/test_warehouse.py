@@ -2,33 +2,58 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 
 import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
 
 from farelake.operators import clean, enrich, reports
 from farelake.plans import fixture, warehouse
 from farelake.schemas import RAW_TRIPS
-from farelake.sources import store
+from farelake.sources import landing, store
+from farelake.sources.versions import Versions
 from farelake.streaming import daily
 
 
 @pytest.fixture(scope="module")
-def built(spark, small_tables, tmp_path_factory):
-    out = str(tmp_path_factory.mktemp("warehouse"))
-    known = warehouse.Lookups.with_zones(spark, fixture.zones(spark))
-    report = warehouse.build(spark, fixture.raw_trips(spark, small_tables), known, out, fixture.AS_OF)
+def known(spark):
+    return warehouse.Lookups.with_zones(spark, fixture.zones(spark))
+
+
+@pytest.fixture(scope="module")
+def landed(spark, small_tables, tmp_path_factory):
+    store_ = Versions(spark, str(tmp_path_factory.mktemp("landing")))
+    landing.load(store_, fixture.raw_trips(spark, small_tables))
+    return store_
+
+
+@pytest.fixture(scope="module")
+def built(spark, known, landed, tmp_path_factory):
+    out = Versions(spark, str(tmp_path_factory.mktemp("warehouse")))
+    report = warehouse.build(landed, out, known, fixture.AS_OF)
     return out, {(r.check_name, r.table_name, r.column_name): r for r in report.collect()}
 
 
+def current(out):
+    found = {"fact_trips": sorted(map(repr, store.read_fact(out).collect()))}
+    for name in out.tables:
+        if name != "fact_trips" and not name.startswith("state_"):
+            version = out.parts(name)[""]["version"]
+            found[name] = sorted(map(repr, out.spark.read.parquet(f"{out.folder}/{name}/version={version}").collect()))
+    return found
+
+
 def test_every_table_is_stored(spark, built):
     out, _ = built
-    assert sorted(os.listdir(out)) == [
+    assert sorted(t for t in out.tables if not t.startswith("state_")) == [
         "daily_revenue", "dim_date", "dim_location", "dim_payment_type", "dim_rate_code", "dim_vendor", "fact_trips",
         "location_stats", "location_stats_plain", "payment_tipping", "service_analysis", "trip_patterns",
         "zone_performance",
     ]
-    assert store.read_fact(spark, f"{out}/fact_trips").count() == 5825
-    assert spark.read.parquet(f"{out}/dim_location").count() == 263
+    assert store.read_fact(out).count() == 5825
+    out.publish("mart")
+    assert spark.table("mart.dim_location").count() == 263 and spark.table("mart.fact_trips").count() == 5825
 
 
 def test_only_warnings_are_raised(built):
@@ -37,40 +62,87 @@ def test_only_warnings_are_raised(built):
     assert {r.status for r in report.values()} == {"pass", "warn"}
 
 
-def test_stored_reports_equal_those_from_raw_trips(spark, small_tables, built):
+def test_stored_reports_equal_those_from_raw_trips(spark, small_tables, known, built):
     out, _ = built
     trips = enrich.enrich_trips(clean.clean_trips(fixture.raw_trips(spark, small_tables), keyed=False))
-    stored = spark.read.parquet(f"{out}/daily_revenue")
-    assert sorted(stored.collect()) == sorted(reports.daily_revenue(trips).collect())
+    stored = current(out)
+    for name, df in warehouse.all_reports(trips, known, fixture.AS_OF).items():
+        assert stored[name] == sorted(map(repr, df.collect())), name
+
 
+def test_the_stored_fact_has_the_ids_of_the_whole(spark, small_tables, built):
+    out, _ = built
+    whole = clean.clean_trips(fixture.raw_trips(spark, small_tables)).select("trip_id", "pickup_at", "total_amount")
+    assert sorted(store.read_fact(out).select(*whole.columns).collect()) == sorted(whole.collect())
 
 
-def test_refresh_equals_a_full_build(spark, small_tables, tmp_path):
-    known = warehouse.Lookups.with_zones(spark, fixture.zones(spark))
+def test_refresh_equals_a_full_build(spark, small_tables, known, built, tmp_path):
     raw = fixture.raw_trips(spark, small_tables)
-    arrived = raw.where("pickup_datetime < timestamp_ntz'1999-05-20 12:00:00'")
-    step, full = str(tmp_path / "step"), str(tmp_path / "full")
-    warehouse.build(spark, arrived, known, step, fixture.AS_OF)
-    report = warehouse.refresh(spark, raw, known, step, fixture.AS_OF, since="1999-05-01")
+    month = "pickup_datetime >= timestamp_ntz'1997-02-01' and pickup_datetime < timestamp_ntz'1997-03-01'"
+    landed, out = Versions(spark, str(tmp_path / "landing")), Versions(spark, str(tmp_path / "warehouse"))
+    extra = raw.where(month).withColumn("pickup_datetime", F.expr("pickup_datetime + interval 20 years"))
+    landing.load(landed, raw.where(f"pickup_datetime < timestamp_ntz'1999-05-20 12:00:00' and not ({month} and passenger_count = 2)").unionByName(extra))
+    warehouse.refresh(landed, out, known, fixture.AS_OF)
+    months = sorted({*(m for m in landed.parts("landing") if m >= "1999-05-01"), "1997-02-01"})
+    later = [f"{y}-{m:02d}-01" for y in range(1999, 2002) for m in range(1, 13) if (y, m) >= (1999, 5)]
+    landing.load(landed, raw.where(f"({month}) or pickup_datetime >= timestamp_ntz'1999-05-01'"), [*months, *later])
+    assert "2017-02-01" not in landed.parts("landing") and "2017-02-01" in out.parts("fact_trips")
+    report = warehouse.refresh(landed, out, known, fixture.AS_OF)
     assert {r.status for r in report.collect()} == {"pass", "warn"}
-    warehouse.build(spark, raw, known, full, fixture.AS_OF)
-    for name in sorted(os.listdir(full)):
-        mine, theirs = (spark.read.parquet(f"{out}/{name}") for out in (step, full))
-        assert sorted(map(repr, mine.collect())) == sorted(map(repr, theirs.collect())), name
-
-
-def test_refresh_refuses_an_emptied_month(spark, raw, tmp_path):
-    known = warehouse.Lookups.with_zones(spark, fixture.zones(spark))
-    march = {"pickup_datetime": dt.datetime(2022, 3, 1, 12), "dropoff_datetime": dt.datetime(2022, 3, 1, 13)}
-    warehouse.build(spark, raw({}, march), known, str(tmp_path / "w"), fixture.AS_OF)
-    with pytest.raises(ValueError):
-        warehouse.refresh(spark, raw({}), known, str(tmp_path / "w"), fixture.AS_OF, since="2022-01-01")
-
-
-def test_refresh_takes_whole_months(spark, raw, tmp_path):
-    known = warehouse.Lookups.with_zones(spark, fixture.zones(spark))
-    with pytest.raises(ValueError):
-        warehouse.refresh(spark, raw({}), known, str(tmp_path), fixture.AS_OF, since="2022-01-02")
+    assert current(out) == current(built[0])
+
+
+def test_refresh_touches_stale_months_only(spark, raw, known, tmp_path):
+    def on(month, day, **more):
+        at = dt.datetime(2022, month, day, 12)
+        return {"pickup_datetime": at, "dropoff_datetime": at + dt.timedelta(hours=1), **more}
+
+    landed, out = Versions(spark, str(tmp_path / "landing")), Versions(spark, str(tmp_path / "warehouse"))
+    landing.load(landed, raw(on(1, 3), on(2, 3), on(3, 3), on(4, 3, total_amount=0.0), {"pickup_datetime": None}))
+    stale = warehouse.stale_months(landed, out)
+    assert stale.months == {"2022-01-01": 1, "2022-02-01": 2, "2022-03-01": 3, "2022-04-01": 4} and stale.gone == []
+    warehouse.refresh(landed, out, known, fixture.AS_OF)
+    assert warehouse.stale_months(landed, out) == warehouse.Stale({}, [])
+    first = {name: dict(parts) for name, parts in out.tables.items()}
+
+    # As many rows as before: the months after it keep their ids, and their files.
+    landing.load(landed, raw(on(2, 9)), ["2022-02-01"])
+    assert warehouse.stale_months(landed, out).months == {"2022-02-01": 2}
+    warehouse.refresh(landed, out, known, fixture.AS_OF)
+    for table in ("fact_trips", "state_days", "state_locations"):
+        changed = {m for m, part in out.parts(table).items() if part != first[table].get(m)}
+        assert changed == {"2022-02-01"}
+    assert [str(r.pickup_date) for r in store.read_fact(out).orderBy("pickup_at").collect()] == ["2022-01-03", "2022-02-09", "2022-03-03"]
+
+    # One row fewer, and a month without rows: later ids move.
+    landing.load(landed, raw(on(3, 3)), ["2022-01-01", "2022-03-01"])
+    stale = warehouse.stale_months(landed, out)
+    assert stale.months == {"2022-02-01": 1, "2022-03-01": 2, "2022-04-01": 3} and stale.gone == ["2022-01-01"]
+    warehouse.refresh(landed, out, known, fixture.AS_OF)
+    days = spark.read.parquet(f"{out.folder}/daily_revenue/version={out.parts('daily_revenue')['']['version']}")
+    assert [str(r.pickup_date) for r in days.collect()] == ["2022-02-09", "2022-03-03"]
+    ids = clean.clean_trips(landing.read_landing(landed)).select("trip_id").collect()
+    assert sorted(ids) == sorted(store.read_fact(out).select("trip_id").collect())
+
+
+def test_a_pruned_landing_scan(spark, landed):
+    some = landing.read_landing(landed, ["1997-02-01"])
+    assert all("month_start=1997-02-01" in f for f in some.inputFiles())
+    since = landed.read("landing", RAW_TRIPS).where("month_start >= date'1999-05-01'")
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan_of(since)).group(1)
+    assert ">= 1999-05-01" in filters
+
+
+def test_a_failed_refresh_changes_nothing(spark, raw, known, tmp_path, monkeypatch):
+    landed, out = Versions(spark, str(tmp_path / "landing")), Versions(spark, str(tmp_path / "warehouse"))
+    landing.load(landed, raw({}))
+    warehouse.refresh(landed, out, known, fixture.AS_OF)
+    before = current(out)
+    landing.load(landed, raw({}, {}))
+    monkeypatch.setattr(warehouse.reports, "tipping_report", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        warehouse.refresh(landed, out, known, fixture.AS_OF)
+    assert current(Versions(spark, str(tmp_path / "warehouse"))) == before
 
 
 def test_views(spark, raw):
