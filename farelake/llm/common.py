@@ -7,7 +7,10 @@ holds all its items of that partition, so a hash partition meets every item once
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LEAST_BUCKETS = 64
-_BUCKET_BYTES = 4 << 20
-_UNKNOWN_BYTES = 1 << 50
+_BUCKET_BYTES = 12 << 20
 
 NO_ID = -(2**63)  # stands for a null doc_id where ids are compared: it sorts before every other id
 
@@ -30,15 +32,15 @@ def plan_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def bucket_count(docs: DataFrame, bytes_per_bucket: int = _BUCKET_BYTES, least: int = _LEAST_BUCKETS) -> int:
-    """So many buckets that each holds about ``bytes_per_bucket`` of the stored table; grows with the table.
+def text_bytes(docs: DataFrame) -> int:
+    """The bytes of all texts: one pass that moves nothing. A table's files say little: texts compress well."""
+    return docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
 
-    Where the optimizer knows no size (it then assumes more than any table has), the texts are measured.
-    """
-    size = plan_bytes(docs)
-    if size >= _UNKNOWN_BYTES:
-        lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in docs.columns if c in ("text", "shingles")]
-        size = sum(docs.agg(*lengths).first()) if lengths else 0
+
+def bucket_count(docs: DataFrame, bytes_per_bucket: int = _BUCKET_BYTES, least: int = _LEAST_BUCKETS) -> int:
+    """So many buckets that each holds about ``bytes_per_bucket`` of text (of a table without texts: of its files);
+    grows with the table."""
+    size = text_bytes(docs) if "text" in docs.columns else plan_bytes(docs)
     return max(least, -(-size // bytes_per_bucket))
 
 
@@ -47,6 +49,28 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+@contextmanager
+def without_cycles() -> Iterator[None]:
+    """No search for reference cycles meanwhile: work that makes many small objects, but no cycles, need not wait for it.
+    At its end, memory that is free goes back to the system, so that a worker does not keep it for the next stage."""
+    searching = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if searching:
+            gc.enable()
+        release_memory()
+
+
+def release_memory() -> None:
+    """Give free memory of Arrow and of the C library back to the system, where they can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

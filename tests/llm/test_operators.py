@@ -443,7 +443,7 @@ def test_languages_of_held_out_documents(documents):
 
 
 def test_ranking_of_a_language_in_shares(spark):
-    narrow = spark.range(5000).selectExpr("if(id % 5 = 0, 'de', 'en') as lang", "id", "id % 7 as n", "xxhash64(id) as h")
+    narrow = spark.range(5000).selectExpr("if(id % 5 = 0, 'de', 'en') as lang", "id", "id % 7 as n", "xxhash64(id) as h", "0L as t")
     ranked = language._ranked(narrow, 1800)
     expected = []
     for lang in ("de", "en"):
@@ -548,3 +548,28 @@ def test_packed_pieces(documents, odd, empty):
         lengths = Counter(r.length for r in found)
         assert len(sequences) == len(brute_best_fit(lengths, 4096))
     assert packing.pack(empty, WORD_BPE).count() == 0
+
+
+def test_words_merged_together_equal_single_merges():
+    coder = packing.WordIds(WORD_BPE)
+    rng = random.Random(8)
+    letters = "etaoinshrdlu" * 3 + "bcfgjkmpqvwxyzéüß"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 40))) for _ in range(3000)] + ["the", "a", "é", "..", "'s"]
+    expected = [np.array(coder.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert coder._encode_words(words) == expected
+
+
+def test_remembered_parts_stay_within_their_bytes():
+    made = []
+
+    def make(texts):
+        made.extend(texts)
+        return [t.encode() for t in texts]
+
+    recent = packing._Recent(100_000)
+    for i in range(200):
+        wanted = {f"part {i} {j}" for j in range(50)} | {"always"}
+        known = recent.settle(wanted, make)
+        assert all(known[t] == t.encode() for t in wanted)
+        assert (len(recent.now) + len(recent.older)) * 200 < 130_000
+    assert made.count("always") == 1 and len(made) == 200 * 50 + 1
