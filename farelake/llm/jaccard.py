@@ -17,10 +17,11 @@ between different components is lost, and the pairs inside a dense group are nev
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,16 +33,28 @@ _COUNT_BITS = 22  # the frequency table has so many cells for any corpus
 _SUFFIX_CELLS = 128
 _SIEVE_BITS = 23  # cells of the fixed-size sieve of wanted documents
 _LEADERS = 3
-_TOGETHER = 128  # texts
+_TOGETHER_BYTES = 512 << 10  # of texts
+_BUCKET_BYTES = 4 << 20
 
 
 # --- shingle sets ------------------------------------------------------------------------------------------
 
 
-def _sets(column, shingle: int, classes: np.ndarray | None) -> list[np.ndarray]:
-    """The distinct shingles of each text, rare first: the class in the upper 8 bits, 56 bits of the hash below."""
-    if len(column) > _TOGETHER:  # the arrays over all bytes and words are held for a few texts at a time
-        return [s for at in range(0, len(column), _TOGETHER) for s in _sets(column.slice(at, _TOGETHER), shingle, classes)]
+def _sets(column, shingle: int, classes: np.ndarray | None) -> Iterator[np.ndarray]:
+    """The distinct shingles of each text, rare first: the class in the upper 8 bits, 56 bits of the hash below.
+
+    Made for a few texts at a time: what is held for all their bytes and words goes before the next ones come.
+    """
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(column):
+        low = int(sizes[at - 1]) if at else 0
+        upto = max(at + 1, int(np.searchsorted(sizes, low + _TOGETHER_BYTES, "right")))
+        yield from _sets_together(column.slice(at, upto - at), shingle, classes)
+        at = upto
+
+
+def _sets_together(column, shingle: int, classes: np.ndarray | None) -> Iterator[np.ndarray]:
     words = Words(column, lower=True)
     counts = np.diff(words.at)
     places, hashes = words.grams(shingle)
@@ -49,18 +62,16 @@ def _sets(column, shingle: int, classes: np.ndarray | None) -> list[np.ndarray]:
         cell = (hashes >> np.uint64(64 - _COUNT_BITS)).astype(np.int64)
         hashes = (hashes >> np.uint64(8)) | (classes[cell].astype(np.uint64) << np.uint64(56))
     cuts = np.searchsorted(places, words.at)
-    result = []
     for i, n in enumerate(counts.tolist()):
         if n >= shingle:
-            result.append(np.unique(hashes[cuts[i] : cuts[i + 1]]))
+            yield np.unique(hashes[cuts[i] : cuts[i + 1]])
         elif n:  # the whole sequence is the only shingle
             value = np.uint64(n)
             for h in words.hashes[words.at[i] : words.at[i + 1]]:
                 value = mix(np.array([value]) ^ h)[0]
-            result.append(np.array([value >> np.uint64(8)], np.uint64))
+            yield np.array([value >> np.uint64(8)], np.uint64)
         else:
-            result.append(np.empty(0, np.uint64))
-    return result
+            yield np.empty(0, np.uint64)
 
 
 def frequency_classes(docs: DataFrame, shingle: int) -> np.ndarray:
@@ -122,37 +133,37 @@ def _members(docs: DataFrame, shingle: int, threshold: Threshold, classes: np.nd
     """Every document with its set's size and signature. One of each bucket's equal sets also has its recurring prefix
     shingles, if there are any, their places, and how many of its shingles fall into each of a few cells (which bounds
     the difference of two sets from below)."""
-    buckets = common.bucket_count(docs)
+    buckets = common.bucket_count(docs, _BUCKET_BYTES)
     parts = max(64, buckets // 4)
     texts = common.bucketed(docs.select("doc_id", "text"), buckets).select("_bucket", "_id", "_text")
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def prefixes(table: pa.Table) -> pa.Table:
-        distinct = {_signature(s): s for s in _sets(table.column("_text"), shingle, shared.value) if len(s)}
-        cut = [s[: threshold.prefix(len(s))] for s in distinct.values()]
+        # Of each set only the prefix is kept, mixed: partitions are ranges, and shingles begin with their class.
+        sets = _sets(table.column("_text"), shingle, shared.value)
+        cut = list({_signature(s): mix(s[: threshold.prefix(len(s))]) for s in sets if len(s)}.values())
         hashes, counts = np.unique(np.concatenate(cut) if cut else np.empty(0, np.uint64), return_counts=True)
         return pack(table.column("_bucket")[0].as_py(), parts, hashes, counts > 1)
 
     def members(table: pa.Table, answer: pa.Table) -> pa.Table:
         again = np.sort(unpack(answer, "_c0", "<u8"))
-        sets = _sets(table.column("_text"), shingle, shared.value) if table.num_rows else []
-        ids = common.ids_of(table.column("_id")).tolist()
-        first: dict[bytes, int] = {}
-        signatures = [_signature(s) for s in sets]
-        for doc_id, signature in zip(ids, signatures, strict=True):
-            first[signature] = min(first.get(signature, doc_id), doc_id)
-        rows = []
-        for doc_id, signature, s in zip(ids, signatures, sets, strict=True):
-            places = np.empty(0, np.int32)
-            if first.get(signature) == doc_id and len(s):
-                first.pop(signature)  # of rows that repeat an id, one
-                places = np.flatnonzero(in_sorted(s[: threshold.prefix(len(s))], again)).astype(np.int32)
+        ids = common.ids_of(table.column("_id")).tolist() if table.num_rows else []
+        rows: list[list] = []
+        first: dict[bytes, int] = {}  # of equal sets, the row with the smallest id: it keeps the prefix for all
+        for doc_id, s in zip(ids, _sets(table.column("_text"), shingle, shared.value) if ids else (), strict=True):
+            signature = _signature(s)
+            rows.append([doc_id, len(s), signature, None, None, None])
+            held = first.get(signature)
+            if not len(s) or held is not None and rows[held][0] <= doc_id:
+                continue
+            first[signature] = len(rows) - 1
+            if held is not None:
+                rows[-1][3:], rows[held][3:] = rows[held][3:], [None] * 3
+                continue
+            places = np.flatnonzero(in_sorted(mix(s[: threshold.prefix(len(s))]), again)).astype(np.int32)
             if len(places):
                 cells = np.bincount((s >> np.uint64(20)).astype(np.int64) % _SUFFIX_CELLS, minlength=_SUFFIX_CELLS)
-                full = s[places].tobytes(), places.tobytes(), np.minimum(cells, 255).astype(np.uint8).tobytes()
-            else:
-                full = None, None, None
-            rows.append((doc_id, len(s), signature, *full))
+                rows[-1][3:] = s[places].tobytes(), places.tobytes(), np.minimum(cells, 255).astype(np.uint8).tobytes()
         columns = list(zip(*rows, strict=True)) or [()] * 6
         kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 4)
         return pa.table({n: pa.array(c, k) for n, c, k in zip(_MEMBER_NAMES, columns, kinds, strict=True)})
@@ -283,10 +294,10 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame, shingle: int, classes: np.n
             cell = batch.column("_cell").to_numpy()
             keep = (bits[cell >> 6] >> (cell & 63)) & 1 == 1
             part = batch.filter(pa.array(keep))
-            for at in range(0, part.num_rows, 256):
-                some = part.slice(at, 256)
-                sets = _sets(some.column("text"), shingle, ranks)
-                columns = [pa.array(c, pa.binary()) for c in ([_signature(s) for s in sets], [s.tobytes() for s in sets])]
+            for at in range(0, part.num_rows, 64):
+                some = part.slice(at, 64)
+                sets = [(_signature(s), s.tobytes()) for s in _sets(some.column("text"), shingle, ranks)]
+                columns = [pa.array([s[i] for s in sets], pa.binary()) for i in range(2)]
                 yield pa.RecordBatch.from_arrays([some.column("_id"), *columns], ["_id", "_signature", "shingles"])
 
     given = docs.select(
@@ -301,8 +312,7 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame, shingle: int, classes: np.n
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, threshold: Threshold, shingles_of: Callable) -> DataFrame:
-    """The pairs whose sets reach the threshold, each compared once."""
-    pairs = materialize(pairs, "pairs")
+    """Which of the stored pairs have sets that reach the threshold, each compared once."""
     reps = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
     wanted = materialize(classes.select("rep", "least", "signature").join(reps, "rep", "left_semi"), "wanted")
     sets = materialize(shingles_of(wanted), "shingles")
@@ -373,14 +383,17 @@ def similar_documents(docs: DataFrame, shingle: int = 5, num: int = 4, den: int
     chosen = candidates.join(by_set.withColumnRenamed("signature", "_signature"), same)
     classes = chosen.select("rep", "least", "signature", "n_shingles", "prefix", "places", "suffix")
     classes = materialize(classes.dropDuplicates(["rep"]), "classes")
-    parts = max(64, common.bucket_count(classes))
+    parts = max(64, common.bucket_count(classes, _BUCKET_BYTES))
 
     postings = materialize(_postings(classes), "postings")
     alone = postings.withColumn("component", F.col("rep"))
-    links = materialize(_verified(_pairs(alone, threshold, parts, True), classes, threshold, shingles_of), "links")
+    tried = materialize(_pairs(alone, threshold, parts, True), "pairs")
+    links = materialize(_verified(tried, classes, threshold, shingles_of), "links")
     first = materialize(components(links), "components")
     labelled = postings.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    more = materialize(_verified(_pairs(labelled, threshold, parts, False), classes, threshold, shingles_of), "links")
+    # What failed in the first round is not compared again.
+    open_pairs = _pairs(labelled, threshold, parts, False).join(tried.hint("merge"), ["a", "b"], "left_anti")
+    more = materialize(_verified(materialize(open_pairs, "pairs"), classes, threshold, shingles_of), "links")
 
     # Each class goes to its component, and that to the smallest id in it.
     placed = by_set.join(components(links.unionByName(more)), "rep", "left")

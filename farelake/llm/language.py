@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farelake.llm.common import bounded_batches, mix, remainder
+from farelake.llm.common import bounded_batches, mix, remainder, within
 
 ORDER = 4
 SAMPLE_DOCUMENTS = 1500
@@ -197,35 +197,52 @@ def _classified(entropy: np.ndarray, models: Models) -> tuple[int, float]:
 
 
 def _ranked(narrow: DataFrame, most: int) -> DataFrame:
-    """The first ``most`` rows (lang, id, n, h) of each language by h, and their ``rank``.
+    """The first ``most`` rows (lang, id, t, n, h) of each language by h, and their ``rank``.
 
     Ranked within shares of a language first, so that the task that ranks a whole language gets their winners only.
     """
-    shares = narrow.withColumn("share", F.pmod(F.xxhash64("id", "n"), F.lit(_SHARES)))
+    shares = narrow.withColumn("share", F.pmod(F.xxhash64("id", "n", "t"), F.lit(_SHARES)))
     for keys in (["lang", "share"], ["lang"]):
-        order = Window.partitionBy(*keys).orderBy("h", "id", "n")
+        order = Window.partitionBy(*keys).orderBy("h", "id", "n", "t")
         shares = shares.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
     return shares.drop("share")
 
 
 def learn(docs: DataFrame, learnable) -> Models:
-    """Models and calibration from the rows of ``docs`` (text, lang, doc_id) for which ``learnable`` holds."""
+    """Models and calibration from the rows of ``docs`` (text, lang, doc_id) for which ``learnable`` holds.
+
+    Rows are sampled, not ids, so rows that repeat an id are taken or left one by one; exact copies count once. Each
+    language has a budget of bytes, from which a long text takes no more than its own: one that does not fit is passed
+    over. A language with no text that fits is learned from its shortest. Rows without a language or a letter are no
+    examples. Columns other than the three are ignored, whatever their names. An empty table gives no model.
+    """
     spark = docs.sparkSession
-    known = docs.where(learnable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    narrow = known.select("lang", F.col("doc_id").alias("id"), F.octet_length("text").alias("n"), F.xxhash64("doc_id").alias("h"))
+    columns = F.col("lang").cast("string").alias("lang"), F.col("text").alias("text"), F.col("doc_id").alias("doc_id")
+    known = docs.where(learnable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(*columns)
+    # ``t`` tells rows of one id apart.
+    key = F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t")
+    narrow = known.select("lang", *key, F.octet_length("text").alias("n"), F.xxhash64("doc_id").alias("h")).distinct()
     ranked = _ranked(narrow, SAMPLE_DOCUMENTS + CALIBRATION_DOCUMENTS)
-    before = Window.partitionBy("lang").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    chosen = ranked.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).select("lang", "id", "rank", "before")
-    # A language of few documents gives every fifth one for calibration.
-    share = F.count(F.lit(1)).over(Window.partitionBy("lang"))
-    calibrates = F.when(share <= SAMPLE_DOCUMENTS, F.col("rank") % 5 == 0).otherwise(F.col("rank") > SAMPLE_DOCUMENTS)
-    chosen = chosen.where(F.col("before") < SAMPLE_BYTES).withColumn("calibrates", calibrates)
-    rows = {(r["lang"], r["id"]): r["calibrates"] for r in chosen.collect()}  # a bounded number for each language
-    if not rows:
+    found: dict[str, list] = {}
+    for row in ranked.collect():  # a bounded number for each language
+        found.setdefault(row["lang"], []).append(row)
+    chosen: list[tuple[str, int | None, int, bool]] = []
+    for lang, rows in found.items():
+        rows.sort(key=lambda r: r["rank"])
+        # A language of few documents gives every fifth one for calibration.
+        few = len(rows) <= SAMPLE_DOCUMENTS
+        calibrates = [r["rank"] % 5 == 0 if few else r["rank"] > SAMPLE_DOCUMENTS for r in rows]
+        taken = within([r["n"] for r in rows], SAMPLE_BYTES)
+        if not any(t and not c for t, c in zip(taken, calibrates, strict=True)):
+            least = min(range(len(rows)), key=lambda i: rows[i]["n"])
+            taken[least], calibrates[least] = True, False
+        chosen += [(lang, r["id"], r["t"], c) for r, t, c in zip(rows, taken, calibrates, strict=True) if t]
+    if not chosen:
         return Models([])
-    ids = spark.createDataFrame([(k[0], k[1], v) for k, v in rows.items()], "lang string, id long, calibrates boolean")
-    sample = known.join(F.broadcast(ids.withColumnRenamed("lang", "l")), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("l")))
-    sample = sample.select("lang", "text", "calibrates")
+    ids = spark.createDataFrame(chosen, "_lang string, _id long, _t long, calibrates boolean")
+    mine = known.select("*", *key)
+    same = (F.col("lang") == F.col("_lang")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
+    sample = mine.join(F.broadcast(ids), same).dropDuplicates(["lang", "id", "t"]).select("lang", "text", "calibrates")
     fitted = sample.where(~F.col("calibrates")).select("lang", "text").groupBy("lang").applyInArrow(_fit_language, _MODEL)
     models = Models(fitted.collect())
     if models.languages:

@@ -91,3 +91,47 @@ def test_stages_take_an_empty_table(spark):
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns and out.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
+
+
+def stage_rows(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()), key=repr)
+
+
+def test_near_duplicates_lose_no_different_document(spark):
+    """Different texts with one id both stay, of equal texts one does, also without ids; odd columns are carried."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(6)]
+    rows = [(1, texts[0], 7), (1, texts[1], 7), (2, texts[0], 7), (None, texts[2], 7), (None, texts[2], 7), (None, texts[3], 7)]
+    rows += [(3, texts[4], 7), (3, texts[4], 7), (4, None, 7), (4, "", 7), (None, None, 7), (5, texts[2], 7)]
+    names = "doc_id long, text string, _first int, _kept int, component_id int, _key int, order int, none int, _row int"
+    docs = spark.createDataFrame([(*r[:2], *[7] * 7) for r in rows], names)
+    kept = corpus_pipeline.keep_one_of_similar(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.select("_first", "_row").distinct().collect() == [(7, 7)]
+    expected = [(1, texts[0]), (1, texts[1]), (5, texts[2]), (None, texts[3]), (3, texts[4]), (4, None), (4, ""), (None, None)]
+    assert stage_rows(kept) == sorted(expected, key=repr)
+
+
+def test_one_long_text_does_not_empty_a_language(spark):
+    """A text beyond the sample's bytes that is first in hash order; and odd columns."""
+    from farelake.llm import language
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang in ('en', 'de')")
+    long_text = " ".join(docs.where("lang = 'en'").first()["text"].split() * 400)
+    long_text = long_text * (1 + 17_000_000 // len(long_text))
+    ids = spark.range(50_000, 52_000).orderBy(F.xxhash64("id")).first()["id"]
+    added = spark.createDataFrame([(ids, long_text, "en", "s", 1)], docs.schema)
+    # Repeated ids, and columns whose names the sampling used to use.
+    odd = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" again")))).unionByName(added)
+    odd = odd.withColumns({c: F.lit(7) for c in ("id", "calibrates", "l", "rank", "_row", "t")})
+    models = language.learn(odd, F.lit(True))
+    judged = language.identify(docs.select("doc_id", "text", "lang"), models)
+    right = judged.where("_row.lang = lang_pred and not rejected").count()
+    assert right >= 0.97 * docs.where("text rlike '[a-z]'").count()
+
+
+def test_stages_carry_odd_columns_and_take_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    odd = docs.withColumns({c: F.lit(7) for c in ("id", "calibrates", "_first", "_kept", "score", "kept", "_bucket", "_id", "_text")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, odd, SF).columns == odd.columns, name
+        assert stage(spark, odd.where("false"), SF).collect() == [], name
+    assert corpus_pipeline.STAGES[-1][1](spark, odd.where("false"), SF).collect() == []
