@@ -7,7 +7,7 @@ one's ``docs``. All but the last return the columns of ``docs``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.llm import jaccard, language, packing, quality, substrings
@@ -39,14 +39,16 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates (five-word shingles, similarity 0.8), the document with the smallest id.
 
-    Of rows that repeat an id, one stays; documents without an id are told apart by nothing, and stay.
+    Rows are told apart by a key of their own, so different texts that share an id both stay, and of equal ones without
+    an id one does. A null id counts as larger than any other. A text without words is like no other, and stays.
     """
-    found = jaccard.similar_documents(docs.select("doc_id", "text"))
-    smallest = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(smallest, docs["doc_id"].cast("long") == F.col("_kept"))
-    first = F.row_number().over(Window.partitionBy("_kept").orderBy("_kept"))
-    one = kept.withColumn("_first", first).where("_first = 1").select(*[f"`{c}`" for c in docs.columns])
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = materialize(docs.select(row, F.monotonically_increasing_id().alias("_key")), "rows")
+    found = jaccard.similar_documents(rows.select(F.col("_key").alias("doc_id"), F.col("_row.text").alias("text")))
+    order = F.struct(F.col("_row.doc_id").isNull().alias("none"), F.col("_row.doc_id").alias("doc_id"), "_key")
+    named = rows.select("_key", order.alias("order")).join(found.select(F.col("doc_id").alias("_key"), "component_id"), "_key")
+    kept = named.groupBy("component_id").agg(F.min("order").alias("order")).select(F.col("order._key").alias("_key"))
+    return rows.join(kept.hint("merge"), "_key", "left_semi").select("_row.*")
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
