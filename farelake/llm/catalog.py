@@ -8,7 +8,7 @@ _QUERIES = [
     bpe.op1_bpe,
     quality.op2_quality,
     scoring.op3_lm_scoring,
-    scoring.op3_lm_scoring_trigrams,
+    scoring.op3_lm_scoring_bigrams,
     phrases.op4_fingerprints,
     sharding.op5_sharding,
     topk.op6_topk,
@@ -29,7 +29,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_lm_scoring": scoring.OP3_SQL,
-        "op3_lm_scoring_trigrams": scoring.OP3_TRIGRAMS_SQL,
+        "op3_lm_scoring_bigrams": scoring.OP3_BIGRAMS_SQL,
         "op6_topk": topk.OP6_SQL,
         "op11_infill": infill.OP11_SQL,
         "op12_resampling": resampling.OP12_SQL,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from farelake.llm import common
 from farelake.llm.common import Words, packed_schema, partition_bounds
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 _ALL_WORDS = np.uint64(0)  # the entry that counts words altogether
 
@@ -179,12 +179,12 @@ def op3_lm_scoring(spark, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
 
 
-def op3_lm_scoring_trigrams(spark, sf_dir: str) -> DataFrame:
-    scored = score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), order=3)
+def op3_lm_scoring_bigrams(spark, sf_dir: str) -> DataFrame:
+    scored = score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), order=2)
     return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
 
 
-OP3_SQL = r"""
+OP3_BIGRAMS_SQL = r"""
 WITH split AS (
   SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\x0C\r]+') AS ws FROM documents
 ), words AS (
@@ -214,7 +214,7 @@ SELECT s.doc_id, CAST(len(s.ws) AS BIGINT) AS n_words, round(coalesce(sum(log10(
 FROM split s LEFT JOIN scored USING (row_id) GROUP BY s.row_id, s.doc_id, len(s.ws)
 """
 
-OP3_TRIGRAMS_SQL = r"""
+OP3_SQL = r"""
 WITH split AS (
   SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\x0C\r]+') AS ws FROM documents
 ), words AS (

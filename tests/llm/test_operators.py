@@ -202,7 +202,7 @@ def test_a_registered_query_scores_with_two_words_before(spark, documents):
     rows = rows_of(documents)
     words = [WORD.findall((t or "").encode()) for _, t in rows]
     expected = sorted(zip((i for i, _ in rows), brute_scores(words, 3, 0.4), strict=True))
-    found = sorted((r.doc_id, r.log_score) for r in catalog.queries()["op3_lm_scoring_trigrams"](spark, SF).collect())
+    found = sorted((r.doc_id, r.log_score) for r in catalog.queries()["op3_lm_scoring"](spark, SF).collect())
     assert [i for i, _ in found] == [i for i, _ in expected]
     assert np.allclose([s for _, s in found], [s for _, s in expected], atol=1e-4)
 
