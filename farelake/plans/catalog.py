@@ -30,11 +30,12 @@ from farelake.plans.settings import (
     SAMPLE_SHARE,
     SCAN_END,
     SCAN_START,
+    SNAPSHOT_DAYS,
     TOP_ZONES,
 )
 from farelake.schemas import RAW_TRIPS
 from farelake.session import materialize, scratch_path
-from farelake.sources import landing, lookups, store
+from farelake.sources import history, landing, lookups, store
 from farelake.sources.versions import Versions
 from farelake.streaming import daily
 
@@ -304,6 +305,7 @@ def daily_revenue_stream(spark, sf_dir):
     files = len(spark.read.schema(RAW_TRIPS).parquet(source).inputFiles())
     arriving = daily.stream_landing(spark, source, files_per_batch=-(-files // 3))
     daily.keep_current(arriving, log, state).awaitTermination()
+    daily.compact(spark, log, state)
     return daily.current_report(spark, log)
 
 
@@ -326,6 +328,18 @@ def zone_history(spark, sf_dir):
     return star.type_two_history(earlier, later, "location_id", HISTORY_FIRST, HISTORY_SECOND)
 
 
+@_query
+def stored_zone_history(spark, sf_dir):
+    """The zones' history kept in a store, over a row of snapshots of the trips before each day."""
+    trips = _trips(spark, sf_dir).select("pickup_location_id", "pickup_date").persist()
+    stored = Versions(spark, scratch_path(spark, "history"))
+    for day in SNAPSHOT_DAYS:
+        snapshot = star.zone_classes(trips.where(F.col("pickup_date") < F.lit(day).cast("date")), _locations(spark))
+        history.apply_snapshot(stored, "zones", snapshot, "location_id", day)
+    trips.unpersist()
+    return history.history(stored, "zones", snapshot.schema)
+
+
 # --- data checks -----------------------------------------------------------------------------------------
 
 

@@ -18,6 +18,7 @@ from farelake.plans.settings import (
     SAMPLE_SHARE,
     SCAN_END,
     SCAN_START,
+    SNAPSHOT_DAYS,
     TOP_ZONES,
 )
 from farelake.schemas import RAW_TRIPS
@@ -405,6 +406,23 @@ select n.*, {second}, null, true from {new} n left join {old} o on n.location_id
 where o.location_id is null or not ({same})"""
 
 
+def _stored_history() -> str:
+    """Changes of each zone's class from one snapshot day to the next; a version lasts until the next change."""
+    days = ", ".join(f"(date '{day}')" for day in SNAPSHOT_DAYS)
+    return f"""select * exclude (before, first, valid_to), valid_to, valid_to is null as is_current
+from (select *, lead(valid_from) over (partition by location_id order by valid_from) as valid_to
+      from (select location_id, zone_name, borough,
+                   case when n >= 200 then 'high' when n >= 20 then 'medium' when n > 0 then 'low' end as demand_class,
+                   day as valid_from, lag(demand_class) over (partition by location_id order by day) as before,
+                   row_number() over (partition by location_id order by day) = 1 as first
+            from (select l.location_id, zone_name, borough, day, count(pickup_date) as n
+                  from locations l cross join (values {days}) as d(day)
+                       left join enriched on pickup_location_id = l.location_id and pickup_date < day
+                  group by all))
+      where first or demand_class is distinct from before)
+where demand_class is not null"""
+
+
 def _report() -> str:
     """One select per declared check."""
     out = []
@@ -587,6 +605,7 @@ from (select pickup_date, total_revenue, x, count(x) over w as n, sum(x) over w
       from (select pickup_date, total_revenue, cast(round(total_revenue * 100) as hugeint) as x from days)
       window w as (order by pickup_date rows between 28 preceding and 1 preceding))""",
         "zone_history": _history(),
+        "stored_zone_history": _stored_history(),
         "payment_share": "select payment_type_id, payment_type_name, count(*) as trip_count,"
         f" {_pct('count(*)', 'sum(count(*)) over ()', 'trip_pct')}"
         " from enriched left join payment_types using (payment_type_id) group by all",

@@ -14,6 +14,9 @@ TOP_ZONES = 10
 HISTORY_FIRST = "1998-06-01"
 HISTORY_SECOND = "2001-12-01"
 
+#: The days of the snapshots of a stored history.
+SNAPSHOT_DAYS = ("1996-01-01", "1997-01-01", "1999-06-01", "2001-12-01")
+
 #: What the second load of the fact's months changes; no trip is picked up after LAST_MONTH.
 CORRECTED_MONTH = "1995-03-01"
 LATE_MONTH = "1999-05-01"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from farelake.operators import clean, enrich, reports
 from farelake.plans import fixture, warehouse
 from farelake.schemas import RAW_TRIPS
-from farelake.sources import landing, store
+from farelake.sources import history, landing, store
 from farelake.sources.versions import Versions
 from farelake.streaming import daily
 
@@ -181,3 +181,77 @@ def test_late_trips_are_counted(spark, raw, tmp_path):
         daily.keep_current(daily.stream_landing(spark, source), log, state).awaitTermination()
     counts = {r.pickup_date.day: r.trip_count for r in daily.current_report(spark, log).collect()}
     assert counts == {1: 2, 19: 1, 20: 2}
+
+
+def test_folding_the_log_leaves_the_report(spark, raw, tmp_path, monkeypatch):
+    """Before, while and after entries are folded, and after a crash at each step; and the log stays small."""
+
+    def on(day):
+        return {"pickup_datetime": dt.datetime(2022, 1, day, 12), "dropoff_datetime": dt.datetime(2022, 1, day, 13)}
+
+    source, log, state = (str(tmp_path / n) for n in ("landing", "log", "state"))
+
+    def arrive(*days):
+        raw(*map(on, days)).coalesce(1).write.mode("append").parquet(source)
+        daily.keep_current(daily.stream_landing(spark, source), log, state).awaitTermination()
+
+    def counts():
+        return {r.pickup_date.day: r.trip_count for r in daily.current_report(spark, log).collect()}
+
+    arrive(1, 20)
+    arrive(1, 19)
+    assert counts() == {1: 2, 19: 1, 20: 1}
+    for step in ("write", "commit"):
+        with monkeypatch.context() as patch:
+            patch.setattr(Versions, step, lambda *_, **__: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                daily.compact(spark, log, state)
+        assert counts() == {1: 2, 19: 1, 20: 1}
+    assert daily.compact(spark, log, state) == 1 == daily.compact(spark, log, state)
+    assert counts() == {1: 2, 19: 1, 20: 1} and not [f for f in os.listdir(log) if f.startswith("batch_id")]
+    for i in range(3):
+        arrive(20)
+        during = daily.current_report(spark, log)  # planned before the folding, read after it
+        daily.compact(spark, log, state)
+        assert {r.pickup_date.day: r.trip_count for r in during.collect()} == counts() == {1: 2, 19: 1, 20: 2 + i}
+        assert len([f for f in os.listdir(log) if f.startswith("batch_id")]) <= 1
+
+
+def test_an_unfinished_batch_is_not_folded(spark, raw, tmp_path):
+    source, log, state = (str(tmp_path / n) for n in ("landing", "log", "state"))
+    raw({}).write.parquet(source)
+    daily.keep_current(daily.stream_landing(spark, source), log, state).awaitTermination()
+    for f in os.listdir(f"{state}/commits"):
+        os.remove(f"{state}/commits/{f}")
+    assert daily.compact(spark, log, state) == -1
+    daily.keep_current(daily.stream_landing(spark, source), log, state).awaitTermination()  # runs batch 0 again
+    daily.compact(spark, log, state)
+    assert [r.trip_count for r in daily.current_report(spark, log).collect()] == [1]
+
+
+def test_history_of_several_snapshots(spark, tmp_path):
+    snapshots = {
+        "2020-01-01": [(1, "a", None), (2, "b", "x"), (3, None, None)],
+        "2020-02-01": [(1, "a", None), (2, "c", "x"), (4, "d", "y")],
+        "2020-03-01": [(1, "a", "z"), (3, "e", None), (4, "d", "y")],
+        "2020-04-01": [],
+    }
+    schema = "k long, name string, _old string"
+    stored, expected = Versions(spark, str(tmp_path)), []
+    for day, rows in snapshots.items():
+        snapshot = spark.createDataFrame(rows, schema)
+        closed = dict(stored.parts("d_closed"))
+        history.apply_snapshot(stored, "d", snapshot, "k", day)
+        assert closed.items() <= stored.parts("d_closed").items()  # what was closed is not written again
+        with pytest.raises(ValueError):
+            history.apply_snapshot(stored, "d", snapshot, "k", day)
+        now = {r[0]: r for r in rows}
+        for version in [v for v in expected if v[4] is None]:
+            if now.get(version[0]) != version[:3]:
+                expected[expected.index(version)] = (*version[:4], day)
+        going_on = {v[:3] for v in expected if v[4] is None}
+        expected += [(*r, day, None) for r in rows if r not in going_on]
+        found = history.history(Versions(spark, str(tmp_path)), "d", snapshot.schema).collect()
+        assert all(r.is_current == (r.valid_to is None) for r in found)
+        text = [(r.k, r.name, r._old, str(r.valid_from), str(r.valid_to) if r.valid_to else None) for r in found]
+        assert sorted(text, key=repr) == sorted(expected, key=repr)
