@@ -184,6 +184,28 @@ def _row_checks(df: DataFrame, checks: Numbered) -> DataFrame:
     return found.groupBy("check_id").agg((F.sum("violations") + F.countDistinct("value")).alias("violations"))
 
 
+def row_metrics(tables: Iterable[str], checks: Sequence[Check]) -> dict[str, Column]:
+    """For each not-null, accepted-value and row check on these tables, by its number: how many rows violate it. They
+    can be observed while the rows are written, without a pass of their own."""
+    metrics = {}
+    for i, check in enumerate(checks):
+        if check.table in tables and check.kind in ("not_null", "accepted", "rows"):
+            column = F.col(check.column) if check.column else None
+            if check.violates:
+                violated = check.violates()
+            else:
+                violated = ~column.isin(*check.accepted) if check.kind == "accepted" else column.isNull()
+            metrics[str(i)] = F.count_if(violated).alias(str(i))
+    return metrics
+
+
+def _settled(checks: Numbered, observed: Mapping[str, int]) -> dict[int, int]:
+    """The violations of checks that observed metrics tell. A check of accepted values counts different values, which
+    the number of rows tells only where there are none."""
+    found = {i: observed[str(i)] for i, _ in checks if str(i) in observed}
+    return {i: n for i, n in found.items() if not n or dict(checks)[i].kind != "accepted"}
+
+
 def _parent_checks(df: DataFrame, checks: Numbered, tables: Mapping[str, DataFrame]) -> DataFrame:
     """All relationship checks of a table in one scan; each orphaned row counts."""
     parents = {c.column: (tables[c.parent[0]], c.parent[1]) for _, c in checks}
@@ -203,14 +225,21 @@ def _key_checks(df: DataFrame, column: str, checks: Numbered) -> DataFrame:
     return repeated.select(F.inline(F.array(*cells))).select("check_id", "violations")
 
 
-def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+_COUNTED = StructType([StructField("check_id", LongType()), StructField("violations", LongType())])
+
+
+def run_checks(
+    spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check], observed: Mapping[str, int] | None = None
+) -> DataFrame:
     """One row per check: what it found and whether it passed, warned or failed.
 
-    Names that map to the same DataFrame object share their passes over it.
+    Names that map to the same DataFrame object share their passes over it. ``observed`` are metrics (``row_metrics``)
+    that were counted while a table was written; what they tell is not counted again.
     """
     numbered = list(enumerate(checks))
+    settled = _settled(numbered, observed or {})
     declared = from_rows(spark, _DECLARED, [(i, c.name, c.table, c.column, c.severity) for i, c in numbered])
-    found = [declared.select("check_id", F.lit(0).cast("bigint").alias("violations"))]
+    found = [from_rows(spark, _COUNTED, [(i, settled.get(i, 0)) for i, _ in numbered])]
     for df in {id(tables[c.table]): tables[c.table] for c in checks}.values():
         own = [(i, c) for i, c in numbered if tables[c.table] is df]
         keyed = [(i, c) for i, c in own if c.kind in ("unique", "grain")]
@@ -219,7 +248,7 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Seq
         parented = [(i, c) for i, c in own if c.kind == "parent"]
         if parented:
             found.append(_parent_checks(df, parented, tables))
-        per_row = [(i, c) for i, c in own if c.kind in ("not_null", "accepted", "rows")]
+        per_row = [(i, c) for i, c in own if c.kind in ("not_null", "accepted", "rows") and i not in settled]
         if per_row:
             found.append(_row_checks(df, per_row))
     totals = reduce(DataFrame.unionByName, found).groupBy("check_id").agg(F.sum("violations").alias("violations"))

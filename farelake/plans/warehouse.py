@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from copy import copy
 from dataclasses import dataclass
 
@@ -13,7 +13,7 @@ from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from farelake.functions.calendar import month_start
 from farelake.operators import clean, enrich, reports, star
-from farelake.operators.quality import run_checks
+from farelake.operators.quality import Check, row_metrics, run_checks
 from farelake.plans.checks import all_checks
 from farelake.schemas import FACT
 from farelake.session import sized_partitions
@@ -82,6 +82,10 @@ def check_tables(
     }
 
 
+#: The relations whose checks read the fact's rows.
+_TRIP_TABLES = ("trips_clean", "trips_enriched", store.FACT_TABLE)
+
+
 # --- refresh -------------------------------------------------------------------------------------------------
 
 
@@ -137,25 +141,28 @@ def fact_of_months(landed: Versions, months: Mapping[str, int], known: Lookups,
 
 def refresh_fact(landed: Versions, out: Versions, known: Lookups, as_of: str, partitions: int | None = None) -> Stale:
     """Bring the stored fact up to date with the landing table: stale months are made again, vanished ones dropped."""
-    changes, stale = _staged_fact(landed, out, known, as_of, partitions)
+    changes, stale, _ = _staged_fact(landed, out, known, as_of, partitions)
     out.commit(changes)
     return stale
 
 
 def _staged_fact(
-    landed: Versions, out: Versions, known: Lookups, as_of: str, partitions: int | None
-) -> tuple[dict[str, Parts], Stale]:
+    landed: Versions, out: Versions, known: Lookups, as_of: str, partitions: int | None, checks: Sequence[Check] = ()
+) -> tuple[dict[str, Parts], Stale, dict[str, int]]:
+    """The fact's parts as they will be, what was stale, and the row metrics of ``checks`` on the rows written."""
     stale = stale_months(landed, out)
     kept = {m: part for m, part in out.parts(store.FACT_TABLE).items() if m not in stale.months and m not in stale.gone}
     fresh: Parts = {}
+    observed: dict[str, int] = {}
     if stale.months:
-        written = store.stage_fact(out, fact_of_months(landed, stale.months, known, as_of, partitions), partitions)
+        fact = fact_of_months(landed, stale.months, known, as_of, partitions)
+        written, observed = store.stage_fact(out, fact, partitions, row_metrics(_TRIP_TABLES, checks))
         version = next(iter(written.values()))["version"] if written else "none"
         for month, before in stale.months.items():
             rows = written.get(month, {}).get("rows", 0)  # a month may have no valid trip
             source = landed.parts(landing.LANDING)[month]["version"]
             fresh[month] = {"version": version, "rows": rows, "source": source, "after": before}
-    return {store.FACT_TABLE: {**kept, **fresh}}, stale
+    return {store.FACT_TABLE: {**kept, **fresh}}, stale, observed
 
 
 def state_table(name: str) -> str:
@@ -201,11 +208,12 @@ def refresh(landed: Versions, out: Versions, known: Lookups, as_of: str, partiti
 
     Only the stale months of the landing table and of the fact are read: their trips are numbered, stored and summed up
     again, and the reports are made of the monthly states, most of which were there. All tables switch in one commit, so
-    no reader sees a report of another state than the fact. The checks of trips cover the stale months; ids of different
-    months differ, as their numbers do.
+    no reader sees a report of another state than the fact. The checks of trips cover the stale months (ids of different
+    months differ, as their numbers do), and those of single rows are counted while these are written.
     """
     spark = out.spark
-    changes, stale = _staged_fact(landed, out, known, as_of, partitions)
+    checks = all_checks()
+    changes, stale, observed = _staged_fact(landed, out, known, as_of, partitions, checks)
     changes |= _staged_states(out, changes[store.FACT_TABLE], stale)
     ahead = _as_of(out, changes)
     days = reports.days_stats().state(spark.createDataFrame([], FACT)).schema
@@ -217,7 +225,7 @@ def refresh(landed: Versions, out: Versions, known: Lookups, as_of: str, partiti
     stored = {name: out.read(name, df.schema) for name, df in {**dims, **made}.items()}
     fact = store.read_fact(out, months=stale.months)
     checked = check_tables(fact, fact, known, {n: stored[n] for n in dims}, {n: stored[n] for n in made})
-    return run_checks(spark, checked, all_checks())
+    return run_checks(spark, checked, checks, observed)
 
 
 def build(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from farelake.functions.calendar import month_start
@@ -30,26 +30,31 @@ def clustered(fact: DataFrame, partitions: int | None = None) -> DataFrame:
     )
 
 
-def stage_fact(store: Versions, fact: DataFrame, partitions: int | None = None) -> Parts:
-    """Write a version of the fact's months that occur in ``fact``, to be committed."""
-    return staged(store, clustered(fact, partitions))
+def stage_fact(
+    store: Versions, fact: DataFrame, partitions: int | None = None, metrics: Mapping[str, Column] | None = None
+) -> tuple[Parts, dict[str, int]]:
+    """Write a version of the fact's months that occur in ``fact``, to be committed; and what the ``metrics``
+    (aggregates by name) came to, which are observed as the rows pass to the files.
 
-
-def staged(store: Versions, placed: DataFrame) -> Parts:
+    They are observed behind the last shuffle, where a task that runs again counts once.
+    """
+    placed, seen = clustered(fact, partitions), Observation()
+    if metrics:
+        placed = placed.observe(seen, *metrics.values())
     version = store.write(FACT_TABLE, placed, monthly=True)
     found = store.months_of(FACT_TABLE, version, FACT)
-    return {month: {"version": version, **counts} for month, counts in found.items()}
+    return {month: {"version": version, **counts} for month, counts in found.items()}, dict(seen.get) if metrics else {}
 
 
 def write_fact(store: Versions, fact: DataFrame, partitions: int | None = None) -> None:
     """Full refresh of the stored fact. A failed write leaves it as it was."""
-    store.commit({FACT_TABLE: stage_fact(store, fact, partitions)})
+    store.commit({FACT_TABLE: stage_fact(store, fact, partitions)[0]})
 
 
 def replace_months(store: Versions, fact: DataFrame, months: Iterable[str], partitions: int | None = None) -> None:
     """Incremental load: ``months`` are replaced by the rows of ``fact``, which has no others, in one step. A month
     without rows is gone; the files of other months stay as they are."""
-    fresh = stage_fact(store, fact, partitions)
+    fresh, _ = stage_fact(store, fact, partitions)
     if outside := fresh.keys() - set(months):
         raise ValueError(f"trips outside of the months that are replaced: {', '.join(sorted(outside))}")
     kept = {m: part for m, part in store.parts(FACT_TABLE).items() if m not in set(months)}

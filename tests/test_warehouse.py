@@ -8,8 +8,9 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from farelake.operators import clean, enrich, reports
+from farelake.operators import clean, enrich, quality, reports
 from farelake.plans import fixture, warehouse
+from farelake.plans.checks import all_checks
 from farelake.schemas import RAW_TRIPS
 from farelake.sources import history, landing, store
 from farelake.sources.versions import Versions
@@ -255,3 +256,29 @@ def test_history_of_several_snapshots(spark, tmp_path):
         assert all(r.is_current == (r.valid_to is None) for r in found)
         text = [(r.k, r.name, r._old, str(r.valid_from), str(r.valid_to) if r.valid_to else None) for r in found]
         assert sorted(text, key=repr) == sorted(expected, key=repr)
+
+
+def test_checks_counted_while_writing_equal_those_of_a_pass(spark, known, built, raw, tmp_path):
+    """Of the built tables, and of trips that violate checks of every kind."""
+    landed, out = Versions(spark, str(tmp_path / "landing")), Versions(spark, str(tmp_path / "warehouse"))
+    odd = [{"vendor_id": v} for v in ("7", "7", "8")] + [{"store_and_fwd_flag": "?"}, {"fare_amount": 50.0}, {"trip_distance": 90.0}]
+    odd += [{"vendor_id": None}, {"dropoff_datetime": dt.datetime(2022, 1, 3, 12, 0, 30)}, {"dropoff_datetime": dt.datetime(2022, 1, 4)}]
+    landing.load(landed, raw(*odd))
+    mine = warehouse.refresh(landed, out, known, fixture.AS_OF).collect()
+    for store_, report in ((out, mine), (built[0], built[1].values())):
+        fact = store.read_fact(store_)
+        tables = {n: spark.read.parquet(f"{store_.folder}/{n}/version={p['']['version']}") for n, p in store_.tables.items() if "" in p}
+        checked = warehouse.check_tables(fact, fact, known, {}, tables)
+        assert sorted(map(tuple, report)) == sorted(map(tuple, quality.run_checks(spark, checked, all_checks()).collect()))
+    found = {(r.check_name, r.table_name, r.column_name): r.violations for r in mine}
+    assert found["accepted_values", "trips_clean", "vendor_id"] == 2 and found["revenue_consistency", "fact_trips", ""] == 1
+    assert found["not_null", "trips_clean", "vendor_id"] == 1 and found["speed", "fact_trips", ""] == 2
+
+
+def test_observed_checks_spare_a_pass(spark, raw, known, tmp_path, monkeypatch):
+    landed, out = Versions(spark, str(tmp_path / "landing")), Versions(spark, str(tmp_path / "warehouse"))
+    landing.load(landed, raw({}, {}))
+    scanned = []
+    monkeypatch.setattr(quality, "_row_checks", lambda df, checks, f=quality._row_checks: [f(df, checks), scanned.extend(checks)][0])
+    warehouse.refresh(landed, out, known, fixture.AS_OF)
+    assert scanned and not {c.table for _, c in scanned} & {"trips_clean", "trips_enriched", "fact_trips"}
