@@ -9,14 +9,15 @@ from conftest import plan_of
 
 from farelake.operators import clean, enrich, star
 from farelake.plans import fixture, warehouse
-from farelake.sources import landing, lookups
+from farelake.schemas import RAW_TRIPS
+from farelake.sources import lookups
 
 
 @pytest.fixture(scope="module")
 def landed(spark, small_tables, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("landing") / "trips")
-    landing.replace_table(fixture.raw_trips(spark, small_tables), path)
-    return landing.read_landing(spark, path)
+    fixture.raw_trips(spark, small_tables).write.parquet(path)
+    return spark.read.schema(RAW_TRIPS).parquet(path)
 
 
 @pytest.fixture(scope="module")
