@@ -11,6 +11,7 @@ import ctypes
 import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -170,10 +171,14 @@ class Words:
             ends[inner - 1] = word[inner - 1]
         self.starts = np.flatnonzero(starts)
         self.ends = np.flatnonzero(ends) + 1
-        self.hashes = segment_hashes(raw, self.starts, self.ends, _LOWERED if lower else _CODES)
+        self._lower = lower
         self.at = np.searchsorted(self.starts, offsets)  # the words of text i are at[i] to at[i + 1]
         self.doc = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(self.at))
 
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return segment_hashes(self.raw, self.starts, self.ends, _LOWERED if self._lower else _CODES)
+
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """For each place where ``n`` words of one text follow one another: the place, and their hash."""
         if len(self.hashes) < n:

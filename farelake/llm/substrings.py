@@ -7,21 +7,26 @@ smaller id. Documents are dealt into buckets of a few MB; the steps are
    have equal anchors, wherever they stand, and neighbouring windows mostly share theirs. Buckets exchange the hashes
    of their anchors, and learn which recur in another document.
 2. *Confirmation.* Only windows on a recurring anchor can recur. Buckets exchange the hashes of these windows with the
-   smallest id that has each, and learn which of theirs a smaller id has as well, and which id that is.
-3. *Automata.* The confirmed phrases of a slice of a bucket, as sequences of whole words, are compiled into an
-   automaton, and all its documents are streamed through it; it verifies every occurrence that the hashes located. So
-   automata are sharded as the documents are: each document meets the phrases that it may hold, in one pass.
+   smallest id that has each and the place where it stands, and learn in which bucket, at which place, the document is
+   that has one of theirs first: its owner.
+3. *Phrases.* Places are counted in cells of ``_CELL`` windows of one document. Every bucket asks the owners' buckets for
+   the words of the cells it needs; a cell's words are cut out of the owner's text once and joined to those who asked.
+4. *Automata.* Each bucket compiles the windows it asked for, as the owners' words, into automata of bounded size, and
+   streams all its documents through them. Only their matches count: a word goes because it stands, with the words
+   around it, in a text that an owner sent. So hashes that happen to be equal never remove a word.
 
 Every exchanged hash travels once per bucket, so copies and frequent passages cost no more than one bucket each.
 """
 
 from __future__ import annotations
 
-from itertools import pairwise, repeat
+from collections.abc import Iterator
+from itertools import islice, repeat
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +36,8 @@ from farelake.llm.common import Words, in_sorted, pack, packed_schema, unpack, u
 
 WINDOW = 13
 _ANCHOR = 5
-_SLICE_BYTES = 1 << 20  # text of an automaton's documents
+_CELL = 64  # windows; a request has one bit for each
+_AGAIN = np.uint32(1 << 31)  # marks a place whose window stands in several documents of its bucket
 _NODES = 3_000_000  # of an automaton, at about 64 bytes each
 _SECOND = 256  # codes of a word's second character
 _OTHER_WORD = "\x01\x02"
@@ -55,150 +61,204 @@ def _windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
     return firsts, np.minimum(smallest[firsts], smallest[firsts + span - size])
 
 
-def _smallest_ids(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes, the smallest id with each, and whether another id has it too."""
-    order = np.lexsort((ids, hashes))
-    hashes, ids = hashes[order], ids[order]
-    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.empty(0, np.int64)
-    last = np.append(first[1:], len(hashes)) - 1 if len(first) else first
-    return hashes[first], ids[first], ids[first] != ids[last]
+def _smallest_ids(ids: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each distinct key, in the order of the keys: where the smallest id with it stands, and whether another id has
+    it too."""
+    order = np.lexsort((ids, *reversed(keys)))
+    if not len(order):
+        return order, np.empty(0, bool)
+    changed = np.zeros(len(order) - 1, bool)
+    for key in keys:
+        changed |= key[order[1:]] != key[order[:-1]]
+    first = np.flatnonzero(np.concatenate([[True], changed]))
+    last = np.append(first[1:], len(order)) - 1
+    return order[first], ids[order[first]] != ids[order[last]]
 
 
 def _bucket(table: pa.Table) -> int:
     return table.column("_bucket")[0].as_py()
 
 
-def dedup_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def _sorted_texts(table: pa.Table) -> pa.Table:
+    """(_id, _text) in an order that does not depend on how the rows arrived, so that places hold from step to step."""
+    texts = table.select(["_id", "_text"])
+    return texts.take(pc.sort_indices(texts, sort_keys=[("_id", "ascending"), ("_text", "ascending")]))
+
+
+def _first_cells(words: Words) -> np.ndarray:
+    """The number of each document's first cell. Documents share no cell."""
+    sizes = -(-np.diff(words.at) // _CELL)
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+def dedup_passages(docs: DataFrame, window: int = WINDOW, hash_bits: int = 64) -> DataFrame:
     """``_row`` (the document's columns), n_words, n_removed and kept (the kept words, joined by one space).
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. A null text has no words; a document of fewer words than a window
     keeps all of them; of equal texts the smallest id keeps its words, rows that repeat an id keep theirs alike; a null
-    id counts as smaller than all others; an empty table gives no rows.
+    id counts as smaller than all others; an empty table gives no rows. ``hash_bits``: of anchors and windows; fewer make
+    more work, not other rows. (Windows are told apart by these and 32 more bits.)
     """
     common.bounded_batches(docs.sparkSession)
     buckets = common.bucket_count(docs)
     parts = max(64, buckets // 4)
+    unused = np.uint64(64 - hash_bits)
     dealt = common.bucketed(docs, buckets)
     texts = dealt.select("_bucket", "_id", "_text", "_row")
 
+    def anchored(words: Words) -> tuple[np.ndarray, np.ndarray]:
+        firsts, found = _windows(words, window)
+        return firsts, found >> unused << unused
+
     def anchors(table: pa.Table) -> pa.Table:
         words = Words(table.column("_text"))
         ids = common.ids_of(table.column("_id"))
-        firsts, found = _windows(words, window)
+        firsts, found = anchored(words)
         owner = ids[words.doc[firsts]]
         new = np.flatnonzero(np.concatenate([[True], (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])])) if len(found) else firsts
-        hashes, _, several = _smallest_ids(found[new], owner[new])
-        return pack(_bucket(table), parts, hashes, several)
+        owner, found = owner[new], found[new]
+        best, several = _smallest_ids(owner, found)
+        return pack(_bucket(table), parts, found[best], several)
 
     def candidates(table: pa.Table, answer: pa.Table) -> pa.Table:
         if not table.num_rows or not answer.num_rows:
-            return pack(0, parts, np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool))
-        words = Words(table.column("_text"))
-        ids = common.ids_of(table.column("_id"))
-        firsts, found = _windows(words, window)
+            return pack(0, parts, np.empty(0, np.uint64), *[np.empty(0, np.uint8)] * 3)
+        sorted_texts = _sorted_texts(table)
+        words = Words(sorted_texts.column("_text"))
+        firsts, found = anchored(words)
         firsts = firsts[in_sorted(found, np.sort(unpack(answer, "_c0", "<u8")))]
-        hashes = _window_hashes(words, firsts, window)
-        return pack(_bucket(table), parts, *_smallest_ids(hashes, ids[words.doc[firsts]]))
+        doc = words.doc[firsts]
+        ids = common.ids_of(sorted_texts.column("_id"))[doc]
+        hashes, checks = _window_hashes(words, firsts, window)
+        hashes = hashes >> unused << unused
+        best, several = _smallest_ids(ids, hashes, checks)
+        places = (_first_cells(words)[doc] * _CELL + firsts - words.at[doc])[best].astype(np.uint32)
+        places[several] |= _AGAIN
+        return pack(_bucket(table), parts, hashes[best], checks[best], ids[best], places)
 
     def confirm(table: pa.Table) -> pa.Table:
         hashes, row = unpack_rows(table, "_c0", "<u8")
-        smallest = unpack(table, "_c1", "<i8")
-        several = unpack(table, "_c2", "u1").astype(bool)
-        distinct, inverse = np.unique(hashes, return_inverse=True)
-        least = np.full(len(distinct), np.iinfo(np.int64).max)
-        np.minimum.at(least, inverse, smallest)
-        owner = least[inverse]
-        keep = (owner < smallest) | several
-        cuts = np.searchsorted(row[keep], np.arange(table.num_rows + 1))
-        pairs = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
-        columns = {"_bucket": table.column("_bucket"), "_part": table.column("_part")}
-        for name, values in (("_c0", hashes[keep]), ("_c1", owner[keep])):
-            columns[name] = pa.array([values[a:b].tobytes() for a, b in pairs], pa.binary())
+        checks, ids, places = (unpack(table, c, k) for c, k in (("_c1", "<u4"), ("_c2", "<i8"), ("_c3", "<u4")))
+        order = np.lexsort((ids, checks, hashes))
+        changed = (hashes[order[1:]] != hashes[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
+        first = order[np.flatnonzero(np.concatenate([[True], changed]))]
+        owner = np.empty(len(order), np.int64)  # the entry of the same window that has the smallest id
+        owner[order] = np.repeat(first, np.diff(np.append(np.flatnonzero(np.concatenate([[True], changed])), len(order))))
+        keep = (ids[owner] < ids) | (places >= _AGAIN)
+        owner, row = owner[keep], row[keep]
+        of = np.array(table.column("_bucket").to_pylist(), np.uint64)
+        _, owner_row = unpack_rows(table, "_c0", "<u8")
+        where = (of[owner_row[owner]] << np.uint64(32)) | (places[owner] & ~_AGAIN).astype(np.uint64)
+        cuts = np.searchsorted(row, np.arange(table.num_rows + 1))
+        blobs = [where[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        columns = {"_bucket": table.column("_bucket"), "_part": table.column("_part"), "_c0": pa.array(blobs, pa.binary())}
         return pa.table(columns).filter(pa.array(np.diff(cuts) > 0))
 
-    def locate(table: pa.Table, answer: pa.Table) -> pa.Table:
-        confirmed, owners = unpack(answer, "_c0", "<u8"), unpack(answer, "_c1", "<i8")
-        order = np.argsort(confirmed)
-        confirmed, owners = confirmed[order], owners[order]
-        results: list[tuple[int, int, str]] = []
-        for part in _slices(table):
-            results += _kept(part, confirmed, owners, window)
-        return _results(table, results)
+    def request(table: pa.Table) -> pa.Table:
+        places = np.unique(unpack(table, "_c0", "<u8"))
+        cells, first = np.unique(places // np.uint64(_CELL), return_index=True)
+        bits = np.uint64(1) << (places % np.uint64(_CELL))
+        columns = {
+            "_owner": (places[first] >> np.uint64(32)).astype(np.int32),
+            "_cell": ((places[first] & np.uint64(0xFFFFFFFF)) // np.uint64(_CELL)).astype(np.int32),
+            "_bucket": np.full(len(cells), _bucket(table), np.int32),
+            "_wanted": np.bitwise_or.reduceat(bits, first).view(np.int64),
+        }
+        return pa.table(columns)
+
+    def cut_out(table: pa.Table, wanted: pa.Table) -> pa.Table:
+        cells = np.sort(wanted.column("_cell").to_numpy()) if table.num_rows else np.empty(0, np.int32)
+        of = _bucket(wanted) if len(cells) else 0
+        ids, blobs = np.empty(0, np.int64), []
+        if len(cells):
+            sorted_texts = _sorted_texts(table)
+            words = Words(sorted_texts.column("_text"))
+            first_cells = _first_cells(words)
+            doc = np.searchsorted(first_cells, cells, "right") - 1
+            ids = common.ids_of(sorted_texts.column("_id"))[doc]
+            begin = words.at[doc] + (cells - first_cells[doc]) * _CELL
+            end = np.minimum(begin + _CELL + window - 1, words.at[doc + 1])
+            raw = words.raw.tobytes()
+            blobs = [raw[a:b] for a, b in zip(words.starts[begin].tolist(), words.ends[end - 1].tolist(), strict=True)]
+        return pa.table(
+            {
+                "_owner": np.full(len(cells), of, np.int32),
+                "_cell": cells.astype(np.int32),
+                "_first": ids,
+                "_words": pa.array(blobs, pa.binary()),
+            }
+        )
+
+    def remove(table: pa.Table, phrases: pa.Table) -> pa.Table:
+        return _results(table, _kept(table, phrases, window))
 
     recurring = common.recurring(texts.groupBy("_bucket").applyInArrow(anchors, packed_schema(2)))
-    windows = _together(texts, recurring, candidates, packed_schema(3))
-    confirmed = windows.groupBy("_part").applyInArrow(confirm, packed_schema(2))
+    windows = _together(texts, recurring, candidates, packed_schema(4))
+    confirmed = windows.groupBy("_part").applyInArrow(confirm, packed_schema(1))
+    requests = confirmed.groupBy("_bucket").applyInArrow(request, "_owner int, _cell int, _bucket int, _wanted long")
+    asked = requests.select(F.col("_owner").alias("_bucket"), "_cell").distinct()
+    cells = _together(texts, asked, cut_out, "_owner int, _cell int, _first long, _words binary")
+    phrases = requests.join(cells, ["_owner", "_cell"]).select("_bucket", "_wanted", "_first", "_words")
     results = T.StructType.fromDDL("n_words long, n_removed long, kept string")
-    return _together(texts, confirmed, locate, T.StructType([texts.schema["_row"], *results]))
+    return _together(texts, phrases, remove, T.StructType([texts.schema["_row"], *results]))
 
 
 def _together(texts: DataFrame, answers: DataFrame, function, schema) -> DataFrame:
     return texts.groupBy("_bucket").cogroup(answers.groupBy("_bucket")).applyInArrow(function, schema)
 
 
-def _window_hashes(words: Words, firsts: np.ndarray, window: int) -> np.ndarray:
-    value = words.hashes[firsts]
+def _window_hashes(words: Words, firsts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the windows from ``firsts`` on, of 64 and of 32 bits, from different polynomials of their words."""
+    value, other = words.hashes[firsts], words.hashes[firsts]
     for j in range(1, window):
-        value = value * np.uint64(0xD1342543DE82EF95) + words.hashes[firsts + j]
-    return common.mix(value)
-
-
-def _slices(table: pa.Table) -> list[pa.Table]:
-    """Consecutive documents of about ``_SLICE_BYTES`` together, but at least one."""
-    if not table.num_rows:
-        return []
-    _, offsets = common.string_buffer(table.column("_text"))
-    cuts = [0]
-    while cuts[-1] < table.num_rows:
-        upto = int(np.searchsorted(offsets, offsets[cuts[-1]] + _SLICE_BYTES, "right")) - 1
-        cuts.append(max(upto, cuts[-1] + 1))
-    return [table.slice(a, b - a) for a, b in pairwise(cuts)]
-
-
-def _coded(texts: list[list[bytes]], known: set[bytes]) -> list[str]:
-    """Each text as two characters for each of its words, the first and the second from different ranges, so that a
-    phrase can match at words only, and a node of the automaton has few branches. Words that are in no phrase share
-    one code."""
-    codes = {w: chr(0x100 + i // _SECOND) + chr(0xE000 + i % _SECOND) for i, w in enumerate(known)}
+        word = words.hashes[firsts + j]
+        value = value * np.uint64(0xD1342543DE82EF95) + word
+        other = other * np.uint64(0x9FB21C651E98DF25) + word
+    return common.mix(value), (common.mix(other) >> np.uint64(32)).astype(np.uint32)
+
+
+def _coded(texts: Iterator[bytes], codes: dict[bytes, str]) -> list[str]:
+    """Each text as the codes of its words. Words that are in no phrase share one code."""
     look = codes.get
-    return ["".join(map(look, words, repeat(_OTHER_WORD))) for words in texts]
+    return ["".join(map(look, text.split(), repeat(_OTHER_WORD))) for text in texts]
 
 
-def _kept(table: pa.Table, confirmed: np.ndarray, owners: np.ndarray, window: int) -> list[tuple[int, int, str]]:
+def _phrases(cells: list[str], wanted: list[int], window: int) -> Iterator[tuple[str, int]]:
+    """Each wanted window of the cells, and the number of its cell."""
+    for cell, (line, bits) in enumerate(zip(cells, wanted, strict=True)):
+        for i in range(len(line) // 2 - window + 1):
+            if bits >> i & 1:
+                yield line[2 * i : 2 * (i + window)], cell
+
+
+def _kept(table: pa.Table, phrases: pa.Table, window: int) -> list[tuple[int, int, str]]:
     """For each document its number of words, the number of removed ones, and the kept ones.
 
-    The confirmed phrases that occur here are compiled into automata of bounded size, nearly always one, and the
-    documents are streamed through.
+    The phrases that owners sent are compiled into automata, and every document is streamed through each.
     """
-    ids = common.ids_of(table.column("_id")).tolist()
-    texts = [(text.as_py() or "").encode().split() for text in table.column("_text")]
-    words = Words(table.column("_text"))
-    places, _ = words.grams(window)
-    hashes = _window_hashes(words, places, window)
-    hit = in_sorted(hashes, confirmed)
-    phrases, first = np.unique(hashes[hit], return_index=True)
-    places = places[hit][first]
-    owner_of = owners[np.searchsorted(confirmed, phrases)].tolist()
-    found: list[list[int]] = [[] for _ in texts]
-    if len(phrases):
-        docs = words.doc[places]
-        begins = places - words.at[docs]
-        change = np.zeros(len(words.hashes) + 1, np.int64)
-        np.add.at(change, places, 1)
-        np.add.at(change, places + window, -1)
-        inside = np.flatnonzero(np.cumsum(change[:-1]))  # words of phrases
-        owners_at = words.doc[inside]
-        coded = _coded(texts, {texts[d][i] for d, i in zip(owners_at.tolist(), (inside - words.at[owners_at]).tolist(), strict=True)})
-        spans = list(zip(docs.tolist(), (2 * begins).tolist(), strict=True))
-        most = max(1, _NODES // (2 * window))
-        for low in range(0, len(spans), most):
+    found: list[list[int]] = [[] for _ in range(table.num_rows)]
+    if table.num_rows and phrases.num_rows:
+        ids = common.ids_of(table.column("_id")).tolist()
+        cells = phrases.column("_words").to_pylist()
+        owners = phrases.column("_first").to_pylist()
+        known = {word for cell in cells for word in cell.split()}
+        # Two characters a word, the first and the second from different ranges, so that a phrase can match at words
+        # only, and a node of the automaton has few branches.
+        codes = {w: chr(0x100 + i // _SECOND) + chr(0xE000 + i % _SECOND) for i, w in enumerate(known)}
+        lines = _coded(_texts(table), codes)
+        windows = _phrases(_coded(cells, codes), phrases.column("_wanted").to_pylist(), window)
+        while some := list(islice(windows, max(1, _NODES // (2 * window)))):
             automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-            for phrase, (doc, start) in enumerate(spans[low : low + most], low):
-                automaton.add_word(coded[doc][start : start + 2 * window], phrase)
+            for phrase, cell in some:
+                automaton.add_word(phrase, cell)
             automaton.make_automaton()
-            for doc, (doc_id, line) in enumerate(zip(ids, coded, strict=True)):
-                found[doc] += [end // 2 + 1 - window for end, phrase in automaton.iter(line) if owner_of[phrase] < doc_id]
-    return [_without(ws, starts, window) for ws, starts in zip(texts, found, strict=True)]
+            for doc, (doc_id, line) in enumerate(zip(ids, lines, strict=True)):
+                found[doc] += [end // 2 + 1 - window for end, cell in automaton.iter(line) if owners[cell] < doc_id]
+    return [_without(text.split(), starts, window) for text, starts in zip(_texts(table), found, strict=True)]
+
+
+def _texts(table: pa.Table) -> Iterator[bytes]:
+    return ((text.as_py() or "").encode() for text in table.column("_text"))
 
 
 def _without(words: list[bytes], starts: list[int], window: int) -> tuple[int, int, str]:

@@ -11,6 +11,7 @@ from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -365,6 +366,29 @@ def test_passages_equal_brute_force(documents, odd, empty, window):
     assert substrings.dedup_passages(empty, window).count() == 0
 
 
+@pytest.mark.parametrize("bits", [16, 4])
+def test_equal_hashes_of_different_passages_change_nothing(documents, bits):
+    found = substrings.dedup_passages(documents, hash_bits=bits).select("_row.doc_id", "n_words", "n_removed", "kept")
+    assert sorted_rows(found) == brute_passages(rows_of(documents), 13)
+
+
+def test_automata_remove_what_an_owner_sent_and_nothing_else():
+    table = pa.table({"_id": [5, 2, 9], "_text": ["x a b c d y", "a b c d", "a b  c\nd a b"]})
+    sent = {"_wanted": [0b1, 0b1], "_first": [4, 9], "_words": pa.array([b"a b c d", b"c d a"])}
+    found = substrings._kept(table, pa.table(sent), 3)
+    # The first cell's first window only; nothing of an owner with a greater or the same id.
+    assert found == [(6, 3, "x d y"), (4, 0, "a b c d"), (6, 3, "d a b")]
+
+
+def test_a_passage_longer_than_a_cell_with_gaps(spark):
+    long = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(long[:at] + [f"new{i}"] + long[at + 1 :])) for i, at in enumerate(range(3, 400, 61))]
+    rows += [(100, " ".join(long[30:300])), (101, " ".join(long[63:76])), (102, " ".join(long[64:76])), (-1, " ".join(long[120:140]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substrings.dedup_passages(df).select("_row.doc_id", "n_words", "n_removed", "kept")
+    assert sorted_rows(found) == brute_passages(rows, 13)
+
+
 def test_overlapping_passages_of_several_documents(spark):
     draw = random.Random(9)
     pool = ["a", "b", "c"]
