@@ -31,6 +31,8 @@ def oracle_sql() -> dict[str, str]:
         "op3_lm_scoring": scoring.OP3_SQL,
         "op3_lm_scoring_bigrams": scoring.OP3_BIGRAMS_SQL,
         "op6_topk": topk.OP6_SQL,
+        "op7_substrings": substrings.OP7_SQL,
+        "op8_jaccard": jaccard.OP8_SQL,
         "op11_infill": infill.OP11_SQL,
         "op12_resampling": resampling.OP12_SQL,
     }

@@ -410,3 +410,32 @@ def similar_documents(docs: DataFrame, shingle: int = 5, num: int = 4, den: int
 def op8_jaccard(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return similar_documents(docs, shingle=3, num=9, den=10)
+
+
+OP8_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE
+    WHEN len(words) = 0 THEN []
+    WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS shingles
+  FROM texts
+), postings AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM postings a JOIN postings b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets
+  UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT doc_id, CAST(len(any_value(shingles)) AS BIGINT) AS n_shingles, min(b) AS component_id
+FROM sets JOIN reached ON doc_id = a
+GROUP BY doc_id
+"""

@@ -283,3 +283,29 @@ def op7_substrings(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = dedup_passages(docs)
     return found.select("_row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), starts AS (
+  SELECT r, doc_id, i, array_to_string(words[i:i + 12], ' ') AS phrase
+  FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM texts)
+), owners AS (
+  SELECT phrase, min(doc_id) AS first FROM starts GROUP BY phrase
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 13)) AS k
+  FROM starts JOIN owners USING (phrase)
+  WHERE first < doc_id
+), words AS (
+  SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS k FROM texts
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS kept
+  FROM words ANTI JOIN gone USING (r, k)
+  GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""
