@@ -11,9 +11,10 @@ smaller id. Documents are dealt into buckets of a few MB; the steps are
    that has one of theirs first: its owner.
 3. *Phrases.* Places are counted in cells of ``_CELL`` windows of one document. Every bucket asks the owners' buckets for
    the words of the cells it needs; a cell's words are cut out of the owner's text once and joined to those who asked.
-4. *Automata.* Each bucket compiles the windows it asked for, as the owners' words, into automata of bounded size, and
-   streams all its documents through them. Only their matches count: a word goes because it stands, with the words
-   around it, in a text that an owner sent. So hashes that happen to be equal never remove a word.
+4. *Automata.* Each bucket compiles the windows it asked for, as the owners' words, into automata of bounded size, one
+   for each portion of its documents that may hold some, and streams these through. Only their matches count: a word
+   goes because it stands, with the words around it, in a text that an owner sent. So hashes that happen to be equal
+   never remove a word.
 
 Every exchanged hash travels once per bucket, so copies and frequent passages cost no more than one bucket each.
 """
@@ -38,6 +39,7 @@ WINDOW = 13
 _ANCHOR = 5
 _CELL = 64  # windows; a request has one bit for each
 _AGAIN = np.uint32(1 << 31)  # marks a place whose window stands in several documents of its bucket
+_SLICE_BYTES = 1 << 18  # text of an automaton's documents
 _NODES = 3_000_000  # of an automaton, at about 64 bytes each
 _SECOND = 256  # codes of a word's second character
 _OTHER_WORD = "\x01\x02"
@@ -190,7 +192,8 @@ def dedup_passages(docs: DataFrame, window: int = WINDOW, hash_bits: int = 64) -
         )
 
     def remove(table: pa.Table, phrases: pa.Table) -> pa.Table:
-        return _results(table, _kept(table, phrases, window))
+        with common.without_cycles():
+            return _results(table, _kept(table, phrases, window))
 
     recurring = common.recurring(texts.groupBy("_bucket").applyInArrow(anchors, packed_schema(2)))
     windows = _together(texts, recurring, candidates, packed_schema(4))
@@ -223,45 +226,77 @@ def _coded(texts: Iterator[bytes], codes: dict[bytes, str]) -> list[str]:
     return ["".join(map(look, text.split(), repeat(_OTHER_WORD))) for text in texts]
 
 
-def _phrases(cells: list[str], wanted: list[int], window: int) -> Iterator[tuple[str, int]]:
-    """Each wanted window of the cells, and the number of its cell."""
-    for cell, (line, bits) in enumerate(zip(cells, wanted, strict=True)):
-        for i in range(len(line) // 2 - window + 1):
-            if bits >> i & 1:
-                yield line[2 * i : 2 * (i + window)], cell
-
-
 def _kept(table: pa.Table, phrases: pa.Table, window: int) -> list[tuple[int, int, str]]:
     """For each document its number of words, the number of removed ones, and the kept ones.
 
-    The phrases that owners sent are compiled into automata, and every document is streamed through each.
+    Documents that share phrases are taken together, about ``_SLICE_BYTES`` at a time. The phrases with hashes that
+    windows of theirs have are compiled into an automaton, and the documents are streamed through it; documents without
+    such a window have no phrase.
     """
-    found: list[list[int]] = [[] for _ in range(table.num_rows)]
+    found: dict[int, list[int]] = {}
     if table.num_rows and phrases.num_rows:
-        ids = common.ids_of(table.column("_id")).tolist()
-        cells = phrases.column("_words").to_pylist()
-        owners = phrases.column("_first").to_pylist()
-        known = {word for cell in cells for word in cell.split()}
-        # Two characters a word, the first and the second from different ranges, so that a phrase can match at words
-        # only, and a node of the automaton has few branches.
-        codes = {w: chr(0x100 + i // _SECOND) + chr(0xE000 + i % _SECOND) for i, w in enumerate(known)}
-        lines = _coded(_texts(table), codes)
-        windows = _phrases(_coded(cells, codes), phrases.column("_wanted").to_pylist(), window)
-        while some := list(islice(windows, max(1, _NODES // (2 * window)))):
-            automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-            for phrase, cell in some:
-                automaton.add_word(phrase, cell)
-            automaton.make_automaton()
-            for doc, (doc_id, line) in enumerate(zip(ids, lines, strict=True)):
-                found[doc] += [end // 2 + 1 - window for end, cell in automaton.iter(line) if owners[cell] < doc_id]
-    return [_without(text.split(), starts, window) for text, starts in zip(_texts(table), found, strict=True)]
+        words, cells = Words(table.column("_text")), Words(phrases.column("_words"))
+        places, hashes = cells.grams(window)
+        cell = cells.doc[places]
+        start = places - cells.at[cell]
+        wanted = phrases.column("_wanted").to_numpy().view(np.uint64)
+        asked = (wanted[cell] >> start.astype(np.uint64)) & np.uint64(1) == 1
+        order = np.flatnonzero(asked)[np.argsort(hashes[asked], kind="stable")]
+        cell, start, hashes = cell[order], start[order], hashes[order]
+        places, seen = words.grams(window)
+        hit = in_sorted(seen, hashes)
+        docs, seen = words.doc[places[hit]], seen[hit]
+        for some in _alike(docs, cell[np.searchsorted(hashes, seen)], np.diff(words.offsets)):
+            mine = in_sorted(hashes, np.unique(seen[np.isin(docs, some)]))
+            _match(table.take(some), phrases, cell[mine], start[mine], window, some.tolist(), found)
+    return [_without(text.split(), found.get(doc), window) for doc, text in enumerate(_texts(table))]
+
+
+def _alike(docs: np.ndarray, cells: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Documents in portions of about ``_SLICE_BYTES``, but at least one, in the order of a cell that each may share with
+    others: the one of its middle hit. ``docs``, ascending, and ``cells``: one entry for each hit."""
+    found, first, count = np.unique(docs, return_index=True, return_counts=True)
+    found = found[np.argsort(cells[first + count // 2], kind="stable")]
+    upto = np.cumsum(sizes[found])
+    begin = 0
+    while begin < len(found):
+        before = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, before + _SLICE_BYTES, "right")))
+        yield found[begin:end]
+        begin = end
+
+
+def _match(part: pa.Table, phrases: pa.Table, cell: np.ndarray, start: np.ndarray, window: int, docs: list[int], found: dict) -> None:
+    """Note for each document of ``part`` where phrases of owners with smaller ids begin."""
+    used, line_of = np.unique(cell, return_inverse=True)
+    sent = phrases.take(used)
+    owners = sent.column("_first").to_pylist()
+    cells = sent.column("_words").to_pylist()
+    known = {word for text in cells for word in text.split()}
+    # Two characters a word, the first and the second from different ranges, so that a phrase can match at words only,
+    # and a node of the automaton has few branches.
+    codes = {w: chr(0x100 + i // _SECOND) + chr(0xE000 + i % _SECOND) for i, w in enumerate(known)}
+    coded, lines = _coded(cells, codes), _coded(_texts(part), codes)
+    ids = common.ids_of(part.column("_id")).tolist()
+    # Equal phrases have one owner, unless more were asked for: the smallest comes last, and replaces the others.
+    last = np.argsort(common.ids_of(sent.column("_first"))[line_of], kind="stable")[::-1]
+    windows = zip(line_of[last].tolist(), (2 * start[last]).tolist(), strict=True)
+    while some := list(islice(windows, max(1, _NODES // (2 * window)))):
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for line, i in some:
+            automaton.add_word(coded[line][i : i + 2 * window], line)
+        automaton.make_automaton()
+        for doc, doc_id, line in zip(docs, ids, lines, strict=True):
+            begins = [end // 2 + 1 - window for end, owner in automaton.iter(line) if owners[owner] < doc_id]
+            if begins:
+                found.setdefault(doc, []).extend(begins)
 
 
 def _texts(table: pa.Table) -> Iterator[bytes]:
     return ((text.as_py() or "").encode() for text in table.column("_text"))
 
 
-def _without(words: list[bytes], starts: list[int], window: int) -> tuple[int, int, str]:
+def _without(words: list[bytes], starts: list[int] | None, window: int) -> tuple[int, int, str]:
     """The words that no window from one of ``starts`` covers."""
     if not starts:
         return len(words), 0, b" ".join(words).decode()
