@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,14 +25,15 @@ _BLOCK_ROWS = 4096
 _CHUNK_QUERIES = 256
 _COSINE = 0.35  # local thresholds from here on are pruned by coordinates
 _FOCUS = 3
-_NO_BOUND = -(2**62)
+_MOST = 2**63 - 1
+_NO_BOUND = -_MOST
 
 _FOUND = "query_id long, vec_id long, score long"
 
 
 def integer_vectors(table: DataFrame, vector: str = "embedding") -> DataFrame:
-    """(vec_id, v, norm): components as floor(256 x). Rows without an id, and vectors that are null or hold a null or
-    non-finite component, are left out."""
+    """(vec_id, v, norm): components as floor(256 x), those beyond 64 bits as the nearest 64-bit integer. Rows without an
+    id, and vectors that are null or hold a null or non-finite component, are left out."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     valid = table.where(F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & finite)
     whole = F.transform(vector, lambda x: F.floor(x.cast("double") * 256).cast("long"))
@@ -51,13 +53,22 @@ def _matrix(column: pa.ChunkedArray, width: int | None = None) -> np.ndarray:
 
 
 def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact inner products: in floating point where that is exact, else in integers of sufficient size."""
-    most = float(np.abs(rows).max(initial=0)) * float(np.abs(query).max(initial=0)) * max(1, len(query))
+    """Exact inner products: in floating point where that is exact, else in integers of sufficient size. A product beyond
+    64 bits counts as the greatest or least there is."""
+    most = float(np.abs(rows.astype(np.float64)).max(initial=0)) * float(np.abs(query.astype(np.float64)).max(initial=0)) * max(1, len(query))
     if most < 2**53:
         return (rows.astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
     if most < 2**63:
         return rows @ query
-    raise OverflowError("an inner product does not fit into 64 bits")
+    if len(rows) > 1:  # a few long vectors do not make the others slow
+        large = np.abs(rows.astype(np.float64)).max(axis=1, initial=0) * most >= 2**62 * np.abs(rows.astype(np.float64)).max()
+        if not large.all():
+            scores = np.empty(len(rows), np.int64)
+            for some in (large, ~large):
+                scores[some] = _products(rows[some], query)
+            return scores
+    exact = (sum(a * b for a, b in zip(row, query.tolist(), strict=True)) for row in rows.tolist())
+    return np.array([max(-_MOST, min(_MOST, score)) for score in exact], np.int64)
 
 
 def _search(block: pa.Table, chunks: pa.Table, k: int) -> pa.Table:
@@ -109,25 +120,41 @@ def _one(query_id, bound, query, ids, vectors, unit, norms, k):
     return np.full(len(best), query_id, np.int64), ids[rows][best], scores[best]
 
 
+def _need(queries: DataFrame) -> DataFrame:
+    """``need``: the least norm of a candidate that can reach the query's bound. A zero query scores 0 everywhere; without
+    a positive bound every length matters."""
+    least = F.col("bound") / F.greatest("norm", F.lit(1e-300)) * (1 - 1e-9)
+    return queries.withColumn("need", F.when((F.col("bound") > 0) & (F.col("norm") > 0), least).otherwise(0.0))
+
+
+def _level(value: Column, cuts: list[float]) -> Column:
+    """How many of the cuts, at most 47, are at or below the value."""
+    return sum((F.when(value >= F.lit(cut), 1).otherwise(0) for cut in cuts), F.lit(0))
+
+
 def _packed(queries: DataFrame, chunks: int) -> DataFrame:
-    """Queries (vec_id, v, norm, bound) in packed chunks; ``reach``: the least candidate norm that any of them needs."""
+    """Queries (vec_id, v, norm, bound) in packed chunks; ``reach``: the least candidate norm that any of them needs.
+
+    Queries of like needs go together, so that one that needs short candidates does not take others there.
+    """
 
     def pack(table: pa.Table) -> pa.Table:
         vectors = _matrix(table.column("v"))
-        bounds, norms = table.column("bound").to_numpy(), table.column("norm").to_numpy()
-        # A zero query scores 0 everywhere; without a positive bound every length matters.
-        need = np.where((bounds > 0) & (norms > 0), bounds / np.maximum(norms, 1e-300) * (1 - 1e-9), 0.0)
         return pa.table(
             {
                 "ids": pa.array([table.column("vec_id").to_numpy().tobytes()], pa.binary()),
-                "bounds": pa.array([bounds.tobytes()], pa.binary()),
+                "bounds": pa.array([table.column("bound").to_numpy().tobytes()], pa.binary()),
                 "vectors": pa.array([vectors.tobytes()], pa.binary()),
-                "reach": [float(need.min())],
+                "reach": [pc.min(table.column("need")).as_py()],
             }
         )
 
-    dealt = queries.withColumn("_chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)))
-    return dealt.groupBy("_chunk").applyInArrow(pack, "ids binary, bounds binary, vectors binary, reach double")
+    needing = _need(queries)
+    share = [i / _BUCKETS for i in range(1, _BUCKETS)]
+    cuts = sorted(set(needing.agg(F.percentile_approx("need", share, 10_000)).first()[0] or [])) if chunks > 1 else []
+    salts = max(1, -(-chunks // (len(cuts) + 1)))
+    dealt = needing.withColumns({"_level": _level(F.col("need"), cuts), "_salt": F.pmod(F.xxhash64("vec_id"), F.lit(salts))})
+    return dealt.groupBy("_level", "_salt").applyInArrow(pack, "ids binary, bounds binary, vectors binary, reach double")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
@@ -136,16 +163,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     ``vectors``: (vec_id, v, norm) of ``integer_vectors``. Returns query_id, rank (from 1), vec_id, score; ties go to the
     smaller vec_id; all candidates if there are fewer. A query's own id is no candidate, also where rows repeat it;
     a repeated query is one query, a repeated candidate takes several ranks. Vectors of other lengths count as filled
-    with 0. An empty table gives no rows; columns other than vec_id and the vector are ignored.
+    with 0. A score beyond 64 bits is the greatest or least 64-bit integer (but -2**63 + 1), so that such scores tie. An
+    empty table gives no rows; columns other than vec_id and the vector are ignored.
     """
     stored = materialize(vectors, "vectors")
     share = [i / _BUCKETS for i in range(1, _BUCKETS)]
     row = stored.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("norm", share, 10_000).alias("cuts")).first()
     cuts = sorted(set(row["cuts"] or []))
-    bucket = F.lit(0)
-    for cut in cuts:  # at most 47
-        bucket = bucket + F.when(F.col("norm") >= F.lit(cut), 1).otherwise(0)
-    dealt = stored.withColumn("_bucket", bucket)
+    dealt = stored.withColumn("_bucket", _level(F.col("norm"), cuts))
     sizes = dealt.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("most")).collect()  # one row per bucket
     if not sizes:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")

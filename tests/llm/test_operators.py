@@ -331,6 +331,29 @@ def test_top_k_of_odd_vectors(spark):
     assert topk.top_k(topk.integer_vectors(table.where("false")), F.col("vec_id") % 1 == 0).count() == 0
 
 
+def test_top_k_of_scores_beyond_64_bits(spark):
+    vectors = [[1e300, 1.0], [-1e300, 2.0], [1e308, -1e308], [1.0, 2.0], [3e7, 4e7], [1e12, 1.0], [-0.5, 2.0], [9e9, -9e9]]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    found = topk.top_k(topk.integer_vectors(table), F.col("vec_id") % 1 == 0, 8).collect()
+    most = 2**63 - 1
+    whole = [[max(-most - 1, min(most, int(np.floor(x * 256)) if np.isfinite(x * 256) else int(np.sign(x)) * 2**64)) for x in v] for v in vectors]
+    expected = []
+    for q, v in enumerate(whole):
+        scores = sorted((-max(-most, min(most, sum(a * b for a, b in zip(v, w, strict=True)))), i) for i, w in enumerate(whole) if i != q)
+        expected += [(q, rank, i, -score) for rank, (score, i) in enumerate(scores, 1)]
+    assert sorted(tuple(r) for r in found) == expected
+
+
+def test_queries_of_like_needs_go_together(spark):
+    rows = [(i, [i + 1], float(i + 1), 1000 if i else -5) for i in range(2000)]
+    chunks = topk._packed(spark.createDataFrame(rows, "vec_id long, v array<long>, norm double, bound long"), 8).collect()
+    ids = [np.frombuffer(c.ids, np.int64) for c in chunks]
+    assert sorted(np.concatenate(ids).tolist()) == list(range(2000))
+    # Needs fall with the id, but for the query without a bound: no two chunks overlap.
+    spans = sorted((i[i > 0].min(), i[i > 0].max()) for i in ids if i.max() > 0)
+    assert len(spans) > 8 and all(a[1] < b[0] for a, b in pairwise(spans))
+
+
 def test_top_k_with_many_copies(spark):
     draw = np.random.default_rng(2)
     rows = [(i, ([0.5] * 8 if i % 3 == 0 else draw.normal(0, 1 + i % 5, 8).tolist())) for i in range(1500)]
