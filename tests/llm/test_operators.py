@@ -226,6 +226,41 @@ def test_parser_continues_from_a_mark():
         assert both == (phrases.fingerprint(a + b), phrases.fingerprint(a + c))
 
 
+def plain_mix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+def plain_fingerprint(text):
+    """The definition by sets of byte strings and whole numbers: LZ78 phrases, the least hash of each of 64 slots."""
+    seen, phrase = set(), b""
+    for byte in text.encode():
+        phrase += bytes([byte])
+        if phrase not in seen:
+            seen.add(phrase)
+            phrase = b""
+    codes = [plain_mix((b + 1) * 0xD1342543DE82EF95 % 2**64) for b in range(256)]
+    slots = {}
+    for p in seen | ({phrase} - {b""}):
+        value = plain_mix((sum(codes[b] * pow(0x9E3779B97F4A7C15, i, 2**64) for i, b in enumerate(p)) + len(p)) % 2**64)
+        slots[value >> 58] = min(value, slots.get(value >> 58, value))
+    full = []
+    for slot in range(64):
+        away = next((d for d in range(64) if (slot + d) % 64 in slots), None)
+        value = 2**64 - 1 if away is None else slots[(slot + away) % 64]
+        full.append(plain_mix((value + away * 0x9E3779B97F4A7C15) % 2**64) if away else value)
+    return "".join(f"{plain_mix(v) % 65536:04x}" for v in full)
+
+
+def test_fingerprint_equals_its_plain_definition(documents):
+    texts = [t or "" for _, t in rows_of(documents.orderBy("doc_id").limit(60))] + [t or "" for t in ODD_TEXTS]
+    draw = random.Random(3)
+    texts += ["".join(draw.choice("abé ") for _ in range(draw.randint(0, 30))) for _ in range(200)]
+    for text in texts:
+        assert phrases.fingerprint(text) == plain_fingerprint(text)
+
+
 def test_fingerprints_equal_brute_force(documents, odd, empty):
     for df in (documents, odd):
         rows = sorted(((i, t or "") for i, t in rows_of(df)), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
@@ -234,8 +269,8 @@ def test_fingerprints_equal_brute_force(documents, odd, empty):
             following = rows[(place + 1) % len(rows)][1]
             kept = len(text) - len(text) // 4
             edited = text[:kept] + following[: len(text) // 4]
-            own, other = phrases.fingerprint(text), phrases.fingerprint(edited)
-            likeness = phrases.likeness(own, other), phrases.likeness(own, phrases.fingerprint(following))
+            own, other = plain_fingerprint(text), plain_fingerprint(edited)
+            likeness = phrases.likeness(own, other), phrases.likeness(own, plain_fingerprint(following))
             expected.append((doc_id, len(text), sha256(edited.encode()).hexdigest(), own, other, *likeness))
         assert sorted_rows(phrases.compare_edited(df)) == sorted(expected, key=repr)
     assert phrases.compare_edited(empty).count() == 0
