@@ -34,7 +34,7 @@ from farelake.plans.settings import (
     TOP_ZONES,
 )
 from farelake.schemas import RAW_TRIPS
-from farelake.session import materialize, scratch_path
+from farelake.session import materialize, scratch_path, sized_partitions
 from farelake.sources import history, landing, lookups, store
 from farelake.sources.versions import Versions
 from farelake.streaming import daily
@@ -43,6 +43,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 _NATURAL = ("pickup_at", "dropoff_at", "pickup_location_id")
 _registry: dict[str, Query] = {}
 
+#: Of the order lines that the trips of a landed file come from; as trips they are about four times as large.
+_LANDED_FILE_BYTES = 32 << 20
+
 
 def _query(function: Query) -> Query:
     """Register under the function's name; a trailing underscore keeps clear of an import."""
@@ -301,7 +304,9 @@ def daily_revenue_stream(spark, sf_dir):
     """The daily report computed by a stream over the landed trips, which come in several micro-batches of files that
     are not in the order of time, run until it has caught up."""
     source, log, state = (scratch_path(spark, name) for name in ("landing", "days", "state"))
-    fixture.raw_trips(spark, sf_dir).repartition(8, "dropoff_location_id").write.parquet(source)
+    raw = fixture.raw_trips(spark, sf_dir)
+    parts = max(8, sized_partitions(raw, _LANDED_FILE_BYTES))
+    raw.repartition(parts, "dropoff_location_id", "pickup_datetime", "dropoff_datetime").write.parquet(source)
     files = len(spark.read.schema(RAW_TRIPS).parquet(source).inputFiles())
     arriving = daily.stream_landing(spark, source, files_per_batch=-(-files // 3))
     daily.keep_current(arriving, log, state).awaitTermination()

@@ -9,7 +9,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from farelake.operators import clean, enrich, quality, reports
-from farelake.plans import fixture, warehouse
+from farelake.plans import catalog, fixture, warehouse
 from farelake.plans.checks import all_checks
 from farelake.schemas import RAW_TRIPS
 from farelake.sources import history, landing, store
@@ -282,3 +282,17 @@ def test_observed_checks_spare_a_pass(spark, raw, known, tmp_path, monkeypatch):
     monkeypatch.setattr(quality, "_row_checks", lambda df, checks, f=quality._row_checks: [f(df, checks), scanned.extend(checks)][0])
     warehouse.refresh(landed, out, known, fixture.AS_OF)
     assert scanned and not {c.table for _, c in scanned} & {"trips_clean", "trips_enriched", "fact_trips"}
+
+
+def test_the_streamed_files_grow_in_number_with_the_table(spark, small_tables, monkeypatch):
+    landed = []
+
+    def stream(spark_, path, files_per_batch):
+        landed.append([r[0] for r in spark_.read.parquet(path).groupBy(F.input_file_name()).count().select("count").collect()])
+        return daily_stream(spark_, path, files_per_batch)
+
+    daily_stream = daily.stream_landing
+    monkeypatch.setattr(daily, "stream_landing", stream)
+    monkeypatch.setattr(catalog, "_LANDED_FILE_BYTES", 4 << 10)
+    catalog.daily_revenue_stream(spark, small_tables)
+    assert len(landed[0]) > 16 and max(landed[0]) < 2 * sum(landed[0]) / len(landed[0])
