@@ -61,11 +61,16 @@ def rate_code_or_unknown(code: Column) -> Column:
     return F.coalesce(code.try_cast("bigint"), F.lit(UNKNOWN_RATE_CODE).cast("bigint"))
 
 
-def standardize(raw: DataFrame) -> DataFrame:
-    """Rename and cast the columns that are there. All casts but the rate code's are strict: malformed text fails the job (ANSI mode)."""
+def trip_key() -> Column:
+    return surrogate_key(F.col("row_num")).alias("trip_id")
+
+
+def standardize(raw: DataFrame, keyed: bool = True) -> DataFrame:
+    """Rename and cast the columns that are there. All casts but the rate code's are strict: malformed text fails the job (ANSI mode).
+    Numbered rows get their ``trip_id``, or if not ``keyed`` keep the shorter ``row_num``."""
     out = []
     if "row_num" in raw.columns:
-        out.append(surrogate_key(F.col("row_num")).alias("trip_id"))
+        out.append(trip_key() if keyed else F.col("row_num"))
     for source, (name, kind) in _TYPED.items():
         if source not in raw.columns:
             continue

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,10 +64,8 @@ def date_dim(spine: DataFrame) -> DataFrame:
     )
 
 
-def build_fact(
-    trips: DataFrame, vendors: DataFrame, payment_types: DataFrame, rate_codes: DataFrame, as_of: str
-) -> DataFrame:
-    """The 43-column fact: enriched trips with vendor, payment and rate names. Unknown codes keep null names.
+def named(trips: DataFrame, vendors: DataFrame, payment_types: DataFrame, rate_codes: DataFrame) -> DataFrame:
+    """Trips with vendor, payment and rate names. Unknown codes keep null names.
 
     The lookups are joined without a hint; Spark broadcasts them because their known size is below its
     threshold, and would shuffle one that is not.
@@ -74,11 +74,21 @@ def build_fact(
         trips.join(vendors.select("vendor_id", "vendor_name"), "vendor_id", "left")
         .join(payment_types.select("payment_type_id", "payment_type_name"), "payment_type_id", "left")
         .join(rate_codes.select("rate_code_id", "rate_code_name"), "rate_code_id", "left")
-        .withColumn("updated_at", instant(as_of))
-        .select(*FACT.names)
     )
 
 
+def fact_rows(enriched: DataFrame, as_of: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The 43-column fact of enriched trips with names, and columns to ``keep``. A projection only."""
+    return enriched.withColumn("updated_at", instant(as_of)).select(*FACT.names, *keep)
+
+
+def build_fact(
+    trips: DataFrame, vendors: DataFrame, payment_types: DataFrame, rate_codes: DataFrame, as_of: str
+) -> DataFrame:
+    """The fact of enriched trips and the lookups of their names."""
+    return fact_rows(named(trips, vendors, payment_types, rate_codes), as_of)
+
+
 def zone_classes(trips: DataFrame, locations: DataFrame) -> DataFrame:
     """Zones with trips, their borough, and a class by how many trips they have had."""
     counts = trips.groupBy(F.col("pickup_location_id").alias("location_id")).agg(F.count(F.lit(1)).alias("n"))

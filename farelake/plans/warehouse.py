@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from copy import copy
 from dataclasses import dataclass
 
@@ -115,8 +115,9 @@ def stale_months(landed: Versions, out: Versions) -> Stale:
     return Stale(months, sorted(m for m in fact if m not in parts))
 
 
-def fact_of_months(landed: Versions, months: Mapping[str, int], known: Lookups, as_of: str, partitions: int | None = None) -> DataFrame:
-    """The fact rows of some months, each given with the number of live rows before it; only these are scanned.
+def numbered_of_months(landed: Versions, months: Mapping[str, int], partitions: int | None = None) -> DataFrame:
+    """The valid trips of some months, each given with the number of live rows before it; only these are scanned. They
+    have their ``row_num``, of which the key is made.
 
     The live rows of all of them are numbered together, and each month's numbers are shifted to where they belong, so
     every id is the one that numbering the whole landing table gives.
@@ -135,8 +136,7 @@ def fact_of_months(landed: Versions, months: Mapping[str, int], known: Lookups,
         month = month_start(F.to_date("pickup_datetime"))
         numbered = numbered.join(lookups.from_rows(raw.sparkSession, schema, rows), month == F.col("_month"))
         shift = F.col("_shift")
-    trips = clean.valid_trips(clean.standardize(numbered.withColumn("row_num", F.col("row_num") + shift)))
-    return _fact(enrich.enrich_trips(trips), known, as_of)
+    return clean.valid_trips(clean.standardize(numbered.withColumn("row_num", F.col("row_num") + shift), keyed=False))
 
 
 def refresh_fact(landed: Versions, out: Versions, known: Lookups, as_of: str, partitions: int | None = None) -> Stale:
@@ -155,8 +155,8 @@ def _staged_fact(
     fresh: Parts = {}
     observed: dict[str, int] = {}
     if stale.months:
-        fact = fact_of_months(landed, stale.months, known, as_of, partitions)
-        written, observed = store.stage_fact(out, fact, partitions, row_metrics(_TRIP_TABLES, checks))
+        trips, finish = stored_form(numbered_of_months(landed, stale.months, partitions), known, as_of)
+        written, observed = store.stage_fact(out, trips, partitions, row_metrics(_TRIP_TABLES, checks), finish)
         version = next(iter(written.values()))["version"] if written else "none"
         for month, before in stale.months.items():
             rows = written.get(month, {}).get("rows", 0)  # a month may have no valid trip
@@ -245,5 +245,15 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def _fact(enriched: DataFrame, known: Lookups, as_of: str) -> DataFrame:
-    return star.build_fact(enriched, known.vendors, known.payment_types, known.rate_codes, as_of)
+def stored_form(trips: DataFrame, known: Lookups, as_of: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """What of numbered, valid trips has to be placed in a stored fact, and how its rows are made of that.
+
+    The second part is a projection only, so the writer knows that placed rows stay in order; a join would make it sort
+    them again, by month alone.
+    """
+
+    def finish(placed: DataFrame) -> DataFrame:
+        keyed = enrich.enrich_trips(placed.withColumn("trip_id", clean.trip_key()))
+        return star.fact_rows(keyed, as_of, keep=[MONTH])
+
+    return star.named(trips, known.vendors, known.payment_types, known.rate_codes), finish

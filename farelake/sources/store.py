@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -19,26 +19,34 @@ def clustered(fact: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows placed so that each task writes one stretch of (month, cluster keys).
 
     The placement goes on through the pickup time and the unique trip id, so neither a busy month nor a busy
-    zone is bound to one task, and every month is spread over as many files as its size asks for.
+    zone is bound to one task, and every month is spread over as many files as its size asks for. Rows that have no
+    ``trip_id`` yet have the row number it is made of.
     """
-    keys = [MONTH, *CLUSTER_KEYS, "pickup_at", "trip_id"]
+    keys = [MONTH, *CLUSTER_KEYS, "pickup_at", "trip_id" if "trip_id" in fact.columns else "row_num"]
     count = [] if partitions is None else [partitions]
     return (
-        fact.withColumn(MONTH, month_start(F.col("pickup_date")))
+        fact.withColumn(MONTH, month_start(F.to_date("pickup_at")))
         .repartitionByRange(*count, *keys)
         .sortWithinPartitions(*keys)
     )
 
 
 def stage_fact(
-    store: Versions, fact: DataFrame, partitions: int | None = None, metrics: Mapping[str, Column] | None = None
+    store: Versions,
+    fact: DataFrame,
+    partitions: int | None = None,
+    metrics: Mapping[str, Column] | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[Parts, dict[str, int]]:
     """Write a version of the fact's months that occur in ``fact``, to be committed; and what the ``metrics``
     (aggregates by name) came to, which are observed as the rows pass to the files.
 
-    They are observed behind the last shuffle, where a task that runs again counts once.
+    They are observed behind the last shuffle, where a task that runs again counts once. ``finish``, a projection,
+    makes fact rows of what is placed and keeps ``month_start``: so only what they are made of is shuffled and sorted.
     """
     placed, seen = clustered(fact, partitions), Observation()
+    if finish:
+        placed = finish(placed)
     if metrics:
         placed = placed.observe(seen, *metrics.values())
     version = store.write(FACT_TABLE, placed, monthly=True)
@@ -46,9 +54,11 @@ def stage_fact(
     return {month: {"version": version, **counts} for month, counts in found.items()}, dict(seen.get) if metrics else {}
 
 
-def write_fact(store: Versions, fact: DataFrame, partitions: int | None = None) -> None:
+def write_fact(
+    store: Versions, fact: DataFrame, partitions: int | None = None, finish: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
     """Full refresh of the stored fact. A failed write leaves it as it was."""
-    store.commit({FACT_TABLE: stage_fact(store, fact, partitions)[0]})
+    store.commit({FACT_TABLE: stage_fact(store, fact, partitions, finish=finish)[0]})
 
 
 def replace_months(store: Versions, fact: DataFrame, months: Iterable[str], partitions: int | None = None) -> None:

@@ -98,7 +98,8 @@ class Versions:
         ``month_start``."""
         version = f"v{uuid.uuid4().hex}"
         writer = df.write.partitionBy(MONTH) if monthly else df.write
-        writer.parquet(f"{self.folder}/{table}/{_VERSION}={version}")
+        # Keys are hexadecimal text, which only a codec with entropy coding makes shorter.
+        writer.option("compression", "zstd").parquet(f"{self.folder}/{table}/{_VERSION}={version}")
         return version
 
     def months_of(self, table: str, version: str, schema: StructType, *counts) -> dict[str, dict[str, int]]:
