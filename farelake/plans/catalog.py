@@ -199,7 +199,10 @@ def dim_date(spark, sf_dir):
 @_query
 def partitioned_fact_scan(spark, sf_dir):
     stored = Versions(spark, scratch_path(spark, "fact"))
-    store.write_fact(stored, _fact(spark, sf_dir))
+    numbered = clean.number_trips(fixture.raw_trips(spark, sf_dir))
+    trips = clean.valid_trips(clean.standardize(numbered, keyed=False))
+    placed, finish = warehouse.stored_form(trips, _known(spark), fixture.AS_OF)
+    store.write_fact(stored, placed, finish=finish)
     return store.read_fact(stored, SCAN_START, SCAN_END)
 
 

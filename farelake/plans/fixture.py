@@ -23,7 +23,7 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     adaptive execution splits an order that holds a large share of the lines.
     """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", "substr(o_orderpriority, 1, 1) AS payment_type")
     seeded = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
         "l_partkey",
         "l_suppkey",
@@ -33,7 +33,7 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_shipdate",
         "l_orderkey * 31 + l_partkey * 17 + l_suppkey * 7 + l_linenumber AS h",
         "cast(floor(l_extendedprice) AS bigint) % 6000 + 250 AS base",
-        "substr(o_orderpriority, 1, 1) AS payment_type",
+        "payment_type",
     )
     priced = seeded.selectExpr(
         "*",

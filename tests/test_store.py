@@ -10,7 +10,8 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 from test_star import make_fact
 
-from farelake.plans import fixture
+from farelake.operators import clean, enrich, star
+from farelake.plans import fixture, warehouse
 from farelake.schemas import SOURCE_TRIPS
 from farelake.session import scratch_path
 from farelake.sources import landing, store
@@ -184,3 +185,26 @@ def test_no_machine_local_scratch_on_a_cluster():
     with pytest.raises(RuntimeError):
         scratch_path(FakeSession("yarn"), "x")
     assert os.path.isabs(scratch_path(FakeSession("local[2]"), "x"))
+
+
+def test_only_what_the_fact_is_made_of_is_placed(spark, raw, tmp_path):
+    """Derived columns and keys come after the shuffle, and the writer does not sort the placed rows again."""
+    known = warehouse.Lookups.with_zones(spark, fixture.zones(spark))
+    days = [DAYS[i * 7 % 5] for i in range(60)]
+    trips = clean.valid_trips(clean.standardize(clean.number_trips(trips_on(raw, *days)), keyed=False))
+    placed, finish = warehouse.stored_form(trips, known, fixture.AS_OF)
+    derived = {"trip_id", "pickup_year", "pickup_day_name", "time_of_day_bucket", "avg_speed_mph", "updated_at"}
+    assert not derived & set(store.clustered(placed).columns)
+
+    stored = Versions(spark, str(tmp_path))
+    store.write_fact(stored, placed, finish=finish)
+    wide = star.build_fact(
+        enrich.enrich_trips(clean.clean_trips(trips_on(raw, *days))),
+        known.vendors, known.payment_types, known.rate_codes, fixture.AS_OF,
+    )
+    back = store.read_fact(stored)
+    assert back.columns == wide.columns
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, wide.collect()))
+    for path in back.inputFiles():
+        keys = [tuple(r) for r in spark.read.parquet(path).select(*store.CLUSTER_KEYS, "pickup_at").collect()]
+        assert keys == sorted(keys)
