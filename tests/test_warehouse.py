@@ -296,3 +296,10 @@ def test_the_streamed_files_grow_in_number_with_the_table(spark, small_tables, m
     monkeypatch.setattr(catalog, "_LANDED_FILE_BYTES", 4 << 10)
     catalog.daily_revenue_stream(spark, small_tables)
     assert len(landed[0]) > 16 and max(landed[0]) < 2 * sum(landed[0]) / len(landed[0])
+
+
+def test_checks_of_enriched_trips_share_the_passes_over_the_fact(spark, small_tables, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(quality, "run_checks", lambda spark_, tables, checks: seen.update(tables))
+    catalog.dq_report(spark, small_tables)
+    assert seen["trips_clean"] is seen["trips_enriched"] is seen["fact_trips"]
