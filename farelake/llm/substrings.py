@@ -40,7 +40,7 @@ _ANCHOR = 5
 _CELL = 64  # windows; a request has one bit for each
 _AGAIN = np.uint32(1 << 31)  # marks a place whose window stands in several documents of its bucket
 _SLICE_BYTES = 1 << 18  # text of an automaton's documents
-_NODES = 3_000_000  # of an automaton, at about 64 bytes each
+_NODES = 750_000  # of an automaton, at about 64 bytes each
 _SECOND = 256  # codes of a word's second character
 _OTHER_WORD = "\x01\x02"
 
@@ -233,25 +233,38 @@ def _kept(table: pa.Table, phrases: pa.Table, window: int) -> list[tuple[int, in
     windows of theirs have are compiled into an automaton, and the documents are streamed through it; documents without
     such a window have no phrase.
     """
-    found: dict[int, list[int]] = {}
+    found: dict[int, list[np.ndarray]] = {}
     if table.num_rows and phrases.num_rows:
-        words, cells = Words(table.column("_text")), Words(phrases.column("_words"))
-        places, hashes = cells.grams(window)
-        cell = cells.doc[places]
-        start = places - cells.at[cell]
-        wanted = phrases.column("_wanted").to_numpy().view(np.uint64)
-        asked = (wanted[cell] >> start.astype(np.uint64)) & np.uint64(1) == 1
-        order = np.flatnonzero(asked)[np.argsort(hashes[asked], kind="stable")]
-        cell, start, hashes = cell[order], start[order], hashes[order]
-        places, seen = words.grams(window)
-        hit = in_sorted(seen, hashes)
-        docs, seen = words.doc[places[hit]], seen[hit]
-        for some in _alike(docs, cell[np.searchsorted(hashes, seen)], np.diff(words.offsets)):
+        # What the hashes were made of is free again before the automata take their memory.
+        cell, start, hashes = _asked(phrases, window)
+        docs, seen, sizes = _hits(table, hashes, window)
+        common.release_memory()
+        for some in _alike(docs, cell[np.searchsorted(hashes, seen)], sizes):
             mine = in_sorted(hashes, np.unique(seen[np.isin(docs, some)]))
             _match(table.take(some), phrases, cell[mine], start[mine], window, some.tolist(), found)
     return [_without(text.split(), found.get(doc), window) for doc, text in enumerate(_texts(table))]
 
 
+def _asked(phrases: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows asked for, in the order of their hashes: their cells, where they start in these, and the hashes."""
+    cells = Words(phrases.column("_words"))
+    places, hashes = cells.grams(window)
+    cell = cells.doc[places]
+    start = (places - cells.at[cell]).astype(np.int32)
+    wanted = phrases.column("_wanted").to_numpy().view(np.uint64)
+    asked = (wanted[cell] >> start.astype(np.uint64)) & np.uint64(1) == 1
+    order = np.flatnonzero(asked)[np.argsort(hashes[asked], kind="stable")]
+    return cell[order], start[order], hashes[order]
+
+
+def _hits(table: pa.Table, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows with one of the sorted ``hashes``: their documents and hashes; and the bytes of all documents."""
+    words = Words(table.column("_text"))
+    places, seen = words.grams(window)
+    hit = in_sorted(seen, hashes)
+    return words.doc[places[hit]], seen[hit], np.diff(words.offsets)
+
+
 def _alike(docs: np.ndarray, cells: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
     """Documents in portions of about ``_SLICE_BYTES``, but at least one, in the order of a cell that each may share with
     others: the one of its middle hit. ``docs``, ascending, and ``cells``: one entry for each hit."""
@@ -289,20 +302,21 @@ def _match(part: pa.Table, phrases: pa.Table, cell: np.ndarray, start: np.ndarra
         for doc, doc_id, line in zip(docs, ids, lines, strict=True):
             begins = [end // 2 + 1 - window for end, owner in automaton.iter(line) if owners[owner] < doc_id]
             if begins:
-                found.setdefault(doc, []).extend(begins)
+                found.setdefault(doc, []).append(np.array(begins, np.int32))
 
 
 def _texts(table: pa.Table) -> Iterator[bytes]:
     return ((text.as_py() or "").encode() for text in table.column("_text"))
 
 
-def _without(words: list[bytes], starts: list[int] | None, window: int) -> tuple[int, int, str]:
-    """The words that no window from one of ``starts`` covers."""
-    if not starts:
+def _without(words: list[bytes], found: list[np.ndarray] | None, window: int) -> tuple[int, int, str]:
+    """The words that no window from a place in ``found`` covers."""
+    if not found:
         return len(words), 0, b" ".join(words).decode()
+    starts = np.concatenate(found)
     change = np.zeros(len(words) + 1, np.int64)
     np.add.at(change, starts, 1)
-    np.add.at(change, np.array(starts) + window, -1)
+    np.add.at(change, starts + window, -1)
     kept = [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0).tolist()]
     return len(words), len(words) - len(kept), b" ".join(kept).decode()
 

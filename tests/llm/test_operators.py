@@ -655,3 +655,31 @@ def test_remembered_parts_stay_within_their_bytes():
         assert all(known[t] == t.encode() for t in wanted)
         assert (len(recent.now) + len(recent.older)) * 200 < 130_000
     assert made.count("always") == 1 and len(made) == 200 * 50 + 1
+
+
+def test_automata_of_long_passages_stay_small(monkeypatch):
+    """However many windows a portion has, no automaton has more nodes than its share of a worker's memory."""
+    made = []
+
+    class Counted:
+        def __init__(self, kind):
+            self.automaton = real(kind)
+            self.add_word, self.iter = self.automaton.add_word, self.automaton.iter
+
+        def make_automaton(self):
+            self.automaton.make_automaton()
+            made.append(self.automaton.get_stats()["nodes_count"])
+
+    real = substrings.ahocorasick.Automaton
+
+    text = " ".join(f"w{i}" for i in range(30_000))
+    table = pa.table({"_id": [1], "_text": [text], "_row": [0], "_bucket": [0]})
+    words = text.split()
+    cells = range(0, len(words) - 49, 64)
+    wanted = [-1 if c + 64 + 49 <= len(words) else 1 for c in cells]
+    sent = {"_bucket": [0] * len(cells), "_wanted": wanted, "_first": [0] * len(cells)}
+    sent["_words"] = [" ".join(words[c : c + 113]).encode() for c in cells]
+    monkeypatch.setattr(substrings.ahocorasick, "Automaton", Counted)
+    ((n, removed, _),) = substrings._kept(table, pa.table(sent), 50)
+    assert n == 30_000 and removed > 29_800
+    assert max(made) * 64 < 64 << 20
