@@ -7,17 +7,19 @@ joined.
 1. Buckets of documents exchange the hashes of their prefix shingles and learn which recur. Only documents with a
    recurring prefix shingle can have partners; of equal sets, one stands for all (a *class*).
 2. Classes meet on prefix shingles, where length, positional and suffix filters drop most pairs.
-3. Every pair that is left is verified once, by the exact intersection of the two sets.
-
-A large group of near copies has a quadratic number of links, of which a component needs few. So classes meet in two
-rounds. In the first, each shingle's classes are paired with a few *leaders* among them only. Then components are
-formed. In the second round, all pairs that share a prefix shingle and are in different components are paired. So no link
-between different components is lost, and the pairs inside a dense group are never written out.
+3. What is left is verified by the exact intersection of the two sets.
+
+A large group of near copies has a quadratic number of links, of which a component needs few; and one of copies that are
+just too far from each other has as many pairs that pass the filters, but no links. So classes meet in two rounds. In the
+first, each shingle's classes are paired with a few *leaders* among them only. Then components are formed. In the second
+round only those postings are kept that pass the filters with one of another component, and the sets travel to them: all
+pairs are compared where they meet, each at the first shingle that it shares, and a link is written only if it joins two
+components. So no link between different components is lost, and no step writes more rows than a few for each posting.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ _COUNT_BITS = 22  # the frequency table has so many cells for any corpus
 _SUFFIX_CELLS = 128
 _SIEVE_BITS = 23  # cells of the fixed-size sieve of wanted documents
 _LEADERS = 3
+_BLOCK = 1 << 20  # shingles of the classes of one block
+_COMPARED = 1 << 19  # shingles that one set is compared with at a time
 _TOGETHER_BYTES = 512 << 10  # of texts
 _BUCKET_BYTES = 4 << 20
 
@@ -172,15 +176,17 @@ def _members(docs: DataFrame, shingle: int, threshold: Threshold, classes: np.nd
     return texts.groupBy("_bucket").cogroup(recurring.groupBy("_bucket")).applyInArrow(members, _MEMBER)
 
 
-_POSTING = "shingle long, rep long, n int, place int, shared int, suffix binary"
+_POSTING = "shingle long, rep long, n int, place int, earlier int, shared int, suffix binary"
+_POSTING_NAMES = ("rep", "n", "place", "earlier", "shared", "suffix", "component")
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """A row for each recurring prefix shingle of each class; ``shared``: how many of those the class has."""
+    """A row for each recurring prefix shingle of each class; ``shared``: how many of those the class has, ``earlier``:
+    how many of them come before this one."""
 
     def each(batches):
         for batch in batches:
-            columns: list[list] = [[], [], [], [], [], []]
+            columns: list[list] = [[], [], [], [], [], [], []]
             wanted = [batch.column(c).to_pylist() for c in ("rep", "n_shingles", "prefix", "places", "suffix")]
             for rep, n, prefix, places, suffix in zip(*wanted, strict=True):
                 shingles = np.frombuffer(prefix, np.int64).tolist()
@@ -188,10 +194,11 @@ def _postings(classes: DataFrame) -> DataFrame:
                 columns[1] += [rep] * len(shingles)
                 columns[2] += [n] * len(shingles)
                 columns[3] += np.frombuffer(places, np.int32).tolist()
-                columns[4] += [len(shingles)] * len(shingles)
-                columns[5] += [suffix] * len(shingles)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-            names = ["shingle", "rep", "n", "place", "shared", "suffix"]
+                columns[4] += range(len(shingles))
+                columns[5] += [len(shingles)] * len(shingles)
+                columns[6] += [suffix] * len(shingles)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            names = ["shingle", "rep", "n", "place", "earlier", "shared", "suffix"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return classes.select("rep", "n_shingles", "prefix", "places", "suffix").mapInArrow(each, _POSTING)
@@ -201,13 +208,13 @@ def _postings(classes: DataFrame) -> DataFrame:
 
 
 class _Group:
-    """The postings of one shingle, sorted by set size."""
+    """The postings of one shingle, sorted by set size; ``order``: the rows that they come from."""
 
-    def __init__(self, rep, n, place, shared, suffix, component):
-        order = np.argsort(n, kind="stable")
-        self.shared = shared[order].astype(np.int64)
-        self.rep, self.n, self.place = rep[order], n[order].astype(np.int64), place[order].astype(np.int64)
-        self.suffix, self.component = suffix[order], component[order]
+    def __init__(self, rows, rep, n, place, earlier, shared, suffix, component):
+        order = np.argsort(n[rows], kind="stable")
+        self.order = rows = rows[order]
+        self.rep, self.component, self.suffix = rep[rows], component[rows], suffix[rows]
+        self.n, self.place, self.earlier, self.shared = (x[rows].astype(np.int64) for x in (n, place, earlier, shared))
 
     def leaders(self) -> np.ndarray:
         """The members that share most of their prefix with others, and so are likely in the middle of a group; and
@@ -216,6 +223,11 @@ class _Group:
         central = np.lexsort((chance, -self.shared))[: _LEADERS - 1]
         return np.unique(np.append(central, chance.argmin()))
 
+    def probes(self) -> np.ndarray:
+        """All but the members of the largest component, to which they are all compared."""
+        _, inverse, sizes = np.unique(self.component, return_inverse=True, return_counts=True)
+        return np.flatnonzero(inverse != sizes.argmax())
+
     def partners(self, i: int, threshold: Threshold) -> np.ndarray:
         """Members that pass the length, positional and suffix filters with member ``i``."""
         n = int(self.n[i])
@@ -225,9 +237,9 @@ class _Group:
         among = among[self.component[among] != self.component[i]]
         least = threshold.overlap(n, self.n[among])
         # Both sets have one order, so what they share from here on is in what is left of either; what they share
-        # before is no longer than the shorter of the two beginnings.
+        # before is in both prefixes, so it recurs, and is no more than the fewer of the recurring ones before.
         left = np.minimum(n - self.place[i], self.n[among] - self.place[among])
-        before = np.minimum(self.place[i], self.place[among])
+        before = np.minimum(self.earlier[i], self.earlier[among])
         keep = left + before >= least
         among, least = among[keep], least[keep]
         # Cell by cell, the sets differ by at least the difference of their counts.
@@ -239,35 +251,135 @@ class _Group:
         return np.concatenate(kept)
 
 
-def _pairs(postings: DataFrame, threshold: Threshold, parts: int, leaders_only: bool) -> DataFrame:
-    """Distinct candidate pairs (a < b) of classes in different components; perhaps those of the leaders only."""
+def _groups(table: pa.Table, *keys: str) -> Iterator[_Group]:
+    """The postings of a table by ``keys``, where there are several, of more than one component."""
+    by = [table.column(k).to_numpy() for k in keys]
+    order = np.lexsort(by[::-1])
+    fresh = np.any([k[order][1:] != k[order][:-1] for k in by], axis=0)
+    cuts = np.concatenate([[0], np.flatnonzero(fresh) + 1, [len(order)]]).tolist()
+    columns = {c: table.column(c).to_numpy() for c in _POSTING_NAMES if c != "suffix"}
+    columns["suffix"] = np.frombuffer(b"".join(table.column("suffix").to_pylist()), np.uint8).reshape(-1, _SUFFIX_CELLS)
+    component = columns["component"]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        rows = order[a:b]
+        if b - a > 1 and (component[rows] != component[rows[0]]).any():
+            yield _Group(rows, **columns)
+
+
+def _dealt(postings: DataFrame, parts: int):
+    return postings.withColumn("_part", F.pmod(F.xxhash64("shingle"), F.lit(parts))).groupBy("_part")
+
+
+def _leader_pairs(postings: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
+    """Distinct candidate pairs (a < b) of classes with the leaders of a shingle; in a small group, all."""
 
     def meet(table: pa.Table) -> pa.Table:
-        shingle = table.column("shingle").to_numpy()
-        order = np.argsort(shingle, kind="stable")
-        shingle = shingle[order]
-        names = ("rep", "n", "place", "shared", "component")
-        rep, n, place, shared, component = (table.column(c).to_numpy()[order] for c in names)
-        suffix = np.frombuffer(b"".join(table.column("suffix").to_pylist()), np.uint8).reshape(-1, _SUFFIX_CELLS)[order]
-        cuts = np.append(np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]])), len(shingle))
         pairs: set[tuple[int, int]] = set()
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if b - a < 2 or (component[a:b] == component[a]).all():
-                continue
-            group = _Group(rep[a:b], n[a:b], place[a:b], shared[a:b], suffix[a:b], component[a:b])
-            if leaders_only and b - a > _LEADERS + 1:
-                probes = group.leaders()
-            else:  # all but the members of the largest component, to which they are all compared
-                kinds, inverse, sizes = np.unique(group.component, return_inverse=True, return_counts=True)
-                probes = np.flatnonzero(inverse != sizes.argmax())
-            for i in probes.tolist():
+        for group in _groups(table, "shingle"):
+            size = len(group.rep)
+            for i in (group.leaders() if size > _LEADERS + 1 else np.arange(1, size)).tolist():
                 own = int(group.rep[i])
                 pairs.update((min(own, o), max(own, o)) for o in group.rep[group.partners(i, threshold)].tolist())
         found = np.array(sorted(pairs), np.int64).reshape(-1, 2)
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
-    dealt = postings.withColumn("_part", F.pmod(F.xxhash64("shingle"), F.lit(parts)))
-    return dealt.groupBy("_part").applyInArrow(meet, "a long, b long").distinct()
+    return _dealt(postings, parts).applyInArrow(meet, "a long, b long").distinct()
+
+
+def _open_postings(postings: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
+    """Postings that pass the filters with one of another component, where neither is a leader: those were compared."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        wanted = np.zeros(table.num_rows, bool)
+        for group in _groups(table, "shingle"):
+            if len(group.rep) <= _LEADERS + 1:
+                continue  # all pairs were compared
+            led = np.zeros(len(group.rep), bool)
+            led[group.leaders()] = True
+            for i in group.probes().tolist():
+                if led[i]:
+                    continue
+                found = group.partners(i, threshold)
+                found = found[~led[found]]
+                if len(found):
+                    wanted[group.order[i]] = True
+                    wanted[group.order[found]] = True
+        return table.select(["shingle", *_POSTING_NAMES]).filter(pa.array(wanted))
+
+    return _dealt(postings, parts).applyInArrow(meet, f"{_POSTING}, component long")
+
+
+def _blocks(postings: DataFrame) -> DataFrame:
+    """The postings with their ``_own`` block of the shingle, once for each cell (``_low``, ``_high``) of two blocks that
+    it has a part in. Most shingles have one block; of a large group, every two classes still meet in one cell."""
+    sizes = postings.groupBy("shingle").agg(F.ceil(F.sum(F.col("n").cast("long")) / F.lit(_BLOCK)).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
+    placed = postings.join(sizes, "shingle").withColumn("_own", own)
+    placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    cell = F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high")
+    return placed.select(*postings.columns, "_own", *cell)
+
+
+def _reaching(sets: list[np.ndarray], places: np.ndarray, i: int, among: np.ndarray, threshold: Threshold) -> np.ndarray:
+    """Which of ``among`` reach the threshold with set ``i``, of those that share no shingle before their place."""
+    heads = [sets[j][: places[j]] for j in among]
+    cuts = np.concatenate([[0], np.cumsum([len(h) for h in heads])])
+    met = np.concatenate([[0], np.cumsum(in_sorted(np.concatenate(heads), sets[i][: places[i]]))])
+    among = among[met[cuts[1:]] == met[cuts[:-1]]]
+    if not len(among):
+        return among
+    sizes = np.array([len(sets[j]) for j in among], np.int64)
+    met = in_sorted(np.concatenate([sets[j] for j in among]), sets[i])
+    shared = np.add.reduceat(met.astype(np.int64), np.cumsum(sizes) - sizes)
+    return among[threshold.den * shared >= threshold.num * (len(sets[i]) + sizes - shared)]
+
+
+def _joining_links(postings: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+    """Links (a, b) between classes of different components, from postings in blocks and their classes' (rep, shingles),
+    which go once to each partition. It writes only links that join what its earlier ones have not joined: fewer than it
+    has classes."""
+    # A class has postings in at most all partitions; so many of its postings count as may come to different ones.
+    held = postings.groupBy("rep").agg((F.max("n").cast("long") * F.least(F.count("*"), F.lit(64))).alias("held"))
+    size = 8 * held.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+    part = F.pmod(F.xxhash64("shingle", "_low", "_high"), F.lit(max(64, -(-size // _BUCKET_BYTES))))
+    dealt = postings.withColumn("_part", part)
+    given = dealt.select("rep", F.col("_part").alias("_to")).distinct().join(sets, "rep").select("_to", F.col("rep").alias("_of"), "shingles")
+
+    def link(table: pa.Table, given: pa.Table) -> pa.Table:
+        known = {r: np.frombuffer(s, np.uint64) for r, s in zip(*(given.column(c).to_pylist() for c in ("_of", "shingles")), strict=True)}
+        owns = table.column("_own").to_numpy()
+        apart = table.column("_low").to_numpy() != table.column("_high").to_numpy()
+        joined: dict[int, int] = {}
+        links: list[tuple[int, int]] = []
+
+        def root(component: int) -> int:
+            while (above := joined.get(component, component)) != component:
+                joined[component] = joined.get(above, above)
+                component = above
+            return component
+
+        for group in _groups(table, "shingle", "_low", "_high"):
+            members = [known[r] for r in group.rep.tolist()]
+            own = owns[group.order]
+            crossed = apart[group.order[0]]  # the pairs inside each block meet in the block's own cell
+            for i in group.probes().tolist():
+                found = group.partners(i, threshold)
+                if crossed:
+                    found = found[own[found] != own[i]]
+                step = max(1, _COMPARED // len(members[i]))
+                for at in range(0, len(found), step):
+                    mine = root(int(group.component[i]))
+                    some = found[at : at + step]
+                    some = some[np.array([root(c) != mine for c in group.component[some].tolist()], bool)]
+                    for j in _reaching(members, group.place, i, some, threshold).tolist() if len(some) else ():
+                        x, y = root(int(group.component[i])), root(int(group.component[j]))
+                        if x != y:
+                            joined[max(x, y)] = min(x, y)
+                            links.append((int(group.rep[i]), int(group.rep[j])))
+        found = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    return dealt.groupBy("_part").cogroup(given.groupBy("_to")).applyInArrow(link, "a long, b long").distinct()
 
 
 def _sieve(wanted: DataFrame) -> np.ndarray:
@@ -311,11 +423,8 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame, shingle: int, classes: np.n
     return chosen.select("rep", "shingles")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, threshold: Threshold, shingles_of: Callable) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """Which of the stored pairs have sets that reach the threshold, each compared once."""
-    reps = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    wanted = materialize(classes.select("rep", "least", "signature").join(reps, "rep", "left_semi"), "wanted")
-    sets = materialize(shingles_of(wanted), "shingles")
 
     def each(batches):
         for batch in batches:
@@ -373,9 +482,6 @@ def similar_documents(docs: DataFrame, shingle: int = 5, num: int = 4, den: int
     ranks = frequency_classes(docs, shingle)
     members = materialize(_members(docs, shingle, threshold, ranks), "members")
 
-    def shingles_of(wanted: DataFrame) -> DataFrame:
-        return _shingles_of(docs, wanted, shingle, ranks)
-
     by_set = members.where("n_shingles > 0").groupBy("signature").agg(F.min("doc_id").alias("least"))
     by_set = by_set.withColumn("rep", F.xxhash64("signature"))
     candidates = members.where(F.col("prefix").isNotNull())
@@ -385,15 +491,20 @@ def similar_documents(docs: DataFrame, shingle: int = 5, num: int = 4, den: int
     classes = materialize(classes.dropDuplicates(["rep"]), "classes")
     parts = max(64, common.bucket_count(classes, _BUCKET_BYTES))
 
+    def sets_of(reps: DataFrame) -> DataFrame:
+        wanted = materialize(classes.select("rep", "least", "signature").join(reps, "rep", "left_semi"), "wanted")
+        return materialize(_shingles_of(docs, wanted, shingle, ranks), "shingles")
+
     postings = materialize(_postings(classes), "postings")
     alone = postings.withColumn("component", F.col("rep"))
-    tried = materialize(_pairs(alone, threshold, parts, True), "pairs")
-    links = materialize(_verified(tried, classes, threshold, shingles_of), "links")
+    pairs = materialize(_leader_pairs(alone, threshold, parts), "pairs")
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
+    links = materialize(_verified(pairs, sets, threshold), "links")
     first = materialize(components(links), "components")
     labelled = postings.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    # What failed in the first round is not compared again.
-    open_pairs = _pairs(labelled, threshold, parts, False).join(tried.hint("merge"), ["a", "b"], "left_anti")
-    more = materialize(_verified(materialize(open_pairs, "pairs"), classes, threshold, shingles_of), "links")
+    left = materialize(_open_postings(labelled, threshold, parts), "open")
+    sets = sets_of(left.select("rep").distinct())
+    more = materialize(_joining_links(materialize(_blocks(left), "blocks"), sets, threshold), "links")
 
     # Each class goes to its component, and that to the smallest id in it.
     placed = by_set.join(components(links.unionByName(more)), "rep", "left")

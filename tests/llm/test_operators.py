@@ -508,6 +508,33 @@ def test_chains_and_dense_groups(spark):
     assert sorted_rows(jaccard.similar_documents(df, 3, 9, 10)) == brute_components(rows, 3, 9, 10)
 
 
+@pytest.mark.parametrize("block", [jaccard._BLOCK, 400])
+def test_copies_too_far_apart_are_not_paired(spark, monkeypatch, block):
+    """Of 529 texts any two pass the filters often, but link with their own near copy alone; no table grows with pairs.
+
+    Texts are lines of a plane of 23 by 23 points: 43 words are in all, and two texts share at most one of seven others.
+    """
+    base = [f"b{i}" for i in range(43)]
+    lines = [base + [f"p{x}v{(a * x + b) % 23}" for x in range(7)] for a in range(23) for b in range(23)]
+    rows = [(i, " ".join(ws)) for i, ws in enumerate(lines)]
+    rows += [(1000 + i, " ".join(lines[i][1:])) for i in range(0, len(lines), 5)]
+    written = []
+
+    def count(df, label):
+        stored = materialize(df, label)
+        written.append((label, stored.count()))
+        return stored
+
+    materialize = jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", count)
+    monkeypatch.setattr(jaccard, "_BLOCK", block)
+    found = sorted_rows(jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), 1, 4, 5))
+    assert found == brute_components(rows, 1, 4, 5)
+    sizes = dict(written)
+    assert max(n for label, n in written if label != "blocks") <= 3 * sizes["postings"]
+    assert sum(n for label, n in written if label == "open") <= sizes["postings"] and sizes["blocks"] > sizes["open"] * (block < 1000)
+
+
 def test_components_of_links(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 200), (300, 200), (7, 400)]
     found = dict(tuple(r) for r in jaccard.components(spark.createDataFrame(links, "a long, b long")).collect())
